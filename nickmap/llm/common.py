@@ -2,36 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A run of characters that are no ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
+from nickmap.sources.shared import shared_dir, written
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder's path below ``spark.checkpoint.dir``, which driver and executors share.
+__all__ = ["WORD", "held_out", "shared_dir", "table", "with_row_id", "written"]
 
-    Only where that setting is absent (tests, a single machine) a local temporary folder is made and set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="nickmap-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/nickmap/{purpose}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, and with no lineage behind it."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: A run of characters that are no ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
