@@ -32,15 +32,15 @@ def _filesystem(uri: str):
 class ShardWriter:
     """Writes one shard. A file gets its name when it is complete, so a repeated or lost task leaves no half file."""
 
-    def __init__(self, folder: str, name: str, attempt: int, dtype: np.dtype, length: int):
+    def __init__(self, folder: str, name: str, attempt: int, dtype: np.dtype, length: int, rows: int):
         import pyarrow as pa
 
-        self.pa, self.length, self.dtype = pa, length, dtype
+        self.pa, self.length, self.dtype, self.rows = pa, length, dtype, rows
         self.fs, base = _filesystem(folder)
         self.fs.create_dir(base, recursive=True)
         self.name, self.target, self.temp = name, f"{base}/{name}", f"{base}/_{name}.{attempt}"
         self.kind = pa.from_numpy_dtype(dtype)
-        self.schema = pa.schema([("ids", pa.list_(self.kind, length)), ("mask", pa.list_(pa.bool_(), length))])
+        self.schema = pa.schema([("ids", pa.list_(self.kind, length)), ("mask", pa.list_(pa.bool_(), length))], {"rows": str(rows)})
         self.sink = self.fs.open_output_stream(f"{self.temp}.arrow")
         self.file = pa.ipc.new_file(self.sink, self.schema)
         self.held, self.n_held, self.total = [], 0, 0
@@ -53,7 +53,7 @@ class ShardWriter:
         self.file.write_batch(pa.RecordBatch.from_arrays(fixed, schema=self.schema))
 
     def _flush(self, last: bool) -> None:
-        flat, size = np.concatenate([np.zeros(0, self.dtype), *self.held]), ROWS * self.length
+        flat, size = np.concatenate([np.zeros(0, self.dtype), *self.held]), self.rows * self.length
         while len(flat) >= size:
             self._put(flat[:size], size)
             flat = flat[size:]
@@ -69,7 +69,7 @@ class ShardWriter:
         self.total += len(ids)
         self.held.append(ids)
         self.n_held += len(ids)
-        if self.n_held >= ROWS * self.length:
+        if self.n_held >= self.rows * self.length:
             self._flush(False)
 
     def close(self) -> None:
@@ -97,6 +97,7 @@ class Shard:
         self.file = pa.ipc.open_file(get(f"{base}/{name}.arrow"))
         self.documents = pa.ipc.open_file(get(f"{base}/{name}.docs.arrow"))
         self.length = self.file.schema.field("ids").type.list_size
+        self.rows = int(self.file.schema.metadata[b"rows"])
         self.at, self.batch = -1, None
 
     def _batch(self, k: int) -> np.ndarray:
@@ -106,13 +107,13 @@ class Shard:
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and mask of sequence ``i``, counted from 0 in this shard."""
-        ids = self._batch(i // ROWS)
-        at = slice(i % ROWS * self.length, (i % ROWS + 1) * self.length)
+        ids = self._batch(i // self.rows)
+        at = slice(i % self.rows * self.length, (i % self.rows + 1) * self.length)
         return ids[at], self.batch.column(1).flatten().to_numpy(zero_copy_only=False)[at]
 
     def tokens(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from place ``start`` of the shard, across sequences and batches."""
-        size, parts = ROWS * self.length, []
+        size, parts = self.rows * self.length, []
         while n > 0:
             part = self._batch(start // size)[start % size :][:n]
             parts.append(part)
@@ -120,12 +121,12 @@ class Shard:
         return parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, "<u2"), *parts])
 
 
-def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int, length: int = 2048) -> DataFrame:
+def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int, length: int = 2048, rows: int = ROWS) -> DataFrame:
     """Writes ``docs`` (doc_id, text) into ``folder`` and returns a row for each shard: shard, start (ids in the shards
     before it), ids, documents.
 
     Documents lie in ascending doc_id order, null ids first, repeated rows beside each other in the order of their
-    texts; each is followed by ``end_id``. Null texts are empty ones. Further columns are ignored. An empty table writes
+    texts; each is followed by ``end_id``. A record batch has ``rows`` sequences of ``length``. Null texts are empty ones. Further columns are ignored. An empty table writes
     no file and gives no row.
     """
     spark = docs.sparkSession
@@ -140,7 +141,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int, l
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 if out is None:
-                    out, least = ShardWriter(folder, f"part-{task.partitionId():06d}", task.taskAttemptId(), e.dtype, length), doc_id
+                    out, least = ShardWriter(folder, f"part-{task.partitionId():06d}", task.taskAttemptId(), e.dtype, length, rows), doc_id
                 out.add(doc_id, np.frombuffer(e.ids(text.as_py()) + end, e.dtype))
         if out is not None:
             out.close()

@@ -6,21 +6,27 @@ remembers its ids. The result equals that of encoding the whole text, which the
 
 from __future__ import annotations
 
+import array
 import functools
 import hashlib
 import os
 import re
+import sys
 from collections.abc import Iterable
 
 import numpy as np
 
 #: Chunks a worker remembers, in each of two generations; the older one is forgotten when the newer is full.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Longer chunks are encoded each time.
 LONGEST = 64
 
 _AT_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_PLAIN = re.compile(r"([A-Za-z]+)([.,|!?;:#$%&*]*)")
+#: Letters that are their own normal form and have a simple lower case, and common marks behind them.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,|!?;:#$%&*]*)")
+#: How byte-level vocabularies write a byte: printable ones of Latin-1 as themselves, the others from U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE = {b: chr(b) for b in _SHOWN} | {b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
 
 
 def tokenizer_path(name: str) -> str:
@@ -67,29 +73,37 @@ class Encoder:
         t.no_padding()
         self.special = [x.content for x in t.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if t.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         probe = lambda text: t.encode(text, add_special_tokens=False).ids
         #: Whether white space yields no id, as in vocabularies with word ends; else a space belongs to the next word.
         self.drops_space = probe("a b") == probe("a") + probe("b") and not probe(" ")
         self.lower = probe("ABC") == probe("abc")
-        self.tail: dict[str, list[int]] = {"": []}
+        self.tail: dict[str, bytes] = {"": b""}
         self.first, self.later = _Memory(self._first), _Memory(self._later)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array.array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _plain(self, chunk: str, space: str) -> bytes | None:
-        """Ids of ASCII letters and punctuation behind them: two pieces for any of the vocabularies, so the model is
-        asked for the letters and the punctuation is looked up."""
+        """Ids of letters and punctuation behind them: two pieces for any of the vocabularies, so the model is asked for
+        the letters, written as it has them, and the punctuation is looked up."""
         m = _PLAIN.fullmatch(chunk)
         if not m:
             return None
         if m[2] not in self.tail:
             if len(self.tail) > 10_000:
-                self.tail = {"": []}
-            self.tail[m[2]] = self.tokenizer.encode(m[2], add_special_tokens=False).ids
+                self.tail = {"": b""}
+            self.tail[m[2]] = self.whole(m[2])
         word = m[1].lower() if self.lower else m[1]
-        ids = [x.id for x in self.tokenizer.model.tokenize(space + word)]
-        return np.array(ids + self.tail[m[2]], dtype=self.dtype).tobytes()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE)
+        return self._packed([x.id for x in self.tokenizer.model.tokenize(space + word)]) + self.tail[m[2]]
 
     def _first(self, chunk: str) -> bytes:
         ids = self._plain(chunk, "")
