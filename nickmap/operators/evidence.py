@@ -75,7 +75,7 @@ def mean_coverage_outside(covered: DataFrame, map_labels: DataFrame) -> DataFram
     within = upto.select("map_id", F.col("site_id").alias("high"), F.col("s").alias("s1"), F.col("n").alias("n1"))
     found = asked.join(before, ["map_id", "low"]).join(within, ["map_id", "high"]).join(totals, "map_id")
     n = F.col("n0") + F.col("n_all") - F.col("n1")
-    mean = F.when(n > 0, (F.col("s0") + F.col("s_all") - F.col("s1")) / n).otherwise(0.0)
+    mean = F.when(n > 0, (F.col("s0") + F.col("s_all") - F.col("s1")).cast("double") / n).otherwise(0.0)
     means = found.select("site_key", mean.alias("mean_coverage"))
     return covered.select("site_key").join(means, "site_key", "left").select("site_key", F.coalesce("mean_coverage", F.lit(0.0)).alias("mean_coverage"))
 
@@ -116,7 +116,7 @@ def site_scores(sites: DataFrame, support: DataFrame, reads: DataFrame, bonus: i
     joined = sites.select("site_key").join(by_site, "site_key", "left").join(reads.select("site_key", "reads"), "site_key", "left").na.fill(0, ["confidence", "molecules", "reads"])
     total = F.col("confidence") + bonus * F.col("reads")
     hits = F.col("molecules") + F.col("reads")
-    return joined.select("site_key", "molecules", "reads", total.alias("total"), F.round(total / 10.0, 2).alias("score"), F.when((total > 0) & (hits > 0), F.round(total / hits, 4)).otherwise(0.0).alias("mean_per_hit"))
+    return joined.select("site_key", "molecules", "reads", total.alias("total"), F.round(total / 10.0, 2).alias("score"), F.when((total > 0) & (hits > 0), total.cast("double") / hits).otherwise(0.0).alias("mean_per_hit"))
 
 
 def score_statistics(scored: DataFrame, support: DataFrame, read_ids: DataFrame) -> DataFrame:

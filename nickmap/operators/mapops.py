@@ -68,10 +68,10 @@ def merge_maps(junctions: DataFrame, map_labels: DataFrame) -> DataFrame:
     turned = turned.withColumn("_site", F.when(forward, F.col("old_site")).otherwise(F.col("num_sites") - F.col("old_site") + 1))
     turned = turned.withColumn("_pos", F.col("shift") + F.when(forward, F.col("old_pos")).otherwise(F.col("map_length") - F.col("old_pos")))
     kept = turned.where((F.col("_site") > F.col("trim_head")) & (F.col("_site") <= F.col("num_sites") - F.col("trim_tail")))
-    kept = kept.select("new_id", "new_length", "member", F.lit(0).alias("_late"), "_site", F.col("_pos").alias("pos"), F.col("map_id").alias("old_id"), "old_site")
-    last = turned.where(F.col("missed_offset").isNotNull()).groupBy("new_id", "new_length", "member", "missed_offset").agg(F.max("_pos").alias("_last"))
-    missed = last.select("new_id", "new_length", "member", F.lit(1).alias("_late"), F.lit(0).alias("_site"), (F.col("_last") + F.col("missed_offset") + 1).alias("pos"), F.lit(None).cast("long").alias("old_id"), F.lit(None).cast(kept.schema["old_site"].dataType).alias("old_site"))
-    rows, whole = kept.unionByName(missed), Window.partitionBy("new_id")
+    kept = kept.select("group_id", "new_id", "new_length", "member", F.lit(0).alias("_late"), "_site", F.col("_pos").alias("pos"), F.col("map_id").alias("old_id"), "old_site")
+    last = turned.where(F.col("missed_offset").isNotNull()).groupBy("group_id", "new_id", "new_length", "member", "missed_offset").agg(F.max("_pos").alias("_last"))
+    missed = last.select("group_id", "new_id", "new_length", "member", F.lit(1).alias("_late"), F.lit(0).alias("_site"), (F.col("_last") + F.col("missed_offset") + 1).alias("pos"), F.lit(None).cast("long").alias("old_id"), F.lit(None).cast(kept.schema["old_site"].dataType).alias("old_site"))
+    rows, whole = kept.unionByName(missed), Window.partitionBy("group_id")
     return rows.select(F.col("new_id").alias("map_id"), F.count(F.lit(1)).over(whole).alias("num_sites"), F.row_number().over(whole.orderBy("member", "_late", "_site")).alias("site_id"), "pos", F.col("new_length").alias("map_length"), "old_id", "old_site")
 
 
@@ -88,7 +88,7 @@ def lift_alignments(alignments: DataFrame, junctions: DataFrame, map_labels: Dat
     members = group_members(junctions, map_labels).join(alignments.withColumnRenamed("qry_id", "map_id").drop("orientation"), "map_id")
     place = lambda p: F.col("shift") + F.when(F.col("orientation") == "+", F.col(p)).otherwise(F.col("map_length") - F.col(p))
     ends = members.withColumn("_start", place("qry_start")).withColumn("_end", place("qry_end"))
-    merged = ends.groupBy("new_id", "ref_id").agg(F.min_by("ref_start", "member").alias("ref_start"), F.max_by("ref_end", "member").alias("ref_end"), F.min_by("_start", "member").alias("qry_start"), F.max_by("_end", "member").alias("qry_end"), F.sum("confidence").alias("confidence"))
+    merged = ends.groupBy("group_id", "new_id", "ref_id").agg(F.min_by("ref_start", "member").alias("ref_start"), F.max_by("ref_end", "member").alias("ref_end"), F.min_by("_start", "member").alias("qry_start"), F.max_by("_end", "member").alias("qry_end"), F.sum("confidence").alias("confidence"))
     merged = merged.select(F.col("new_id").alias("qry_id"), "ref_id", F.lit("+").alias("orientation"), "confidence", "ref_start", "ref_end", "qry_start", "qry_end")
     used = junctions.select(F.explode(F.array("first_id", "second_id")).alias("qry_id")).distinct()
     return merged.unionByName(alignments.join(used, "qry_id", "left_anti").select(*merged.columns))

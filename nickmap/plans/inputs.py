@@ -64,15 +64,14 @@ def map_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One alignment a map, from its first label to its last, or to the one before in every seventh map."""
     maps, labels = blocks(spark, sf_dir), ref_labels(spark, sf_dir)
     end = F.col("s1") - F.when((F.col("blk") % 7 == 6) & (F.col("s1") > F.col("s0")), 1).otherwise(0)
-    at = lambda name: labels.select("ref_id", F.col("site_id").alias(f"{name}_site"), F.col("pos").alias(name))
-    j = maps.withColumn("a_site", F.col("s0")).withColumn("z_site", F.col("s1")).withColumn("e_site", end)
-    for name in "aze":
-        j = j.join(at(name), ["ref_id", f"{name}_site"])
+    spread = maps.withColumn("end", end).withColumn("site_id", F.explode(F.sequence("s0", "s1"))).join(labels, ["ref_id", "site_id"])
+    ends = spread.groupBy(F.col("map_id").alias("qry_id"), "ref_id", "orientation", "confidence").agg(F.min("pos").alias("a"), F.max("pos").alias("z"), F.max(F.when(F.col("site_id") == F.col("end"), F.col("pos"))).alias("e"))
     forward = F.col("orientation") == "+"
-    return j.select(
-        F.col("map_id").alias("qry_id"), "ref_id", "orientation", "confidence", F.col("a").alias("ref_start"), F.col("e").alias("ref_end"),
+    return ends.select(
+        "qry_id", "ref_id", "orientation", "confidence", F.col("a").alias("ref_start"), F.col("e").alias("ref_end"),
         F.when(forward, F.lit(20)).otherwise(F.col("z") - F.col("a") + 20).alias("qry_start"), F.when(forward, F.col("e") - F.col("a") + 20).otherwise(F.col("z") - F.col("e") + 20).alias("qry_end"),
     )
 

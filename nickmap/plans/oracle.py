@@ -130,7 +130,7 @@ totals as (
   select k.site_key, coalesce(molecules, 0) as molecules, coalesce(reads, 0) as reads, cast(coalesce(confidence, 0) + 10 * coalesce(reads, 0) as bigint) as total
   from keyed_sites k left join supported using (site_key) left join site_reads using (site_key)),
 scores as (
-  select *, round(total / 10.0, 2)::double as score, case when total > 0 and molecules + reads > 0 then round(total::double / (molecules + reads), 4) else 0 end as mean_per_hit from totals)
+  select *, round(total / 10.0, 2)::double as score, case when total > 0 and molecules + reads > 0 then total::double / (molecules + reads) else 0 end as mean_per_hit from totals)
 """
 _BREAKS = f"""{_COVERED}, {_SCORES},
 points as (
@@ -224,8 +224,8 @@ select l.ref_id as map_id, case when o1 >= 10 then starts / o1::double else 0 en
     "flanking_labels": _sql("select site_key, start_label, end_label from flanked", _FLANKED),
     "covering_map": _sql("select * from positioned", _COVERED),
     "mean_coverage_outside": _sql("""
-select site_key, round(coalesce(cast(sum(cast(p.coverage as decimal(18,4))) filter (p.map_site < least(map_start, map_end) or p.map_site > greatest(map_start, map_end)) as double)
-       / nullif(count(*) filter (p.map_site < least(map_start, map_end) or p.map_site > greatest(map_start, map_end)), 0), 0), 4) as mean_coverage
+select site_key, coalesce(cast(sum(cast(p.coverage as decimal(18,4))) filter (p.map_site < least(map_start, map_end) or p.map_site > greatest(map_start, map_end)) as double)
+       / nullif(count(*) filter (p.map_site < least(map_start, map_end) or p.map_site > greatest(map_start, map_end)), 0), 0) as mean_coverage
 from covered c left join map_pairs p on p.map_id = c.map_id and map_start > 0 and map_end > 0 group by site_key""", _COVERED),
     "molecule_support": _sql("select * from support", _FLANKED, _SUPPORT),
     "site_scores": _sql("select * from scores", _FLANKED, _SCORES),

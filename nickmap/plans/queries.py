@@ -258,8 +258,7 @@ def covering_map(spark, sf_dir):
 @query
 def mean_coverage_outside(spark, sf_dir):
     labels = inputs.map_pairs(spark, sf_dir).select("map_id", F.col("map_site").alias("site_id"), F.col("coverage").cast("decimal(18,4)").alias("coverage"))
-    found = evidence.mean_coverage_outside(_covered(spark, sf_dir), labels)
-    return found.select("site_key", F.round(F.col("mean_coverage").cast("double"), 4).alias("mean_coverage"))
+    return evidence.mean_coverage_outside(_covered(spark, sf_dir), labels)
 
 
 def _support(spark, sf_dir):
