@@ -44,17 +44,16 @@ def sort_sites(sites: DataFrame) -> DataFrame:
     return sites.orderBy("ref_id", "start_pos", "end_pos")
 
 
-def site_sequences(sites: DataFrame, sequences: DataFrame, buffer: int = 50) -> DataFrame:
+def site_sequences(sites: DataFrame, sequences: DataFrame, buffer: int = 50, size: int = 65_536) -> DataFrame:
     """Adds flank_start, flank_end and sequence to ``sites`` (ref_id, start_pos, end_pos): the site's bases with
-    ``buffer`` more on either side, from chunks (seq_id, length, chunk_start, bases) that hold the whole of each.
+    ``buffer`` more on either side, from chunks (seq_id, length, chunk_start, bases) of ``size``.
 
-    Chunks are joined by the place where the stretch starts, so they must overlap by as much as the longest stretch.
+    A stretch is cut from the one chunk in which it starts, so chunks must overlap by as much as the longest stretch.
     """
     start, end = flank(F.col("start_pos"), F.col("end_pos"), F.col("length"), buffer)
-    lengths = sequences.select(F.col("seq_id").alias("ref_id"), "length").distinct()
+    lengths = sequences.where("chunk_start = 0").select(F.col("seq_id").alias("ref_id"), "length")
     placed = sites.join(lengths, "ref_id").withColumn("flank_start", start).withColumn("flank_end", end)
-    size = sequences.select(F.col("seq_id").alias("ref_id"), F.col("chunk_start").alias("c0"), F.col("chunk_end").alias("c1"), "bases")
-    inside = (F.col("flank_start") > F.col("c0")) & (F.col("flank_start") <= F.col("c1"))
-    found = placed.join(size, "ref_id").where(inside)
-    cut = F.substring(F.col("bases"), (F.col("flank_start") - F.col("c0")).cast("int"), (F.col("flank_end") - F.col("flank_start") + 1).cast("int"))
-    return found.withColumn("sequence", cut).drop("c0", "c1", "bases", "length")
+    placed = placed.withColumn("_k", F.floor((F.col("flank_start") - 1) / size))
+    chunks = sequences.select(F.col("seq_id").alias("ref_id"), F.floor(F.col("chunk_start") / size).alias("_k"), F.col("chunk_start").alias("_c"), "bases")
+    cut = F.substring(F.col("bases"), (F.col("flank_start") - F.col("_c")).cast("int"), (F.col("flank_end") - F.col("flank_start") + 1).cast("int"))
+    return placed.join(chunks, ["ref_id", "_k"]).withColumn("sequence", cut).drop("_k", "_c", "bases", "length")

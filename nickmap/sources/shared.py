@@ -17,6 +17,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="nickmap-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
