@@ -36,11 +36,10 @@ def normal_form(line: Column) -> Column:
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, body (hash of the text), line_no, line, key for each line of ``docs`` (doc_id, text); line and key, its
     normal form and the hash of that, are null for lines that are left alone."""
-    each = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    line = F.when(F.length("raw") >= MIN_CHARS, normal_form(F.col("raw")))
-    each = each.select("doc_id", "body", "line_no", line.alias("line"))
-    line = F.when(F.length("line") >= MIN_CHARS, F.col("line"))
-    return each.select("doc_id", "body", "line_no", line.alias("line"), F.when(line.isNotNull(), F.xxhash64(line)).alias("key"))
+    each = F.posexplode(F.transform(F.split("text", "\n"), normal_form)).alias("line_no", "line")
+    long = F.length("line") >= MIN_CHARS
+    lines = docs.select("doc_id", F.xxhash64("text").alias("body"), each)
+    return lines.select("doc_id", "body", "line_no", F.when(long, F.col("line")).alias("line"), F.when(long, F.xxhash64("line")).alias("key"))
 
 
 def segment_probes(threshold: int) -> list[tuple[int, int, int]]:
@@ -54,12 +53,13 @@ def segment_probes(threshold: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def signatures(line: Column, scope: Column, threshold: int) -> Column:
-    """Array of (sig, at, size): hashes under which a line meets others within ``scope``, and the place of the substring."""
+def signatures(line: Column, n_chars: Column, scope: Column, threshold: int) -> Column:
+    """Array of (sig, at, size): hashes under which a line of ``n_chars`` meets others within ``scope``, and the place of
+    the substring."""
     parts = threshold + 1
 
     def one(shorter: int, i: int, shift: int) -> Column:
-        length = F.length(line) - shorter
+        length = n_chars - shorter
         short = F.floor(length / parts).cast("int")
         n_short = parts - length % parts
         at = (i - 1) * short + F.greatest(F.lit(0), F.lit(i - 1) - n_short) + shift
@@ -131,7 +131,8 @@ def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
     byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     is_set = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
     likely = lines.where("key is not null").withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "bucket").where(is_set)
-    return likely.select("key", "line").join(keys, "key", "left_semi").groupBy("key").agg(F.min("line").alias("line"))
+    # An inner join, as a semi-join would be pushed below the filter.
+    return likely.select("key", "line").join(keys, "key").groupBy("key").agg(F.min("line").alias("line"))
 
 
 def line_links(lines: DataFrame, distinct: DataFrame, threshold: int) -> DataFrame:
@@ -141,16 +142,17 @@ def line_links(lines: DataFrame, distinct: DataFrame, threshold: int) -> DataFra
     texts = written(_texts(lines, met.select("key").distinct()), "line-texts")
     small = [met.where(F.col("n") <= BUCKET).select("sig", "key").join(texts, "key").select("sig", "key", "line")]
     # Crowded buckets: what remains of a line without the shared substring meets others under that bucket's signatures.
-    rows = met.where(F.col("n") > BUCKET).select("sig", "key").join(texts, "key").select("sig", "key", "line", F.explode(signatures(F.col("line"), F.lit(0), threshold)).alias("s")).where("s.sig = sig")
+    rows = met.where(F.col("n") > BUCKET).select("sig", "key").join(texts, "key").select("sig", "key", "line", F.explode(signatures(F.col("line"), F.length("line"), F.lit(0), threshold)).alias("s")).where("s.sig = sig")
     rest = F.concat(F.expr("substring(line, 1, s.at)"), F.expr("substring(line, s.at + s.size + 1)"))
     crowded = written(rows.select("sig", "key", "line", rest.alias("rest")).dropDuplicates(["sig", "key"]), "line-crowds")
     while not crowded.isEmpty():
-        again = crowded.select("key", "line", "rest", F.explode(signatures(F.col("rest"), F.col("sig"), threshold)).alias("s"))
+        again = crowded.select("key", "line", "rest", F.explode(signatures(F.col("rest"), F.length("rest"), F.col("sig"), threshold)).alias("s"))
         again = again.select("s.sig", "key", "line", F.concat(F.expr("substring(rest, 1, s.at)"), F.expr("substring(rest, s.at + s.size + 1)")).alias("rest"))
-        again = written(_crowded(again.dropDuplicates(["sig", "key"])), "line-crowds")
-        done = (F.col("n") <= BUCKET) | (F.length("rest") <= SHORT)
+        shortest = F.min(F.length("rest")).over(Window.partitionBy("sig"))  # a bucket is divided as a whole or not at all
+        again = written(_crowded(again.dropDuplicates(["sig", "key"])).withColumn("shortest", shortest), "line-crowds")
+        done = (F.col("n") <= BUCKET) | (F.col("shortest") <= SHORT)
         small.append(again.where(done).select("sig", "key", "line"))
-        crowded = again.where(~done).drop("n")
+        crowded = again.where(~done).select("sig", "key", "line", "rest")
     rows = reduce(DataFrame.unionByName, small)
     a = rows.select("sig", F.col("key").alias("u"), F.col("line").alias("a"))
     b = rows.select("sig", F.col("key").alias("v"), F.col("line").alias("b"))
@@ -161,8 +163,8 @@ def line_links(lines: DataFrame, distinct: DataFrame, threshold: int) -> DataFra
 def _classes(docs: DataFrame, threshold: int) -> DataFrame:
     """key, first (doc_id and line_no of the first line of its class), for each distinct line that is compared."""
     lines = lines_of(docs)
-    sigs = F.transform(signatures(F.col("line"), F.lit(0), threshold), lambda s: s["sig"])
-    some = lines.where("key is not null").select("key", F.struct("doc_id", "line_no").alias("first"), F.array_distinct(sigs).alias("sigs"))
+    sigs = signatures(F.col("line"), F.col("n"), F.lit(0), threshold)["sig"]
+    some = lines.where("key is not null").select("key", F.struct("doc_id", "line_no").alias("first"), "line", F.length("line").alias("n")).select("key", "first", F.array_distinct(sigs).alias("sigs"))
     distinct = written(some.groupBy("key").agg(F.min("first").alias("first"), F.first("sigs").alias("sigs")), "lines")
     roots = written(connected_components(line_links(lines, distinct, threshold)).withColumnRenamed("v", "key"), "line-roots")
     members = distinct.select("key", "first").join(roots, "key")
