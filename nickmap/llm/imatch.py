@@ -60,50 +60,70 @@ def lexicon(docs: DataFrame, least: float = LEAST, most: float = MOST) -> frozen
     return frozenset(np.sort(band.column("term").to_numpy()).view(np.uint64).tolist())
 
 
+def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    """Spreads 64-bit numbers by multiplying and shifting, a stream of its own for each salt."""
+    with np.errstate(over="ignore"):
+        x = (x ^ np.uint64(salt + 1)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return x ^ (x >> np.uint64(29))
+
+
+class _Known(dict):
+    """Hash of a term of the lexicon, None for other terms."""
+
+    def __init__(self, known: frozenset[int]):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, term: str) -> int | None:
+        from xxhash import xxh64_intdigest
+
+        if len(self) >= COUNTED:
+            self.clear()
+        h = xxh64_intdigest(term.encode(errors="replace"))
+        self[term] = h = h if h in self.known else None
+        return h
+
+
 class Fingerprinter:
-    """Fingerprints under a lexicon: the hex digits of DENSITIES * EACH hashes, of which 0000 marks an empty subset.
+    """Fingerprints under a lexicon: DENSITIES * EACH hashes of two bytes, of which 0 marks an empty subset.
 
     A text with terms but none in the lexicon is told by all its terms, in one subset of its own beside empty ones; a
     text without terms has empty subsets only. Texts with equal terms have equal fingerprints.
     """
 
     def __init__(self, known: frozenset[int]):
-        self.known, self.memory = known, {}
-
-    def _subsets(self, h: int) -> int:
-        """Bits of the subsets that a term belongs to: bit i of subset block d is set with probability 2**-(d+1)."""
-        bits = 0
+        self.memory = _Known(known)
+        self.lexicon = np.sort(np.fromiter(known, np.uint64, len(known)))
+        self.spread = (_mixed(self.lexicon, EACH) >> np.uint64(32)).astype(np.uint32)
+        # Density d holds a term where d + 1 bits, of their own for each subset, are all zero.
+        self.members = np.zeros((len(self.lexicon), DENSITIES * EACH), np.uint8)
         for i in range(EACH):
-            mixed = int.from_bytes(hashlib.blake2b(h.to_bytes(8, "little"), digest_size=8, salt=b"%d" % i).digest(), "little")
-            # Each density gets bits of its own; subset (d, i) holds the term where its d + 1 bits are all zero.
-            at = 0
+            bits, at = _mixed(self.lexicon, i), 0
             for d in range(DENSITIES):
-                bits |= ((mixed >> at) & ((1 << d + 1) - 1) == 0) << (d * EACH + i)
+                self.members[:, d * EACH + i] = (bits >> np.uint64(at)) & np.uint64((1 << d + 1) - 1) == 0
                 at += d + 1
-        return bits
-
-    def _term(self, term: str) -> tuple[int, int]:
-        from xxhash import xxh64_intdigest
-
-        if term not in self.memory:
-            if len(self.memory) > COUNTED:
-                self.memory = {}
-            h = xxh64_intdigest(term.encode(errors="replace"))
-            self.memory[term] = (h, self._subsets(h) if h in self.known else -1)
-        return self.memory[term]
 
     def digest(self, text: str | None) -> bytes:
         from xxhash import xxh32_intdigest
 
-        found = sorted(map(self._term, terms(text)))
-        inside = [x for x in found if x[1] >= 0]
-        code = lambda hashes: (xxh32_intdigest(hashes.tobytes()) % 0xFFFF + 1).to_bytes(2, "big")
+        found = terms(text)
+        inside = [h for h in map(self.memory.__getitem__, found) if h is not None]
         if not inside:
-            whole = code(np.array([h for h, _ in found], np.uint64)) if found else _NONE
+            whole = (xxh32_intdigest(" ".join(sorted(found)).encode(errors="replace")) % 0xFFFF + 1).to_bytes(2, "big") if found else _NONE
             return whole + _NONE * (DENSITIES * EACH - 1)
-        hashes, bits = np.array([h for h, _ in inside], np.uint64), np.array([b for _, b in inside], np.uint64)
-        members = (bits[:, None] >> np.arange(DENSITIES * EACH, dtype=np.uint64)) & np.uint64(1)
-        return b"".join(code(hashes[m]) if m.any() else _NONE for m in members.T.astype(bool))
+        places = np.searchsorted(self.lexicon, np.sort(np.array(inside, np.uint64)))
+        members = self.members[places]
+        # Each subset's terms in sorted order: the hash weighs a term by its place among them.
+        weight = members.cumsum(0, dtype=np.uint32)
+        sizes = weight[-1].copy()
+        weight += weight
+        weight += np.uint32(1)
+        weight *= members
+        weight *= self.spread[places][:, None]
+        total = weight.sum(0, dtype=np.uint32).astype(np.uint64)
+        codes = (_mixed(total, EACH + 1) >> np.uint64(40)) % np.uint64(0xFFFF) + np.uint64(1)
+        return np.where(sizes > 0, codes, 0).astype(">u2").tobytes()
 
 
 def likeness(a: bytes, b: bytes) -> float:
