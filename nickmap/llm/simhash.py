@@ -130,9 +130,12 @@ def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
     rows = with_row_id(docs)
     hashed = written(_fingerprints(rows.select("row_id", "row.doc_id", "row.text"), "row_id", shingle), "simhash")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
-    firsts = written(hashed.groupBy("print").agg(first.alias("first")), "firsts").join(_classes(hashed, radius), "print")
-    kept = written(firsts.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias("row_id")), "kept")
-    return rows.join(kept, "row_id", "left_semi").select("row.*")
+    roots = _classes(hashed, radius)
+    firsts = written(hashed.groupBy("print").agg(first.alias("first")), "firsts").join(roots, "print")
+    kept = written(firsts.groupBy("root").agg(F.min("first").alias("first")).select("root", F.col("first.key").alias("kept")), "kept")
+    # Rows that go are fewer than rows that stay, so they are what the texts are joined with.
+    gone = written(hashed.select("key", "print").join(roots, "print").join(kept, "root").where("key <> kept").select(F.col("key").alias("row_id")), "gone")
+    return rows.join(gone, "row_id", "left_anti").select("row.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
