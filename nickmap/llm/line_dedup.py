@@ -5,8 +5,8 @@ differ by no more than their lengths and the threshold allow. So each line is en
 up under the substrings that can be a shorter or equal line's segment. Lines that meet are compared by banded
 bit-parallel edit distance, and what is linked, directly or by a chain, is one class.
 
-Buckets of many lines are not compared pair by pair: the same join is applied to what their lines have besides the shared
-segment, again and again, until the buckets are small.
+Lines of a bucket are not compared at once: the same join is applied to what they have besides the shared segment, and again
+while a bucket has many lines.
 """
 
 from __future__ import annotations
@@ -136,26 +136,32 @@ def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def line_links(lines: DataFrame, distinct: DataFrame, threshold: int) -> DataFrame:
-    """u, v: keys of distinct lines within ``threshold`` edits, enough of them to connect all that are."""
+    """u, v: keys of distinct lines within ``threshold`` edits.
+
+    What two lines have besides a shared substring is within the threshold where the lines are, for one such substring at
+    least. So what remains of the lines of a bucket meets again under signatures of that bucket: twice for all buckets
+    (fewer times for larger thresholds, whose signatures are many), as that leaves few pairs to compare and those short,
+    and further for crowded ones.
+    """
     found = F.explode("sigs").alias("sig")
     met = written(_crowded(distinct.select("key", found)), "line-buckets")
     texts = written(_texts(lines, met.select("key").distinct()), "line-texts")
-    small = [met.where(F.col("n") <= BUCKET).select("sig", "key").join(texts, "key").select("sig", "key", "line")]
-    # Crowded buckets: what remains of a line without the shared substring meets others under that bucket's signatures.
-    rows = met.where(F.col("n") > BUCKET).select("sig", "key").join(texts, "key").select("sig", "key", "line", F.explode(signatures(F.col("line"), F.length("line"), F.lit(0), threshold)).alias("s")).where("s.sig = sig")
+    rows = met.select("sig", "key").join(texts, "key").select("sig", "key", "line", F.explode(signatures(F.col("line"), F.length("line"), F.lit(0), threshold)).alias("s")).where("s.sig = sig")
     rest = F.concat(F.expr("substring(line, 1, s.at)"), F.expr("substring(line, s.at + s.size + 1)"))
-    crowded = written(rows.select("sig", "key", "line", rest.alias("rest")).dropDuplicates(["sig", "key"]), "line-crowds")
-    while not crowded.isEmpty():
-        again = crowded.select("key", "line", "rest", F.explode(signatures(F.col("rest"), F.length("rest"), F.col("sig"), threshold)).alias("s"))
-        again = again.select("s.sig", "key", "line", F.concat(F.expr("substring(rest, 1, s.at)"), F.expr("substring(rest, s.at + s.size + 1)")).alias("rest"))
+    open_ = written(rows.select("sig", "key", rest.alias("rest")).dropDuplicates(["sig", "key"]), "line-rests")
+    small, rounds = [open_.limit(0)], 2 // threshold
+    while not open_.isEmpty():
+        again = open_.select("key", "rest", F.explode(signatures(F.col("rest"), F.length("rest"), F.col("sig"), threshold)).alias("s"))
+        again = again.select("s.sig", "key", F.concat(F.expr("substring(rest, 1, s.at)"), F.expr("substring(rest, s.at + s.size + 1)")).alias("rest"))
         shortest = F.min(F.length("rest")).over(Window.partitionBy("sig"))  # a bucket is divided as a whole or not at all
-        again = written(_crowded(again.dropDuplicates(["sig", "key"])).withColumn("shortest", shortest), "line-crowds")
-        done = (F.col("n") <= BUCKET) | (F.col("shortest") <= SHORT)
-        small.append(again.where(done).select("sig", "key", "line"))
-        crowded = again.where(~done).select("sig", "key", "line", "rest")
+        again = written(_crowded(again.dropDuplicates(["sig", "key"])).withColumn("shortest", shortest), "line-rests")
+        rounds -= 1
+        done = (F.col("shortest") <= SHORT) | ((F.col("n") <= BUCKET) & F.lit(rounds <= 0))
+        small.append(again.where(done).select("sig", "key", "rest"))
+        open_ = again.where(~done).select("sig", "key", "rest")
     rows = reduce(DataFrame.unionByName, small)
-    a = rows.select("sig", F.col("key").alias("u"), F.col("line").alias("a"))
-    b = rows.select("sig", F.col("key").alias("v"), F.col("line").alias("b"))
+    a = rows.select("sig", F.col("key").alias("u"), F.col("rest").alias("a"))
+    b = rows.select("sig", F.col("key").alias("v"), F.col("rest").alias("b"))
     near = bounded_distance(F.col("a"), F.col("b"), threshold).isNotNull()
     return a.join(b, "sig").where((F.col("u") < F.col("v")) & (F.abs(F.length("a") - F.length("b")) <= threshold) & near).select("u", "v")
 
