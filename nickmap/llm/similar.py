@@ -1,0 +1,196 @@
+"""Near-duplicates by the Jaccard similarity of word shingles, exact, with prefix filtering.
+
+Two sets as alike as asked share a shingle among the first few of each, whatever order all sets are put in. Each set is
+entered under those few, common shingles last, so that a passage which many texts hold is seldom among them. Sets that
+meet under a shingle of few are compared pair by pair. Those that meet under a crowded one are put together, by
+components, and each component's sets are compared in tiles; a tile hands on a spanning forest of its links.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import with_row_id, written
+from .components import connected_components
+
+SEED = 42
+#: Least similarity of linked texts, as a fraction of whole numbers.
+SIMILARITY = (4, 5)
+#: Sets that meet under one shingle are paired if at most so many.
+CROWD = 16
+#: Sets in a group of a component's grid, about.
+GROUP = 512
+#: Shingles found in COMMON or more of a SAMPLE-th of the sets, the most frequent first, come last in the order.
+SAMPLE, COMMON, MOST = 16, 4, 200_000
+
+
+def shingles(text: str | None, size: int = 5) -> np.ndarray:
+    """The distinct shingles of a text as sorted XXH64 hashes (seed 42): A-Z are lowered, words are runs of other than
+    ASCII white space. Fewer words form one shingle; a null text or one without words has none."""
+    from xxhash import xxh64_intdigest
+
+    words = text.encode().lower().split() if text else []
+    if not words:
+        return np.zeros(0, np.int64)
+    line = b" ".join(words)
+    if len(words) <= size:
+        return np.array([xxh64_intdigest(line, SEED)], np.uint64).view(np.int64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - size + 1].tolist()
+    hashes = np.array([xxh64_intdigest(line[i:j], SEED) for i, j in zip(starts, ends[size - 1 :].tolist(), strict=True)], np.uint64)
+    return np.unique(hashes.view(np.int64))
+
+
+def _sets(rows: DataFrame, size: int) -> DataFrame:
+    """key, doc_id, body (hash of the set), set for each of ``rows`` (key, doc_id, text)."""
+
+    def hashed(batches):
+        import pyarrow as pa
+        from xxhash import xxh64_intdigest
+
+        for batch in batches:
+            sets = [shingles(x.as_py(), size) for x in batch.column("text")]
+            bodies = np.array([xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))
+            columns = [batch.column("key").cast(pa.int64()), batch.column("doc_id").cast(pa.int64()), pa.array(bodies), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "body", "set"])
+
+    return rows.mapInArrow(hashed, "key long, doc_id long, body long, set array<long>")
+
+
+def prefix(values: np.ndarray, common: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
+    """The first of a set's ``values`` in the order of all sets: those not in the sorted ``common``, then the others. So
+    many that a set as similar has one of its own first values among them."""
+    p, q = similarity
+    if len(common):
+        at = np.searchsorted(common, values)
+        last = common[np.minimum(at, len(common) - 1)] == values
+        values = np.concatenate([values[~last], values[last]])
+    return values[: len(values) - -(-p * len(values) // q) + 1]
+
+
+def _entries(sets: DataFrame, common: np.ndarray, similarity: tuple[int, int]) -> DataFrame:
+    """sig, body, size: each set under each value of its prefix."""
+
+    def first(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            lists = batch.column("set")
+            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            found = [prefix(values[i:j], common, similarity) for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
+            n = [len(x) for x in found]
+            body, size = np.repeat(batch.column("body").to_numpy(), n), np.repeat(np.diff(offsets).astype(np.int32), n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *found])), pa.array(body), pa.array(size)], ["sig", "body", "size"])
+
+    return sets.select("body", "set").mapInArrow(first, "sig long, body long, size int")
+
+
+def common_shingles(sets: DataFrame) -> np.ndarray:
+    """Sorted shingles that many of a sample of ``sets`` (body, set) hold; at most MOST reach the driver. The result of a
+    join doesn't depend on them."""
+    some = sets.where(F.pmod(F.xxhash64("body"), F.lit(SAMPLE)) == 0).select(F.explode("set").alias("sig"))
+    counts = some.groupBy("sig").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "sig").limit(MOST)
+    return np.sort(counts.select("sig").toArrow().column("sig").to_numpy().astype(np.int64))
+
+
+def tile_links(left: list[np.ndarray], right: list[np.ndarray], similarity: tuple[int, int], same: bool) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two lists of sets (or within one), as places, those of ``right`` counted
+    on from ``left``."""
+    p, q = similarity
+    both = left if same else [*left, *right]
+    if not left or not right:
+        return []
+    values, dense = np.unique(np.concatenate(both), return_inverse=True)
+    sizes = np.array([len(x) for x in both])
+    ends = np.cumsum(sizes)
+    shift = 0 if same else len(left)
+    base = 0 if same else int(ends[len(left) - 1])
+    starts = ends - sizes
+    other, at = dense[base:], starts[shift:] - base
+    parent, found = list(range(len(both))), []
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(len(left)):
+        mark = np.zeros(len(values), np.int64)
+        mark[dense[starts[i] : ends[i]]] = 1
+        shared = np.add.reduceat(mark[other], at)  # no set is empty
+        for j in np.flatnonzero(shared * (p + q) >= p * (sizes[i] + sizes[shift:])) + shift:
+            a, b = root(i), root(int(j))
+            if a != b:
+                parent[b] = a
+                found.append((i, int(j)))
+    return found
+
+
+def _crowded_links(sets: DataFrame, crowds: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """u, v: links between the ``sets`` of each component of ``crowds`` (v, root)."""
+    sized = crowds.join(crowds.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups")), "root")
+    g = F.pmod(F.xxhash64("v", F.lit("group")), F.col("groups")).cast("int")
+    others = F.transform(F.sequence(F.lit(0), F.col("groups") - 1), lambda x: F.struct(F.least("g", x).alias("row"), F.greatest("g", x).alias("col")))
+    dealt = sized.withColumn("g", g).select(F.col("v").alias("body"), "root", "g", F.explode(others).alias("cell")).select("body", "root", "g", "cell.*").join(sets, "body")
+
+    def compare(pdf):
+        import pandas as pd
+
+        row, col = pdf["row"].iloc[0], pdf["col"].iloc[0]
+        a, b = pdf[pdf["g"] == row], pdf[pdf["g"] == col]
+        same = row == col
+        links = tile_links(list(a["set"]), list(a["set"] if same else b["set"]), similarity, same)
+        names = a["body"].to_numpy() if same else np.concatenate([a["body"].to_numpy(), b["body"].to_numpy()])
+        at = np.array(links, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"u": names[at[:, 0]].astype(np.int64), "v": names[at[:, 1]].astype(np.int64)})
+
+    return dealt.groupBy("root", "row", "col").applyInPandas(compare, "u long, v long")
+
+
+def similar_links(sets: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """u, v: links between the distinct, not empty ``sets`` (body, set) that connect all pairs of at least that Jaccard
+    similarity, and no others."""
+    p, q = similarity
+    entries = _entries(sets, common_shingles(sets), similarity)
+    met = written(entries.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where("n > 1"), "shingles")
+    crowded = met.where(F.col("n") > CROWD)
+    stars = crowded.join(crowded.groupBy("sig").agg(F.min("body").alias("u")), "sig").select("u", F.col("body").alias("v"))
+    crowds = written(connected_components(stars), "set-crowds")
+    few = met.where(F.col("n") <= CROWD).join(crowded.groupBy("body").agg(F.count(F.lit(1)).alias("more")), "body", "left")
+    few = few.select("sig", "body", "size", F.coalesce("more", F.lit(0)).alias("more"))
+    a, b = few.toDF("sig", "u", "x", "k"), few.toDF("sig", "v", "y", "l")
+    alike = (F.least("x", "y") * q >= F.greatest("x", "y") * p) & (F.col("u") < F.col("v"))
+    pairs = a.join(b, "sig").where(alike).groupBy("u", "v", "x", "y", "k", "l").agg(F.count(F.lit(1)).alias("shared"))
+    # What two sets share is in both prefixes, met here or crowded, or behind the prefix that ends first.
+    behind = F.ceil(F.greatest("x", "y") * p / q) - 1
+    pairs = written(pairs.where((F.col("shared") + F.least("k", "l") + behind) * (p + q) >= (F.col("x") + F.col("y")) * p).select("u", "v"), "set-pairs")
+    needed = written(pairs.select(F.col("u").alias("body")).union(pairs.select("v")).union(crowds.select("v")).distinct(), "set-names")
+    sets = written(sets.join(needed, "body").select("body", "set"), "met-sets")
+    left, right = sets.select(F.col("body").alias("u"), F.col("set").alias("a")), sets.select(F.col("body").alias("v"), F.col("set").alias("b"))
+    shared, both = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
+    near = pairs.join(left, "u").join(right, "v").where(shared * (p + q) >= both * p).select("u", "v")
+    return near.unionByName(_crowded_links(sets, crowds, similarity))
+
+
+def keep_one_similar(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, size: int = 5) -> DataFrame:
+    """One row of ``docs`` for each class of near-duplicates, with all columns: that of the least doc_id (nulls last),
+    of equal ids any one. Texts are linked, directly or by a chain, whose sets of ``size``-word shingles have at least
+    that Jaccard similarity; texts without words are one class."""
+    rows = with_row_id(docs)
+    hashed = written(_sets(rows.select(F.col("row_id").alias("key"), "row.doc_id", "row.text"), size), "sets")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    firsts = written(hashed.groupBy("body").agg(first.alias("first")), "firsts")
+    # Copies are fewer than distinct sets, so they are what the sets are joined with.
+    copies = written(hashed.select("key", "body").join(firsts, "body").where("key <> first.key").select("key"), "copies")
+    sets = hashed.where(F.size("set") > 0).join(copies, "key", "left_anti").select("body", "set")
+    roots = connected_components(similar_links(sets, similarity)).withColumnRenamed("v", "body")
+    named = written(firsts.join(roots, "body", "left").select("body", "first", F.coalesce("root", "body").alias("root")), "roots")
+    kept = written(named.groupBy("root").agg(F.min("first").alias("first")).select("root", F.col("first.key").alias("kept")), "kept")
+    classes = named.select("body", "root").join(kept, "root").select("body", "kept")
+    gone = written(hashed.select("key", "body").join(classes, "body").where("key <> kept").select(F.col("key").alias("row_id")), "gone")
+    return rows.join(gone, "row_id", "left_anti").select("row.*")

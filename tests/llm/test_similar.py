@@ -1,0 +1,76 @@
+"""Near-dedup by similarity against all pairs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from nickmap.llm import similar
+from tests.llm.test_operators import documents, empty
+
+
+def plain_kept(data):
+    """Least ids of the classes, by all pairs."""
+
+    def shingled(text):
+        words = (text or "").encode().lower().split()
+        return frozenset(b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+    sets = [shingled(t) for _, t, _ in data]
+    group = list(range(len(data)))
+
+    def root(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for a in range(len(data)):
+        for b in range(a):
+            if sets[a] == sets[b] or (sets[a] and sets[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])):
+                group[root(a)] = root(b)
+    least: dict = {}
+    for k, (i, _, _) in enumerate(data):
+        if i is not None:
+            least[root(k)] = min(least.get(root(k), i), i)
+    return sorted(least.values())
+
+
+@pytest.mark.parametrize(("crowd", "group"), [(16, 512), (2, 7)])
+def test_keep_one_similar(spark, monkeypatch, crowd, group):
+    """Pairs and tiles find the same: texts that share at least four fifths, and none that share less."""
+    monkeypatch.setattr(similar, "CROWD", crowd)
+    monkeypatch.setattr(similar, "GROUP", group)
+    monkeypatch.setattr(similar, "SAMPLE", 1)
+    rng = random.Random(crowd)
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = rng.choices(vocabulary, k=40)
+    base = [passage * (i % 2) + rng.choices(vocabulary, k=rng.randint(3, 150)) for i in range(25)]
+    data = []
+    for i in range(160):
+        words = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        data.append((i, " ".join(words), "s"))
+    data += [(300, None, "s"), (301, "", "s"), (302, " \n", "s"), (None, data[3][1], "s"), (3, data[3][1], "s"), (303, data[3][1].upper(), "s")]
+    docs = documents(spark, data)
+    kept = similar.keep_one_similar(docs)
+    want = plain_kept(data)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == want
+    assert 30 < len(want) < 120
+    assert similar.keep_one_similar(empty(spark)).count() == 0
+
+
+def test_near_dedup_stage_links_at_four_fifths(spark):
+    """The stage drops a text with a few words changed, which lies beyond the three bits of op9."""
+    import corpus_pipeline
+    from nickmap.llm.simhash import fingerprint
+
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    other = list(words)
+    for at in (20, 90, 160):
+        other[at] = "changed"
+    data = [(1, " ".join(words), "s"), (2, " ".join(other), "s"), (3, " ".join(reversed(words)), "s")]
+    assert (fingerprint(data[0][1]) ^ fingerprint(data[1][1])).bit_count() > 3
+    out = corpus_pipeline.near_dedup(spark, documents(spark, data), "")
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3] and out.where(F.col("text").isNull()).count() == 0
