@@ -26,17 +26,47 @@ MAX_FINDINGS = 20_000
 DICTIONARY = 2_000
 #: Characters of context on either side of a candidate.
 CONTEXT = 48
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_\-=.@:])(?=[A-Za-z+/_\-=.@:]*\d)[A-Za-z0-9+/_\-.@:]{12,}={0,2}")
-_KEYWORD = re.compile(r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credential|auth)\w*", re.I)
-_ASSIGNED = re.compile(r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credential|auth)\w*[\"']?\s*[:=]+\s*[\"']?$", re.I)
+_BODY = r"[A-Za-z0-9+/_\-.@:]"
+_CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_\-.@])(?=[A-Za-z+/_\-.@:]*\d){_BODY}{{12,}}(?:={{1,2}}(?![A-Za-z0-9+/_\-.@:=\"'`]))?")
+_NAME = r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credential|auth)\w{0,64}"
+_KEYWORD = re.compile(_NAME, re.I)
+_ASSIGNED = re.compile(_NAME + r"[\"']?\s*[:=]+>?\s*[\"'`]?$", re.I)
+#: Any value assigned to a credential's name: quoted, or up to white space or what parts fields.
+_VALUE = re.compile(_NAME + r"[\"']?(?P<by>[ \t]*[:=]+>?[ \t]*)(?:\"(?P<a>[^\"\n]+)\"|'(?P<b>[^'\n]+)'|`(?P<c>[^`\n]+)`|(?P<d>[^\s\"'`&,;<>]+))", re.I)
 _SAMPLE = re.compile(r"(?:example|sample|test|dummy|mock|fixture)", re.I)
 _WORDS = re.compile(r"[^\W\d_]{3,}")
 FEATURES = ("length", "entropy", "digits", "upper", "lower", "others", "changes", "digit_changes", "vowel_changes", "covered", "keyword", "assigned", "quoted", "sample_path", "path", "known_left", "known_right")
 
 
+def _assigned(text: str) -> list[tuple[int, int, int]]:
+    """Place of each value assigned to a credential's name, and where the name starts."""
+    found = []
+    for m in _VALUE.finditer(text):
+        i, j = m.span(m.lastgroup)
+        if m.lastgroup == "d":
+            if m["by"] != "=" and j > i + 1 and text[j - 1] == "." and not text[j : j + 1].strip():
+                j -= 1  # the end of a sentence
+            while j > i + 1 and text[j - 1] in ")]}" and text.count("([{"[")]}".index(text[j - 1])], i, j) < text.count(text[j - 1], i, j):
+                j -= 1
+        found.append((i, j, m.start()))
+    return found
+
+
 def candidates(text: str | None) -> list[tuple[int, int]]:
-    """Places of the candidates: at least 12 characters of names, numbers and encodings with a digit among them."""
-    return [(m.start(), m.end()) for m in _CANDIDATE.finditer(text)] if text else []
+    """Places of the candidates: at least 12 characters of names, numbers and encodings with a digit among them, and
+    whatever is assigned to a credential's name."""
+    if not text:
+        return []
+    assigned, found, k = _assigned(text), [], 0
+    for m in _CANDIDATE.finditer(text):
+        while k < len(assigned) and assigned[k][1] <= m.start():
+            k += 1
+        # A value and its name are one finding, the value.
+        if k == len(assigned) or m.start() < assigned[k][2] or m.end() <= assigned[k][0]:
+            found.append(m.span())
+        elif m.end() > assigned[k][1] and len(rest := text[assigned[k][1] : m.end()]) >= 12 and any(map(str.isdigit, rest)):
+            found.append((assigned[k][1], m.end()))
+    return sorted({*found, *((i, j) for i, j, _ in assigned)})
 
 
 def _kind(c: str) -> int:

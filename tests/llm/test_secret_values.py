@@ -1,0 +1,27 @@
+"""Values that follow an assignment directly, and labels of bare tokens."""
+
+import pytest
+
+from nickmap.llm import secrets
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("api_key=9f3c7a1be2d84c55", "9f3c7a1be2d84c55"),
+        ("export aws_secret_access_key=wJa1rXUtnFEMI/K7MDENG+bPxRfi", "wJa1rXUtnFEMI/K7MDENG+bPxRfi"),
+        ("GET https://example.org/a?token=abc123def456ghi&x=1", "abc123def456ghi"),
+        ("build_id=9f3c7a1be2d84c55aa", "9f3c7a1be2d84c55aa"),
+        ("password=hunter2", "hunter2"),
+        ("password: correcthorse", "correcthorse"),
+        ("PASSWORD=pa!ss#wo$rd%1234567890", "pa!ss#wo$rd%1234567890"),
+        ('secret = "two words!"', "two words!"),
+        ("login(password=abc)", "abc"),
+        ("token:9f3c7a1be2d84c55", "9f3c7a1be2d84c55"),
+        ("key2 is MTIzNDU2Nzg5MDEyMzQ1Ng==", "MTIzNDU2Nzg5MDEyMzQ1Ng=="),
+    ],
+)
+def test_assigned_values(text, value):
+    found = [text[i:j] for i, j in secrets.candidates(text)]
+    assert value in found and not any(value in x and x != value for x in found)
+    assert "aws_secret_access_key" not in found
