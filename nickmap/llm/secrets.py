@@ -1,7 +1,7 @@
 """Secret scans: patterns propose findings, and a random forest trained on labelled findings removes the false ones.
 
 The forest sees a candidate's length, its character transitions, how much of it common words cover, its path, and the
-words beside it.
+words beside it, and whether it has the form of a known token or of a host, path or date.
 """
 
 from __future__ import annotations
@@ -34,8 +34,20 @@ _ASSIGNED = re.compile(_NAME + r"[\"']?\s*[:=]+>?\s*[\"'`]?$", re.I)
 #: Any value assigned to a credential's name: quoted, or up to white space or what parts fields.
 _VALUE = re.compile(_NAME + r"[\"']?(?P<by>[ \t]*[:=]+>?[ \t]*)(?:\"(?P<a>[^\"\n]+)\"|'(?P<b>[^'\n]+)'|`(?P<c>[^`\n]+)`|(?P<d>[^\s\"'`&,;<>]+))", re.I)
 _SAMPLE = re.compile(r"(?:example|sample|test|dummy|mock|fixture)", re.I)
+#: Forms of tokens that services give out.
+_PREFIXED = re.compile(
+    r"(?:gh[pousr]_\w{20,}|github_pat_\w{20,}|glpat-[\w\-]{16,}|[srp]k_(?:live|test)_\w{10,}|sk-[\w\-]{20,}|xox[abeoprs]-[\w\-]{10,}|(?:AKIA|ASIA)[0-9A-Z]{16}|AIza[\w\-]{30,}|ya29\.[\w\-]{20,}"
+    r"|SG\.[\w\-]{16,}\.[\w\-]{16,}|npm_\w{30,}|pypi-[\w\-]{16,}|hf_\w{30,}|eyJ[\w\-]{8,}\.[\w\-]+\.[\w\-]*)=*"
+)
+_PART = r"(?:[A-Z]?[a-z]+\d{0,4}|[A-Z]+\d{0,4}|\d{1,4})"
+_STEP = rf"(?:{_PART}(?:[_.\-]{_PART})*)"
+#: Hosts and addresses, e-mail, URLs without a user, paths, dates and times, versions.
+_ORDINARY = re.compile(
+    rf"(?:(?:\d{{1,3}}\.){{3}}\d{{1,3}}(?::\d{{1,5}})?|[A-Za-z0-9\-]{{1,24}}(?:\.[A-Za-z0-9\-]{{1,24}})*\.[a-z]{{2,6}}(?::\d{{1,5}})?|[\w.+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{{2,}}|[a-z]{{2,9}}://[^@]+"
+    rf"|[.~]{{0,2}}/?{_STEP}(?:/{_STEP})+/?|\d{{1,4}}[\-./]\d{{1,2}}[\-./]\d{{1,4}}(?:[T:]?[\d:.+\-]*Z?)|[vV]?\d{{1,4}}(?:\.\d{{1,6}})+(?:[\-+.][a-z]+\.?\d*)?)[.:]?"
+)
 _WORDS = re.compile(r"[^\W\d_]{3,}")
-FEATURES = ("length", "entropy", "digits", "upper", "lower", "others", "changes", "digit_changes", "vowel_changes", "covered", "keyword", "assigned", "quoted", "sample_path", "path", "known_left", "known_right")
+FEATURES = ("length", "entropy", "digits", "upper", "lower", "others", "changes", "digit_changes", "vowel_changes", "covered", "keyword", "assigned", "quoted", "sample_path", "path", "known_left", "known_right", "prefixed", "ordinary")
 
 
 def _assigned(text: str) -> list[tuple[int, int, int]]:
@@ -88,6 +100,7 @@ def finding_features(text: str, start: int, end: int, path: str | None, common:
         sum(a != b for a, b in pairs) / max(1, n - 1), sum((a == 0) != (b == 0) for a, b in pairs) / max(1, n - 1), sum(a != b for a, b in zip(vowel, vowel[1:], strict=False)) / max(1, n - 1),
         covered, float(bool(_KEYWORD.search(left))), float(bool(_ASSIGNED.search(left))), float(left[-1:] in "\"'`" and right[:1] in "\"'`" and bool(left)),
         float(bool(_SAMPLE.search(path or ""))), zlib.crc32((path or "").encode()) % 64 / 64, known(_WORDS.findall(left)), known(_WORDS.findall(right)),
+        float(bool(_PREFIXED.fullmatch(word))), float(bool(_ORDINARY.fullmatch(word))),
     ]
 
 
@@ -196,12 +209,17 @@ def scan(docs: DataFrame, forest: Forest, common: frozenset[str], threshold: flo
 
 
 def weak_labels(findings: DataFrame) -> DataFrame:
-    """Labels where a rule is sure: a candidate assigned to a credential's name and as mixed as random digits is a
-    secret; one with a host or address form, of digits alone, or of low entropy with no such name beside it is none."""
+    """Labels where a rule is sure: a token of a known form, a candidate assigned to a credential's name and as mixed as
+    random digits, or a bare one as mixed as base64 is a secret; a host, address, path, date or version, digits alone, low
+    entropy or common words with no such name beside it, and a common word assigned to one, is none. Other bare tokens
+    have no label."""
     at = {name: F.col("x")[i] for i, name in enumerate(FEATURES)}
-    sure = (at["assigned"] == 1) & (at["entropy"] >= 3) & (at["length"] >= 16)
-    no = (at["keyword"] == 0) & ((at["others"] > 0) | (at["digits"] == 1) | (at["entropy"] < 3) | (at["covered"] > 0.3))
-    return findings.withColumn("is_secret", F.when(sure, True).when(no, False))
+    plain = at["ordinary"] == 1
+    mixed = (at["entropy"] >= 4.2) & (at["length"] >= 24) & (at["digits"] > 0) & (at["upper"] > 0.1) & (at["lower"] > 0.1) & (at["changes"] >= 0.4) & (at["covered"] <= 0.1)
+    sure = (at["prefixed"] == 1) | ((at["assigned"] == 1) & (at["entropy"] >= 3) & (at["length"] >= 16)) | (mixed & ~plain)
+    no = (at["keyword"] == 0) & (plain | (at["digits"] == 1) | (at["entropy"] < 3) | (at["covered"] > 0.3))
+    word = (at["assigned"] == 1) & (at["covered"] == 1)
+    return findings.withColumn("is_secret", F.when(word, False).when(sure, True).when(no, False))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
