@@ -21,7 +21,7 @@ from .components import connected_components
 
 #: Edits between lines of one class, after letter case and outer white space are set aside.
 THRESHOLD = 1
-#: Shorter lines (headings, bullets) are left alone.
+#: Shorter lines (headings, bullets) are left out of the edit join.
 MIN_CHARS = 20
 #: Buckets with more lines are divided further, as long as what their lines differ in is longer than SHORT.
 BUCKET, SHORT = 32, 8
@@ -35,13 +35,14 @@ def normal_form(line: Column, numbers: bool = False) -> Column:
     return F.regexp_replace(line, "[0-9]+", "0") if numbers else line
 
 
-def lines_of(docs: DataFrame, numbers: bool = False) -> DataFrame:
+def lines_of(docs: DataFrame, numbers: bool = False, short: bool = False) -> DataFrame:
     """doc_id, body (hash of the text), line_no, line, key for each line of ``docs`` (doc_id, text); line and key, its
-    normal form and the hash of that, are null for lines that are left alone."""
+    normal form and the hash of that, are null for lines that are left alone. With ``short``, lines under MIN_CHARS have
+    a key, if they hold more than white space, and no line."""
     each = F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
     lines = docs.select("doc_id", F.xxhash64("text").alias("body"), each)
     long, line = F.length(F.trim("raw")) >= MIN_CHARS, normal_form(F.col("raw"), numbers)
-    return lines.select("doc_id", "body", "line_no", F.when(long, line).alias("line"), F.when(long, F.xxhash64(line)).alias("key"))
+    return lines.select("doc_id", "body", "line_no", F.when(long, line).alias("line"), F.when(long | F.col("raw").rlike("\\S") if short else long, F.xxhash64(line)).alias("key"))
 
 
 def segment_probes(threshold: int) -> list[tuple[int, int, int]]:
@@ -132,7 +133,7 @@ def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
     at = F.bitmap_bit_position(place)
     byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     is_set = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
-    likely = lines.where("key is not null").withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "bucket").where(is_set)
+    likely = lines.where("line is not null").withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "bucket").where(is_set)
     # An inner join, as a semi-join would be pushed below the filter.
     return likely.select("key", "line").join(keys, "key").groupBy("key").agg(F.min("line").alias("line"))
 
@@ -168,9 +169,9 @@ def line_links(lines: DataFrame, distinct: DataFrame, threshold: int) -> DataFra
     return a.join(b, "sig").where((F.col("u") < F.col("v")) & (F.abs(F.length("a") - F.length("b")) <= threshold) & near).select("u", "v")
 
 
-def _classes(docs: DataFrame, threshold: int, numbers: bool) -> DataFrame:
-    """key, first (doc_id and line_no of the first line of its class), for each distinct line that is compared."""
-    lines = lines_of(docs, numbers)
+def _classes(docs: DataFrame, threshold: int, numbers: bool, short: bool) -> DataFrame:
+    """key, first (doc_id and line_no of the first line of its class), for each distinct line that has a key."""
+    lines = lines_of(docs, numbers, short)
     sigs = signatures(F.col("line"), F.col("n"), F.lit(0), threshold)["sig"]
     some = lines.where("key is not null").select("key", F.struct("doc_id", "line_no").alias("first"), "line", F.length("line").alias("n")).select("key", "first", F.array_distinct(sigs).alias("sigs"))
     distinct = written(some.groupBy("key").agg(F.min("first").alias("first"), F.first("sigs").alias("sigs")), "lines")
@@ -181,18 +182,18 @@ def _classes(docs: DataFrame, threshold: int, numbers: bool) -> DataFrame:
     return written(distinct.select("key", "first").join(linked, "key", "left").select("key", F.coalesce("head", "first").alias("first")), "line-classes")
 
 
-def line_classes(docs: DataFrame, threshold: int = THRESHOLD, numbers: bool = False) -> DataFrame:
+def line_classes(docs: DataFrame, threshold: int = THRESHOLD, numbers: bool = False, short: bool = False) -> DataFrame:
     """doc_id, line_no (from 0), class_doc_id, class_line_no, kept for each line of ``docs`` (doc_id, text), lines being
     parted by line feeds.
 
     A line's class is named by its first line: the least doc_id (nulls first), then line_no; that line is kept. Lines
-    shorter than MIN_CHARS are classes of their own. Null texts have no line; an empty text has one. Repeated rows count as
+    shorter than MIN_CHARS are classes of their own, or with ``short`` one with their exact copies; blank ones always are. Null texts have no line; an empty text has one. Repeated rows count as
     one document: their lines are kept or not alike. Further columns are ignored; an empty table gives an empty result.
     Lines are told apart by a 64-bit hash of their normal form; with ``numbers``, runs of digits are alike in it.
     """
-    lines = lines_of(docs, numbers).select("doc_id", "body", "line_no", "key")
+    lines = lines_of(docs, numbers, short).select("doc_id", "body", "line_no", "key")
     own = F.struct("doc_id", "line_no")
-    return _told(lines.join(_classes(docs, threshold, numbers), "key", "left"), own).drop("body")
+    return _told(lines.join(_classes(docs, threshold, numbers, short), "key", "left"), own).drop("body")
 
 
 def _told(lines: DataFrame, own: Column) -> DataFrame:
@@ -201,11 +202,11 @@ def _told(lines: DataFrame, own: Column) -> DataFrame:
     return lines.select("doc_id", "body", "line_no", first["doc_id"].alias("class_doc_id"), first["line_no"].alias("class_line_no"), kept.alias("kept"))
 
 
-def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, numbers: bool = False) -> DataFrame:
-    """``docs`` with all columns and rows, the text without lines that are not the first of their class. A text may
-    become empty; null texts stay null."""
-    lines = lines_of(docs, numbers).select("doc_id", "body", "line_no", "key")
-    told = _told(lines.join(_classes(docs, threshold, numbers), "key", "left"), F.struct("doc_id", "line_no"))
+def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, numbers: bool = False, short: bool = False) -> DataFrame:
+    """``docs`` with all columns and rows, the text without lines that are not the first of their class, as
+    ``line_classes`` has them. A text may become empty; null texts stay null."""
+    lines = lines_of(docs, numbers, short).select("doc_id", "body", "line_no", "key")
+    told = _told(lines.join(_classes(docs, threshold, numbers, short), "key", "left"), F.struct("doc_id", "line_no"))
     flags = told.groupBy("doc_id", "body").agg(F.array_sort(F.collect_set(F.struct("line_no", "kept"))).alias("flags"), F.every("kept").alias("whole"))
     flags = flags.where("not whole").select(F.col("doc_id").alias("of"), "body", "flags")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("text").alias("key"))
@@ -216,4 +217,4 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, numbers: bool = Fal
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(table(spark, sf_dir, "documents"))
+    return line_classes(table(spark, sf_dir, "documents"), short=True)
