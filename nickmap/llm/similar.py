@@ -19,9 +19,9 @@ SEED = 42
 #: Least similarity of linked texts, as a fraction of whole numbers.
 SIMILARITY = (4, 5)
 #: Sets that meet under one shingle are paired if at most so many.
-CROWD = 16
+CROWD = 64
 #: Sets in a group of a component's grid, about.
-GROUP = 512
+GROUP = 2048
 #: Shingles found in COMMON or more of a SAMPLE-th of the sets, the most frequent first, come last in the order.
 SAMPLE, COMMON, MOST = 16, 4, 200_000
 
