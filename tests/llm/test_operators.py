@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from nickmap.llm import arrow_output, components, imatch, line_dedup, mixing, packing, quality, secrets, simhash, token_counts, tokens, topk
 from nickmap.llm.common import held_out, shared_dir, table
 from tests.conftest import rows
+from tests.llm.plain import plain_kept
 
 WORD = tokens.tokenizer_path("word_bpe_49k.json")
 BYTE = tokens.tokenizer_path("byte_bpe_50k.json")
@@ -412,19 +413,35 @@ def test_mixing_edges(spark):
 # SimHash
 
 
-def plain_fingerprint(text):
+def plain_fingerprint(text, repeats=True):
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode().lower().split()
     if not words:
         return 0
     shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
-    hashes = [xxh64_intdigest(s, 42) for s in shingles]
+    hashes = [xxh64_intdigest(s, 42) for s in (shingles if repeats else set(shingles))]
     return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
 
 
-def test_simhash(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "GROUP", 16)
+def plain_components(prints, radius):
+    group = list(range(len(prints)))
+
+    def root(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for a in range(len(prints)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= radius:
+                group[root(a)] = root(b)
+    return [root(k) for k in range(len(prints))]
+
+
+@pytest.mark.parametrize("tile", [16, 10_000])
+def test_simhash(spark, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
     rng = random.Random(5)
     base = [" ".join(rng.choices(["a", "b", "c", "d", "e", "f", "g"], k=rng.randint(1, 60))) for _ in range(30)]
     data = []
@@ -435,31 +452,54 @@ def test_simhash(spark, monkeypatch):
         data.append((i, " ".join(words), "s"))
     data += [(200, None, "s"), (201, "", "s"), (202, " \n", "s"), (None, base[0], "s"), (5, data[5][1], "s")]
     docs = documents(spark, data)
-    prints = [plain_fingerprint(t) for _, t, _ in data]
-    group = list(range(len(data)))
 
-    def root(k):
-        while group[k] != k:
-            k = group[k]
-        return k
+    def least(prints):
+        roots, found = plain_components(prints, 3), {}
+        for k, (i, _, _) in enumerate(data):
+            if i is not None:
+                found[roots[k]] = min(found.get(roots[k], i), i)
+        return [found.get(r) for r in roots]
 
-    for a in range(len(data)):
-        for b in range(a):
-            if (prints[a] ^ prints[b]).bit_count() <= 3:
-                group[root(a)] = root(b)
-    least: dict = {}
-    for k, (i, _, _) in enumerate(data):
-        if i is not None:
-            least[root(k)] = min(least.get(root(k), i), i)
-    want = sorted((str(i), f"{p:016x}", str(least.get(root(k)))) for k, ((i, _, _), p) in enumerate(zip(data, prints)))
+    prints = [plain_fingerprint(t) for _, t, _ in data]
+    want = sorted((str(i), f"{p:016x}", str(c)) for (i, _, _), p, c in zip(data, prints, least(prints)))
     assert sorted(tuple(map(str, r)) for r in collected(simhash.near_duplicates(docs))) == want
-    kept = simhash.keep_one(docs)
+    once = least([plain_fingerprint(t, repeats=False) for _, t, _ in data])
+    kept = simhash.keep_one(docs, radius=3, shingle=3, words=1, similarity=None)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for c in once if c is not None})
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.keep_one(empty(spark)).count() == 0
     assert simhash.near_duplicates(documents(spark)).count() == documents(spark).count()
 
 
+def test_tiles_are_skipped_by_population_count():
+    """Pairs of tiles that hold no two fingerprints near enough are not planned, and no other is left out."""
+    rng = np.random.default_rng(3)
+    prints = np.unique(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64))
+    ones = np.bitwise_count(prints).astype(int)
+    plan = simhash.tile_plan({int(c): int(n) for c, n in zip(*np.unique(ones, return_counts=True))}, 3, 256)
+    tiles = {t for first, n, _, _ in plan.values() for t in range(first, first + n)}
+    made = {(min(t, u), max(t, u)) for first, n, a, b in plan.values() for t in range(first, first + n) for u in range(a, b + 1)}
+    assert tiles == set(range(len(tiles))) and len(tiles) >= len(prints) / 256
+    assert len(made) < 0.75 * len(tiles) * (len(tiles) + 1) / 2
+    for x, (first, n, _, _) in plan.items():
+        for y, (other, m, _, _) in plan.items():
+            if abs(x - y) <= 3:
+                assert all((min(t, u), max(t, u)) in made for t in range(first, first + n) for u in range(other, other + m))
+    assert simhash.tile_plan({}, 3) == {}
+
+
+def test_dense_ball_costs_its_size():
+    """Thousands of fingerprints that all lie within the radius give one link less than there are, and soon."""
+    import time
+
+    rng = np.random.default_rng(4)
+    ball = np.unique(np.uint64(0x0123456789ABCDEF) ^ (np.uint64(1) << rng.integers(0, 64, (8000, 3), dtype=np.uint64)).sum(1, dtype=np.uint64))[:, None]
+    began = time.monotonic()
+    assert len(simhash.tile_links(ball, ball, 12, True)) == len(ball) - 1
+    assert len(simhash.tile_links(ball[:4000], ball[4000:], 12, False)) == len(ball) - 1
+    assert time.monotonic() - began < 30
+
+
 # Pipeline
 
 
@@ -479,17 +519,8 @@ def test_pipeline_stages(spark, tmp_path):
     lines = {i: "\n".join(x for k, x in enumerate(texts[i].split("\n")) if classes[i, k] == (i, k)) for i in good}
     at = stages["line_dedup"](spark, at, sf_dir)
     assert {r.doc_id: r.text for r in at.collect()} == lines and at.columns == docs.columns
-    prints = {i: plain_fingerprint(lines[i]) for i in good}
-    seen: dict = {i: i for i in good}
-    changed = True
-    while changed:
-        changed = False
-        for a in good:
-            for b in good:
-                if seen[b] < seen[a] and (prints[a] ^ prints[b]).bit_count() <= 3:
-                    seen[a], changed = seen[b], True
     at = stages["near_dedup"](spark, at, sf_dir)
-    assert sorted(r.doc_id for r in at.collect()) == sorted(set(seen.values())) and at.columns == docs.columns
+    assert sorted(r.doc_id for r in at.collect()) == plain_kept([(i, lines[i], None) for i in good]) and at.columns == docs.columns
     taken = {r.doc_id: r.taken for r in mixing.mix_sources(at).collect()}
     at = stages["mixing"](spark, at, sf_dir)
     mixed = at.groupBy("doc_id").agg(F.sum(mixing.words(F.col("text"))).alias("n")).collect()
