@@ -14,7 +14,7 @@ from nickmap.llm.line_dedup import dedup_lines
 from nickmap.llm.mixing import mix_documents
 from nickmap.llm.packing import pack_documents
 from nickmap.llm.quality import fit_quality, keep_quality
-from nickmap.llm.similar import keep_one_similar
+from nickmap.llm.simhash import keep_one
 from nickmap.llm.tokens import tokenizer_path
 
 
@@ -29,8 +29,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: five-word Jaccard similarity of 0.8 or more."""
-    return keep_one_similar(docs)
+    """One document of each class of near-duplicates: SimHash of five-word shingles, links held to a similarity of 0.8."""
+    return keep_one(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
