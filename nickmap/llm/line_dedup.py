@@ -6,14 +6,16 @@ up under the substrings that can be a shorter or equal line's segment. Lines tha
 bit-parallel edit distance, and what is linked, directly or by a chain, is one class.
 
 Lines of a bucket are not compared at once: the same join is applied to what they have besides the shared segment, and again
-while a bucket has many lines.
+while a bucket has many lines. Where little is left of the lines of a large bucket, one edit is found by key: what is left
+without one character, at its place, is equal for lines that differ in that character. No bucket's lines are paired
+unless they are few, and no bucket is one task's work.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
@@ -21,28 +23,29 @@ from .components import connected_components
 
 #: Edits between lines of one class, after letter case and outer white space are set aside.
 THRESHOLD = 1
-#: Shorter lines (headings, bullets) are left out of the edit join.
+#: Shorter lines (headings, bullets) are classed by their exact normal form; the edit join leaves them out.
 MIN_CHARS = 20
-#: Buckets with more lines are divided further, as long as what their lines differ in is longer than SHORT.
+#: Buckets with more lines are divided further, and where at most about SHORT characters are left of them, joined by key.
 BUCKET, SHORT = 32, 8
+#: What is set aside at the ends of a line: ASCII white space.
+WHITE = " \t\r\x0b\x0c"
 #: Bits of the filter that keeps lines without a partner out of a shuffle; its size is fixed at 2 MB.
 FILTER_BITS = 24
 
 
 def normal_form(line: Column, numbers: bool = False) -> Column:
-    """Lower case without outer spaces; with ``numbers``, runs of digits count as one 0."""
-    line = F.lower(F.trim(line))
+    """Lower case without outer ASCII white space; with ``numbers``, runs of digits count as one 0."""
+    line = F.lower(F.trim(line, F.lit(WHITE)))
     return F.regexp_replace(line, "[0-9]+", "0") if numbers else line
 
 
-def lines_of(docs: DataFrame, numbers: bool = False, short: bool = False) -> DataFrame:
-    """doc_id, body (hash of the text), line_no, line, key for each line of ``docs`` (doc_id, text); line and key, its
-    normal form and the hash of that, are null for lines that are left alone. With ``short``, lines under MIN_CHARS have
-    a key, if they hold more than white space, and no line."""
+def lines_of(docs: DataFrame, min_chars: int, numbers: bool = False) -> DataFrame:
+    """doc_id, body (hash of the text), line_no, line, key for each line of ``docs`` (doc_id, text). key is the hash of
+    the normal form, null for blank lines; line is that form, null for lines under ``min_chars``."""
     each = F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
     lines = docs.select("doc_id", F.xxhash64("text").alias("body"), each)
-    long, line = F.length(F.trim("raw")) >= MIN_CHARS, normal_form(F.col("raw"), numbers)
-    return lines.select("doc_id", "body", "line_no", F.when(long, line).alias("line"), F.when(long | F.col("raw").rlike("\\S") if short else long, F.xxhash64(line)).alias("key"))
+    n, line = F.length(F.trim("raw", F.lit(WHITE))), normal_form(F.col("raw"), numbers)
+    return lines.select("doc_id", "body", "line_no", F.when(n >= min_chars, line).alias("line"), F.when(n > 0, F.xxhash64(line)).alias("key"))
 
 
 def segment_probes(threshold: int) -> list[tuple[int, int, int]]:
@@ -112,66 +115,100 @@ def bounded_distance(a: Column, b: Column, threshold: int) -> Column:
     end = F.aggregate(steps, start, step)
     diagonal = F.length(a) - F.length(b) + threshold
     arrived = lambda row: row.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), diagonal)) != 0
-    distance = F.coalesce(*[F.when(arrived(end[n]), F.lit(e)) for e, n in enumerate(names)])
+    # Within a transform, the automaton runs once a pair, however often its end is looked at.
+    distance = F.transform(F.array(end), lambda rows: F.coalesce(*[F.when(arrived(rows[n]), F.lit(e)) for e, n in enumerate(names)]))[0]
     return F.when(F.abs(F.length(a) - F.length(b)) <= threshold, distance)
 
 
-def _crowded(rows: DataFrame) -> DataFrame:
-    """Adds to ``rows`` (sig, ...) the number of lines in their bucket, and drops those alone."""
-    return rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where("n > 1")
+def _likely(rows: DataFrame, name: str, keys: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose column ``name`` is not among ``keys``.
 
-
-def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
-    """key and line of those ``lines`` whose key is among ``keys``.
-
-    A filter of fixed size, made of all keys, goes to every task first and keeps most lines without a partner out of the
-    shuffle; where it is full, all lines are shuffled and the result is the same.
+    A filter of fixed size, made of all keys, goes to every task and keeps rows without a partner out of a shuffle; where
+    it is full, all rows pass.
     """
     # Spark numbers bits from 1 and 32768 of them make a row.
-    place = F.pmod(F.col("key"), F.lit(1 << FILTER_BITS)) + 1
-    bits = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    place = F.pmod(F.col(name), F.lit(1 << FILTER_BITS)) + 1
+    bits = keys.groupBy(F.bitmap_bucket_number(place).alias("filter")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     at = F.bitmap_bit_position(place)
     byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     is_set = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
-    likely = lines.where("line is not null").withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "bucket").where(is_set)
-    # An inner join, as a semi-join would be pushed below the filter.
-    return likely.select("key", "line").join(keys, "key").groupBy("key").agg(F.min("line").alias("line"))
+    return rows.withColumn("filter", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "filter").where(is_set).drop("filter", "bits")
+
+
+def _met(rows: DataFrame, size: Column) -> DataFrame:
+    """Those of ``rows`` (sig, ...) that are not alone in their bucket, with n, the bucket's rows, and shortest, the least
+    ``size`` in it, as a written table. Buckets are counted first, so that joining them to rows can be split."""
+    sizes = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("shortest")).where("n > 1"), "line-counts")
+    return written(_likely(rows, "sig", sizes).join(sizes, "sig"), "line-buckets")
+
+
+def _paired(rows: DataFrame, threshold: int) -> DataFrame:
+    """u, v: keys within ``threshold`` edits among the ``rows`` (sig, key, rest) of each small bucket."""
+    a = rows.select("sig", F.col("key").alias("u"), F.col("rest").alias("a"))
+    b = rows.select("sig", F.col("key").alias("v"), F.col("rest").alias("b"))
+    near = bounded_distance(F.col("a"), F.col("b"), threshold).isNotNull()
+    return a.join(b, "sig").where((F.col("u") < F.col("v")) & (F.abs(F.length("a") - F.length("b")) <= threshold) & near).select("u", "v")
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """u, v: links that connect what lies within one edit among the ``rows`` (sig, key, rest) of each bucket, however large.
+
+    A rest without its character p, as (p, those left), is equal for rests that differ in that character only; one rest
+    stands for all of these. Without it, it may also be another rest as a whole.
+    """
+    n = F.length("rest")
+    without = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda p: F.struct(p.alias("p"), F.concat(F.substring("rest", F.lit(1), p - 1), F.substring("rest", p + 1, n)).alias("left"))))
+    whole = F.array(F.struct(F.lit(0).alias("p"), F.col("rest").alias("left"), F.lit(True).alias("heads")))
+    changed = F.transform(without, lambda x: F.struct(x["p"].alias("p"), x["left"].alias("left"), F.lit(True).alias("heads")))
+    dropped = F.transform(without, lambda x: F.struct(F.lit(0).alias("p"), x["left"].alias("left"), F.lit(False).alias("heads")))
+    none = F.array().cast("array<struct<p:int,left:string,heads:boolean>>")
+    ways = rows.select("sig", "key", "rest", F.explode(F.concat(whole, F.coalesce(changed, none), F.coalesce(dropped, none))).alias("way"))
+    ways = ways.select(F.xxhash64("sig", "way.p", "way.left").alias("at"), "key", "rest", "way.heads")
+    heads = written(ways.where("heads").groupBy("at").agg(F.min(F.struct("key", "rest")).alias("head")), "line-heads")
+    near = bounded_distance(F.col("head.rest"), F.col("rest"), 1).isNotNull()
+    return ways.join(heads, "at").where((F.col("head.key") != F.col("key")) & near).select(F.col("head.key").alias("u"), F.col("key").alias("v")).distinct()
 
 
 def line_links(lines: DataFrame, distinct: DataFrame, threshold: int) -> DataFrame:
-    """u, v: keys of distinct lines within ``threshold`` edits.
+    """u, v: links between keys of distinct lines that connect all within ``threshold`` edits, and no others.
 
     What two lines have besides a shared substring is within the threshold where the lines are, for one such substring at
     least. So what remains of the lines of a bucket meets again under signatures of that bucket: twice for all buckets
     (fewer times for larger thresholds, whose signatures are many), as that leaves few pairs to compare and those short,
-    and further for crowded ones.
+    and further for large ones. For thresholds over 1, a large bucket whose lines differ in at most twice the threshold
+    of characters is compared pair by pair.
     """
-    found = F.explode("sigs").alias("sig")
-    met = written(_crowded(distinct.select("key", found)), "line-buckets")
-    texts = written(_texts(lines, met.select("key").distinct()), "line-texts")
-    rows = met.select("sig", "key").join(texts, "key").select("sig", "key", "line", F.explode(signatures(F.col("line"), F.length("line"), F.lit(0), threshold)).alias("s")).where("s.sig = sig")
+    met = _met(distinct.select("key", F.explode("sigs").alias("sig")), F.lit(0)).select("sig", "key")
+    keys = written(met.select("key").distinct(), "line-keys")
+    # An inner join, as a semi-join would be pushed below the filter.
+    texts = _likely(lines.where("line is not null").select("key", "line"), "key", keys).join(keys, "key")
+    texts = written(texts.groupBy("key").agg(F.min("line").alias("line")), "line-texts")
+    rows = met.join(texts, "key").select("sig", "key", "line", F.explode(signatures(F.col("line"), F.length("line"), F.lit(0), threshold)).alias("s")).where("s.sig = sig")
     rest = F.concat(F.expr("substring(line, 1, s.at)"), F.expr("substring(line, s.at + s.size + 1)"))
     open_ = written(rows.select("sig", "key", rest.alias("rest")).dropDuplicates(["sig", "key"]), "line-rests")
-    small, rounds = [open_.limit(0)], 2 // threshold
+    few, many, rounds = [], [], 2 // threshold
     while not open_.isEmpty():
-        again = open_.select("key", "rest", F.explode(signatures(F.col("rest"), F.length("rest"), F.col("sig"), threshold)).alias("s"))
-        again = again.select("s.sig", "key", F.concat(F.expr("substring(rest, 1, s.at)"), F.expr("substring(rest, s.at + s.size + 1)")).alias("rest"))
-        shortest = F.min(F.length("rest")).over(Window.partitionBy("sig"))  # a bucket is divided as a whole or not at all
-        again = written(_crowded(again.dropDuplicates(["sig", "key"])).withColumn("shortest", shortest), "line-rests")
+        found = signatures(F.col("rest"), F.length("rest"), F.col("sig"), threshold)
+        left = lambda s: F.concat(F.substring("rest", F.lit(1), s["at"]), F.substring("rest", s["at"] + s["size"] + 1, F.length("rest")))
+        again = open_.select("key", F.explode(F.array_distinct(F.transform(found, lambda s: F.struct(s["sig"].alias("sig"), left(s).alias("rest"))))).alias("s"))
+        again = _met(again.select("s.sig", "key", "s.rest"), F.length("rest"))
         rounds -= 1
-        done = (F.col("shortest") <= SHORT) | ((F.col("n") <= BUCKET) & F.lit(rounds <= 0))
-        small.append(again.where(done).select("sig", "key", "rest"))
-        open_ = again.where(~done).select("sig", "key", "rest")
-    rows = reduce(DataFrame.unionByName, small)
-    a = rows.select("sig", F.col("key").alias("u"), F.col("rest").alias("a"))
-    b = rows.select("sig", F.col("key").alias("v"), F.col("rest").alias("b"))
-    near = bounded_distance(F.col("a"), F.col("b"), threshold).isNotNull()
-    return a.join(b, "sig").where((F.col("u") < F.col("v")) & (F.abs(F.length("a") - F.length("b")) <= threshold) & near).select("u", "v")
-
-
-def _classes(docs: DataFrame, threshold: int, numbers: bool, short: bool) -> DataFrame:
+        little = F.col("shortest") <= (SHORT if threshold == 1 else 2 * threshold)
+        small = (F.col("n") <= BUCKET) & (F.lit(rounds <= 0) | little)
+        few.append(again.where(small if threshold == 1 else small | little).select("sig", "key", "rest"))
+        if threshold == 1:
+            many.append(again.where(~small & little).select("sig", "key", "rest"))
+        open_ = again.where(~small & ~little).select("sig", "key", "rest")
+    none = met.select(F.col("key").alias("u"), F.col("key").alias("v")).limit(0)
+    if not few:
+        return none
+    pairs = _paired(reduce(DataFrame.unionByName, few), threshold)
+    return pairs.unionByName(_keyed(reduce(DataFrame.unionByName, many))) if many else pairs
+
+
+def _classes(docs: DataFrame, threshold: int, min_chars: int, numbers: bool) -> DataFrame:
     """key, first (doc_id and line_no of the first line of its class), for each distinct line that has a key."""
-    lines = lines_of(docs, numbers, short)
+    lines = lines_of(docs, min_chars, numbers)
     sigs = signatures(F.col("line"), F.col("n"), F.lit(0), threshold)["sig"]
     some = lines.where("key is not null").select("key", F.struct("doc_id", "line_no").alias("first"), "line", F.length("line").alias("n")).select("key", "first", F.array_distinct(sigs).alias("sigs"))
     distinct = written(some.groupBy("key").agg(F.min("first").alias("first"), F.first("sigs").alias("sigs")), "lines")
@@ -182,31 +219,35 @@ def _classes(docs: DataFrame, threshold: int, numbers: bool, short: bool) -> Dat
     return written(distinct.select("key", "first").join(linked, "key", "left").select("key", F.coalesce("head", "first").alias("first")), "line-classes")
 
 
-def line_classes(docs: DataFrame, threshold: int = THRESHOLD, numbers: bool = False, short: bool = False) -> DataFrame:
+def _told(docs: DataFrame, threshold: int, min_chars: int, numbers: bool) -> DataFrame:
+    """doc_id, body, line_no, class_doc_id, class_line_no, kept for each line of ``docs``."""
+    lines = lines_of(docs, min_chars, numbers).select("doc_id", "body", "line_no", "key")
+    classes = _classes(docs, threshold, min_chars, numbers).withColumnRenamed("key", "of")
+    # Blank lines have no key; a number of their own spreads them over the join, which must not find it.
+    lines = lines.withColumn("of", F.coalesce("key", F.xxhash64("doc_id", "body", "line_no"))).join(classes, "of", "left")
+    first = F.when(F.col("key").isNotNull(), F.col("first")).otherwise(F.struct("doc_id", "line_no"))
+    kept = F.col("key").isNull() | (F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.line_no") == F.col("line_no")))
+    return lines.select("doc_id", "body", "line_no", first["doc_id"].alias("class_doc_id"), first["line_no"].alias("class_line_no"), kept.alias("kept"))
+
+
+def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, numbers: bool = False) -> DataFrame:
     """doc_id, line_no (from 0), class_doc_id, class_line_no, kept for each line of ``docs`` (doc_id, text), lines being
     parted by line feeds.
 
-    A line's class is named by its first line: the least doc_id (nulls first), then line_no; that line is kept. Lines
-    shorter than MIN_CHARS are classes of their own, or with ``short`` one with their exact copies; blank ones always are. Null texts have no line; an empty text has one. Repeated rows count as
-    one document: their lines are kept or not alike. Further columns are ignored; an empty table gives an empty result.
-    Lines are told apart by a 64-bit hash of their normal form; with ``numbers``, runs of digits are alike in it.
+    A line's class is named by its first line: the least doc_id (nulls first), then line_no; that line is kept. Lines of
+    equal normal form are one class, whatever their length, and those of ``min_chars`` or more (outer white space aside)
+    also with all lines within ``threshold`` edits, directly or by a chain; blank lines are classes of their own. Null
+    texts have no line; an empty text has one. Repeated rows count as one document: their lines are kept or not alike.
+    Further columns are ignored; an empty table gives an empty result. Lines are told apart by a 64-bit hash of their
+    normal form; with ``numbers``, runs of digits are alike in it.
     """
-    lines = lines_of(docs, numbers, short).select("doc_id", "body", "line_no", "key")
-    own = F.struct("doc_id", "line_no")
-    return _told(lines.join(_classes(docs, threshold, numbers, short), "key", "left"), own).drop("body")
-
-
-def _told(lines: DataFrame, own: Column) -> DataFrame:
-    first = F.coalesce("first", own)
-    kept = F.col("first").isNull() | (first["doc_id"].eqNullSafe(F.col("doc_id")) & (first["line_no"] == F.col("line_no")))
-    return lines.select("doc_id", "body", "line_no", first["doc_id"].alias("class_doc_id"), first["line_no"].alias("class_line_no"), kept.alias("kept"))
+    return _told(docs, threshold, min_chars, numbers).drop("body")
 
 
-def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, numbers: bool = False, short: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, numbers: bool = False) -> DataFrame:
     """``docs`` with all columns and rows, the text without lines that are not the first of their class, as
     ``line_classes`` has them. A text may become empty; null texts stay null."""
-    lines = lines_of(docs, numbers, short).select("doc_id", "body", "line_no", "key")
-    told = _told(lines.join(_classes(docs, threshold, numbers, short), "key", "left"), F.struct("doc_id", "line_no"))
+    told = _told(docs, threshold, min_chars, numbers)
     flags = told.groupBy("doc_id", "body").agg(F.array_sort(F.collect_set(F.struct("line_no", "kept"))).alias("flags"), F.every("kept").alias("whole"))
     flags = flags.where("not whole").select(F.col("doc_id").alias("of"), "body", "flags")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("text").alias("key"))
@@ -217,4 +258,4 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, numbers: bool = Fal
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(table(spark, sf_dir, "documents"), short=True)
+    return line_classes(table(spark, sf_dir, "documents"))

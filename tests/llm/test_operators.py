@@ -66,13 +66,11 @@ def test_bounded_distance(spark, threshold):
         assert d == (distance(a, b) if distance(a, b) <= threshold else None), (a, b)
 
 
-def plain_classes(docs, threshold):
+def plain_classes(docs, threshold, min_chars=20):
     """Class of each line by all pairs."""
-    import re
-
-    normal = lambda s: re.sub("[0-9]+", "0", s.strip(" ").lower())
+    normal = lambda s: s.strip(" \t\r\x0b\x0c").lower()
     lines = [(i, k, normal(x)) for i, text in docs if text is not None for k, x in enumerate(text.split("\n"))]
-    heads, distinct = {}, sorted({n for _, _, n in lines if len(n) >= line_dedup.MIN_CHARS})
+    heads, distinct = {}, sorted({n for _, _, n in lines if n})
     group = {n: n for n in distinct}
 
     def root(n):
@@ -82,7 +80,7 @@ def plain_classes(docs, threshold):
 
     for x, a in enumerate(distinct):
         for b in distinct[:x]:
-            if abs(len(a) - len(b)) <= threshold and distance(a, b) <= threshold:
+            if min(len(a), len(b)) >= min_chars and abs(len(a) - len(b)) <= threshold and distance(a, b) <= threshold:
                 group[root(a)] = root(b)
     order = lambda p: (p[0] is not None, p[0] or 0, p[1])
     for i, k, n in lines:
@@ -129,10 +127,40 @@ def test_crowd_of_near_lines(spark):
         data.append((i, " ".join(x), "s"))
     data += [(1000, data[5][1][:-1] + "z", "s"), (1001, data[7][1] + "y", "s")]
     got = {r.doc_id: r.class_doc_id for r in line_dedup.line_classes(documents(spark, data)).collect()}
-    want = plain_classes([(i, t) for i, t, _ in data], 1)
+    want = plain_classes_fast([(i, t) for i, t, _ in data])
     assert got == {i: v[0] for (i, _), v in want.items()} and got[1000] == 5 and got[1001] == 7
 
 
+@pytest.mark.parametrize("n", [400, 1600])
+def test_hot_template(spark, n):
+    """Many lines of one template with a short code of letters, some of them one edit apart, of either length."""
+    rng = random.Random(n)
+    codes = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(n)]
+    codes += [c[:3] + "z" + c[4:] for c in codes[:20]] + [c[:5] + c[6:] for c in codes[20:40]] + [c + "q" for c in codes[40:60]] + ["", "a", "ab", "b"]
+    texts = [f"the quick brown fox {c} over" for c in dict.fromkeys(codes)]
+    got = {r.doc_id: r.class_doc_id for r in line_dedup.line_classes(documents(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    want = plain_classes_fast(list(enumerate(texts)))
+    assert got == {i: v[0] for (i, _), v in want.items()} and len(set(got.values())) <= len(texts) - 60
+
+
+def test_rests_of_few_characters(spark):
+    """Lines that differ in none to three characters at the end, all of them in one bucket."""
+    import itertools
+
+    texts = ["a common beginning of it" + "".join(x) for k in range(4) for x in itertools.product("xyz", repeat=k)]
+    sig = spark.createDataFrame([(7, i, t[24:]) for i, t in enumerate(texts)], "sig long, key long, rest string")
+    got = {frozenset((r.u, r.v)) for r in line_dedup._keyed(sig).collect()}
+    assert all(distance(texts[a], texts[b]) <= 1 for a, b in map(tuple, got))
+    root = {r.v: r.root for r in components.connected_components(spark.createDataFrame([tuple(x) for x in got], "u long, v long")).collect()}
+    assert set(root.values()) == {0} and len(root) == len(texts)
+
+
+def test_outer_white_space(spark):
+    data = [(1, "a line of some length here", "s"), (2, "\t\ta line of some length here\r", "s"), (3, " \t\r\n \t\r", "s")]
+    got = {(r.doc_id, r.line_no): r.class_doc_id for r in line_dedup.line_classes(documents(spark, data)).collect()}
+    assert got == {(1, 0): 1, (2, 0): 1, (3, 0): 3, (3, 1): 3}
+
+
 def test_dedup_lines_keeps_rows_and_columns(spark):
     data = [(i, t, "s") for i, t in line_documents(9)]
     docs = documents(spark, data)
@@ -534,19 +562,15 @@ def test_pipeline_stages(spark, tmp_path):
 
 def plain_classes_fast(docs):
     """Classes for threshold 1 by shared deletions."""
-    import re
-
-    normal = lambda s: re.sub("[0-9]+", "0", s.strip(" ").lower())
-    lines = [(i, k, normal(x)) for i, text in docs for k, x in enumerate(text.split("\n"))]
-    long = {n for _, _, n in lines if len(n) >= line_dedup.MIN_CHARS}
-    group, meet = {n: n for n in long}, {}
+    lines = [(i, k, x.strip(" \t\r\x0b\x0c").lower()) for i, text in docs for k, x in enumerate(text.split("\n"))]
+    group, meet = {n: n for _, _, n in lines if n}, {}
 
     def root(n):
         while group[n] != n:
             n = group[n]
         return n
 
-    for n in sorted(long):
+    for n in sorted(n for n in group if len(n) >= 20):
         for v in {n} | {n[:p] + n[p + 1 :] for p in range(len(n))}:
             for m in meet.setdefault(hash(v), []):
                 if m != n and distance(m, n) <= 1:
@@ -554,9 +578,9 @@ def plain_classes_fast(docs):
             meet[hash(v)].append(n)
     heads: dict = {}
     for i, k, n in lines:
-        if n in long:
+        if n:
             heads[root(n)] = min(heads.get(root(n), (i, k)), (i, k))
-    return {(i, k): heads[root(n)] if n in long else (i, k) for i, k, n in lines}
+    return {(i, k): heads[root(n)] if n else (i, k) for i, k, n in lines}
 
 
 def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
