@@ -269,12 +269,13 @@ def test_fingerprint_edges(spark):
 
 
 def plain_top(vectors, k, every):
-    best = {}
-    for i, x in vectors.items():
+    """Sorted (query_id, rank, vec_id, score) over rows (vec_id, numbers), each row a query or a candidate of its own."""
+    best = []
+    for a, (i, x) in enumerate(vectors):
         if i % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(x, y)), j) for j, y in vectors.items() if j != i)[:k]
-            best |= {(i, n + 1): (j, -s) for n, (s, j) in enumerate(scores)}
-    return best
+            scores = sorted((-sum(p * q for p, q in zip(x, y)), j) for b, (j, y) in enumerate(vectors) if a != b)[:k]
+            best += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores)]
+    return sorted(best)
 
 
 @pytest.mark.parametrize(("n", "wide", "block"), [(0, 3, 4096), (1, 3, 4096), (4, 3, 4096), (120, 8, 16), (300, 5, 64)])
@@ -283,11 +284,23 @@ def test_top_k(spark, monkeypatch, n, wide, block):
     monkeypatch.setattr(topk, "TILE", 3)
     rng = random.Random(n)
     data = [(i, [rng.choice([rng.gauss(0, 1), 0.5, -0.25]) for _ in range(wide)], "x") for i in range(n)]
+    data += data[:1] + [(i, [0.75] * wide, "x") for i in (0, 1, 7) if i < n]  # repeated ids, of an equal and of another vector
     bad = [(1000, None, "x"), (1050, [1.0, None, 0.0], "x"), (1100, [math.nan] * 3, "x"), (1150, [math.inf, 0.0, 0.0], "x"), (None, [1.0] * 3, "x")]
-    df = spark.createDataFrame(data + bad + data[:1], "vec_id long, embedding array<float>, x string")
-    whole = {i: [math.floor(256 * float(np.float32(v))) for v in x] for i, x, _ in data}
-    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df, 5, 10).collect()}
-    assert got == plain_top(whole, 5, 10)
+    df = spark.createDataFrame(data + bad, "vec_id long, embedding array<float>, row string")
+    whole = [(i, [math.floor(256 * float(np.float32(v))) for v in x]) for i, x, _ in data]
+    assert sorted(tuple(r) for r in topk.top_k(df, 5, 10).collect()) == plain_top(whole, 5, 10)
+
+
+def test_top_k_agrees_with_its_sql_on_repeated_ids(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(1)
+    data = [(i % 120, [rng.gauss(0, 1) for _ in range(6)]) for i in range(200)]
+    spark.createDataFrame(data, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.execute(topk.OP4_SQL).fetchall()
+    assert sorted(tuple(r) for r in topk.op4_top_k(spark, str(tmp_path)).collect()) == sorted(want)
 
 
 def test_nra_with_large_numbers_and_ties():
@@ -296,12 +309,26 @@ def test_nra_with_large_numbers_and_ties():
         x = rng.integers(-scale, scale, (200, 6))
         q = rng.integers(-scale, scale, (20, 6))
         got: dict = {}
-        for i, j, s in zip(*topk.nra_block(q, x, np.full(20, -1), np.arange(200), 7), strict=True):
+        for i, j, s in zip(*topk.nra_block(q, x, np.full(20, -1), np.arange(200), 7)[:3], strict=True):
             got.setdefault(int(i), []).append((-int(s), int(j)))
         exact = x.astype(object) @ q.astype(object).T
         assert got == {i: sorted((-int(s), j) for j, s in enumerate(exact[:, i]))[:7] for i in range(20)}
 
 
+def test_nra_stops_reading_where_scores_are_skewed():
+    """Few vectors with large components are found in the first part of the lists, and zero weights need no list."""
+    rng = np.random.default_rng(5)
+    x = np.abs(rng.normal(0, 8, (4000, 8))).astype(np.int64)
+    x[:20] += rng.integers(200, 400, (20, 8))
+    q = rng.integers(1, 50, (30, 8))
+    q[:, 6:] = 0
+    rows, best, scores, entries = topk.nra_block(q, x, np.full(30, -1), np.arange(4000), 5)
+    exact = q @ x.T
+    for i in range(30):
+        assert sorted(scores[rows == i]) == sorted(exact[i])[-5:]
+    assert entries <= 30 * 6 * len(x) / 4
+
+
 # Secrets
 
 
