@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,17 +22,23 @@ from .quality import binned, quantile_cuts
 
 #: At most so many labelled findings are trained on, those with the smallest hash of document and place.
 MAX_FINDINGS = 20_000
+#: At most so many passages of documents, of so many characters, have findings planted, PLANTS in each.
+MAX_PASSAGES, PASSAGE, PLANTS = 1_000, 2_000, 12
 #: Common words sent to the tasks: those found in the most documents.
 DICTIONARY = 2_000
 #: Characters of context on either side of a candidate.
 CONTEXT = 48
 _BODY = r"[A-Za-z0-9+/_\-.@:]"
-_CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_\-.@])(?=[A-Za-z+/_\-.@:]*\d){_BODY}{{12,}}(?:={{1,2}}(?![A-Za-z0-9+/_\-.@:=\"'`]))?")
+_CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_\-.@])(?=[A-Za-z+/_\-.@:]*\d|gh[pousr]_|glpat-|[srp]k_(?:live|test)_|xox[abeoprs]-|npm_|hf_){_BODY}{{12,}}(?:={{1,2}}(?![A-Za-z0-9+/_\-.@:=\"'`]))?")
 _NAME = r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credential|auth)\w{0,64}"
 _KEYWORD = re.compile(_NAME, re.I)
 _ASSIGNED = re.compile(_NAME + r"[\"']?\s*[:=]+>?\s*[\"'`]?$", re.I)
 #: Any value assigned to a credential's name: quoted, or up to white space or what parts fields.
 _VALUE = re.compile(_NAME + r"[\"']?(?P<by>[ \t]*[:=]+>?[ \t]*)(?:\"(?P<a>[^\"\n]+)\"|'(?P<b>[^'\n]+)'|`(?P<c>[^`\n]+)`|(?P<d>[^\s\"'`&,;<>]+))", re.I)
+#: A password within an address, and private keys over several lines.
+_USER = re.compile(r"://[^\s/:@\"']{0,64}:(?P<a>[^\s/@\"']{3,128})@")
+_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s:,\-]{0,20000}?-----END [A-Z ]{0,40}PRIVATE KEY-----")
+_CONFIG = re.compile(r"(?:\.env|config|settings|deploy|secrets?|\.ya?ml|\.ini|\.toml|\.pem|\.properties)", re.I)
 _SAMPLE = re.compile(r"(?:example|sample|test|dummy|mock|fixture)", re.I)
 #: Forms of tokens that services give out.
 _PREFIXED = re.compile(
@@ -47,7 +53,7 @@ _ORDINARY = re.compile(
     rf"|[.~]{{0,2}}/?{_STEP}(?:/{_STEP})+/?|\d{{1,4}}[\-./]\d{{1,2}}[\-./]\d{{1,4}}(?:[T:]?[\d:.+\-]*Z?)|[vV]?\d{{1,4}}(?:\.\d{{1,6}})+(?:[\-+.][a-z]+\.?\d*)?)[.:]?"
 )
 _WORDS = re.compile(r"[^\W\d_]{3,}")
-FEATURES = ("length", "entropy", "digits", "upper", "lower", "others", "changes", "digit_changes", "vowel_changes", "covered", "keyword", "assigned", "quoted", "sample_path", "path", "known_left", "known_right", "prefixed", "ordinary")
+FEATURES = ("length", "entropy", "digits", "upper", "lower", "others", "changes", "digit_changes", "vowel_changes", "covered", "keyword", "assigned", "quoted", "sample_path", "config_path", "known_left", "known_right", "prefixed", "ordinary")
 
 
 def _assigned(text: str) -> list[tuple[int, int, int]]:
@@ -65,11 +71,14 @@ def _assigned(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str | None) -> list[tuple[int, int]]:
-    """Places of the candidates: at least 12 characters of names, numbers and encodings with a digit among them, and
-    whatever is assigned to a credential's name."""
+    """Places of the candidates: private keys over several lines, whatever is assigned to a credential's name or is the
+    password of an address, and other runs of at least 12 characters of names, numbers and encodings with a digit."""
     if not text:
         return []
+    blocks = [m.span() for m in _KEY_BLOCK.finditer(text)] if "PRIVATE KEY" in text else []
     assigned, found, k = _assigned(text), [], 0
+    if "://" in text:
+        assigned = sorted(assigned + [(*m.span("a"), m.start()) for m in _USER.finditer(text)])
     for m in _CANDIDATE.finditer(text):
         while k < len(assigned) and assigned[k][1] <= m.start():
             k += 1
@@ -78,7 +87,10 @@ def candidates(text: str | None) -> list[tuple[int, int]]:
             found.append(m.span())
         elif m.end() > assigned[k][1] and len(rest := text[assigned[k][1] : m.end()]) >= 12 and any(map(str.isdigit, rest)):
             found.append((assigned[k][1], m.end()))
-    return sorted({*found, *((i, j) for i, j, _ in assigned)})
+    found += [(i, j) for i, j, _ in assigned]
+    if blocks:
+        found = [x for x in found if not any(i < x[1] and x[0] < j for i, j in blocks)] + blocks
+    return sorted(set(found))
 
 
 def _kind(c: str) -> int:
@@ -99,8 +111,8 @@ def finding_features(text: str, start: int, end: int, path: str | None, common:
         float(n), entropy, shares[0], shares[2], shares[1], shares[3],
         sum(a != b for a, b in pairs) / max(1, n - 1), sum((a == 0) != (b == 0) for a, b in pairs) / max(1, n - 1), sum(a != b for a, b in zip(vowel, vowel[1:], strict=False)) / max(1, n - 1),
         covered, float(bool(_KEYWORD.search(left))), float(bool(_ASSIGNED.search(left))), float(left[-1:] in "\"'`" and right[:1] in "\"'`" and bool(left)),
-        float(bool(_SAMPLE.search(path or ""))), zlib.crc32((path or "").encode()) % 64 / 64, known(_WORDS.findall(left)), known(_WORDS.findall(right)),
-        float(bool(_PREFIXED.fullmatch(word))), float(bool(_ORDINARY.fullmatch(word))),
+        float(bool(_SAMPLE.search(path or ""))), float(bool(_CONFIG.search(path or ""))), known(_WORDS.findall(left)), known(_WORDS.findall(right)),
+        float(bool(_PREFIXED.fullmatch(word) or _KEY_BLOCK.fullmatch(word))), float(bool(_ORDINARY.fullmatch(word))),
     ]
 
 
@@ -208,24 +220,87 @@ def scan(docs: DataFrame, forest: Forest, common: frozenset[str], threshold: flo
     return found.select("doc_id", "start", "length", "sha256", "score", (F.col("score") >= threshold).alias("is_secret"))
 
 
-def weak_labels(findings: DataFrame) -> DataFrame:
-    """Labels where a rule is sure: a token of a known form, a candidate assigned to a credential's name and as mixed as
-    random digits, or a bare one as mixed as base64 is a secret; a host, address, path, date or version, digits alone, low
-    entropy or common words with no such name beside it, and a common word assigned to one, is none. Other bare tokens
-    have no label."""
-    at = {name: F.col("x")[i] for i, name in enumerate(FEATURES)}
-    plain = at["ordinary"] == 1
-    mixed = (at["entropy"] >= 4.2) & (at["length"] >= 24) & (at["digits"] > 0) & (at["upper"] > 0.1) & (at["lower"] > 0.1) & (at["changes"] >= 0.4) & (at["covered"] <= 0.1)
-    sure = (at["prefixed"] == 1) | ((at["assigned"] == 1) & (at["entropy"] >= 3) & (at["length"] >= 16)) | (mixed & ~plain)
-    no = (at["keyword"] == 0) & (plain | (at["digits"] == 1) | (at["entropy"] < 3) | (at["covered"] > 0.3))
-    word = (at["assigned"] == 1) & (at["covered"] == 1)
-    return findings.withColumn("is_secret", F.when(word, False).when(sure, True).when(no, False))
+def _planted_value(rng: random.Random) -> tuple[str, str, str, bool]:
+    """What stands before a value, the value, what stands behind it, and whether it is a secret."""
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    some = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    alnum, hexes = letters + letters.upper() + digits, "0123456789abcdef"
+    base64 = alnum + "+/"
+    word = lambda: some(letters, rng.randint(3, 9))
+    mixed = lambda n: f"{some(letters, 2)}{some(letters.upper(), 2)}{some(digits, 2)}{some(alnum, n)}"
+    name = rng.choice(["token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "API_KEY", "auth_token", "client_secret"])
+    before, behind = rng.choice([(f'{name} = "', '"'), (f"{name}=", ""), (f"{name}: ", ""), (f"'{name}': '", "'"), (f"export {name.upper()}=", ""), (f"?{name}=", "")])
+    secret = rng.random() < 0.5
+    if secret:
+        known = rng.choice([
+            lambda: "ghp_" + some(alnum, 36), lambda: "AKIA" + some(letters.upper() + digits, 16), lambda: "xoxb-" + some(digits, 11) + "-" + some(alnum, 24), lambda: "sk_live_" + some(alnum, 24),
+            lambda: "glpat-" + some(alnum, 20), lambda: f"eyJ{some(alnum, 20)}.eyJ{some(alnum, 40)}.{some(alnum, 43)}", lambda: some(base64, rng.choice([40, 44, 64])), lambda: mixed(rng.randint(20, 40)),
+        ])
+        weak = lambda: word() + rng.choice("!#-_.@") + word().title() + some(digits, rng.randint(0, 4))
+        kind = rng.randrange(5)
+        if kind == 0:
+            return rng.choice(["", "uses ", "("]), known(), rng.choice(["", " now", ")"]), True
+        if kind == 1:
+            return "", "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(some(base64, 64) for _ in range(rng.randint(3, 12))) + "\n-----END RSA PRIVATE KEY-----", "", True
+        if kind == 2:
+            return f"{rng.choice(['https', 'postgres', 'amqp'])}://{word()}:", mixed(rng.randint(4, 12)), f"@{word()}.example.com/{word()}", True
+        return before, rng.choice([known, lambda: some(hexes, rng.choice([32, 40, 64])), lambda: mixed(rng.randint(8, 20)), weak])(), behind, True
+    kind = rng.randrange(8)
+    if kind == 0:  # what stands in a secret's place in examples
+        value = rng.choice(["your-token-here", "changeme", "<token>", "${" + name.upper() + "}", "xxxxxxxxxxxxxxxx", "********", "null", "None", "required", "REPLACE_ME_123456", "os.environ", word(), "example-" + word()])
+        return before, value, behind, False
+    if kind == 1:
+        return rng.choice(["commit ", "sha256:", "revision ", "checksum ", "md5 "]), some(hexes, rng.choice([32, 40, 64])), "", False
+    value = [
+        lambda: f"/{word()}/{word()}{some(digits, 2)}/{word()}.{rng.choice(['py', 'txt', 'json'])}", lambda: f"{word()}{some(digits, 1)}.{word()}.example.com:{some(digits, 4)}", lambda: f"{word()}.{word()}{some(digits, 2)}@{word()}.example.org",
+        lambda: f"20{some(digits, 2)}-0{rng.randint(1, 9)}-{rng.randint(10, 28)}T{rng.randint(10, 23)}:{rng.randint(10, 59)}:{rng.randint(10, 59)}Z", lambda: some("123456789", 1) + some(digits, rng.randint(12, 18)), lambda: f"{some(hexes, 8)}-{some(hexes, 4)}-4{some(hexes, 3)}-a{some(hexes, 3)}-{some(hexes, 12)}",
+    ][kind - 2]()
+    return rng.choice(["", "see ", "id ", "at ", "file "]), value, "", False
+
+
+def planted(text: str, rng: random.Random, plants: int = PLANTS) -> tuple[str, list[tuple[int, int, bool]]]:
+    """The text with secrets and look-alikes put between its words, and their places: start, end, is_secret."""
+    words, out, found, at = text.split(" "), [], [], 0
+    places = set(rng.sample(range(len(words)), min(plants, len(words))))
+    for k, word in enumerate(words):
+        if k in places:
+            before, value, behind, secret = _planted_value(rng)
+            found.append((at + len(before), at + len(before) + len(value), secret))
+            out.append(before + value + behind)
+            at += len(out[-1]) + 1
+        out.append(word)
+        at += len(word) + 1
+    return " ".join(out), found
+
+
+def planted_findings(docs: DataFrame, common: frozenset[str], passages: int = MAX_PASSAGES, seed: int = 7) -> DataFrame:
+    """Labelled findings (doc_id, start, length, x, is_secret) planted into passages of ``docs`` (doc_id, text, path).
+
+    ``passages`` bounds how many documents give a passage, those of the smallest hash; what the documents themselves hold
+    has no label and is left out. Null texts give none.
+    """
+    h = F.xxhash64("doc_id", "text", F.lit(seed))
+    at = 1 + F.pmod(h, F.greatest(F.length("text") - PASSAGE, F.lit(1)))
+    some = docs.where(F.col("text").isNotNull()).select("doc_id", F.substring("text", at.cast("int"), F.lit(PASSAGE)).alias("text"), "path", h.alias("h"))
+    some = some.orderBy("h", "doc_id", "text").limit(passages)
+
+    def plant(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for doc_id, text, path, h in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "path", "h")), strict=True):
+                text, labels = planted(text, random.Random(h))
+                proposed = set(candidates(text))
+                rows += [{"doc_id": doc_id, "start": i, "length": j - i, "x": finding_features(text, i, j, path, common), "is_secret": secret} for i, j, secret in labels if (i, j) in proposed]
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("length", pa.int32()), ("x", pa.list_(pa.float64())), ("is_secret", pa.bool_())]))
+
+    return some.mapInArrow(plant, "doc_id long, start int, length int, x array<double>, is_secret boolean")
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Findings of all documents, the source standing for the path. ``labels`` has no column for secrets, so the forest is
-    trained on findings that ``weak_labels`` is sure of, held-out documents left out."""
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("source", "path")
+    """Findings of all documents, the source standing for the path. No table has labelled findings, so the forest is
+    trained on findings planted into passages of documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("path"))
     common = common_words(docs)
-    labelled = weak_labels(_measured(docs.where(~held_out(F.col("doc_id"))), common))
-    return scan(docs, train(labelled), common)
+    return scan(docs, train(planted_findings(docs.where(~held_out(F.col("doc_id"))), common)), common)

@@ -333,14 +333,19 @@ def test_nra_stops_reading_where_scores_are_skewed():
 
 
 def test_secrets(spark):
+    """Trained on findings planted into some documents, the forest parts those planted into others, and what the others hold."""
     rng, data = random.Random(8), []
     hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    words = ["some", "words", "and", "more", "here", "there"]
     for i in range(300):
-        data.append((i, f'some words token = "{hexes(40)}" and more\ncard {rng.randint(10**15, 10**16)} at 10.{i % 200}.33.{rng.randint(100, 200)} here', "src"))
+        data.append((i, f'{" ".join(rng.choices(words, k=60))} token = "{hexes(40)}" and more\ncard {rng.randint(10**15, 10**16)} at 10.{i % 200}.33.{rng.randint(100, 200)} here', "src"))
     docs = documents(spark, data).withColumnRenamed("source", "path")
     common = secrets.common_words(docs, 50)
     assert len(common) <= 50 and "words" in common
-    forest = secrets.train(secrets.weak_labels(secrets._measured(docs.where("doc_id % 2 = 0"), common)))
+    forest = secrets.train(secrets.planted_findings(docs.where("doc_id % 2 = 0"), common))
+    held = secrets.planted_findings(docs.where("doc_id % 2 = 1"), common, seed=8).collect()
+    says, is_secret = forest.score(np.array([r.x for r in held])) >= 0.5, np.array([r.is_secret for r in held])
+    assert len(held) > 1000 and (says & is_secret).sum() >= 0.95 * max(says.sum(), is_secret.sum())
     text = {i: t for i, t, _ in data}
     found = secrets.scan(docs.where("doc_id % 2 = 1"), forest, common).collect()
     assert len(found) >= 300
@@ -349,12 +354,18 @@ def test_secrets(spark):
         assert r.sha256 == hashlib.sha256(word.encode()).hexdigest() and r.is_secret == (len(word) == 40)
 
 
-def test_secret_edges(spark):
+def test_secret_edges(spark, tmp_path):
     docs = documents(spark).withColumnRenamed("source", "path")
-    forest = secrets.train(secrets.weak_labels(secrets._measured(docs, frozenset())))
+    forest = secrets.train(secrets.planted_findings(docs, frozenset()))
     assert secrets.scan(empty(spark).withColumnRenamed("source", "path"), forest, frozenset()).count() == 0
     assert {r.score for r in secrets.scan(docs, secrets.Forest([np.zeros(0)] * len(secrets.FEATURES), [0.25]), frozenset()).collect()} <= {0.25}
     assert secrets.fit_forest(np.zeros((0, len(secrets.FEATURES))), np.zeros(0)).score(np.zeros((2, len(secrets.FEATURES)))).tolist() == [0.5, 0.5]
+    # The query on a table that has columns of the names used within.
+    clash = docs.select("doc_id", "text", F.lit("src").alias("source"), "path", F.lit(1).alias("x"), F.lit("z").alias("h"), F.lit(0).alias("start"))
+    clash.write.parquet(str(tmp_path / "documents.parquet"))
+    assert secrets.op5_secrets(spark, str(tmp_path)).columns == ["doc_id", "start", "length", "sha256", "score", "is_secret"]
+    clash.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert secrets.op5_secrets(spark, str(tmp_path / "none")).count() == 0
 
 
 # Tokens
