@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,8 +22,10 @@ from .common import table, written
 #: The band, as shares of the documents that hold a term. There are at most (mean distinct terms of a document) / LEAST
 #: terms in it, however many documents there are, so the lexicon can be sent to every task.
 LEAST, MOST = 0.001, 0.2
-#: Subsets of the lexicon: so many of each density 1/2, 1/4, ...
-DENSITIES, EACH = 8, 8
+#: Subsets of the lexicon: so many of each density 1/2, 1/4, ... The sparse ones tell long texts of which half differs.
+DENSITIES, EACH = 12, 8
+#: Bytes of text in a range of neighbours, about.
+RANGE = 64 << 20
 #: Distinct terms a task counts before it hands its counts on.
 COUNTED = 500_000
 _TERM = re.compile(r"\w+")
@@ -88,21 +91,20 @@ class _Known(dict):
 class Fingerprinter:
     """Fingerprints under a lexicon: DENSITIES * EACH hashes of two bytes, of which 0 marks an empty subset.
 
-    A text with terms but none in the lexicon is told by all its terms, in one subset of its own beside empty ones; a
-    text without terms has empty subsets only. Texts with equal terms have equal fingerprints.
+    A subset's hash is that of its terms in the text, distinct and sorted (by their own hashes). A text with terms but none
+    in the lexicon is told by all its terms, in one subset of its own beside empty ones; a text without terms has empty
+    subsets only. Texts with equal terms have equal fingerprints.
     """
 
     def __init__(self, known: frozenset[int]):
         self.memory = _Known(known)
         self.lexicon = np.sort(np.fromiter(known, np.uint64, len(known)))
-        self.spread = (_mixed(self.lexicon, EACH) >> np.uint64(32)).astype(np.uint32)
-        # Density d holds a term where d + 1 bits, of their own for each subset, are all zero.
-        self.members = np.zeros((len(self.lexicon), DENSITIES * EACH), np.uint8)
-        for i in range(EACH):
-            bits, at = _mixed(self.lexicon, i), 0
-            for d in range(DENSITIES):
-                self.members[:, d * EACH + i] = (bits >> np.uint64(at)) & np.uint64((1 << d + 1) - 1) == 0
-                at += d + 1
+        # Subset d * EACH + i holds a term where d + 1 bits of a number of its own are zero.
+        held = [np.flatnonzero(_mixed(self.lexicon, s) >> np.uint64(63 - s // EACH) == 0) for s in range(DENSITIES * EACH)]
+        place, subset = np.concatenate(held), np.repeat(np.arange(len(held), dtype=np.uint8), [len(x) for x in held])
+        order = np.argsort(place, kind="stable")
+        self.subsets = subset[order]  # those of each term, one term after another
+        self.starts = np.searchsorted(place[order], np.arange(len(self.lexicon) + 1))
 
     def digest(self, text: str | None) -> bytes:
         from xxhash import xxh32_intdigest
@@ -112,18 +114,16 @@ class Fingerprinter:
         if not inside:
             whole = (xxh32_intdigest(" ".join(sorted(found)).encode(errors="replace")) % 0xFFFF + 1).to_bytes(2, "big") if found else _NONE
             return whole + _NONE * (DENSITIES * EACH - 1)
-        places = np.searchsorted(self.lexicon, np.sort(np.array(inside, np.uint64)))
-        members = self.members[places]
-        # Each subset's terms in sorted order: the hash weighs a term by its place among them.
-        weight = members.cumsum(0, dtype=np.uint32)
-        sizes = weight[-1].copy()
-        weight += weight
-        weight += np.uint32(1)
-        weight *= members
-        weight *= self.spread[places][:, None]
-        total = weight.sum(0, dtype=np.uint32).astype(np.uint64)
-        codes = (_mixed(total, EACH + 1) >> np.uint64(40)) % np.uint64(0xFFFF) + np.uint64(1)
-        return np.where(sizes > 0, codes, 0).astype(">u2").tobytes()
+        inside = np.sort(np.array(inside, np.uint64))
+        places = np.searchsorted(self.lexicon, inside)
+        n = self.starts[places + 1] - self.starts[places]
+        ends = np.cumsum(n)
+        subsets = self.subsets[np.arange(ends[-1]) + np.repeat(self.starts[places + 1] - ends, n)]
+        order = np.argsort(subsets, kind="stable")
+        bounds = np.searchsorted(subsets[order], np.arange(DENSITIES * EACH + 1)).tolist()
+        each = memoryview(np.repeat(inside, n)[order].astype("<u8").tobytes())
+        codes = [xxh32_intdigest(each[8 * a : 8 * b]) % 0xFFFF + 1 if a < b else 0 for a, b in zip(bounds, bounds[1:], strict=False)]
+        return np.array(codes, ">u2").tobytes()
 
 
 def likeness(a: bytes, b: bytes) -> float:
@@ -134,13 +134,14 @@ def likeness(a: bytes, b: bytes) -> float:
 
 
 def fingerprints(docs: DataFrame, known: frozenset[int]) -> DataFrame:
-    """doc_id and fingerprint for each row of ``docs`` (doc_id, text)."""
+    """doc_id and fingerprint for each row of ``docs`` (doc_id, text); a null text is an empty one."""
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     @F.pandas_udf("string")
-    def own(text: pd.Series) -> pd.Series:
+    def own(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         f = Fingerprinter(sent.value)
-        return text.map(lambda x: f.digest(x).hex(), na_action=None)
+        for text in texts:
+            yield text.map(lambda x: f.digest(x).hex(), na_action=None)
 
     return docs.select("doc_id", own("text").alias("fingerprint"))
 
@@ -150,11 +151,12 @@ def edited_fingerprints(docs: DataFrame, known: frozenset[int]) -> DataFrame:
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many (or all) of the next
     document in descending doc_id, the last taking the first. Null texts are empty; null ids come last; repeated ids
-    follow one another in the order of their fingerprints; further columns are ignored; an empty table gives an empty result.
+    follow one another in the order of their fingerprints, null ids in that of a hash of their texts; further columns are ignored; an empty table gives an empty result.
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Documents are dealt by id into ranges, and each range is also sent the first document of the next one, so neighbours
-    meet in one shuffle of the texts, which travel compressed.
+    Documents are dealt by id into ranges, null ids by a hash of their text, and each range is also sent the first
+    document of the next one, so neighbours meet in one shuffle of the texts, which travel compressed. There are as many
+    ranges and tasks as the size of the texts asks for.
     """
     import zstandard
 
@@ -169,25 +171,30 @@ def edited_fingerprints(docs: DataFrame, known: frozenset[int]) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
                 texts = [x.as_py() or "" for x in some.column("text")]
-                yield pa.RecordBatch.from_arrays([some.column("doc_id").cast(pa.int64()), pa.array([z.compress(x.encode(errors="replace")) for x in texts], pa.binary()), pa.array([f.digest(x) for x in texts], pa.binary())], ["doc_id", "body", "print"])
-
-    base = docs.select("doc_id", "text")
-    # Ranges of about equal numbers of rows, counted from the highest ids; null ids have one of their own behind all.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = base.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000).alias("cuts")).first()["cuts"]
-    cuts = sorted(set(cuts or []))
-    above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<long>"), lambda c: c > F.col("doc_id")))
-    at = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(above)
+                yield pa.RecordBatch.from_arrays([some.column("doc_id").cast(pa.int64()), some.column("spread").cast(pa.int64()), pa.array([z.compress(x.encode(errors="replace")) for x in texts], pa.binary()), pa.array([f.digest(x) for x in texts], pa.binary())], ["doc_id", "spread", "body", "print"])
+
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64(F.coalesce("text", F.lit(""))))  # orders null ids
+    base = docs.select("doc_id", "text", spread.alias("spread"))
+    keys = written(base.select("doc_id", "spread", F.octet_length("text").alias("size")), "ids")
+    size, n = keys.agg(F.sum("size"), F.count(F.lit(1))).first()
+    ranges = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // RANGE)), max(1, n))
+    # Ranges of about equal numbers of rows, counted from the highest ids; those of null ids are behind all.
+    cut = lambda name: F.percentile_approx(name, [i / ranges for i in range(1, ranges)] or [0.5], 10_000)
+    cuts = keys.agg(cut("doc_id").alias("ids"), cut("spread").alias("spreads")).first()
+    ids, spreads = sorted(set(cuts["ids"] or [])), sorted(set(cuts["spreads"] or []))
+    sent_cuts = lambda x: F.array(*[F.lit(c) for c in x]).cast("array<long>")
+    above = F.size(F.filter(sent_cuts(ids), lambda c: c > F.col("doc_id")))
+    at = F.when(F.col("doc_id").isNull(), len(ids) + 1 + F.size(F.filter(sent_cuts(spreads), lambda c: c <= F.col("spread")))).otherwise(above)
     # One row for each range: its first document is also dealt to the range before, that of the first range to the last.
-    firsts = base.groupBy(at.alias("at")).agg(F.max("doc_id").alias("first")).orderBy("at").collect()
+    firsts = keys.groupBy(at.alias("at")).agg(F.max("doc_id").alias("first"), F.min("spread").alias("spread")).orderBy("at").collect()
     lowest = -(1 << 63)
-    first = F.create_map(*[F.lit(x) for r in firsts for x in (r["at"], lowest if r["first"] is None else r["first"])], F.lit(-1), F.lit(lowest))
-    before = F.create_map(*[F.lit(x) for i, r in enumerate(firsts) for x in (r["at"], firsts[i - 1]["at"])], F.lit(-1), F.lit(-1))
-    host = F.when(F.coalesce("doc_id", F.lit(lowest)) == first[F.col("at")], before[F.col("at")])
+    mapped = lambda pairs: F.create_map(*[F.lit(x) for pair in [(-1, lowest), *pairs] for x in pair])[F.col("at")]
+    first, before = mapped([(r["at"], r["spread"] if r["first"] is None else r["first"]) for r in firsts]), mapped([(r["at"], firsts[i - 1]["at"]) for i, r in enumerate(firsts)])
+    host = F.when(F.coalesce("doc_id", "spread") == first, before.cast("int"))
     places = F.array_compact(F.array(F.struct("at", F.lit(False).alias("guest")), F.when(host.isNotNull(), F.struct(host.alias("at"), F.lit(True).alias("guest")))))
-    squeezed = base.mapInArrow(squeeze, "doc_id long, body binary, print binary").withColumn("at", at)
-    dealt = squeezed.withColumn("place", F.explode(places)).select("doc_id", "body", "print", "place.at", "place.guest")
-    after = Window.partitionBy("at").orderBy("guest", F.desc_nulls_last("doc_id"), "print", "body")
+    squeezed = base.mapInArrow(squeeze, "doc_id long, spread long, body binary, print binary").withColumn("at", at)
+    dealt = squeezed.withColumn("place", F.explode(places)).select("doc_id", "spread", "body", "print", "place.at", "place.guest").repartition(max(1, len(firsts)), "at")
+    after = Window.partitionBy("at").orderBy("guest", F.desc_nulls_last("doc_id"), "spread", "print", "body")
     neighbours = dealt.withColumn("next_body", F.lead("body").over(after)).withColumn("next_print", F.lead("print").over(after)).where("not guest")
 
     def edit(batches):
