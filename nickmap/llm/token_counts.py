@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, table
+from .common import shared_dir, table, written
 from .tokens import encoder, tokenizer_path, tokenizer_version
 
 CACHE = "content binary, tokenizer string, n_tokens long"
@@ -28,26 +28,34 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 1024)
     executors share, created where absent. Contents are normalised only so far that a null is an empty text: any other
     normalisation could change a count. Null and empty texts have 0 tokens; null ids and repeated rows are kept as they
     are; further columns are ignored; an empty table gives an empty result.
+
+    Digests are compared with the cache first, and texts are shuffled only where some of them are new.
     """
     spark, version = docs.sparkSession, tokenizer_version(tokenizer)
     spark.createDataFrame([], CACHE).write.mode("append").parquet(cache)
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("content"))
-    missing = keyed.select("content", "text").dropDuplicates(["content"]).join(_cached(spark, cache, version), "content", "left_anti")
-
-    def encode(batches):
-        import pyarrow as pa
-
-        e = encoder(tokenizer)
-        for batch in batches:
-            counts = [e.count(x) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array([version] * len(counts), pa.string()), pa.array(counts, pa.int64())], ["content", "tokenizer", "n_tokens"])
-
-    missing.mapInArrow(encode, CACHE).write.mode("append").parquet(cache)
-    sizes = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(text, 256)).alias("content"))
-    counted = sizes.join(_cached(spark, cache, version), "content")
-    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
-
-
-def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), shared_dir(spark, "token-cache"))
+    content = F.unhex(F.sha2(text, 256)).alias("content")
+    digests = written(docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), content), "digests")
+    known = written(_cached(spark, cache, version), "known-counts")
+    new = written(digests.select("content").distinct().join(known, "content", "left_anti"), "new-contents")
+    if not new.isEmpty():
+
+        def encode(batches):
+            import pyarrow as pa
+
+            e = encoder(tokenizer)
+            for batch in batches:
+                counts = [e.count(x) for x in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array([version] * len(counts), pa.string()), pa.array(counts, pa.int64())], ["content", "tokenizer", "n_tokens"])
+
+        missing = docs.select(content, text.alias("text")).dropDuplicates(["content"]).join(new, "content", "left_semi")
+        missing.mapInArrow(encode, CACHE).write.mode("append").parquet(cache)
+        known = written(_cached(spark, cache, version), "known-counts")
+    # Written tables on both sides: a content that many documents share can be split.
+    return digests.join(known, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str, cache: str | None = None) -> DataFrame:
+    """Token counts of all documents. The query has a cache of its own for each call; with ``cache``, a folder that all
+    executors share, it goes on with what earlier calls have counted."""
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), cache or shared_dir(spark, "token-cache"))
