@@ -17,6 +17,11 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _body(doc_id: str, text: str) -> Column:
+    """The digest of a text that has no id, so that rows without ids have draws of their own; else null."""
+    return F.when(F.col(doc_id).isNull(), F.md5(F.coalesce(F.col(text), F.lit("")))).alias("body")
+
+
 def water_fill(sources: DataFrame, total: Column, max_epochs: float) -> DataFrame:
     """Adds target to ``sources`` (source, source_size, weight): shares of ``total`` by weight, none above
     ``max_epochs`` times the source's size.
@@ -39,10 +44,10 @@ def water_fill(sources: DataFrame, total: Column, max_epochs: float) -> DataFram
 
 def _mixed(base: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float, seed: str) -> DataFrame:
     """Adds source_size, target, whole (times a document comes whole) and part (further words of it) to ``base``
-    (key, doc_id, source, size), a written table."""
+    (key, doc_id, source, size, body: digest of a text without id), a written table."""
     # Two levels of running sums; about as many buckets as a bucket has rows.
     buckets = max(1, math.isqrt(base.count()))
-    draw = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    draw = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null"), "body"))))
     bucket = F.floor(F.conv(F.substring("draw", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)).cast("long")
 
     sources = base.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -74,9 +79,9 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), s
     all words; see ``water_fill``. A source's documents come whole as often as its target holds them all; the rest is
     taken from its documents in an order drawn from ``seed`` and doc_id, the last of them in part, so that the words
     taken are the target rounded. Rows that tie in that order count by size, so a rerun takes the same. Null texts have size 0
-    and give nothing; null ids share one draw; further columns are ignored; an empty table gives an empty result.
+    and give nothing; rows without an id are drawn by their text; further columns are ignored; an empty table gives an empty result.
     """
-    base = written(docs.select(F.lit(None).cast("long").alias("key"), "doc_id", "source", words(F.col("text")).alias("size")), "mix")
+    base = written(docs.select(F.lit(None).cast("long").alias("key"), "doc_id", "source", words(F.col("text")).alias("size"), _body("doc_id", "text")), "mix")
     mixed = _mixed(base, weights, share, max_epochs, seed)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).cast("long").alias("taken"))
 
@@ -85,7 +90,7 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0),
     """The mix itself: rows of ``docs`` with all columns, each as often as it is taken. The one document of a source that
     comes in part has its first words, joined by spaces."""
     rows = with_row_id(docs)
-    base = written(rows.select(F.col("row_id").alias("key"), "row.doc_id", "row.source", words(F.col("row.text")).alias("size")), "mix")
+    base = written(rows.select(F.col("row_id").alias("key"), "row.doc_id", "row.source", words(F.col("row.text")).alias("size"), _body("row.doc_id", "row.text")), "mix")
     mixed = _mixed(base, weights, share, max_epochs, seed).where("whole > 0 or part > 0").select(F.col("key").alias("row_id"), "size", "whole", "part")
     times = F.concat(F.array_repeat(F.col("size"), F.col("whole").cast("int")), F.when(F.col("part") > 0, F.array(F.col("part"))).otherwise(F.array().cast("array<long>")))
     taken = rows.join(mixed.withColumn("times", times), "row_id").withColumn("n", F.explode("times"))
@@ -101,7 +106,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = r"""
 with docs as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
-         md5(concat('mix-1', coalesce(cast(doc_id as varchar), 'null'))) as draw
+         md5(concat('mix-1', coalesce(cast(doc_id as varchar), concat('null', md5(coalesce(text, '')))))) as draw
   from documents),
 sources as (
   select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) as index

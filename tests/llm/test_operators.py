@@ -256,6 +256,61 @@ def test_fingerprints(spark):
     assert rows(imatch.fingerprints(docs, known)) == sorted((str(r.doc_id), r.fingerprint) for r in got.values())
 
 
+def plain_digest(text, known):
+    """The definition in whole numbers: each subset's terms by their own numbers, sorted, and hashed."""
+    import re
+
+    from xxhash import xxh32_intdigest, xxh64_intdigest
+
+    most = (1 << 64) - 1
+
+    def mixed(h, salt):
+        x = (h ^ (salt + 1)) * 0x9E3779B97F4A7C15 & most
+        x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & most
+        return x ^ x >> 29
+
+    found = set(re.findall(r"\w+", (text or "").lower()))
+    inside, out = sorted({xxh64_intdigest(t.encode()) for t in found} & set(known)), []
+    for s in range(96):
+        some = [h for h in inside if mixed(h, s) < 1 << 63 - s // 8]
+        out.append(xxh32_intdigest(b"".join(h.to_bytes(8, "little") for h in some)) % 65535 + 1 if some else 0)
+    if found and not inside:
+        out[0] = xxh32_intdigest(" ".join(sorted(found)).encode()) % 65535 + 1
+    return out
+
+
+def test_fingerprints_by_definition(spark):
+    """Fingerprints and likenesses against the definition, and texts of which half is kept against others."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(3000)]
+    data = [(i, " ".join(rng.choices(words, k=rng.choice([3, 40, 300, 1500]))), "s") for i in range(60)] + [(70, None, "s"), (71, "only other terms", "s")]
+    docs = documents(spark, data)
+    known = imatch.lexicon(docs, 0.02, 0.9)
+    got = {r.doc_id: r for r in imatch.edited_fingerprints(docs, known).collect()}
+    order, above = sorted(data, key=lambda r: -r[0]), 0
+    for k, (i, text, _) in enumerate(order):
+        text, other = text or "", order[(k + 1) % len(order)][1] or ""
+        edited = text[: len(text) - len(text) // 2] + other[: len(text) // 2]
+        a, b, c = (plain_digest(t, known) for t in (text, edited, other))
+        share = lambda x, y: sum(p == q for p, q in zip(x, y) if p or q) / max(1, sum(bool(p or q) for p, q in zip(x, y))) if any(x) or any(y) else 1.0
+        r = got[i]
+        assert r.fingerprint == "".join(f"{v:04x}" for v in a) and r.edited_fingerprint == "".join(f"{v:04x}" for v in b)
+        assert abs(r.near_edited - share(a, b)) < 1e-9 and abs(r.near_next - share(a, c)) < 1e-9
+        above += r.near_edited > r.near_next
+    assert above >= 0.9 * len(data)
+
+
+def test_neighbours_without_ids(spark, monkeypatch):
+    """Many rows without an id, and ranges smaller than they are: each still has one next document, in one ring."""
+    monkeypatch.setattr(imatch, "RANGE", 200)
+    data = [(i if i % 3 else None, f"text number {i}", "s") for i in range(150)] + [(None, None, "s"), (None, "", "s")]
+    got = imatch.edited_fingerprints(documents(spark, data), frozenset()).collect()
+    assert len(got) == len(data) and sorted(r.n_chars for r in got) == sorted(len(t or "") for _, t, _ in data)
+    order = [t for i, t, _ in sorted((x for x in data if x[0] is not None), key=lambda x: -x[0])]
+    want = {t: hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest() for t, n in zip(order, order[1:])}
+    assert all(r.edited_sha256 == want[f"text number {r.doc_id}"] for r in got if r.doc_id is not None and f"text number {r.doc_id}" in want)
+
+
 def test_fingerprint_edges(spark):
     docs = documents(spark)
     got = imatch.edited_fingerprints(docs, imatch.lexicon(docs))
@@ -385,6 +440,11 @@ def test_token_counts_and_cache(spark):
     assert again.count() == docs.count() + 1 and spark.read.parquet(cache).count() == n + 1
     token_counts.count_tokens(docs, WORD, cache, 9).count()
     assert spark.read.parquet(cache).select("tokenizer").distinct().count() == 2
+    # The query with that cache: what it lacks is appended, and a second call appends nothing.
+    token_counts.op6_token_counts(spark, "/root/testdata/sf0.001", cache).count()
+    n = spark.read.parquet(cache).count()
+    assert token_counts.op6_token_counts(spark, "/root/testdata/sf0.001", cache).count() == table(spark, "/root/testdata/sf0.001", "documents").count()
+    assert spark.read.parquet(cache).count() == n
     assert token_counts.count_tokens(empty(spark), BYTE, shared_dir(spark, "test-cache")).count() == 0
 
 
@@ -470,6 +530,10 @@ def test_mixing(spark):
 
 def test_mixing_edges(spark):
     docs = documents(spark)
+    # Rows without ids, each with a text of its own, are drawn one by one and alike in a rerun.
+    nameless = documents(spark, [(None, " ".join(["w"] * (i % 7 + 1)) + f" {i}", "a") for i in range(300)] + [(1, "w " * 300, "b")])
+    got = mixing.mix_sources(nameless)
+    assert rows(got) == rows(mixing.mix_sources(nameless.repartition(5))) and {r.taken - r.size for r in got.where("doc_id is null").collect()} >= {0}
     assert mixing.mix_sources(docs).count() == docs.count()
     assert mixing.mix_sources(empty(spark)).count() == 0 and mixing.mix_documents(empty(spark)).count() == 0
     blank = documents(spark, [(1, "", "a"), (2, None, None)])
