@@ -43,9 +43,11 @@ def lines_of(docs: DataFrame, min_chars: int, numbers: bool = False) -> DataFram
     """doc_id, body (hash of the text), line_no, line, key for each line of ``docs`` (doc_id, text). key is the hash of
     the normal form, null for blank lines; line is that form, null for lines under ``min_chars``."""
     each = F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
-    lines = docs.select("doc_id", F.xxhash64("text").alias("body"), each)
-    n, line = F.length(F.trim("raw", F.lit(WHITE))), normal_form(F.col("raw"), numbers)
-    return lines.select("doc_id", "body", "line_no", F.when(n >= min_chars, line).alias("line"), F.when(n > 0, F.xxhash64(line)).alias("key"))
+    lines = docs.select("doc_id", "text", F.xxhash64("text").alias("body")).select("doc_id", "body", each)
+    # A column of its own, as Spark would work it out for each use otherwise.
+    lines = lines.select("doc_id", "body", "line_no", normal_form(F.col("raw"), numbers).alias("form"))
+    line, key = F.when(F.length("form") >= min_chars, F.col("form")), F.when(F.col("form") != "", F.xxhash64("form"))
+    return lines.select("doc_id", "body", "line_no", line.alias("line"), key.alias("key"))
 
 
 def segment_probes(threshold: int) -> list[tuple[int, int, int]]:
@@ -235,9 +237,9 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = M
     parted by line feeds.
 
     A line's class is named by its first line: the least doc_id (nulls first), then line_no; that line is kept. Lines of
-    equal normal form are one class, whatever their length, and those of ``min_chars`` or more (outer white space aside)
-    also with all lines within ``threshold`` edits, directly or by a chain; blank lines are classes of their own. Null
-    texts have no line; an empty text has one. Repeated rows count as one document: their lines are kept or not alike.
+    equal normal form are one class, whatever their length, and those of ``min_chars`` or more (in that form) also
+    with all lines within ``threshold`` edits, directly or by a chain; blank lines are classes of their own. Null texts
+    have no line; an empty text has one. Repeated rows count as one document: their lines are kept or not alike.
     Further columns are ignored; an empty table gives an empty result. Lines are told apart by a 64-bit hash of their
     normal form; with ``numbers``, runs of digits are alike in it.
     """
