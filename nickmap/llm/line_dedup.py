@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import likely, table, written
 from .components import connected_components
 
 #: Edits between lines of one class, after letter case and outer white space are set aside.
@@ -29,8 +29,6 @@ MIN_CHARS = 20
 BUCKET, SHORT = 32, 8
 #: What is set aside at the ends of a line: ASCII white space.
 WHITE = " \t\r\x0b\x0c"
-#: Bits of the filter that keeps lines without a partner out of a shuffle; its size is fixed at 2 MB.
-FILTER_BITS = 24
 
 
 def normal_form(line: Column, numbers: bool = False) -> Column:
@@ -122,26 +120,11 @@ def bounded_distance(a: Column, b: Column, threshold: int) -> Column:
     return F.when(F.abs(F.length(a) - F.length(b)) <= threshold, distance)
 
 
-def _likely(rows: DataFrame, name: str, keys: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose column ``name`` is not among ``keys``.
-
-    A filter of fixed size, made of all keys, goes to every task and keeps rows without a partner out of a shuffle; where
-    it is full, all rows pass.
-    """
-    # Spark numbers bits from 1 and 32768 of them make a row.
-    place = F.pmod(F.col(name), F.lit(1 << FILTER_BITS)) + 1
-    bits = keys.groupBy(F.bitmap_bucket_number(place).alias("filter")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    at = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
-    return rows.withColumn("filter", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "filter").where(is_set).drop("filter", "bits")
-
-
 def _met(rows: DataFrame, size: Column) -> DataFrame:
     """Those of ``rows`` (sig, ...) that are not alone in their bucket, with n, the bucket's rows, and shortest, the least
     ``size`` in it, as a written table. Buckets are counted first, so that joining them to rows can be split."""
     sizes = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min(size).alias("shortest")).where("n > 1"), "line-counts")
-    return written(_likely(rows, "sig", sizes).join(sizes, "sig"), "line-buckets")
+    return written(likely(rows, "sig", sizes).join(sizes, "sig"), "line-buckets")
 
 
 def _paired(rows: DataFrame, threshold: int) -> DataFrame:
@@ -183,7 +166,7 @@ def line_links(lines: DataFrame, distinct: DataFrame, threshold: int) -> DataFra
     met = _met(distinct.select("key", F.explode("sigs").alias("sig")), F.lit(0)).select("sig", "key")
     keys = written(met.select("key").distinct(), "line-keys")
     # An inner join, as a semi-join would be pushed below the filter.
-    texts = _likely(lines.where("line is not null").select("key", "line"), "key", keys).join(keys, "key")
+    texts = likely(lines.where("line is not null").select("key", "line"), "key", keys).join(keys, "key")
     texts = written(texts.groupBy("key").agg(F.min("line").alias("line")), "line-texts")
     rows = met.join(texts, "key").select("sig", "key", "line", F.explode(signatures(F.col("line"), F.length("line"), F.lit(0), threshold)).alias("s")).where("s.sig = sig")
     rest = F.concat(F.expr("substring(line, 1, s.at)"), F.expr("substring(line, s.at + s.size + 1)"))

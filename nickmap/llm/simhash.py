@@ -13,13 +13,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, with_row_id, written
+from .common import likely, table, with_row_id, written
 from .components import connected_components
 
 #: Distinct fingerprints in a tile, about.
 TILE = 32_768
 #: Shingles of the sets on either side of a task that holds texts to a similarity, about.
-PART = 4_000_000
+PART = 1_000_000
 SEED = 42
 #: Multipliers that make further 64-bit words of a shingle's hash.
 _ODD = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
@@ -131,16 +131,16 @@ def near_places(left: np.ndarray, right: np.ndarray, radius: int, same: bool):
     weight, weights = ones(left[rows]), ones(right[columns])
     first, last = np.searchsorted(weights, weight - radius), np.searchsorted(weights, weight + radius, "right")
     words = np.ascontiguousarray(right[columns].T)
+    share = radius // max(1, len(words))
     for k, i in enumerate(rows):
         lo = k + 1 if same else first[k]  # sorted alike, so what comes before has met this row
         if lo >= last[k]:
             continue
-        bits = np.bitwise_count(words[0, lo : last[k]] ^ left[i, 0])
-        near = np.flatnonzero(bits <= radius)
-        bits = bits[near].astype(np.int64)
-        for w in range(1, len(words)):
-            bits = bits + np.bitwise_count(words[w, lo + near] ^ left[i, w])
-            near, bits = near[bits <= radius], bits[bits <= radius]
+        # What lies within the radius does so by its share of it in one word at least.
+        near = [np.flatnonzero(np.bitwise_count(words[w, lo : last[k]] ^ left[i, w]) <= share) for w in range(len(words))]
+        near = near[0] if len(near) == 1 else np.unique(np.concatenate(near))
+        if len(words) > 1:
+            near = near[ones(right[columns[lo + near]] ^ left[i]) <= radius]
         if len(near):
             yield int(i), columns[lo + near]
 
@@ -163,34 +163,48 @@ def tile_links(left: np.ndarray, right: np.ndarray, radius: int, same: bool, ali
     return np.array(found, np.int64).reshape(-1, 2)
 
 
-def _cells(prints: DataFrame, radius: int, size: int | None = None) -> DataFrame:
-    """print, own, row, col: the distinct fingerprints of ``prints`` (print, ones), a written table, dealt to pairs of
-    tiles; own is the fingerprint's tile. One row for each population count reaches the driver."""
+def _cells(prints: DataFrame, radius: int) -> DataFrame:
+    """row, col, own, block: the distinct fingerprints of ``prints`` (print, ones), a written table, as one block of bytes
+    for each tile, dealt to pairs of tiles; own is the block's tile. One row for each population count reaches the
+    driver."""
     counts = {r["ones"]: r["count"] for r in prints.groupBy("ones").count().collect()}
-    plan = tile_plan(counts, radius, size or TILE) or {0: (0, 1, 0, 0)}
+    plan = tile_plan(counts, radius, TILE) or {0: (0, 1, 0, 0)}
     of = F.create_map(*[x for ones, tiles in sorted(plan.items()) for x in (F.lit(ones), F.array(*map(F.lit, tiles)))])[F.col("ones")]
     own = F.col("of")[0] + F.pmod(F.xxhash64("print", F.lit("tile")), F.col("of")[1]).cast("int")
-    dealt = prints.select("print", of.alias("of")).select("print", own.alias("own"), F.explode(F.sequence(F.col("of")[2], F.col("of")[3])).alias("other"))
-    return dealt.select("print", "own", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"))
+
+    def pack(pdf):
+        import pandas as pd
+
+        return pd.DataFrame({"own": pdf["own"].iloc[:1], "first": pdf["first"].iloc[:1], "last": pdf["last"].iloc[:1], "block": [b"".join(pdf["print"])]})
+
+    tiles = prints.select("print", of.alias("of")).select("print", own.alias("own"), F.col("of")[2].alias("first"), F.col("of")[3].alias("last"))
+    tiles = written(tiles.groupBy("own").applyInPandas(pack, "own int, first int, last int, block binary"), "tiles")
+    dealt = tiles.select("own", "block", F.explode(F.sequence("first", "last")).alias("other"))
+    return dealt.select(F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"), "own", "block")
+
+
+def _sides(pdf, words: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Names of the fingerprints of a cell's two tiles, and whether they are one."""
+    block = dict(zip(pdf["own"], pdf["block"], strict=True))
+    row, col = pdf["row"].iloc[0], pdf["col"].iloc[0]
+    return *(np.frombuffer(block[t], f"V{8 * words}") for t in (row, col)), row == col
 
 
 def _numbers(names: np.ndarray) -> np.ndarray:
-    return np.frombuffer(b"".join(names), ">u8").astype(np.uint64).reshape(len(names), -1)
+    return np.frombuffer(names.tobytes(), ">u8").astype(np.uint64).reshape(len(names), -1)
 
 
-def links(prints: DataFrame, radius: int) -> DataFrame:
-    """u, v: links between the distinct fingerprints of ``prints`` (print, ones), a written table, that connect all that
-    lie within the radius."""
+def links(prints: DataFrame, radius: int, words: int) -> DataFrame:
+    """u, v: links between the distinct fingerprints of ``prints`` (print of ``words`` numbers, ones), a written table,
+    that connect all that lie within the radius."""
 
     def compare(pdf):
         import pandas as pd
 
-        names, own = pdf["print"].to_numpy(), pdf["own"].to_numpy()
-        row, col = pdf["row"].iloc[0], pdf["col"].iloc[0]
-        left, right = names[own == row], names[own == col]
-        at = tile_links(_numbers(left), _numbers(right), radius, row == col)
-        both = left if row == col else np.concatenate([left, right])
-        return pd.DataFrame({"u": both[at[:, 0]], "v": both[at[:, 1]]})
+        left, right, same = _sides(pdf, words)
+        at = tile_links(_numbers(left), _numbers(right), radius, same)
+        both = left if same else np.concatenate([left, right])
+        return pd.DataFrame({"u": [x.tobytes() for x in both[at[:, 0]]], "v": [x.tobytes() for x in both[at[:, 1]]]})
 
     return _cells(prints, radius).groupBy("row", "col").applyInPandas(compare, "u binary, v binary")
 
@@ -231,7 +245,7 @@ def set_similarity(sets: list[np.ndarray], similarity: tuple[int, int]):
     return alike
 
 
-def similar_links(firsts: DataFrame, rows: DataFrame, radius: int, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+def similar_links(firsts: DataFrame, rows: DataFrame, radius: int, shingle: int, words: int, similarity: tuple[int, int]) -> DataFrame:
     """u, v: links that connect all fingerprints of ``firsts`` (print, ones, first), a written table, that lie within the
     radius and whose sets of shingles have that Jaccard similarity, and no others. ``first.key`` names a row of ``rows``
     (row_id, row.text).
@@ -241,17 +255,22 @@ def similar_links(firsts: DataFrame, rows: DataFrame, radius: int, shingle: int,
     """
 
     def meet(pdf):
-        names, own = pdf["print"].to_numpy(), pdf["own"].to_numpy()
-        left, right = np.flatnonzero(own == pdf["row"].iloc[0]), np.flatnonzero(own == pdf["col"].iloc[0])
-        met = np.zeros(len(pdf), bool)
-        for i, near in near_places(_numbers(names[left]), _numbers(names[right]), radius, pdf["row"].iloc[0] == pdf["col"].iloc[0]):
-            met[left[i]] = True
-            met[right[near]] = True
-        return pdf[met]
+        import pandas as pd
+
+        left, right, same = _sides(pdf, words)
+        down, across = np.zeros(len(left), bool), np.zeros(len(right), bool)
+        for i, near in near_places(_numbers(left), _numbers(right), radius, same):
+            down[i] = True
+            across[near] = True
+        row, col = pdf["row"].iloc[0], pdf["col"].iloc[0]
+        sides = [(row, left[down | across])] if same else [(row, left[down]), (col, right[across])]
+        return pd.DataFrame([(x.tobytes(), own, row, col) for own, found in sides for x in found], columns=["print", "own", "row", "col"])
 
     met = written(_cells(firsts.select("print", "ones"), radius).groupBy("row", "col").applyInPandas(meet, "print binary, own int, row int, col int"), "met")
     needed = written(met.select("print").distinct().join(firsts, "print").select("print", F.col("first.key").alias("row_id")), "met-rows")
-    sets = written(_sets(rows.select("row_id", F.col("row.text").alias("text")).join(needed, "row_id").select("print", "text"), shingle), "met-sets")
+    hashed = lambda df: df.withColumn("at", F.xxhash64("row_id"))
+    texts = likely(hashed(rows.select("row_id", F.col("row.text").alias("text"))), "at", hashed(needed)).join(needed, "row_id")
+    sets = written(_sets(texts.select("print", "text"), shingle), "met-sets")
     sized = written(met.join(sets.select("print", F.size("set").alias("n")), "print"), "met-sizes")
     parts = sized.groupBy("row", "col", "own").agg(F.ceil(F.sum("n") / PART).cast("int").alias("parts"))
     both = parts.groupBy("row", "col").agg(F.max(F.when(F.col("own") == F.col("row"), F.col("parts"))).alias("rows"), F.max(F.when(F.col("own") == F.col("col"), F.col("parts"))).alias("cols"))
@@ -268,12 +287,13 @@ def similar_links(firsts: DataFrame, rows: DataFrame, radius: int, shingle: int,
         import pandas as pd
 
         names, own, part = pdf["print"].to_numpy(), pdf["own"].to_numpy(), pdf["part"].to_numpy()
+        numbers = np.frombuffer(b"".join(names), ">u8").astype(np.uint64).reshape(len(names), -1)
         row, col, down, across = (pdf[c].iloc[0] for c in ("row", "col", "down", "across"))
         left, right = np.flatnonzero((own == row) & (part == down)), np.flatnonzero((own == col) & (part == across))
         one = row == col and down == across
         places = left if one else np.concatenate([left, right])
         alike = set_similarity([pdf["set"].iloc[k] for k in places], similarity)
-        at = tile_links(_numbers(names[left]), _numbers(names[right]), radius, one, alike)
+        at = tile_links(numbers[left], numbers[right], radius, one, alike)
         return pd.DataFrame({"u": names[places[at[:, 0]]], "v": names[places[at[:, 1]]]})
 
     return dealt.groupBy("row", "col", "down", "across").applyInPandas(compare, "u binary, v binary")
@@ -294,7 +314,7 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3, words: i
     """
     hashed = written(_fingerprints(docs.select(F.col("doc_id").alias("key"), "doc_id", "text"), shingle, words, repeats), "simhash")
     prints = written(hashed.select("print", "ones").distinct(), "prints")
-    roots = _classes(prints.select("print"), links(prints, radius))
+    roots = _classes(prints.select("print"), links(prints, radius, words))
     ids = written(hashed.groupBy("print").agg(F.min("doc_id").alias("least")), "least").join(roots, "print")
     least = written(ids.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     classes = written(roots.join(least, "root").select("print", "component_id"), "classes")
@@ -314,7 +334,7 @@ def keep_one(docs: DataFrame, radius: int = 30, shingle: int = 5, words: int = 2
     hashed = written(_fingerprints(rows.select(F.col("row_id").alias("key"), "row.doc_id", "row.text"), shingle, words, False), "simhash")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
     firsts = written(hashed.groupBy("print", "ones").agg(first.alias("first")), "firsts")
-    found = links(firsts.select("print", "ones"), radius) if similarity is None else similar_links(firsts, rows, radius, shingle, similarity)
+    found = links(firsts.select("print", "ones"), radius, words) if similarity is None else similar_links(firsts, rows, radius, shingle, words, similarity)
     roots = _classes(firsts.select("print"), found)
     named = written(firsts.join(roots, "print").select("print", "first", "root"), "named")
     kept = written(named.groupBy("root").agg(F.min("first").alias("first")).select("root", F.col("first.key").alias("kept")), "kept")
