@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from nickmap.operators.stitch import ID_OFFSET
 
 #: Maps that six rounds of pairwise merging can make one.
 GROUP = 64
+#: Offsets that the ids of one reference's merged maps can use, so that those of the next one differ.
+ROUNDS = 7
 
 
 def pairwise_groups(plan: DataFrame) -> DataFrame:
@@ -19,7 +23,12 @@ def pairwise_groups(plan: DataFrame) -> DataFrame:
 
 def chained_groups(pairs: DataFrame) -> DataFrame:
     """Junctions of runs of consecutive ``pairs`` (all eligible ones, not only disjoint): what repeated rounds of pairwise
-    merging give, in groups of at most GROUP maps. A group is named by its first map."""
+    merging give, in groups of at most GROUP maps. A group is named by its first map. A map that recurs on a reference is
+    merged there once, at its first place among the pairs: pairs that need it at another place are left out."""
+    places = pairs.select("ref_id", F.explode(F.array(F.struct(F.col("first_id").alias("id"), F.col("pair_no").alias("at")), F.struct(F.col("second_id").alias("id"), (F.col("pair_no") + 1).alias("at")))).alias("x"))
+    first = places.groupBy("ref_id", "x.id").agg(F.min("x.at").alias("at"))
+    pairs = pairs.join(first.toDF("ref_id", "first_id", "_a"), ["ref_id", "first_id"]).join(first.toDF("ref_id", "second_id", "_b"), ["ref_id", "second_id"])
+    pairs = pairs.where((F.col("_a") == F.col("pair_no")) & (F.col("_b") == F.col("pair_no") + 1)).drop("_a", "_b")
     along = Window.partitionBy("ref_id").orderBy("pair_no")
     runs = pairs.withColumn("_run", F.col("pair_no") - F.row_number().over(along))
     within = Window.partitionBy("ref_id", "_run").orderBy("pair_no")
@@ -40,21 +49,23 @@ def _junctions(pairs: DataFrame) -> DataFrame:
 
 
 def group_members(junctions: DataFrame, map_labels: DataFrame) -> DataFrame:
-    """A row for each map of each group: group_id, new_id, member (from 1), map_id, orientation, trims, shift of its
-    positions, length, and the merged map's length.
+    """A row for each map of each group: ref_id, group_id, new_id, member (from 1), map_id, orientation, trims, shift of
+    its positions, length, and the merged map's length.
 
-    new_id is the first map's id with the offset added as often as pairwise rounds would.
+    A group is told by its reference and its first map, so a map that aligns to two references is merged on each of them.
+    new_id is the first map's id with the offset added as often as pairwise rounds would; where groups on several
+    references have the same first map, that of each further one (by ref_id) has ROUNDS more offsets added.
     """
-    first = junctions.where("junction = 1").select("group_id", F.lit(1).alias("member"), F.col("first_id").alias("map_id"), F.col("first_orientation").alias("orientation"), F.lit(0).alias("pad_before"), F.lit(0).alias("trim_head"))
-    others = junctions.select("group_id", (F.col("junction") + 1).alias("member"), F.col("second_id").alias("map_id"), F.col("second_orientation").alias("orientation"), F.col("pad").alias("pad_before"), F.col("trim_second").alias("trim_head"))
-    tails = junctions.select("group_id", F.col("junction").alias("member"), F.col("trim_first").alias("trim_tail"), "missed_offset")
+    first = junctions.where("junction = 1").select("ref_id", "group_id", F.lit(1).alias("member"), F.col("first_id").alias("map_id"), F.col("first_orientation").alias("orientation"), F.lit(0).alias("pad_before"), F.lit(0).alias("trim_head"))
+    others = junctions.select("ref_id", "group_id", (F.col("junction") + 1).alias("member"), F.col("second_id").alias("map_id"), F.col("second_orientation").alias("orientation"), F.col("pad").alias("pad_before"), F.col("trim_second").alias("trim_head"))
+    tails = junctions.select("ref_id", "group_id", F.col("junction").alias("member"), F.col("trim_first").alias("trim_tail"), "missed_offset")
     lengths = map_labels.select("map_id", "map_length", "num_sites").distinct()
-    members = first.unionByName(others).join(tails, ["group_id", "member"], "left").join(lengths, "map_id")
-    group = Window.partitionBy("group_id")
+    members = first.unionByName(others).join(tails, ["ref_id", "group_id", "member"], "left").join(lengths, "map_id")
+    group = Window.partitionBy("ref_id", "group_id")
     upto = group.orderBy("member").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    n = F.count(F.lit(1)).over(group)
+    n, nth = F.count(F.lit(1)).over(group), F.dense_rank().over(Window.partitionBy("group_id").orderBy("ref_id")) - 1
     return members.select(
-        "group_id", (F.col("group_id") + ID_OFFSET * F.ceil(F.log2(n))).cast("long").alias("new_id"), "member", "map_id", "orientation", "trim_head", F.coalesce("trim_tail", F.lit(0)).alias("trim_tail"), "missed_offset",
+        "ref_id", "group_id", (F.col("group_id") + ID_OFFSET * (F.ceil(F.log2(n)) + ROUNDS * nth)).cast("long").alias("new_id"), "member", "map_id", "orientation", "trim_head", F.coalesce("trim_tail", F.lit(0)).alias("trim_tail"), "missed_offset",
         (F.sum(F.col("map_length") + F.col("pad_before")).over(upto) - F.col("map_length")).alias("shift"), "map_length", "num_sites", F.sum(F.col("map_length") + F.col("pad_before")).over(group).alias("new_length"),
     )
 
@@ -68,10 +79,10 @@ def merge_maps(junctions: DataFrame, map_labels: DataFrame) -> DataFrame:
     turned = turned.withColumn("_site", F.when(forward, F.col("old_site")).otherwise(F.col("num_sites") - F.col("old_site") + 1))
     turned = turned.withColumn("_pos", F.col("shift") + F.when(forward, F.col("old_pos")).otherwise(F.col("map_length") - F.col("old_pos")))
     kept = turned.where((F.col("_site") > F.col("trim_head")) & (F.col("_site") <= F.col("num_sites") - F.col("trim_tail")))
-    kept = kept.select("group_id", "new_id", "new_length", "member", F.lit(0).alias("_late"), "_site", F.col("_pos").alias("pos"), F.col("map_id").alias("old_id"), "old_site")
-    last = turned.where(F.col("missed_offset").isNotNull()).groupBy("group_id", "new_id", "new_length", "member", "missed_offset").agg(F.max("_pos").alias("_last"))
-    missed = last.select("group_id", "new_id", "new_length", "member", F.lit(1).alias("_late"), F.lit(0).alias("_site"), (F.col("_last") + F.col("missed_offset") + 1).alias("pos"), F.lit(None).cast("long").alias("old_id"), F.lit(None).cast(kept.schema["old_site"].dataType).alias("old_site"))
-    rows, whole = kept.unionByName(missed), Window.partitionBy("group_id")
+    kept = kept.select("new_id", "new_length", "member", F.lit(0).alias("_late"), "_site", F.col("_pos").alias("pos"), F.col("map_id").alias("old_id"), "old_site")
+    last = turned.where(F.col("missed_offset").isNotNull()).groupBy("new_id", "new_length", "member", "missed_offset").agg(F.max("_pos").alias("_last"))
+    missed = last.select("new_id", "new_length", "member", F.lit(1).alias("_late"), F.lit(0).alias("_site"), (F.col("_last") + F.col("missed_offset") + 1).alias("pos"), F.lit(None).cast("long").alias("old_id"), F.lit(None).cast(kept.schema["old_site"].dataType).alias("old_site"))
+    rows, whole = kept.unionByName(missed), Window.partitionBy("new_id")
     return rows.select(F.col("new_id").alias("map_id"), F.count(F.lit(1)).over(whole).alias("num_sites"), F.row_number().over(whole.orderBy("member", "_late", "_site")).alias("site_id"), "pos", F.col("new_length").alias("map_length"), "old_id", "old_site")
 
 
@@ -85,10 +96,10 @@ def apply_merges(junctions: DataFrame, map_labels: DataFrame) -> DataFrame:
 def lift_alignments(alignments: DataFrame, junctions: DataFrame, map_labels: DataFrame) -> DataFrame:
     """Alignments after merging: a merged map runs from its first member's start to its last one's end, forwards, with
     the members' confidences summed; others are unchanged."""
-    members = group_members(junctions, map_labels).join(alignments.withColumnRenamed("qry_id", "map_id").drop("orientation"), "map_id")
+    members = group_members(junctions, map_labels).join(alignments.withColumnRenamed("qry_id", "map_id").drop("orientation"), ["ref_id", "map_id"])
     place = lambda p: F.col("shift") + F.when(F.col("orientation") == "+", F.col(p)).otherwise(F.col("map_length") - F.col(p))
     ends = members.withColumn("_start", place("qry_start")).withColumn("_end", place("qry_end"))
-    merged = ends.groupBy("group_id", "new_id", "ref_id").agg(F.min_by("ref_start", "member").alias("ref_start"), F.max_by("ref_end", "member").alias("ref_end"), F.min_by("_start", "member").alias("qry_start"), F.max_by("_end", "member").alias("qry_end"), F.sum("confidence").alias("confidence"))
+    merged = ends.groupBy("new_id", "ref_id").agg(F.min_by("ref_start", "member").alias("ref_start"), F.max_by("ref_end", "member").alias("ref_end"), F.min_by("_start", "member").alias("qry_start"), F.max_by("_end", "member").alias("qry_end"), F.sum("confidence").alias("confidence"))
     merged = merged.select(F.col("new_id").alias("qry_id"), "ref_id", F.lit("+").alias("orientation"), "confidence", "ref_start", "ref_end", "qry_start", "qry_end")
     used = junctions.select(F.explode(F.array("first_id", "second_id")).alias("qry_id")).distinct()
     return merged.unionByName(alignments.join(used, "qry_id", "left_anti").select(*merged.columns))
@@ -158,6 +169,12 @@ def map_summary(map_labels: DataFrame, unit: int = 100_000) -> DataFrame:
     return sums.join(F.broadcast(half))  # one row each
 
 
+def run_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """table, records: how many rows each of the named ``tables`` has."""
+    counts = [df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("table"), "records") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def alignment_summary(alignments: DataFrame) -> DataFrame:
     """ref_id, maps, aligned_length, mean_confidence, covered: of each reference; covered is the length of the union of
     its alignments."""

@@ -48,12 +48,17 @@ def site_sequences(sites: DataFrame, sequences: DataFrame, buffer: int = 50, siz
     """Adds flank_start, flank_end and sequence to ``sites`` (ref_id, start_pos, end_pos): the site's bases with
     ``buffer`` more on either side, from chunks (seq_id, length, chunk_start, bases) of ``size``.
 
-    A stretch is cut from the one chunk in which it starts, so chunks must overlap by as much as the longest stretch.
+    A stretch is put together from all chunks that it touches, of each the bases before the next chunk starts.
     """
     start, end = flank(F.col("start_pos"), F.col("end_pos"), F.col("length"), buffer)
     lengths = sequences.where("chunk_start = 0").select(F.col("seq_id").alias("ref_id"), "length")
-    placed = sites.join(lengths, "ref_id").withColumn("flank_start", start).withColumn("flank_end", end)
-    placed = placed.withColumn("_k", F.floor((F.col("flank_start") - 1) / size))
+    placed = sites.join(lengths, "ref_id").withColumn("flank_start", start).withColumn("flank_end", end).drop("length")
+    stretch = ["ref_id", "flank_start", "flank_end"]
+    k = F.explode(F.sequence(F.floor((F.col("flank_start") - 1) / size), F.floor((F.col("flank_end") - 1) / size))).alias("_k")
+    touched = placed.select(*stretch).distinct().where("flank_end >= flank_start").select(*stretch, k)
     chunks = sequences.select(F.col("seq_id").alias("ref_id"), F.floor(F.col("chunk_start") / size).alias("_k"), F.col("chunk_start").alias("_c"), "bases")
-    cut = F.substring(F.col("bases"), (F.col("flank_start") - F.col("_c")).cast("int"), (F.col("flank_end") - F.col("flank_start") + 1).cast("int"))
-    return placed.join(chunks, ["ref_id", "_k"]).withColumn("sequence", cut).drop("_k", "_c", "bases", "length")
+    first = F.greatest(F.col("flank_start") - 1, F.col("_c"))
+    part = F.substring(F.col("bases"), (first - F.col("_c") + 1).cast("int"), (F.least(F.col("flank_end"), F.col("_c") + size) - first).cast("int"))
+    parts = touched.join(chunks, ["ref_id", "_k"]).groupBy(*stretch).agg(F.array_sort(F.collect_list(F.struct("_k", part.alias("part")))).alias("_parts"))
+    whole = parts.select(*stretch, F.array_join(F.transform("_parts", lambda x: x["part"]), "").alias("sequence"))
+    return placed.join(whole, stretch, "left").select(*sites.columns, "flank_start", "flank_end", F.coalesce("sequence", F.lit("")).alias("sequence"))

@@ -189,7 +189,8 @@ def merged_ratios(plan: DataFrame, ratios: DataFrame) -> DataFrame:
     return facing_ratios(plan, ratios).select((F.col("first_id") + ID_OFFSET).alias("map_id"), F.col("outer_start").alias("start_ratio"), F.col("outer_end").alias("end_ratio"))
 
 
-def stitch_positions(plan: DataFrame) -> DataFrame:
-    """ref_id, start_pos, end_pos, site_type: where maps are joined, with the attributes of the site."""
+def stitch_positions(plan: DataFrame, *more: Column) -> DataFrame:
+    """ref_id, start_pos, end_pos, site_type: where maps are joined, with the attributes of the site, and ``more`` columns
+    of the plan."""
     start, end = stitch_interval(F.col("first_ref_end"), F.col("second_ref_start"))
-    return plan.select("ref_id", start.alias("start_pos"), end.alias("end_pos"), "site_type")
+    return plan.select("ref_id", start.alias("start_pos"), end.alias("end_pos"), "site_type", *more)

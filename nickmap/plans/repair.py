@@ -31,13 +31,16 @@ def stitch_rounds(alignments: DataFrame, map_labels: DataFrame, ref_labels: Data
         if plan.isEmpty():
             break
         junctions = written(mapops.pairwise_groups(plan), "junctions")
-        new = stitch.stitch_positions(plan)
-        stitches = new if stitches is None else stitches.unionByName(new)
+        # A stitch goes with the map that holds it, whatever later rounds make of that map.
+        moved = mapops.group_members(junctions, map_labels).select("ref_id", "map_id", "new_id")
+        new = stitch.stitch_positions(plan, F.col("first_id").alias("map_id"))
+        stitches = (new if stitches is None else stitches.unionByName(new)).join(moved, ["ref_id", "map_id"], "left")
+        stitches = written(stitches.withColumn("map_id", F.coalesce("new_id", "map_id")).drop("new_id"), "stitches")
         alignments = written(mapops.lift_alignments(alignments, junctions, map_labels), "alignments")
         map_labels = written(mapops.apply_merges(junctions, map_labels), "maps")
         if ratios is not None:
             ratios = written(ratios.unionByName(stitch.merged_ratios(plan, ratios)), "ratios")
-    empty = stitch.stitch_positions(stitch.stitch_plan(alignments, map_labels, ref_labels, limits, found, ratios, width).limit(0))
+    empty = stitch.stitch_positions(stitch.stitch_plan(alignments, map_labels, ref_labels, limits, found, ratios, width).limit(0), F.col("first_id").alias("map_id"))
     return map_labels, alignments, stitches if stitches is not None else empty
 
 
@@ -59,8 +62,8 @@ def repair(alignments: DataFrame, map_labels: DataFrame, ref_labels: DataFrame,
     split = written(evidence.threshold_split(scored, threshold).join(keyed, "site_key"), "scored")
     # Where a weak stitch lies on its merged map: the alignment is forwards, so by its distance from the map's start.
     holds = lifted.select("ref_id", F.col("qry_id").alias("map_id"), F.col("ref_start").alias("a0"), F.col("ref_end").alias("a1"), "qry_start")
-    weak = split.where("broken").select("ref_id", "site_key", F.col("start_pos").alias("s0"), F.col("end_pos").alias("s1"))
-    held = intervals.containment_join(holds, weak, ["ref_id"], ("a0", "a1"), ("s0", "s1"), width)
+    weak = split.where("broken").select("ref_id", "site_key", F.col("map_id").alias("of"), F.col("start_pos").alias("s0"), F.col("end_pos").alias("s1"))
+    held = intervals.containment_join(holds, weak, ["ref_id"], ("a0", "a1"), ("s0", "s1"), width).where("map_id = of")
     cuts = held.select("map_id", (F.col("qry_start") + (F.col("s0") + F.col("s1")) / 2 - F.col("a0")).cast("long").alias("breakpoint"))
     broken = cuts.select("map_id").distinct()
     whole = maps.join(broken, "map_id", "left_anti")

@@ -116,6 +116,45 @@ def test_chains_are_cut_into_groups(spark):
     assert {r["map_id"]: r["count"] for r in found} == {600_001: 64, 600_065: 64, 100_129: 2}
 
 
+_PAIR = "ref_id int, pair_no int, first_id long, second_id long, first_orientation string, second_orientation string, first_confidence double, second_confidence double, first_ref_end long, second_ref_start long, label_distance int, missed_label long"
+
+
+def test_a_map_on_two_references(spark):
+    """Map 10 is joined to 11 on one reference and to 12 on another: two maps, with ids of their own."""
+    pairs = spark.createDataFrame([(1, 1, 10, 11, "+", "+", 1.0, 1.0, 100, 105, 0, 0), (2, 1, 10, 12, "+", "-", 1.0, 1.0, 100, 109, 0, 0)], _PAIR)
+    table = spark.createDataFrame([(m, 2, i, 10 * i, 40) for m in (10, 11, 12) for i in (1, 2)], "map_id long, num_sites int, site_id int, pos long, map_length long")
+    for junctions in (mapops.pairwise_groups(pairs), mapops.chained_groups(pairs)):
+        got: dict = {}
+        for r in mapops.merge_maps(junctions, table).orderBy("map_id", "site_id").collect():
+            got.setdefault(r.map_id, []).append((r.site_id, r.pos, r.old_id))
+        assert got == {100_010: [(1, 10, 10), (2, 20, 10), (3, 56, 11), (4, 66, 11)], 800_010: [(1, 10, 10), (2, 20, 10), (3, 70, 12), (4, 80, 12)]}
+    aligned = spark.createDataFrame([(10, 1, "+", 1.0, 10, 100, 10, 20), (11, 1, "+", 1.0, 105, 120, 10, 20), (10, 2, "+", 1.0, 10, 100, 10, 20), (12, 2, "-", 1.0, 109, 120, 20, 10)], "qry_id long, ref_id int, orientation string, confidence double, ref_start long, ref_end long, qry_start long, qry_end long")
+    lifted = {r.qry_id: (r.ref_id, r.confidence) for r in mapops.lift_alignments(aligned, mapops.pairwise_groups(pairs), table).collect()}
+    assert lifted == {100_010: (1, 2.0), 800_010: (2, 2.0)}
+
+
+def test_a_map_that_recurs_in_a_chain(spark):
+    """Maps 1-2-3-1-4: the pairs that need map 1 again are left out."""
+    ids = [1, 2, 3, 1, 4]
+    pairs = spark.createDataFrame([(1, k + 1, ids[k], ids[k + 1], "+", "+", 1.0, 1.0, 10 * k, 10 * k + 5, 0, 0) for k in range(4)], _PAIR)
+    table = spark.createDataFrame([(k, 1, 1, 5, 10) for k in range(1, 5)], "map_id long, num_sites int, site_id int, pos long, map_length long")
+    got = mapops.merge_maps(mapops.chained_groups(pairs), table).collect()
+    assert sorted((r.map_id, r.old_id) for r in got) == [(200_001, 1), (200_001, 2), (200_001, 3)]
+
+
+def test_stretches_over_chunk_ends(spark):
+    """Stretches of any length, cut from chunks far smaller than they are, with the library's overlap."""
+    rng = random.Random(6)
+    text = "".join(rng.choices("ACGT", k=3000))
+    chunks = sequence.chunked(spark.createDataFrame([(1, text)], "seq_id long, bases string"), 100)
+    data = [(1, a, a + rng.randint(1, 1200)) for a in rng.sample(range(1, 2900), 60)]
+    data = [(r, a, min(b, 3000)) for r, a, b in data] + [(1, 5, 9), (1, 5, 9)]
+    got = sites.site_sequences(spark.createDataFrame(data, "ref_id long, start_pos long, end_pos long"), chunks, 50, 100).collect()
+    assert len(got) == len(data)
+    for r in got:
+        assert r.sequence == text[r.flank_start - 1 : r.flank_end] and r.flank_start == max(1, r.start_pos - 50)
+
+
 def test_interval_joins(spark):
     rng = random.Random(1)
     make = lambda n, most: [(rng.randint(0, 2), i, (s := rng.randint(-50, 500)), s + rng.randint(0, most)) for i in range(n)]
