@@ -119,12 +119,32 @@ def site_scores(sites: DataFrame, support: DataFrame, reads: DataFrame, bonus: i
     return joined.select("site_key", "molecules", "reads", total.alias("total"), F.round(total / 10.0, 2).alias("score"), F.when((total > 0) & (hits > 0), total.cast("double") / hits).otherwise(0.0).alias("mean_per_hit"))
 
 
-def score_statistics(scored: DataFrame, support: DataFrame, read_ids: DataFrame) -> DataFrame:
-    """Adds molecule_ids and read_ids, sorted arrays of what supports each of ``scored`` sites, from ``support`` (site_key,
-    mol_id) and ``read_ids`` (site_key, read_id)."""
+def score_statistics(sites: DataFrame, positioned: DataFrame, coverage: DataFrame, scored: DataFrame, support: DataFrame, read_ids: DataFrame) -> DataFrame:
+    """A row of statistics for each of ``sites`` (site_key, ref_id, start_pos, end_pos, site_type, start_label, end_label
+    and, if known, thick_start and thick_end): line (from 1, by reference and place), size, the covering map of
+    ``positioned`` with its labels and positions, mean ``coverage`` outside the site, hits, scores, and the sorted ids of the
+    molecules (``support``) and reads (``read_ids``) behind them.
+
+    Lines are numbered in two levels: within a reference, and over the references.
+    """
     ids = lambda df, c, name: df.groupBy("site_key").agg(F.array_sort(F.collect_set(c)).alias(name))
-    joined = scored.join(ids(support, "mol_id", "molecule_ids"), "site_key", "left").join(ids(read_ids, "read_id", "read_ids"), "site_key", "left")
-    return joined.withColumn("avg_conf_per_mol", F.col("mean_per_hit")).withColumn("alt_score", F.col("total"))
+    per_ref = sites.groupBy("ref_id").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = per_ref.select("ref_id", F.coalesce(F.sum("_n").over(Window.orderBy("ref_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))  # one row for each reference
+    within = F.row_number().over(Window.partitionBy("ref_id").orderBy("start_pos", "end_pos", "site_key"))
+    thick = [F.col(c) if c in sites.columns else F.col(d) for c, d in (("thick_start", "start_pos"), ("thick_end", "end_pos"))]
+    joined = sites.join(ahead, "ref_id").withColumn("line", within + F.col("_ahead")).withColumn("size", F.abs(thick[0] - thick[1]))
+    joined = joined.join(positioned.select("site_key", "map_id", "map_start_pos", "map_end_pos", "map_start", "map_end"), "site_key").join(coverage, "site_key").join(scored, "site_key")
+    joined = joined.join(ids(support, "mol_id", "molecule_ids"), "site_key", "left").join(ids(read_ids, "read_id", "read_ids"), "site_key", "left")
+    none = F.array().cast("array<string>")
+    return joined.select(
+        "line", "site_type", "size", "ref_id", "start_pos", "end_pos", "start_label", "end_label", "map_id", "map_start_pos", "map_end_pos", "map_start", "map_end", "mean_coverage", (F.col("molecules") + F.col("reads")).alias("hits"), "molecules", "reads", "total",
+        "mean_per_hit", F.col("mean_per_hit").alias("mean_per_molecule"), "score", F.col("total").alias("alt_score"), F.coalesce(F.col("molecule_ids").cast("array<string>"), none).alias("molecule_ids"), F.coalesce(F.col("read_ids").cast("array<string>"), none).alias("read_ids"),
+    )
+
+
+def scored_sites(sites: DataFrame, scored: DataFrame) -> DataFrame:
+    """``sites`` (site_key, ...) with the score of ``scored`` (site_key, score) in place of their own."""
+    return sites.drop("score").join(scored.select("site_key", "score"), "site_key")
 
 
 def threshold_split(scored: DataFrame, threshold: float = 1.0, break_reads_only: bool = False) -> DataFrame:

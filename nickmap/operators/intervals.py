@@ -56,13 +56,17 @@ def nearest_labels(probes: DataFrame, labels: DataFrame, on: str, key: str, at:
     return found.where("_probe = 1").select(on, key, before, after)
 
 
-def read_support(sites: DataFrame, reads: DataFrame, buffer: int = 500, min_quality: int = 30, width: int = 10_000) -> DataFrame:
-    """site_key, reads: distinct reads (read_id) that span each site (site_key, ref_id, start_pos, end_pos) by more than
-    ``buffer`` on both sides with at least ``min_quality``; sites without any are left out."""
+def spanning_reads(sites: DataFrame, reads: DataFrame, buffer: int = 500, min_quality: int = 30, width: int = 10_000) -> DataFrame:
+    """site_key, read_id: distinct reads that span each site (site_key, ref_id, start_pos, end_pos) by more than ``buffer``
+    on both sides with at least ``min_quality``."""
     good = reads.where(F.col("mapq") >= min_quality).select("ref_id", "read_id", F.col("read_start").alias("r0"), F.col("read_end").alias("r1"))
     wide = sites.select("ref_id", "site_key", (F.col("start_pos") - buffer).alias("w0"), (F.col("end_pos") + buffer).alias("w1"))
-    spans = containment_join(good, wide, ["ref_id"], ("r0", "r1"), ("w0", "w1"), width)
-    return spans.groupBy("site_key").agg(F.countDistinct("read_id").alias("reads"))
+    return containment_join(good, wide, ["ref_id"], ("r0", "r1"), ("w0", "w1"), width).select("site_key", "read_id").distinct()
+
+
+def read_support(sites: DataFrame, reads: DataFrame, buffer: int = 500, min_quality: int = 30, width: int = 10_000) -> DataFrame:
+    """site_key, reads: how many reads span each site, as ``spanning_reads`` has them; sites without any are left out."""
+    return spanning_reads(sites, reads, buffer, min_quality, width).groupBy("site_key").agg(F.count(F.lit(1)).alias("reads"))
 
 
 def validate_sites(sites: DataFrame, reads: DataFrame, alignments: DataFrame, flank: int = 1000, min_quality: int = 30, width: int = 10_000) -> DataFrame:

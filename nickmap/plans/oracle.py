@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from nickmap.functions.scalars import SITE_COLOURS
 from nickmap.plans.inputs import SQL as INPUTS
 
 _OCC = "list_filter(range(1, length(text) + 1), lambda i: substr(text, i, {k}) = '{m}')"
@@ -132,6 +133,22 @@ totals as (
 scores as (
   select *, round(total / 10.0, 2)::double as score, case when total > 0 and molecules + reads > 0 then total::double / (molecules + reads) else 0 end as mean_per_hit from totals)
 """
+_COLOUR = "case site_type " + " ".join(f"when '{k}' then '{v}'" for k, v in SITE_COLOURS.items()) + " else '0,0,0,255' end"
+_STATISTICS = f"""
+coverages as (select site_key, coalesce(cast(sum(cast(p.coverage as decimal(18,4))) filter (p.map_site < least(map_start, map_end) or p.map_site > greatest(map_start, map_end)) as double)
+         / nullif(count(*) filter (p.map_site < least(map_start, map_end) or p.map_site > greatest(map_start, map_end)), 0), 0) as mean_coverage
+  from covered c left join map_pairs p on p.map_id = c.map_id and map_start > 0 and map_end > 0 group by site_key),
+molecule_lists as (select site_key, string_agg(mol_id, ' ' order by mol_id) as molecule_ids from support group by site_key),
+read_lists as (
+  select site_key, string_agg(read_id, ' ' order by read_id) as read_ids from (
+    select distinct s.site_key, read_id from keyed_sites s join reads r on r.ref_id = s.ref_id and mapq >= 30
+     and read_start < s.start_pos // 86400000000 - 3 and read_end > s.end_pos // 86400000000 + 3) group by site_key),
+statistics as (
+  select row_number() over (order by f.ref_id, f.start_pos, f.end_pos, site_key) as line, f.site_type, f.end_pos - f.start_pos as size, f.ref_id, f.start_pos, f.end_pos, start_label, end_label,
+         p.map_id, map_start_pos, map_end_pos, map_start, map_end, mean_coverage, molecules + reads as hits, molecules, reads, total, mean_per_hit, mean_per_hit as mean_per_molecule, score, total as alt_score,
+         coalesce(molecule_ids, '') as molecule_ids, coalesce(read_ids, '') as read_ids
+  from flanked f join positioned p using (site_key) join coverages using (site_key) join scores using (site_key) left join molecule_lists using (site_key) left join read_lists using (site_key))
+"""
 _BREAKS = f"""{_COVERED}, {_SCORES},
 points as (
   select map_id, unnest(case when map_start_pos = map_end_pos or map_end_pos = 0 then [map_start_pos] when map_start_pos = 0 then [map_end_pos] else [map_start_pos, map_end_pos] end) as breakpoint
@@ -208,6 +225,7 @@ select {_PAIR} from (
     "stitch_positions": _sql("select ref_id, case when r2s - r1e + 1 >= 0 then r1e - 1 else r2s - 1 end as start_pos, case when r2s - r1e + 1 >= 0 then r2s + 1 else r1e + 1 end as end_pos, site_type from plan"),
     "ratio_propagation": _sql("select first_id + 100000 as map_id, outer_start as start_ratio, outer_end as end_ratio from plan"),
     "merged_labels": _sql("select * from merged", _MERGE.format(plan="plan")),
+    "merged_two_references": _sql("select * from merged union all select map_id + 700000, num_sites, site_id, pos, map_length, old_id, old_site from merged where map_id - 100000 in (select first_id from plan where second_id % 2 = 0)", _MERGE.format(plan="plan")),
     "merged_maps": _sql("select map_id, num_sites, site_id, pos, map_length from merged union all select * from map_labels where map_id not in (select first_id from plan union all select second_id from plan)", _MERGE.format(plan="plan")),
     "merged_groups": _sql("select * from merged", _CHAIN),
     "lifted_alignments": _sql("""
@@ -229,6 +247,18 @@ select site_key, coalesce(cast(sum(cast(p.coverage as decimal(18,4))) filter (p.
 from covered c left join map_pairs p on p.map_id = c.map_id and map_start > 0 and map_end > 0 group by site_key""", _COVERED),
     "molecule_support": _sql("select * from support", _FLANKED, _SUPPORT),
     "site_scores": _sql("select * from scores", _FLANKED, _SCORES),
+    "scored_sites": _sql("select site_key, ref_id, start_pos, end_pos, site_type, score from keyed_sites join scores using (site_key)", _FLANKED, _SCORES),
+    "score_statistics": _sql("select * from statistics", _COVERED, _SCORES, _STATISTICS),
+    "scores_written_and_read": _sql("""
+select line, site_type, map_id, cast(map_start_pos as double) as map_start_pos, cast(map_end_pos as double) as map_end_pos, molecules, reads, score from statistics""", _COVERED, _SCORES, _STATISTICS),
+    "maps_written_and_read": _sql("""
+select map_id as cmap_id, cast(map_length as double) as contig_length, num_sites, site_id, 1 as channel, cast(pos as double) as position from map_labels
+union all select distinct map_id, cast(map_length as double), num_sites, num_sites + 1, 0, cast(map_length as double) from map_labels"""),
+    "sites_written_and_read": _sql(f"select *, {_COLOUR} as item_rgba from sites"),
+    "ratios_written_and_read": _sql("select * from end_ratios"),
+    "run_counts": _sql("""
+select 'alignments' as "table", count(*) as records from alignments union all select 'map_labels', count(*) from map_labels union all select 'maps', count(distinct map_id) from map_labels
+union all select 'reference_labels', count(*) from ref_labels union all select 'references', count(distinct ref_id) from ref_labels union all select 'sites', count(*) from sites union all select 'pairs', count(*) from pairs"""),
     "read_support": _sql("select site_key, count(distinct read_id) as reads from intervals i join reads r on r.ref_id = i.ref_id and mapq >= 30 and read_start < start_pos - 3 and read_end > end_pos + 3 group by site_key"),
     "validated_sites": _sql("select * from validated where evidence is not null", _VALID),
     "unvalidated_sites": _sql("select site_key, ref_id, start_pos, end_pos from validated where evidence is null", _VALID),

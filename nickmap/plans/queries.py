@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from nickmap.operators import evidence, intervals, mapops, sequence, sites, stitch
 from nickmap.plans import inputs
 from nickmap.plans.inputs import HOUR
-from nickmap.sources.shared import written
+from nickmap.sources import readers, writers
+from nickmap.sources.shared import shared_dir, written
 
 LIMITS = stitch.Limits(max_fill=12 * HOUR, max_overlap=24 * HOUR, max_labels=1, max_overlap_labels=5, window=6 * HOUR, wobble=HOUR, min_ratio=0.7)
 WIDTH = 12 * HOUR
@@ -104,9 +105,9 @@ def base_composition(spark, sf_dir):
 
 @query
 def site_flank_sequence(spark, sf_dir):
-    chunks = sequence.chunked(inputs.sequences(spark, sf_dir), overlap=400)
+    chunks = written(sequence.chunked(inputs.sequences(spark, sf_dir), 4096), "chunks")  # stretches of up to 300 lie across ends
     found = sites.classify_sites(sequence.nick_sites(chunks, ["rei"], ["are"]).withColumnRenamed("seq_id", "ref_id"), 200, 100)
-    return sites.site_sequences(found, chunks)
+    return sites.site_sequences(found, chunks, size=4096)
 
 
 def _pairs(spark, sf_dir):
@@ -204,6 +205,14 @@ def merged_labels(spark, sf_dir):
     return mapops.merge_maps(mapops.pairwise_groups(_plan(spark, sf_dir)), _labels(spark, sf_dir))
 
 
+@query
+def merged_two_references(spark, sf_dir):
+    """Maps that align to two references, and are joined on both."""
+    junctions = written(mapops.pairwise_groups(_plan(spark, sf_dir)), "junctions")
+    both = junctions.unionByName(junctions.where("second_id % 2 = 0").withColumn("ref_id", F.col("ref_id") + 1_000_000))
+    return mapops.merge_maps(both, _labels(spark, sf_dir))
+
+
 @query
 def merged_maps(spark, sf_dir):
     return mapops.apply_merges(mapops.pairwise_groups(_plan(spark, sf_dir)), _labels(spark, sf_dir))
@@ -245,9 +254,9 @@ def flanking_labels(spark, sf_dir):
     return _flanked(spark, sf_dir).select("site_key", "start_label", "end_label")
 
 
-def _covered(spark, sf_dir):
+def _covered(spark, sf_dir, flanked=None):
     pairs = inputs.map_pairs(spark, sf_dir).select("ref_id", "ref_site", "map_id", "map_site", "entry")
-    return evidence.covering_maps(_flanked(spark, sf_dir), pairs)
+    return evidence.covering_maps(flanked or _flanked(spark, sf_dir), pairs)
 
 
 @query
@@ -257,14 +266,13 @@ def covering_map(spark, sf_dir):
 
 @query
 def mean_coverage_outside(spark, sf_dir):
-    labels = inputs.map_pairs(spark, sf_dir).select("map_id", F.col("map_site").alias("site_id"), F.col("coverage").cast("decimal(18,4)").alias("coverage"))
-    return evidence.mean_coverage_outside(_covered(spark, sf_dir), labels)
+    return _coverage(spark, sf_dir, _covered(spark, sf_dir))
 
 
-def _support(spark, sf_dir):
+def _support(spark, sf_dir, flanked=None):
     """Molecules align to the references, so a site's map is its reference, aligned to itself from end to end."""
     n = inputs.ref_labels(spark, sf_dir).groupBy("ref_id").agg(F.max("site_id").alias("last_label"))
-    covered = _flanked(spark, sf_dir).join(n, "ref_id").select("site_key", F.col("ref_id").alias("map_id"), F.col("start_label").alias("map_start"), F.col("end_label").alias("map_end"), F.lit(1).alias("first_label"), "last_label")
+    covered = (flanked or _flanked(spark, sf_dir)).join(n, "ref_id").select("site_key", F.col("ref_id").alias("map_id"), F.col("start_label").alias("map_start"), F.col("end_label").alias("map_end"), F.lit(1).alias("first_label"), "last_label")
     aligned = _molecule_pairs(spark, sf_dir).groupBy("mol_id", "map_id").agg(F.array_sort(F.collect_list("map_site")).alias("labels"))
     return evidence.molecule_support(covered, aligned.withColumn("entry", F.col("mol_id")))
 
@@ -274,15 +282,81 @@ def molecule_support(spark, sf_dir):
     return _support(spark, sf_dir)
 
 
-def _site_reads(spark, sf_dir):
-    """Reads on a site's reference, one day of either calendar being one unit."""
+def _site_days(keyed):
+    """Sites in days, as reads are placed: one day of either calendar is one unit."""
     days = lambda c: F.floor(F.col(c) / (24 * HOUR)).cast("long")
-    placed = _keyed(spark, sf_dir).select("site_key", "ref_id", days("start_pos").alias("start_pos"), days("end_pos").alias("end_pos"))
-    return intervals.read_support(placed, inputs.reads(spark, sf_dir), 3, 30, 32)
+    return keyed.select("site_key", "ref_id", days("start_pos").alias("start_pos"), days("end_pos").alias("end_pos"))
+
+
+def _scores(spark, sf_dir, flanked=None):
+    flanked = flanked or written(_flanked(spark, sf_dir), "flanked")
+    reads = intervals.read_support(_site_days(flanked), inputs.reads(spark, sf_dir), 3, 30, 32)
+    return evidence.site_scores(flanked, _support(spark, sf_dir, flanked), reads)
+
+
+def _coverage(spark, sf_dir, covered):
+    labels = inputs.map_pairs(spark, sf_dir).select("map_id", F.col("map_site").alias("site_id"), F.col("coverage").cast("decimal(18,4)").alias("coverage"))
+    return evidence.mean_coverage_outside(covered, labels)
+
+
+def _statistics(spark, sf_dir):
+    flanked = written(_flanked(spark, sf_dir), "flanked")
+    covered = written(_covered(spark, sf_dir, flanked), "covered")
+    positioned = evidence.map_positions(covered, inputs.map_labels(spark, sf_dir))
+    support = written(_support(spark, sf_dir, flanked), "support")
+    spanning = written(intervals.spanning_reads(_site_days(flanked), inputs.reads(spark, sf_dir), 3, 30, 32), "spanning")
+    scored = evidence.site_scores(flanked, support, spanning.groupBy("site_key").agg(F.count(F.lit(1)).alias("reads")))
+    return evidence.score_statistics(flanked, positioned, _coverage(spark, sf_dir, covered), scored, support, spanning)
+
+
+@query
+def score_statistics(spark, sf_dir):
+    return _statistics(spark, sf_dir).withColumns({c: F.array_join(c, " ") for c in ("molecule_ids", "read_ids")})
+
+
+@query
+def scores_written_and_read(spark, sf_dir):
+    """Score statistics through their text form."""
+    path = shared_dir(spark, "scores")
+    writers.write_score_statistics(_statistics(spark, sf_dir), path)
+    return readers.read_scores(spark, path)
+
+
+@query
+def scored_sites(spark, sf_dir):
+    flanked = written(_flanked(spark, sf_dir), "flanked")
+    return evidence.scored_sites(flanked.select("site_key", "ref_id", "start_pos", "end_pos", "site_type"), _scores(spark, sf_dir, flanked))
+
+
+@query
+def maps_written_and_read(spark, sf_dir):
+    """Label maps through their text form, the end rows included."""
+    path, labels = shared_dir(spark, "maps"), inputs.map_labels(spark, sf_dir)
+    ends = labels.groupBy("map_id", "num_sites", "map_length").agg(F.lit(1).alias("one")).select("map_id", "num_sites", (F.col("num_sites") + 1).alias("site_id"), F.col("map_length").alias("pos"), "map_length", F.lit(0).alias("channel"))
+    both = labels.withColumn("channel", F.lit(1)).unionByName(ends)
+    writers.write_maps(both.select(F.col("map_id").alias("cmap_id"), F.col("map_length").alias("contig_length"), "num_sites", "site_id", "channel", F.col("pos").alias("position"), F.lit(1.0).alias("stddev"), F.lit(1.0).alias("coverage"), F.lit(1.0).alias("occurrence")), path)
+    return readers.read_maps(spark, path).select("cmap_id", F.col("contig_length").cast("double").alias("contig_length"), "num_sites", "site_id", "channel", F.col("position").cast("double").alias("position"))
 
 
-def _scores(spark, sf_dir):
-    return evidence.site_scores(_keyed(spark, sf_dir), _support(spark, sf_dir), _site_reads(spark, sf_dir))
+@query
+def sites_written_and_read(spark, sf_dir):
+    path = shared_dir(spark, "sites")
+    writers.write_sites(_sites(spark, sf_dir), path)
+    return readers.read_sites(spark, path).select("ref_id", "start_pos", "end_pos", "site_type", "item_rgba")
+
+
+@query
+def ratios_written_and_read(spark, sf_dir):
+    path = shared_dir(spark, "ratios")
+    writers.write_ratios(inputs.end_ratios(spark, sf_dir), path)
+    return readers.read_ratios(spark, path)
+
+
+@query
+def run_counts(spark, sf_dir):
+    """How many alignments, map and reference labels, maps, references, sites and pairs a run works on."""
+    aligned, labels, refs = inputs.alignments(spark, sf_dir), inputs.map_labels(spark, sf_dir), inputs.ref_labels(spark, sf_dir)
+    return mapops.run_counts({"alignments": aligned, "map_labels": labels, "maps": labels.select("map_id").distinct(), "reference_labels": refs, "references": refs.select("ref_id").distinct(), "sites": _sites(spark, sf_dir), "pairs": _pairs(spark, sf_dir)})
 
 
 @query
@@ -322,10 +396,11 @@ def threshold_split(spark, sf_dir):
 
 
 def _breakpoints(spark, sf_dir):
-    covered = written(_covered(spark, sf_dir), "covered")
-    broken = evidence.threshold_split(_scores(spark, sf_dir), 1.0, True).where("broken").select("site_key")
+    flanked = written(_flanked(spark, sf_dir), "flanked")
+    covered = written(_covered(spark, sf_dir, flanked), "covered")
+    broken = evidence.threshold_split(_scores(spark, sf_dir, flanked), 1.0, True).where("broken").select("site_key")
     placed = evidence.map_positions(covered, inputs.map_labels(spark, sf_dir))
-    return evidence.breakpoints(placed.join(broken, "site_key"))
+    return written(evidence.breakpoints(placed.join(broken, "site_key")), "breakpoints")
 
 
 @query

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import site_colour
 
+# The headers of the formats.
 MAP_HEADER = ["# CMAP File Version:\t0.1", "#h CMapId\tContigLength\tNumSites\tSiteID\tLabelChannel\tPosition\tStdDev\tCoverage\tOccurrence", "#f int\tfloat\tint\tint\tint\tfloat\tfloat\tint\tint"]
 KEY_HEADER = "CompntId\tCompntName\tCompntLength"
+SCORE_HEADER = "#BedLine,Type,FsiteSize,RefId,RefStart-End,RefLabelStart-End,MapId,MapStart-End,MapLabelStart-End,AvgMapCov,TotalHits,UniqueMolecules,TotalNGSHits,TotalConf,AvgConfPerHit,AvgConfPerMol,Score,AltScore,MoleculeMatches,NGSMatches"
 
 
 def _one(places: int, column: str) -> Column:
@@ -64,11 +66,23 @@ def write_ratios(ratios: DataFrame, path: str) -> None:
 
 
 def write_scores(scores: DataFrame, path: str) -> None:
-    """Score statistics as CSV; arrays are written as lists divided by semicolons."""
+    """Any scores as CSV; arrays are written as lists divided by semicolons."""
     plain = [F.array_join(F.transform(c, lambda x: x.cast("string")), ";").alias(c) if kind.startswith("array") else F.col(c) for c, kind in scores.dtypes]
     scores.select(*plain).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_score_statistics(scores: DataFrame, path: str) -> None:
+    """Score statistics, as ``evidence.score_statistics`` gives them, in 20 columns divided by commas, by line; pairs are
+    joined by hyphens and lists by spaces."""
+    pair = lambda a, b: F.concat_ws("-", a, b)
+    listed = lambda c: F.array_join(c, " ")
+    columns = [F.col("line"), F.col("site_type"), F.col("size"), F.col("ref_id"), pair("start_pos", "end_pos"), pair("start_label", "end_label"), F.col("map_id"), pair("map_start_pos", "map_end_pos"), pair("map_start", "map_end"), F.col("mean_coverage"), F.col("hits")]
+    columns += [F.col(c) for c in ("molecules", "reads", "total", "mean_per_hit", "mean_per_molecule", "score", "alt_score")] + [listed("molecule_ids"), listed("read_ids")]
+    body = scores.select(F.col("line").cast("long").alias("line"), F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns]).alias("value"))
+    head = scores.sparkSession.createDataFrame([(0, SCORE_HEADER)], "line long, value string")
+    head.unionByName(body).orderBy("line").select("value").write.mode("overwrite").text(path)
+
+
 def write_site_sequences(sites: DataFrame, path: str) -> None:
     """FASTA of sites with a sequence; a record is named by reference, start, end and type."""
     name = F.concat_ws("_", "ref_id", "start_pos", "end_pos", "site_type")

@@ -99,3 +99,14 @@ def test_keys_and_scores_written(spark, tmp_path):
     assert "s,1;2" in "".join(p.read_text() for p in (tmp_path / "s").glob("part-*"))
     writers.write_ratios(spark.createDataFrame([(1, 0.5, 0.25)], "map_id long, start_ratio double, end_ratio double"), str(tmp_path / "r"))
     assert [tuple(r) for r in readers.read_ratios(spark, str(tmp_path / "r")).collect()] == [(1, 0.5, 0.25)]
+
+
+def test_score_statistics_round_trip(spark, tmp_path):
+    """Twenty columns by line, which read_scores reads back."""
+    row = (2, "TypeI", 10, 1, 100, 110, 3, 4, 17, 20, 90, 2, 5, 1.5, 5, 3, 2, 40, 8.0, 8.0, 4.0, 40, ["a", "b"], [])
+    kinds = "line long, site_type string, size long, ref_id long, start_pos long, end_pos long, start_label int, end_label int, map_id long, map_start_pos long, map_end_pos long, map_start int, map_end int, mean_coverage double, hits long, molecules long, reads long, total long, mean_per_hit double, mean_per_molecule double, score double, alt_score long, molecule_ids array<string>, read_ids array<string>"
+    writers.write_score_statistics(spark.createDataFrame([row, (1, *row[1:])], kinds), str(tmp_path / "stats"))
+    lines = [line for part in sorted((tmp_path / "stats").glob("part-*")) for line in part.read_text().splitlines()]
+    assert lines[0] == writers.SCORE_HEADER and [len(x.split(",")) for x in lines] == [20] * 3 and lines[1].startswith("1,TypeI,10,1,100-110,3-4,17,20-90,2-5,1.5,5,3,2,40,8.0,8.0,4.0,40,a b,")
+    back = readers.read_scores(spark, str(tmp_path / "stats")).orderBy("line").collect()
+    assert [tuple(r) for r in back] == [(k, "TypeI", 17, 20.0, 90.0, 3, 2, 4.0) for k in (1, 2)]
