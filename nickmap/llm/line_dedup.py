@@ -33,7 +33,9 @@ WHITE = " \t\r\x0b\x0c"
 
 def normal_form(line: Column, numbers: bool = False) -> Column:
     """Lower case without outer ASCII white space; with ``numbers``, runs of digits count as one 0."""
-    line = F.lower(F.trim(line, F.lit(WHITE)))
+    # Trimming of several characters is slow, and few lines need it.
+    outer = reduce(lambda p, q: p | q, [line.startswith(c) | line.endswith(c) for c in WHITE])
+    line = F.lower(F.when(outer, F.trim(line, F.lit(WHITE))).otherwise(line))
     return F.regexp_replace(line, "[0-9]+", "0") if numbers else line
 
 
