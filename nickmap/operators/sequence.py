@@ -32,9 +32,16 @@ def occurrences(text: Column, motif: str) -> Column:
     return F.when(F.size(pieces) > 1, F.aggregate(ahead, none, step)["found"]).otherwise(F.array().cast("array<int>"))
 
 
-def motif_hits(chunks: DataFrame, motifs: list[tuple[str, int, bool]]) -> DataFrame:
+def motif_hits(chunks: DataFrame, motifs: list[tuple[str, int, bool]], stretch: int = 4096) -> DataFrame:
     """seq_id, length, pos, strand, step: places of ``motifs`` (motif, strand, whether the nick lies behind it) in
-    ``chunks``; step is the motif's place in the list. All motifs are found in one pass over the bases."""
+    ``chunks``; step is the motif's place in the list. All motifs are found in one pass over the bases.
+
+    Chunks are searched by stretches of ``stretch`` bases, as gathering the places of one text takes the square of their
+    number.
+    """
+    reach = max(len(motif) for motif, _, _ in motifs) - 1
+    chunks = chunks.withColumn("skip", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("chunk_end") - F.col("chunk_start") - 1, F.lit(0)), F.lit(stretch).cast("long"))))
+    chunks = chunks.select("seq_id", "length", (F.col("chunk_start") + F.col("skip")).alias("chunk_start"), F.least(F.col("chunk_start") + F.col("skip") + stretch, "chunk_end").alias("chunk_end"), F.substring(F.col("bases"), (F.col("skip") + 1).cast("int"), F.lit(stretch + reach)).alias("bases"))
     own = F.col("chunk_end") - F.col("chunk_start")
 
     def found(motif: str, strand: int, behind: bool, step: int) -> Column:

@@ -35,20 +35,21 @@ def ref_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(F.col("user_id").alias("ref_id"), F.row_number().over(order).cast("long").alias("site_id"), _since("ts", "2024-01-01").alias("pos"), F.col("value").alias("coverage"))
 
 
-def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ref_id, blk, map_id, s0 and s1 (first and last reference label), orientation, confidence of each map."""
+def blocks(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
+    """ref_id, blk, map_id, s0 and s1 (first and last reference label), orientation, confidence of each map; of the maps on
+    ``labels`` (as of ``ref_labels``) if given, here and below."""
     b = F.floor((F.col("site_id") - 1) / 8).cast("long")
-    grouped = ref_labels(spark, sf_dir).withColumn("blk", b).groupBy("ref_id", "blk").agg(F.min("site_id").alias("lo"), F.max("site_id").alias("hi"), F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("coverage").cast("decimal(18,4)")), 2).cast("double").alias("confidence"))
+    grouped = (labels or ref_labels(spark, sf_dir)).withColumn("blk", b).groupBy("ref_id", "blk").agg(F.min("site_id").alias("lo"), F.max("site_id").alias("hi"), F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("coverage").cast("decimal(18,4)")), 2).cast("double").alias("confidence"))
     return grouped.select(
         "ref_id", "blk", (F.col("ref_id") * 1000 + F.col("blk")).alias("map_id"), F.greatest(F.col("lo") - F.when(F.col("blk") % 5 == 3, 3).otherwise(0), F.lit(1)).alias("s0"),
         (F.col("hi") - F.when(F.col("n") == 8, F.col("blk") % 3).otherwise(0)).alias("s1"), F.when((F.col("ref_id") + F.col("blk")) % 4 == 0, "-").otherwise("+").alias("orientation"), "confidence",
     )
 
 
-def map_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def map_pairs(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
     """ref_id, ref_site, ref_pos, coverage, map_id, map_site, map_pos, num_sites, map_length, entry: all labels of all maps,
     with those of the reference that they align to."""
-    labels, maps = ref_labels(spark, sf_dir), blocks(spark, sf_dir)
+    labels, maps = labels or ref_labels(spark, sf_dir), blocks(spark, sf_dir, labels)
     spread = maps.withColumn("site_id", F.explode(F.sequence("s0", "s1"))).join(labels, ["ref_id", "site_id"])
     whole = Window.partitionBy("map_id")
     first, last = F.min("pos").over(whole), F.max("pos").over(whole)
@@ -59,13 +60,13 @@ def map_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def map_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return map_pairs(spark, sf_dir).select("map_id", "num_sites", F.col("map_site").alias("site_id"), F.col("map_pos").alias("pos"), "map_length")
+def map_labels(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
+    return map_pairs(spark, sf_dir, labels).select("map_id", "num_sites", F.col("map_site").alias("site_id"), F.col("map_pos").alias("pos"), "map_length")
 
 
-def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alignments(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
     """One alignment a map, from its first label to its last, or to the one before in every seventh map."""
-    maps, labels = blocks(spark, sf_dir), ref_labels(spark, sf_dir)
+    maps, labels = blocks(spark, sf_dir, labels), labels or ref_labels(spark, sf_dir)
     end = F.col("s1") - F.when((F.col("blk") % 7 == 6) & (F.col("s1") > F.col("s0")), 1).otherwise(0)
     spread = maps.withColumn("end", end).withColumn("site_id", F.explode(F.sequence("s0", "s1"))).join(labels, ["ref_id", "site_id"])
     ends = spread.groupBy(F.col("map_id").alias("qry_id"), "ref_id", "orientation", "confidence").agg(F.min("pos").alias("a"), F.max("pos").alias("z"), F.max(F.when(F.col("site_id") == F.col("end"), F.col("pos"))).alias("e"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from nickmap.operators import evidence, intervals, mapops, sequence, sites, stitch
 from nickmap.plans import inputs
 from nickmap.plans.inputs import HOUR
+from nickmap.plans.repair import digested, repair_sequences
 from nickmap.sources import readers, writers
 from nickmap.sources.shared import shared_dir, written
 
@@ -448,3 +449,26 @@ def map_summary(spark, sf_dir):
 @query
 def alignment_summary(spark, sf_dir):
     return mapops.alignment_summary(inputs.alignments(spark, sf_dir))
+
+
+#: Distances in texts are letters.
+TEXT_LIMITS = stitch.Limits(max_fill=400, max_overlap=400, max_labels=1, max_overlap_labels=5, window=200, wobble=50, min_ratio=0.7)
+
+
+def text_repair(spark, sf_dir):
+    """The whole repair with texts as references: scan, digest, end ratios, rounds of stitching, scores, cuts, validation.
+    Maps are blocks of the digest's labels, the line items their molecules."""
+    chunks = written(_chunks(spark, sf_dir), "chunks")
+    labels = written(digested(chunks, ["rei"], ["are"])[1].withColumn("coverage", F.lit(10.0)), "ref-labels")
+    pairs = written(inputs.map_pairs(spark, sf_dir, labels).select("ref_id", "ref_site", "map_id", "map_site"), "map-pairs")
+    spread = inputs.molecules(spark, sf_dir).withColumnRenamed("map_id", "ref_id").withColumn("ref_site", F.explode(F.sequence("lab0", "lab1"))).join(pairs, ["ref_id", "ref_site"])
+    spread = written(spread.select("mol_id", "ref_id", "ref_site", "map_id", "map_site", (F.col("ref_site") - F.col("lab0") + 1).alias("mol_site"), (F.col("lab1") - F.col("lab0") + 1).alias("mol_sites")), "molecule-pairs")
+    aligned = spread.groupBy("ref_id", "mol_id").agg(F.array_sort(F.collect_set(F.col("ref_site").cast("int"))).alias("labels")).withColumn("entry", F.col("mol_id"))
+    maps = written(inputs.map_labels(spark, sf_dir, labels), "map-labels")
+    return repair_sequences(chunks, ["rei"], ["are"], written(inputs.alignments(spark, sf_dir, labels), "alignments"), maps, aligned, inputs.reads(spark, sf_dir), TEXT_LIMITS, spread.drop("ref_id", "ref_site"), gaps=(200, 100), buffer=3, min_piece=100, width=512)
+
+
+@query
+def repair_from_sequences(spark, sf_dir):
+    """Scored and validated stitches of ``text_repair``; SQL can't follow its rounds."""
+    return text_repair(spark, sf_dir).stitches.select("ref_id", "site_key", "map_id", "start_pos", "end_pos", "site_type", "score", "broken", "evidence")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nickmap.operators import evidence, intervals, mapops, sites, stitch
+from nickmap.operators import evidence, intervals, mapops, sequence, sites, stitch
 from nickmap.sources.shared import written
 
 
@@ -72,3 +72,30 @@ def repair(alignments: DataFrame, map_labels: DataFrame, ref_labels: DataFrame,
     validated = intervals.validate_sites(split.where("not broken").select("site_key", "ref_id", "start_pos", "end_pos"), reads, spans, width=width).select("site_key", "evidence")
     stitched = split.join(validated, "site_key", "left")
     return Repaired(whole.unionByName(pieces), lifted, stitched, sites.site_statistics(stitched))
+
+
+def digested(chunks: DataFrame, motifs: list[str], partners: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Nicks (ref_id, pos, strand) and reference labels (ref_id, site_id, pos) of sequences in ``chunks``, whose ids are
+    those of the references, for ``motifs`` and their reverse complements ``partners``; both as written tables."""
+    nicks = sequence.nick_sites(chunks, motifs, partners).select(F.col("seq_id").alias("ref_id"), F.col("pos").cast("long").alias("pos"), "strand")
+    labels = sequence.digest(chunks, [list(dict.fromkeys(motifs + partners))])
+    labels = labels.select(F.col("cmap_id").alias("ref_id"), F.col("site_id").cast("long").alias("site_id"), F.col("position").cast("long").alias("pos"))
+    return written(nicks, "nicks"), written(labels, "ref-labels")
+
+
+def map_end_ratios(pairs: DataFrame, map_labels: DataFrame, min_occurrence: int = 10) -> DataFrame:
+    """map_id, start_ratio, end_ratio of all maps by their molecules: ``pairs`` (mol_id, map_id, map_site, mol_site,
+    mol_sites) are aligned labels. A label occurs as often as molecules are aligned to it; maps without any have ratio 0."""
+    seen = pairs.groupBy("map_id", F.col("map_site").alias("site_id")).agg(F.count(F.lit(1)).alias("occurrence"))
+    labels = map_labels.select("map_id", "site_id", "num_sites").join(seen, ["map_id", "site_id"], "left").na.fill(0, ["occurrence"])
+    sizes = pairs.groupBy("mol_id").agg(F.max("mol_sites").alias("mol_sites"))
+    return evidence.molecule_end_ratios(pairs.drop("mol_sites"), sizes, labels, min_occurrence)
+
+
+def repair_sequences(chunks: DataFrame, motifs: list[str], partners: list[str], alignments: DataFrame, map_labels: DataFrame, molecules: DataFrame, reads: DataFrame, limits: stitch.Limits, map_molecules: DataFrame | None = None, **options) -> Repaired:
+    """``repair`` from the bases on: sites and reference labels are those of ``digested``, end ratios those of
+    ``map_end_ratios`` for ``map_molecules`` if given (without, no site is taken as observed). ``alignments`` and
+    ``molecules`` refer to the digest's labels; ``options`` are those of ``repair``."""
+    nicks, labels = digested(chunks, motifs, partners)
+    ratios = None if map_molecules is None else written(map_end_ratios(map_molecules, map_labels), "end-ratios")
+    return repair(alignments, map_labels, labels, nicks, molecules, reads, limits, ratios, **options)

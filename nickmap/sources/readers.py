@@ -95,10 +95,22 @@ def read_alignment_table(spark: SparkSession, path: str) -> DataFrame:
 
 def named_references(names: DataFrame, keys: DataFrame) -> DataFrame:
     """seq_name, ref_id for each sequence name that contains a key's name or lies in it, whatever the case; the longest
-    such key counts, then the least id. Both sides have one row for each sequence of a genome."""
-    a, b = F.lower("seq_name"), F.lower("name")
-    pairs = names.select("seq_name").distinct().join(F.broadcast(keys.select("ref_id", "name")), a.contains(b) | b.contains(a))
-    return pairs.groupBy("seq_name").agg(F.min_by("ref_id", F.struct(-F.length("name"), "ref_id")).alias("ref_id"))
+    such key counts, then the least id. Null and empty names match nothing.
+
+    Both ways are equality joins: of the parts of one side's names that are as long as some name of the other.
+    """
+    keys = keys.where("name <> ''").groupBy(F.lower("name").alias("key")).agg(F.min("ref_id").alias("ref_id"))
+    names = names.where("seq_name <> ''").select("seq_name", F.lower("seq_name").alias("text")).distinct()
+
+    def parts(texts: DataFrame, text: str, others: DataFrame, other: str) -> DataFrame:
+        sizes = others.agg(F.collect_set(F.length(other)).alias("sizes"))  # one row, no more entries than a name is long
+        of = lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda at: F.substring(F.col(text), at, n))
+        fitting = F.filter("sizes", lambda n: n <= F.length(text))
+        return texts.join(F.broadcast(sizes)).withColumn("part", F.explode(F.array_distinct(F.flatten(F.transform(fitting, of))))).drop("sizes")
+
+    inside = parts(names, "text", keys, "key").drop("text").join(keys, F.col("part") == F.col("key")).select("seq_name", "key", "ref_id")
+    around = parts(keys, "key", names, "text").join(names, F.col("part") == F.col("text")).select("seq_name", "key", "ref_id")
+    return inside.unionByName(around).groupBy("seq_name").agg(F.min_by("ref_id", F.struct(-F.length("key"), "ref_id")).alias("ref_id"))
 
 
 def read_sequences(spark: SparkSession, path: str | list[str], size: int = 65_536, overlap: int = 64) -> tuple[DataFrame, DataFrame]:

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from nickmap.operators import stitch
+from nickmap.operators import sequence, stitch
 from nickmap.plans import inputs, queries
-from nickmap.plans.repair import repair
+from nickmap.plans.repair import repair, repair_sequences
 
 
 def _run(spark, small, limits):
@@ -25,3 +25,42 @@ def test_nothing_to_merge(spark, small):
     done = _run(spark, small, stitch.Limits(max_fill=-1, max_overlap=0))
     assert done.stitches.count() == 0
     assert done.maps.count() == inputs.map_labels(spark, small).count()
+
+
+def _planted(spark):
+    """One reference with 17 labels and two fragile sites, at which three maps end; only the first site has molecules."""
+    forward = {at: "GCTCTTC" for at in [*range(10_000, 160_000, 10_000)]}
+    text = list("AT" * 80_000)
+    for at, motif in (forward | {50_200: "GAAGAGC", 100_300: "GAAGAGC"}).items():
+        text[at : at + 7] = motif
+    places = sorted([*forward, 50_200, 100_300])
+    chunks = sequence.chunked(spark.createDataFrame([(1, "".join(text))], "seq_id long, bases string"), 10_000)
+    blocks = {11: (1, 5), 12: (6, 11), 13: (12, 17)}
+    maps, aligned = [], []
+    for m, (a, z) in blocks.items():
+        own = [places[k - 1] + 1 for k in range(a, z + 1)]
+        maps += [(m, len(own), k, p - own[0] + 20, own[-1] - own[0] + 40) for k, p in enumerate(own, 1)]
+        aligned.append((1, m, "+", 20.0, own[0], own[-1], 20, own[-1] - own[0] + 20))
+    maps = spark.createDataFrame(maps, "map_id long, num_sites long, site_id long, pos long, map_length long")
+    aligned = spark.createDataFrame(aligned, "ref_id long, qry_id long, orientation string, confidence double, ref_start long, ref_end long, qry_start long, qry_end long")
+    molecules = spark.createDataFrame([(1, f"m{i}", f"m{i}", list(range(2, 10))) for i in range(20)], "ref_id long, mol_id string, entry string, labels array<int>")
+    reads = spark.createDataFrame([(1, "r", 48_000, 53_000, 60)], "ref_id long, read_id string, read_start long, read_end long, mapq int")
+    return chunks, aligned, maps, molecules, reads
+
+
+def test_from_sequences(spark):
+    chunks, aligned, maps, molecules, reads = _planted(spark)
+    done = repair_sequences(chunks, ["GCTCTTC"], ["GAAGAGC"], aligned, maps, molecules, reads, stitch.Limits())
+    found = {r.start_pos // 10_000: r for r in done.stitches.collect()}
+    assert {k: (r.site_type, r.broken, r.evidence is not None) for k, r in found.items()} == {5: ("TypeI", False, True), 10: ("TypeI", True, False)}
+    # The first two maps stay one, the third is cut off again; no label is lost.
+    sizes = sorted(r["count"] for r in done.maps.groupBy("map_id").count().collect())
+    assert sizes == [6, 11] and done.alignments.count() == 1
+
+
+def test_from_sequences_query(spark, small):
+    done = queries.text_repair(spark, small)
+    stitches = done.stitches.toPandas()
+    assert len(stitches) and stitches.site_key.is_unique
+    assert not stitches[stitches.broken].evidence.notna().any()
+    assert stitches.site_type.isin(["TypeI", "TypeII", "TypeV", "Observed"]).all()
