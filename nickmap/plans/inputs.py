@@ -77,8 +77,8 @@ def alignments(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None
     )
 
 
-def end_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks(spark, sf_dir).select("map_id", (F.col("map_id") % 10 / 10.0).alias("start_ratio"), ((F.floor(F.col("map_id") / 10) + 7) % 10 / 10.0).alias("end_ratio"))
+def end_ratios(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
+    return blocks(spark, sf_dir, labels).select("map_id", (F.col("map_id") % 10 / 10.0).alias("start_ratio"), ((F.floor(F.col("map_id") / 10) + 7) % 10 / 10.0).alias("end_ratio"))
 
 
 def molecules(spark: SparkSession, sf_dir: str) -> DataFrame:

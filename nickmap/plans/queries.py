@@ -142,8 +142,9 @@ def terminal_label_filter(spark, sf_dir):
     return stitch.terminal_filter(_near(spark, sf_dir), inputs.map_labels(spark, sf_dir)).select(*_PAIR)
 
 
-def _candidates(spark, sf_dir):
-    return stitch.candidate_pairs(inputs.alignments(spark, sf_dir), inputs.map_labels(spark, sf_dir), inputs.ref_labels(spark, sf_dir), LIMITS)
+def _candidates(spark, sf_dir, refs=None):
+    refs = refs or _refs(spark, sf_dir)
+    return stitch.candidate_pairs(inputs.alignments(spark, sf_dir, refs), inputs.map_labels(spark, sf_dir, refs), refs, LIMITS)
 
 
 @query
@@ -152,7 +153,8 @@ def label_distance_filter(spark, sf_dir):
 
 
 def _windowed(spark, sf_dir):
-    return stitch.with_window(_candidates(spark, sf_dir), inputs.ref_labels(spark, sf_dir), LIMITS)
+    refs = _refs(spark, sf_dir)
+    return stitch.with_window(_candidates(spark, sf_dir, refs), refs, LIMITS)
 
 
 @query
@@ -171,10 +173,20 @@ def observed_fallback(spark, sf_dir):
     return stitch.facing_ratios(pairs, inputs.end_ratios(spark, sf_dir)).where(stitch.is_observed(LIMITS)).select("ref_id", "pair_no", "first_ratio", "second_ratio")
 
 
+def _refs(spark, sf_dir):
+    """Reference labels, written, as all maps and alignments are derived from them."""
+    return written(inputs.ref_labels(spark, sf_dir), "ref-labels")
+
+
+def _planned(spark, sf_dir):
+    """The plan, the map labels and the alignments, written, as merging reads them several times."""
+    refs = _refs(spark, sf_dir)
+    labels, aligned = written(inputs.map_labels(spark, sf_dir, refs), "map-labels"), written(inputs.alignments(spark, sf_dir, refs), "alignments")
+    return written(stitch.stitch_plan(aligned, labels, refs, LIMITS, written(_sites(spark, sf_dir), "sites"), inputs.end_ratios(spark, sf_dir, refs), WIDTH), "plan"), labels, aligned
+
+
 def _plan(spark, sf_dir):
-    """Written, as merging reads it several times."""
-    labels = written(inputs.map_labels(spark, sf_dir), "map-labels")
-    return written(stitch.stitch_plan(inputs.alignments(spark, sf_dir), labels, inputs.ref_labels(spark, sf_dir), LIMITS, _sites(spark, sf_dir), inputs.end_ratios(spark, sf_dir), WIDTH), "plan")
+    return _planned(spark, sf_dir)[0]
 
 
 @query
@@ -197,40 +209,43 @@ def ratio_propagation(spark, sf_dir):
     return stitch.merged_ratios(_plan(spark, sf_dir), inputs.end_ratios(spark, sf_dir))
 
 
-def _labels(spark, sf_dir):
-    return written(inputs.map_labels(spark, sf_dir), "map-labels")
-
-
 @query
 def merged_labels(spark, sf_dir):
-    return mapops.merge_maps(mapops.pairwise_groups(_plan(spark, sf_dir)), _labels(spark, sf_dir))
+    plan, labels, _ = _planned(spark, sf_dir)
+    return mapops.merge_maps(mapops.pairwise_groups(plan), labels)
 
 
 @query
 def merged_two_references(spark, sf_dir):
     """Maps that align to two references, and are joined on both."""
-    junctions = written(mapops.pairwise_groups(_plan(spark, sf_dir)), "junctions")
+    plan, labels, _ = _planned(spark, sf_dir)
+    junctions = written(mapops.pairwise_groups(plan), "junctions")
     both = junctions.unionByName(junctions.where("second_id % 2 = 0").withColumn("ref_id", F.col("ref_id") + 1_000_000))
-    return mapops.merge_maps(both, _labels(spark, sf_dir))
+    return mapops.merge_maps(both, labels)
 
 
 @query
 def merged_maps(spark, sf_dir):
-    return mapops.apply_merges(mapops.pairwise_groups(_plan(spark, sf_dir)), _labels(spark, sf_dir))
+    plan, labels, _ = _planned(spark, sf_dir)
+    return mapops.apply_merges(mapops.pairwise_groups(plan), labels)
 
 
 @query
 def merged_groups(spark, sf_dir):
-    return mapops.merge_maps(written(mapops.chained_groups(_windowed(spark, sf_dir)), "junctions"), _labels(spark, sf_dir))
+    refs = _refs(spark, sf_dir)
+    labels = written(inputs.map_labels(spark, sf_dir, refs), "map-labels")
+    pairs = stitch.with_window(stitch.candidate_pairs(inputs.alignments(spark, sf_dir, refs), labels, refs, LIMITS), refs, LIMITS)
+    return mapops.merge_maps(written(mapops.chained_groups(pairs), "junctions"), labels)
 
 
 @query
 def lifted_alignments(spark, sf_dir):
-    return mapops.lift_alignments(inputs.alignments(spark, sf_dir), mapops.pairwise_groups(_plan(spark, sf_dir)), _labels(spark, sf_dir))
+    plan, labels, aligned = _planned(spark, sf_dir)
+    return mapops.lift_alignments(aligned, mapops.pairwise_groups(plan), labels)
 
 
-def _molecule_pairs(spark, sf_dir):
-    labels = inputs.ref_labels(spark, sf_dir).select(F.col("ref_id").alias("map_id"), F.col("site_id").alias("map_site"))
+def _molecule_pairs(spark, sf_dir, refs=None):
+    labels = (refs or inputs.ref_labels(spark, sf_dir)).select(F.col("ref_id").alias("map_id"), F.col("site_id").alias("map_site"))
     spread = inputs.molecules(spark, sf_dir).withColumn("map_site", F.explode(F.sequence("lab0", "lab1")))
     return spread.join(labels, ["map_id", "map_site"]).select("mol_id", "map_id", "map_site", (F.col("map_site") - F.col("lab0") + 1).alias("mol_site"))
 
@@ -246,8 +261,9 @@ def molecule_end_ratios(spark, sf_dir):
     return evidence.molecule_end_ratios(pairs, sizes, labels)
 
 
-def _flanked(spark, sf_dir):
-    return evidence.flanking_labels(_keyed(spark, sf_dir), inputs.ref_labels(spark, sf_dir))
+def _flanked(spark, sf_dir, refs=None):
+    keyed = written(_keyed(spark, sf_dir), "sites")
+    return evidence.flanking_labels(keyed, refs or _refs(spark, sf_dir))
 
 
 @query
@@ -255,8 +271,8 @@ def flanking_labels(spark, sf_dir):
     return _flanked(spark, sf_dir).select("site_key", "start_label", "end_label")
 
 
-def _covered(spark, sf_dir, flanked=None):
-    pairs = inputs.map_pairs(spark, sf_dir).select("ref_id", "ref_site", "map_id", "map_site", "entry")
+def _covered(spark, sf_dir, flanked=None, refs=None):
+    pairs = inputs.map_pairs(spark, sf_dir, refs).select("ref_id", "ref_site", "map_id", "map_site", "entry")
     return evidence.covering_maps(flanked or _flanked(spark, sf_dir), pairs)
 
 
@@ -270,11 +286,11 @@ def mean_coverage_outside(spark, sf_dir):
     return _coverage(spark, sf_dir, _covered(spark, sf_dir))
 
 
-def _support(spark, sf_dir, flanked=None):
+def _support(spark, sf_dir, flanked=None, refs=None):
     """Molecules align to the references, so a site's map is its reference, aligned to itself from end to end."""
-    n = inputs.ref_labels(spark, sf_dir).groupBy("ref_id").agg(F.max("site_id").alias("last_label"))
+    n = (refs or inputs.ref_labels(spark, sf_dir)).groupBy("ref_id").agg(F.max("site_id").alias("last_label"))
     covered = (flanked or _flanked(spark, sf_dir)).join(n, "ref_id").select("site_key", F.col("ref_id").alias("map_id"), F.col("start_label").alias("map_start"), F.col("end_label").alias("map_end"), F.lit(1).alias("first_label"), "last_label")
-    aligned = _molecule_pairs(spark, sf_dir).groupBy("mol_id", "map_id").agg(F.array_sort(F.collect_list("map_site")).alias("labels"))
+    aligned = _molecule_pairs(spark, sf_dir, refs).groupBy("mol_id", "map_id").agg(F.array_sort(F.collect_list("map_site")).alias("labels"))
     return evidence.molecule_support(covered, aligned.withColumn("entry", F.col("mol_id")))
 
 
@@ -289,25 +305,27 @@ def _site_days(keyed):
     return keyed.select("site_key", "ref_id", days("start_pos").alias("start_pos"), days("end_pos").alias("end_pos"))
 
 
-def _scores(spark, sf_dir, flanked=None):
-    flanked = flanked or written(_flanked(spark, sf_dir), "flanked")
+def _scores(spark, sf_dir, flanked=None, refs=None):
+    refs = refs or _refs(spark, sf_dir)
+    flanked = flanked or written(_flanked(spark, sf_dir, refs), "flanked")
     reads = intervals.read_support(_site_days(flanked), inputs.reads(spark, sf_dir), 3, 30, 32)
-    return evidence.site_scores(flanked, _support(spark, sf_dir, flanked), reads)
+    return evidence.site_scores(flanked, _support(spark, sf_dir, flanked, refs), reads)
 
 
-def _coverage(spark, sf_dir, covered):
-    labels = inputs.map_pairs(spark, sf_dir).select("map_id", F.col("map_site").alias("site_id"), F.col("coverage").cast("decimal(18,4)").alias("coverage"))
+def _coverage(spark, sf_dir, covered, refs=None):
+    labels = inputs.map_pairs(spark, sf_dir, refs).select("map_id", F.col("map_site").alias("site_id"), F.col("coverage").cast("decimal(18,4)").alias("coverage"))
     return evidence.mean_coverage_outside(covered, labels)
 
 
 def _statistics(spark, sf_dir):
-    flanked = written(_flanked(spark, sf_dir), "flanked")
-    covered = written(_covered(spark, sf_dir, flanked), "covered")
-    positioned = evidence.map_positions(covered, inputs.map_labels(spark, sf_dir))
-    support = written(_support(spark, sf_dir, flanked), "support")
+    refs = _refs(spark, sf_dir)
+    flanked = written(_flanked(spark, sf_dir, refs), "flanked")
+    covered = written(_covered(spark, sf_dir, flanked, refs), "covered")
+    positioned = evidence.map_positions(covered, inputs.map_labels(spark, sf_dir, refs))
+    support = written(_support(spark, sf_dir, flanked, refs), "support")
     spanning = written(intervals.spanning_reads(_site_days(flanked), inputs.reads(spark, sf_dir), 3, 30, 32), "spanning")
     scored = evidence.site_scores(flanked, support, spanning.groupBy("site_key").agg(F.count(F.lit(1)).alias("reads")))
-    return evidence.score_statistics(flanked, positioned, _coverage(spark, sf_dir, covered), scored, support, spanning)
+    return evidence.score_statistics(flanked, positioned, _coverage(spark, sf_dir, covered, refs), scored, support, spanning)
 
 
 @query
@@ -396,11 +414,12 @@ def threshold_split(spark, sf_dir):
     return evidence.threshold_split(_scores(spark, sf_dir), 1.0, True).select("site_key", "score", "broken")
 
 
-def _breakpoints(spark, sf_dir):
-    flanked = written(_flanked(spark, sf_dir), "flanked")
-    covered = written(_covered(spark, sf_dir, flanked), "covered")
-    broken = evidence.threshold_split(_scores(spark, sf_dir, flanked), 1.0, True).where("broken").select("site_key")
-    placed = evidence.map_positions(covered, inputs.map_labels(spark, sf_dir))
+def _breakpoints(spark, sf_dir, refs=None):
+    refs = refs or _refs(spark, sf_dir)
+    flanked = written(_flanked(spark, sf_dir, refs), "flanked")
+    covered = written(_covered(spark, sf_dir, flanked, refs), "covered")
+    broken = evidence.threshold_split(_scores(spark, sf_dir, flanked, refs), 1.0, True).where("broken").select("site_key")
+    placed = evidence.map_positions(covered, inputs.map_labels(spark, sf_dir, refs))
     return written(evidence.breakpoints(placed.join(broken, "site_key")), "breakpoints")
 
 
@@ -416,7 +435,8 @@ def breakpoints_per_map(spark, sf_dir):
 
 @query
 def broken_maps(spark, sf_dir):
-    return mapops.break_maps(inputs.map_labels(spark, sf_dir), _breakpoints(spark, sf_dir), 3 * HOUR)
+    refs = _refs(spark, sf_dir)
+    return mapops.break_maps(inputs.map_labels(spark, sf_dir, refs), _breakpoints(spark, sf_dir, refs), 3 * HOUR)
 
 
 @query
