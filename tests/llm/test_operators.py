@@ -711,6 +711,6 @@ def test_registry_without_this_subpackage(tmp_path):
     root = Path(__file__).resolve().parents[2]
     shutil.copytree(root / "nickmap", tmp_path / "nickmap", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(root / "__spark_entry__.py", tmp_path)
-    code = "import __spark_entry__ as e; assert e.queries() and set(e.queries()) == set(e.oracle_sql()); assert not any(k.startswith('op') for k in e.queries())"
+    code = "import __spark_entry__ as e; assert e.queries() and set(e.oracle_sql()) <= set(e.queries()); assert not any(k.startswith('op') for k in e.queries())"
     env = {"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}
     assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env).returncode == 0
