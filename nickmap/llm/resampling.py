@@ -115,13 +115,13 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 5, min_words: in
     Ties go to the smaller id; rows of one id and score are ordered by their features, equal ones in any order. A null id
     has the noise of an empty one and comes first among ties.
     """
-    weights = importance_weights(docs, target, buckets, longest)
+    weights = written(importance_weights(docs, target, buckets, longest), "weights")  # dealing out by ranges reads them twice
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("double")
     noise = F.floor(-1000 * F.log(-F.log((h + 0.5) / float(1 << 32)))).cast("long")
     # Those that can be drawn come first, so their places in the order are their ranks.
     scored = weights.withColumn("score", F.col("weight") + noise).withColumn("short", F.col("n_words") < min_words)
-    placed = written(in_order(scored, F.col("short").asc(), F.desc("score"), F.asc("doc_id"), F.asc("n_features"), F.asc("n_words")), "scored")
-    drawn = placed.where(~F.col("short")).count() * percent // 100
+    placed = in_order(scored, F.col("short").asc(), F.desc("score"), F.asc("doc_id"), F.asc("n_features"), F.asc("n_words"))
+    drawn = scored.where(~F.col("short")).count() * percent // 100
     return placed.select("doc_id", "n_features", "weight", "score", F.when(~F.col("short") & (F.col("rank") <= drawn), F.col("rank")).alias("rank"))
 
 
