@@ -14,9 +14,12 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import pickle
 import re
 import zlib
+from array import array
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -25,14 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .tokens import _AT_SPACE, _BYTE, LONGEST, tokenizer_path
+from .tokens import _AT_SPACE, _BYTE, LONGEST, encoder, tokenizer_path
 
 #: Code points of a byte range of a long document; its bounds are moved to a cut where none lies within NEAR.
 RANGE, NEAR = 32_768, 4_096
 #: Characters of the documents that make a block, and fragments that are composed at once.
 BLOCK, FAN = 4_000_000, 16
 #: Pieces a worker remembers, in each of two generations.
-REMEMBERED = 150_000
+REMEMBERED = 200_000
 
 _BYTES_OF = {c: b for b, c in _BYTE.items()}
 _HEX = re.compile(r"<0x([0-9A-F]{2})>")
@@ -72,15 +75,18 @@ class Fragment(NamedTuple):
     same: bool = True
 
 
-def _links(t: Tokens, width: int) -> tuple[list[int], bytes]:
-    """Codes of the linked pairs of one group, and its text."""
-    a, b, ends, others = t.a.tolist(), t.b.tolist(), t.a_end.tolist(), t.b_end.tolist()
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        out.append(a[i] * width + b[j])
+def _walk(t: Tokens, width: int) -> tuple[list[int], list[bytes]]:
+    """Codes of the linked pairs of tokens that begin and end at cuts, and the texts of their groups."""
+    a, ends, b, others = (x if isinstance(x, list) else x.tolist() for x in t)
+    codes, groups, i, j, p, q = [], [], 0, 0, 0, 0
+    while i < len(a):
+        codes.append(a[i] * width + b[j])
         at = ends[i] - others[j]
         i, j = i + (at <= 0), j + (at >= 0)
-    return out, b",".join(map(b"%d".__mod__, a)) + b"|" + b",".join(map(b"%d".__mod__, b))
+        if not at:
+            groups.append(b",".join(map(b"%d".__mod__, a[p:i])) + b"|" + b",".join(map(b"%d".__mod__, b[q:j])))
+            p, q = i, j
+    return codes, groups
 
 
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,9 +99,9 @@ def fragment_of(t: Tokens, width: int, same: bool = True) -> Fragment:
     cuts = np.intersect1d(t.a_end, t.b_end)
     if not len(cuts):
         return Fragment(t, n_a=len(t.a), n_b=len(t.b), same=same)
-    found = [_links(t.within(x, y), width) for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-    codes = np.array([c for links, _ in found for c in links], np.int64)
-    return Fragment(t.within(-1, cuts[0]), True, b";".join(g for _, g in found), len(found), *_summed(codes, np.ones(len(codes))), t.within(cuts[-1], 1 << 62), len(t.a), len(t.b), same)
+    codes, groups = _walk(t.within(cuts[0], cuts[-1]), width)
+    counted = _summed(np.array(codes, np.int64), np.ones(len(codes)))
+    return Fragment(t.within(-1, cuts[0]), True, b";".join(groups), len(groups), *counted, t.within(cuts[-1], 1 << 62), len(t.a), len(t.b), same)
 
 
 def compose(f: Fragment, g: Fragment, width: int) -> Fragment:
@@ -105,10 +111,10 @@ def compose(f: Fragment, g: Fragment, width: int) -> Fragment:
         return g._replace(prefix=f.prefix.then(g.prefix), **both)
     if not g.cut:
         return f._replace(suffix=f.suffix.then(g.prefix), **both)
-    links, text = _links(f.suffix.then(g.prefix), width)
+    links, text = _walk(f.suffix.then(g.prefix), width)
     codes = np.concatenate([f.codes, np.array(links, np.int64), g.codes])
     codes, counts = _summed(codes, np.concatenate([f.counts, np.ones(len(links)), g.counts]))
-    return Fragment(f.prefix, True, b";".join(x for x in (f.groups, text, g.groups) if x), f.n_groups + 1 + g.n_groups, codes, counts, g.suffix, **both)
+    return Fragment(f.prefix, True, b";".join(x for x in (f.groups, *text, g.groups) if x), f.n_groups + 1 + g.n_groups, codes, counts, g.suffix, **both)
 
 
 def closed(f: Fragment, width: int) -> Fragment:
@@ -118,6 +124,17 @@ def closed(f: Fragment, width: int) -> Fragment:
     return compose(Fragment(cut=True), f, width)
 
 
+class Aligned(NamedTuple):
+    """Ids of both tokenizers for a piece, whether their bytes are the piece's, and then its groups and links."""
+
+    a: array
+    b: array
+    same: bool = False
+    n_groups: int = 0
+    groups: bytes = b""
+    codes: bytes = b""
+
+
 class Aligner:
     """Both tokenizers: a byte-level one of the tokenizers library, which is given a space and the text, and one of
     sentencepiece, which adds that space itself. Special tokens' strings inside a text are plain text."""
@@ -136,34 +153,40 @@ class Aligner:
         self.width = self.b.get_piece_size()
         self.a_bytes = [bytes(map(_BYTES_OF.get, x)) if x and set(x) <= set(_BYTES_OF) else (x or "").encode() for x in map(self.a.id_to_token, range(self.a.get_vocab_size()))]
         self.b_bytes = [bytes([int(m[1], 16)]) if self.b.is_byte(i) and (m := _HEX.fullmatch(x)) else x.replace("▁", " ").encode() for i, x in enumerate(map(self.b.id_to_piece, range(self.width)))]
-        #: Pieces can be encoded by themselves if no token has a space behind anything but spaces.
-        self.parts = not any(re.search(rb"[^ ] ", x) for x in [*self.a_bytes, *self.b_bytes])
+        #: Pieces can be encoded by themselves if the first tokenizer parts words before their space and no token of the
+        #: second has a space behind anything but spaces.
+        words = json.loads(self.a.to_str())["pre_tokenizer"] or {}
+        self.parts = words.get("type") == "ByteLevel" and words.get("use_regex", True) and not any(re.search(rb"[^ ] ", x) for x in self.b_bytes)
+        self.plain = encoder(a)
+        self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         self.known: tuple[dict, dict] = ({}, {})
 
-    def tokens(self, piece: str) -> tuple[Tokens, bool, int]:
-        """Tokens of a space and ``piece``, whether their bytes are the same as its own, and how many these are."""
-        own = f" {piece}".encode()
-        a, b = self.a.encode(f" {piece}", add_special_tokens=False).ids, self.b.encode(piece) if piece else []
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        ends = lambda x: np.cumsum(np.fromiter(map(len, x), np.int64, len(x)))
-        return Tokens(np.array(a, np.int64), ends(a_bytes), np.array(b, np.int64), ends(b_bytes)), b"".join(a_bytes) == own == b"".join(b_bytes), len(own)
-
-    def _aligned(self, piece: str):
-        t, same, _ = self.tokens(piece)
-        f = closed(fragment_of(t, self.width, same), self.width)
-        codes = np.repeat(f.codes, f.counts)
-        return (f.n_a, f.n_b, f.n_groups, f.groups, codes.tobytes()) if same else None
-
-    def aligned(self, piece: str):
-        """n_a, n_b, n_groups, groups and the codes of all links of a piece; None where bytes differ."""
+    def _first(self, piece: str) -> list[int]:
+        """Ids of the first tokenizer for a space and a piece."""
+        ids = self.plain._plain(piece, "Ġ") if self.parts else None
+        return self.a.encode(f" {piece}", add_special_tokens=False).ids if ids is None else np.frombuffer(ids, self.plain.dtype).tolist()
+
+    def _aligned(self, piece: str, b: list[int]) -> Aligned:
+        a, own = self._first(piece), f" {piece}".encode()
+        if not b"".join(map(self.a_bytes.__getitem__, a)) == own == b"".join(map(self.b_bytes.__getitem__, b)):
+            return Aligned(array("i", a), array("i", b))
+        t = Tokens(a, list(accumulate(map(self.a_size.__getitem__, a))), b, list(accumulate(map(self.b_size.__getitem__, b))))
+        codes, groups = _walk(t, self.width)
+        return Aligned(array("i", a), array("i", b), True, len(groups), b";".join(groups), array("q", codes).tobytes())
+
+    def aligned(self, pieces: list[str]) -> list[Aligned]:
+        """The tokens, groups and links of pieces, each with the space before it."""
         new, old = self.known
-        if piece in new:
-            return new[piece]
-        found = old[piece] if piece in old else self._aligned(piece)
-        if len(piece) <= LONGEST:
-            if len(new) >= REMEMBERED:
+        found = list(map(new.get, pieces))
+        if None in found:
+            unknown = {p for p, x in zip(pieces, found, strict=True) if x is None}
+            missing = [p for p in unknown if p not in old]
+            fresh = dict(zip(missing, map(self._aligned, missing, self.b.encode(missing, num_threads=1)), strict=True))
+            here = {p: fresh[p] if p in fresh else old[p] for p in unknown}
+            found = [here[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
+            if len(new) + len(here) > REMEMBERED:
                 self.known = new, old = {}, new
-            new[piece] = found
+            new.update((p, x) for p, x in here.items() if len(p) <= LONGEST)
         return found
 
     def pieces(self, text: str) -> list[str]:
@@ -173,12 +196,11 @@ class Aligner:
         """The closed fragment of a text, from those of its pieces."""
         if not text:
             return Fragment()
-        found = list(map(self.aligned, self.pieces(text)))
-        if None in found:
+        a, b, same, n_groups, groups, codes = zip(*self.aligned(self.pieces(text)), strict=True)
+        if not all(same):
             return Fragment(same=False)
-        n_a, n_b, n_groups, groups, codes = zip(*found, strict=True)
         distinct, counts = np.unique(np.frombuffer(b"".join(codes), np.int64), return_counts=True)
-        return Fragment(cut=True, groups=b";".join(groups), n_groups=sum(n_groups), codes=distinct, counts=counts, n_a=sum(n_a), n_b=sum(n_b))
+        return Fragment(cut=True, groups=b";".join(groups), n_groups=sum(n_groups), codes=distinct, counts=counts, n_a=sum(map(len, a)), n_b=sum(map(len, b)))
 
     def ranges(self, text: str, size: int = RANGE, near: int = NEAR):
         """Byte ranges of a space and ``text``: piece texts that hold the range whole, the offset of their first byte, and
@@ -207,12 +229,10 @@ class Aligner:
 
     def fragment(self, text: str, offset: int, low: int, high: int) -> Fragment:
         """The fragment of one of ``ranges``: tokens that end within it."""
-        whole, same, at = [], True, offset
-        for piece in self.pieces(text):
-            t, equal, n = self.tokens(piece)
-            whole.append(Tokens(t.a, t.a_end + at, t.b, t.b_end + at))
-            same, at = same and equal, at + n
-        return fragment_of(Tokens(*map(np.concatenate, zip(*whole, strict=True))).within(low, high), self.width, same)
+        found = self.aligned(self.pieces(text))
+        a, b = (np.array([i for x in found for i in x[k]], np.int64) for k in (0, 1))
+        ends = lambda ids, sizes: offset + np.cumsum(np.array(sizes, np.int64)[ids])
+        return fragment_of(Tokens(a, ends(a, self.a_size), b, ends(b, self.b_size)).within(low, high), self.width, all(x.same for x in found))
 
 
 @functools.lru_cache(maxsize=2)
