@@ -76,7 +76,7 @@ def rolling_hashes(x: np.ndarray, gram: int = GRAM) -> np.ndarray:
 
 def least_places(h: np.ndarray, wide: int) -> np.ndarray:
     """Place of the first least hash among each ``wide`` neighbours."""
-    value, place, done = h, np.arange(len(h)), 1
+    value, place, done = h, np.arange(len(h), dtype=np.int32), 1
     while done < wide:
         step = min(done, wide - done)
         later = value[step:] < value[:-step]
@@ -85,7 +85,7 @@ def least_places(h: np.ndarray, wide: int) -> np.ndarray:
     return place
 
 
-def _entries(parts, length: int, gram: int):
+def _entries(parts, length: int, gram: int, keys_only: bool = False):
     """text, start, low, high, key, content of each parse entry of a stretch: a trigger at ``start``, and the windows that
     begin ``low`` to ``high`` bytes before it."""
     import xxhash
@@ -94,7 +94,7 @@ def _entries(parts, length: int, gram: int):
     sizes = np.array([len(p) for _, _, p in parts])
     ends = np.cumsum(sizes)
     h = rolling_hashes(np.frombuffer(data, np.uint8), gram)
-    least = least_places(h, length - gram + 1)
+    least = least_places((h >> np.uint64(32)).astype(np.uint32), length - gram + 1)
     part = np.repeat(np.arange(len(parts)), sizes)[: len(least)]
     windows = np.flatnonzero(np.arange(len(least)) + length <= ends[part])
     chosen, part = least[windows], part[windows]
@@ -103,6 +103,8 @@ def _entries(parts, length: int, gram: int):
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(windows)) - 1
     at, part = chosen[first], part[first]
+    if keys_only:
+        return (h[at].view(np.int64),)
     low, high = at - windows[last], at - windows[first]
     content = np.fromiter((xxhash.xxh3_64_intdigest(data[i:j], seed) for i, j, seed in zip((at - high).tolist(), (at + length - low).tolist(), (low * length + high).tolist(), strict=True)), np.uint64, len(at))
     text, offset = np.array([p[0] for p in parts]), np.array([p[1] for p in parts])
@@ -120,35 +122,49 @@ def _again(key, content, *place) -> tuple[np.ndarray, np.ndarray]:
     return order, np.where(~same, 0, np.where(at_first, 2, 1))
 
 
-def _parsed(batches, length: int, gram: int):
-    """Columns of ``_ENTRY`` for some stretches at a time, combined: of equal entries all but the first are ``again``."""
+def _runs(id_, h, start, low, high) -> tuple[np.ndarray, ...]:
+    """Entries whose windows follow one another in a text as one: id, h, first window, minus how many follow it, and a place
+    among the entries."""
+    order = np.lexsort((start - high, h, id_))
+    id_, h, first, last = id_[order], h[order], (start - high)[order], (start - low)[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (id_[1:] != id_[:-1]) | (h[1:] != h[:-1]) | (first[1:] != last[:-1] + 1)
+    head = np.flatnonzero(new)
+    size = np.diff(np.append(head, len(order)))
+    return id_[head], h[head], first[head], first[head] - last[head + size - 1], order[head + first[head] % np.maximum(size, 1)]
+
+
+def _stretched(batches, length: int, gram: int, keys_only: bool):
+    """Entries of STRETCHES stretches at a time, with the columns id and h of their texts."""
     import pyarrow as pa
 
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
         ids, hs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "h"))
-        held = []
-        cuts = _cuts(((k, x.as_py() or b"") for k, x in enumerate(texts)), length, STRETCH)
-        more = True
-        while more:
-            parts = next(cuts, None)
-            more = parts is not None
-            if more:
-                held.append(_entries(parts, length, gram))
-            if held and (len(held) == STRETCHES or not more):
-                text, start, low, high, key, content = map(np.concatenate, zip(*held, strict=True))
-                order, kind = _again(key, content, ids[text], hs[text], start)
-                order, kind = order[kind < 2], kind[kind < 2]
-                yield [x[order] for x in (key, content, ids[text], hs[text], start, low.astype(np.int32), high.astype(np.int32))] + [kind == 1]
+        held, cuts = [], _cuts(((k, x.as_py() or b"") for k, x in enumerate(batch.column("text").cast(pa.binary()))), length, STRETCH)
+        for parts in cuts:
+            held.append(_entries(parts, length, gram, keys_only))
+            if len(held) == STRETCHES:
+                yield ids, hs, tuple(map(np.concatenate, zip(*held, strict=True)))
                 held = []
+        if held:
+            yield ids, hs, tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
 def _parse(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """All parse entries, those of some stretches combined: of equal ones all but the first are ``again``, and such that
+    follow one another are one row, under the key of one of them."""
+
     def parse(batches):
         import pyarrow as pa
 
-        for columns in _parsed(batches, length, gram):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "content", "id", "h", "start", "low", "high", "again"])
+        for ids, hs, (text, start, low, high, key, content) in _stretched(batches, length, gram, False):
+            id_, h = ids[text], hs[text]
+            order, kind = _again(key, content, id_, h, start)
+            one, more = order[kind == 0], order[kind == 1]
+            run_id, run_h, first, low_, place = _runs(*(x[more] for x in (id_, h, start, low, high)))
+            columns = [(key[one], key[more][place]), (content[one], content[more][place]), (id_[one], run_id), (h[one], run_h), (start[one], first), (low[one], low_), (high[one], np.zeros(len(first), np.int64))]
+            arrays = [np.concatenate(x) for x in columns]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, arrays[:5]), *(pa.array(x.astype(np.int32)) for x in arrays[5:]), pa.array(np.arange(len(arrays[0])) >= len(one))], ["key", "content", "id", "h", "start", "low", "high", "again"])
 
     return docs.select("id", "h", "text").mapInArrow(parse, _ENTRY)
 
@@ -159,8 +175,8 @@ def _shared_triggers(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def count(batches):
         import pyarrow as pa
 
-        for columns in _parsed(batches, length, gram):
-            key, n = np.unique(columns[0], return_counts=True)
+        for _, _, (keys,) in _stretched(batches, length, gram, True):
+            key, n = np.unique(keys, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.minimum(n, 2).astype(np.int64))], ["key", "n"])
 
     counts = docs.select("id", "h", "text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
