@@ -19,7 +19,6 @@ import pickle
 import re
 import zlib
 from array import array
-from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -75,18 +74,26 @@ class Fragment(NamedTuple):
     same: bool = True
 
 
-def _walk(t: Tokens, width: int) -> tuple[list[int], list[bytes]]:
-    """Codes of the linked pairs of tokens that begin and end at cuts, and the texts of their groups."""
-    a, ends, b, others = (x if isinstance(x, list) else x.tolist() for x in t)
-    codes, groups, i, j, p, q = [], [], 0, 0, 0, 0
-    while i < len(a):
-        codes.append(a[i] * width + b[j])
-        at = ends[i] - others[j]
-        i, j = i + (at <= 0), j + (at >= 0)
-        if not at:
-            groups.append(b",".join(map(b"%d".__mod__, a[p:i])) + b"|" + b",".join(map(b"%d".__mod__, b[q:j])))
-            p, q = i, j
-    return codes, groups
+@functools.lru_cache(maxsize=2)
+def _names(n: int) -> list[bytes]:
+    """Ids as texts, each with a comma, a bar and a semicolon behind it."""
+    return [b"%d%c" % (i, c) for i in range(n) for c in b",|;"]
+
+
+def _grouped(t: Tokens, cuts: np.ndarray, width: int) -> tuple[np.ndarray, bytes]:
+    """Codes of all links, and the text of the groups, of tokens that begin and end at cuts; ``cuts`` are the ends of groups.
+
+    Each stretch between neighbouring ends of either tokenizer is one link, that of the two tokens which it lies in."""
+    if not len(cuts):
+        return _NONE, b""
+    ends = np.union1d(t.a_end, t.b_end)
+    codes = t.a[np.searchsorted(t.a_end, ends)].astype(np.int64) * width + t.b[np.searchsorted(t.b_end, ends)]
+    a_of, b_of = np.searchsorted(cuts, t.a_end), np.searchsorted(cuts, t.b_end)
+    shown = np.empty(len(t.a) + len(t.b), np.int64)
+    last = lambda of: np.append(of[1:] != of[:-1], True)
+    shown[np.arange(len(t.a)) + np.searchsorted(b_of, a_of)] = t.a.astype(np.int64) * 3 + last(a_of)
+    shown[np.arange(len(t.b)) + np.searchsorted(a_of, b_of, "right")] = t.b.astype(np.int64) * 3 + 2 * last(b_of)
+    return codes, b"".join(map(_names(1 << max(17, int(shown.max()).bit_length() - 1)).__getitem__, shown.tolist()))[:-1]
 
 
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,9 +106,8 @@ def fragment_of(t: Tokens, width: int, same: bool = True) -> Fragment:
     cuts = np.intersect1d(t.a_end, t.b_end)
     if not len(cuts):
         return Fragment(t, n_a=len(t.a), n_b=len(t.b), same=same)
-    codes, groups = _walk(t.within(cuts[0], cuts[-1]), width)
-    counted = _summed(np.array(codes, np.int64), np.ones(len(codes)))
-    return Fragment(t.within(-1, cuts[0]), True, b";".join(groups), len(groups), *counted, t.within(cuts[-1], 1 << 62), len(t.a), len(t.b), same)
+    codes, groups = _grouped(t.within(cuts[0], cuts[-1]), cuts[1:], width)
+    return Fragment(t.within(-1, cuts[0]), True, groups, len(cuts) - 1, *np.unique(codes, return_counts=True), t.within(cuts[-1], 1 << 62), len(t.a), len(t.b), same)
 
 
 def compose(f: Fragment, g: Fragment, width: int) -> Fragment:
@@ -111,10 +117,11 @@ def compose(f: Fragment, g: Fragment, width: int) -> Fragment:
         return g._replace(prefix=f.prefix.then(g.prefix), **both)
     if not g.cut:
         return f._replace(suffix=f.suffix.then(g.prefix), **both)
-    links, text = _walk(f.suffix.then(g.prefix), width)
-    codes = np.concatenate([f.codes, np.array(links, np.int64), g.codes])
+    middle = f.suffix.then(g.prefix)
+    links, text = _grouped(middle, middle.a_end[-1:], width)
+    codes = np.concatenate([f.codes, links, g.codes])
     codes, counts = _summed(codes, np.concatenate([f.counts, np.ones(len(links)), g.counts]))
-    return Fragment(f.prefix, True, b";".join(x for x in (f.groups, *text, g.groups) if x), f.n_groups + 1 + g.n_groups, codes, counts, g.suffix, **both)
+    return Fragment(f.prefix, True, b";".join(x for x in (f.groups, text, g.groups) if x), f.n_groups + 1 + g.n_groups, codes, counts, g.suffix, **both)
 
 
 def closed(f: Fragment, width: int) -> Fragment:
@@ -124,17 +131,6 @@ def closed(f: Fragment, width: int) -> Fragment:
     return compose(Fragment(cut=True), f, width)
 
 
-class Aligned(NamedTuple):
-    """Ids of both tokenizers for a piece, whether their bytes are the piece's, and then its groups and links."""
-
-    a: array
-    b: array
-    same: bool = False
-    n_groups: int = 0
-    groups: bytes = b""
-    codes: bytes = b""
-
-
 class Aligner:
     """Both tokenizers: a byte-level one of the tokenizers library, which is given a space and the text, and one of
     sentencepiece, which adds that space itself. Special tokens' strings inside a text are plain text."""
@@ -158,49 +154,51 @@ class Aligner:
         words = json.loads(self.a.to_str())["pre_tokenizer"] or {}
         self.parts = words.get("type") == "ByteLevel" and words.get("use_regex", True) and not any(re.search(rb"[^ ] ", x) for x in self.b_bytes)
         self.plain = encoder(a)
-        self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
+        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         self.known: tuple[dict, dict] = ({}, {})
 
-    def _first(self, piece: str) -> list[int]:
+    def _first(self, piece: str) -> bytes:
         """Ids of the first tokenizer for a space and a piece."""
         ids = self.plain._plain(piece, "Ġ") if self.parts else None
-        return self.a.encode(f" {piece}", add_special_tokens=False).ids if ids is None else np.frombuffer(ids, self.plain.dtype).tolist()
-
-    def _aligned(self, piece: str, b: list[int]) -> Aligned:
-        a, own = self._first(piece), f" {piece}".encode()
-        if not b"".join(map(self.a_bytes.__getitem__, a)) == own == b"".join(map(self.b_bytes.__getitem__, b)):
-            return Aligned(array("i", a), array("i", b))
-        t = Tokens(a, list(accumulate(map(self.a_size.__getitem__, a))), b, list(accumulate(map(self.b_size.__getitem__, b))))
-        codes, groups = _walk(t, self.width)
-        return Aligned(array("i", a), array("i", b), True, len(groups), b";".join(groups), array("q", codes).tobytes())
-
-    def aligned(self, pieces: list[str]) -> list[Aligned]:
-        """The tokens, groups and links of pieces, each with the space before it."""
+        return self.plain._packed(self.a.encode(f" {piece}", add_special_tokens=False).ids) if ids is None else ids
+
+    def encoded(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
+        """Packed ids of both tokenizers for pieces, each with the space before it."""
         new, old = self.known
         found = list(map(new.get, pieces))
         if None in found:
             unknown = {p for p, x in zip(pieces, found, strict=True) if x is None}
             missing = [p for p in unknown if p not in old]
-            fresh = dict(zip(missing, map(self._aligned, missing, self.b.encode(missing, num_threads=1)), strict=True))
-            here = {p: fresh[p] if p in fresh else old[p] for p in unknown}
+            pack = lambda ids: array("i", ids).tobytes()
+            here = dict(zip(missing, zip(map(self._first, missing), map(pack, self.b.encode(missing, num_threads=1)), strict=True), strict=True))
+            here |= {p: old[p] for p in unknown if p not in here}
             found = [here[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
             if len(new) + len(here) > REMEMBERED:
                 self.known = new, old = {}, new
             new.update((p, x) for p, x in here.items() if len(p) <= LONGEST)
         return found
 
+    def tokens(self, text: str) -> tuple[Tokens, bool]:
+        """Tokens of a space and ``text``, and whether their bytes are the same as its own."""
+        packed_a, packed_b = zip(*self.encoded(self.pieces(text)), strict=True)
+        a, b = np.frombuffer(b"".join(packed_a), self.plain.dtype), np.frombuffer(b"".join(packed_b), np.int32)
+        own = f" {text}".encode()
+        same = b"".join(map(self.a_bytes.__getitem__, a.tolist())) == own and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == own
+        return Tokens(a, np.cumsum(self.a_size[a]), b, np.cumsum(self.b_size[b])), same
+
     def pieces(self, text: str) -> list[str]:
         return _AT_SPACE.split(text) if self.parts else [text]
 
     def whole(self, text: str | None) -> Fragment:
-        """The closed fragment of a text, from those of its pieces."""
+        """The closed fragment of a text."""
         if not text:
             return Fragment()
-        a, b, same, n_groups, groups, codes = zip(*self.aligned(self.pieces(text)), strict=True)
-        if not all(same):
+        t, same = self.tokens(text)
+        if not same:
             return Fragment(same=False)
-        distinct, counts = np.unique(np.frombuffer(b"".join(codes), np.int64), return_counts=True)
-        return Fragment(cut=True, groups=b";".join(groups), n_groups=sum(n_groups), codes=distinct, counts=counts, n_a=sum(map(len, a)), n_b=sum(map(len, b)))
+        cuts = np.intersect1d(t.a_end, t.b_end, assume_unique=True)
+        codes, groups = _grouped(t, cuts, self.width)
+        return Fragment(Tokens(), True, groups, len(cuts), *np.unique(codes, return_counts=True), n_a=len(t.a), n_b=len(t.b))
 
     def ranges(self, text: str, size: int = RANGE, near: int = NEAR):
         """Byte ranges of a space and ``text``: piece texts that hold the range whole, the offset of their first byte, and
@@ -229,10 +227,8 @@ class Aligner:
 
     def fragment(self, text: str, offset: int, low: int, high: int) -> Fragment:
         """The fragment of one of ``ranges``: tokens that end within it."""
-        found = self.aligned(self.pieces(text))
-        a, b = (np.array([i for x in found for i in x[k]], np.int64) for k in (0, 1))
-        ends = lambda ids, sizes: offset + np.cumsum(np.array(sizes, np.int64)[ids])
-        return fragment_of(Tokens(a, ends(a, self.a_size), b, ends(b, self.b_size)).within(low, high), self.width, all(x.same for x in found))
+        t, same = self.tokens(text)
+        return fragment_of(Tokens(t.a, t.a_end + offset, t.b, t.b_end + offset).within(low, high), self.width, same)
 
 
 @functools.lru_cache(maxsize=2)
