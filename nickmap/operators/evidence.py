@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nickmap.operators.intervals import containment_join, nearest_labels
+from nickmap.operators.intervals import containment_join
+from nickmap.operators.ranges import around
+from nickmap.operators.stitch import SEGMENT
 
 MOST_CONFIDENCE, LEAST_CONFIDENCE, READ_BONUS = 10, 2, 10
 
@@ -25,13 +27,14 @@ def molecule_end_ratios(pairs: DataFrame, molecules: DataFrame, labels: DataFram
     return occurrence.join(counts, "map_id", "left").select("map_id", ratio("starts", "o1").alias("start_ratio"), ratio("ends", "o2").alias("end_ratio"))
 
 
-def flanking_labels(sites: DataFrame, ref_labels: DataFrame, slack: int = 10) -> DataFrame:
+def flanking_labels(sites: DataFrame, ref_labels: DataFrame, slack: int = 10, segment: int = SEGMENT) -> DataFrame:
     """Adds start_label and end_label to ``sites`` (site_key, ref_id, start_pos, end_pos): the last reference label up to
     the start and the first from the end, each with ``slack``; 0 if there is none. The start label never lies behind the
-    end label."""
-    starts = nearest_labels(sites.select("ref_id", "site_key", (F.col("start_pos") + slack).alias("at")), ref_labels, "ref_id", "site_key", "at", "start_label", "_x").drop("_x", "ref_id")
-    ends = nearest_labels(sites.select("ref_id", "site_key", (F.col("end_pos") - slack).alias("at")), ref_labels, "ref_id", "site_key", "at", "_x", "end_label").drop("_x", "ref_id")
-    joined = sites.join(starts, "site_key").join(ends, "site_key")
+    end label. Both ends of all sites go through one scan, a task of which has a ``segment`` of a reference."""
+    ends = F.explode(F.array(F.struct((F.col("start_pos") + slack).alias("at"), F.lit(True).alias("start")), F.struct((F.col("end_pos") - slack).alias("at"), F.lit(False).alias("start"))))
+    found = around(sites.select("ref_id", "site_key", ends.alias("x")).select("ref_id", "site_key", "x.*"), ref_labels, "ref_id", "at", segment, "before", "after")
+    found = found.groupBy("site_key").agg(F.max(F.when(F.col("start"), F.col("before"))).alias("start_label"), F.max(F.when(~F.col("start"), F.col("after"))).alias("end_label"))
+    joined = sites.join(found, "site_key")
     start = F.when(F.col("end_label").isNotNull(), F.least("start_label", "end_label")).otherwise(F.col("start_label"))
     start = F.when(F.col("start_label").isNotNull(), start)
     return joined.select(*sites.columns, F.coalesce(start, F.lit(0)).alias("start_label"), F.coalesce("end_label", F.lit(0)).alias("end_label"))

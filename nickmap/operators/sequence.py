@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import letter_count, percent
+from nickmap.operators.ranges import with_place
 
 
 def chunked(sequences: DataFrame, size: int = 65_536, overlap: int = 64) -> DataFrame:
@@ -73,14 +74,14 @@ def nick_sites_four_way(chunks: DataFrame, motifs: list[tuple[str, str, str, str
     return hits.groupBy("seq_id", "pos").agg(F.when(F.count(F.lit(1)) > 1, 3).otherwise(F.max("strand")).alias("strand"))
 
 
-def digest(chunks: DataFrame, channels: list[list[str]]) -> DataFrame:
+def digest(chunks: DataFrame, channels: list[list[str]], segment: int = 1_000_000) -> DataFrame:
     """cmap_id, contig_length, num_sites, site_id, channel, position: labels at the 1-based start of each motif of each
     channel (motif and reverse complement), one for a position and channel, numbered along the sequence; channels at one
-    position keep their order. Terminal rows: see ``with_terminal_rows``."""
+    position keep their order. A task numbers a ``segment`` of a sequence. Terminal rows: see ``with_terminal_rows``."""
     order = [(m, k, False) for k, motifs in enumerate(channels, 1) for m in motifs]
     hits = motif_hits(chunks, order).groupBy("seq_id", "length", (F.col("at") + 1).alias("position"), F.col("strand").alias("channel")).agg(F.min("step").alias("step"))
-    along = Window.partitionBy("seq_id").orderBy("position", "step")
-    return hits.select(F.col("seq_id").alias("cmap_id"), F.col("length").alias("contig_length"), F.count(F.lit(1)).over(Window.partitionBy("seq_id")).alias("num_sites"), F.row_number().over(along).alias("site_id"), "channel", "position")
+    placed = with_place(hits, "seq_id", ["position", "step"], segment, "site_id", "num_sites")
+    return placed.select(F.col("seq_id").alias("cmap_id"), F.col("length").alias("contig_length"), "num_sites", F.col("site_id").cast("int").alias("site_id"), "channel", "position")
 
 
 def with_terminal_rows(labels: DataFrame, maps: DataFrame) -> DataFrame:

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import flank
+from nickmap.operators.ranges import with_next
 
 
-def classify_sites(nicks: DataFrame, max_gap: int = 1000, short_gap: int = 100, aggressive: bool = False, compat: bool = False) -> DataFrame:
+def classify_sites(nicks: DataFrame, max_gap: int = 1000, short_gap: int = 100, aggressive: bool = False, compat: bool = False, segment: int | None = None) -> DataFrame:
     """ref_id, start_pos, end_pos, site_type for neighbouring nicks (ref_id, pos, strand) of a known kind.
 
     Strands are 1 and -1, for four-way scans also 2 (reverse) and -2 (complement), and 3 for a position hit twice. Types I
     and II are opposite strands that face each other or not, III and IV mixed orientations, V equal strands within
     ``short_gap``, VI a pair with a position hit twice; V and VI are for ``aggressive`` scans. ``compat`` also gives pairs
-    of no type, with a null, at any distance.
+    of no type, with a null, at any distance. A task has a ``segment`` of a reference, 1000 times ``max_gap`` if not given.
     """
-    order = Window.partitionBy("ref_id").orderBy("pos")
-    pairs = nicks.select("ref_id", F.col("pos").alias("start_pos"), "strand", F.lead("pos").over(order).alias("end_pos"), F.lead("strand").over(order).alias("strand2")).where("end_pos is not null")
+    pairs = with_next(nicks.select("ref_id", "pos", "strand"), "ref_id", ["pos"], {"end_pos": "pos", "strand2": "strand"}, segment or 1000 * max_gap)
+    pairs = pairs.withColumnRenamed("pos", "start_pos").where("end_pos is not null")
     gap, a, b = F.col("end_pos") - F.col("start_pos"), F.col("strand"), F.col("strand2")
     near = gap <= max_gap
     kind = F.when(near & (a == 1) & (b == -1), "TypeI").when(near & (a == -1) & (b == 1), "TypeII")
@@ -40,10 +41,6 @@ def site_statistics(sites: DataFrame) -> DataFrame:
     return sites.groupBy("site_type").agg(F.count(F.lit(1)).alias("sites"), F.round(F.avg("score"), 2).alias("mean_score"), F.round(sd, 2).alias("sd_score"))
 
 
-def sort_sites(sites: DataFrame) -> DataFrame:
-    return sites.orderBy("ref_id", "start_pos", "end_pos")
-
-
 def site_sequences(sites: DataFrame, sequences: DataFrame, buffer: int = 50, size: int = 65_536) -> DataFrame:
     """Adds flank_start, flank_end and sequence to ``sites`` (ref_id, start_pos, end_pos): the site's bases with
     ``buffer`` more on either side, from chunks (seq_id, length, chunk_start, bases) of ``size``.

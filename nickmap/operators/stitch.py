@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import stitch_interval
 from nickmap.operators.intervals import overlap_join
+from nickmap.operators.ranges import with_next, with_place
 
-ID_OFFSET = 100_000
+#: Positions of a reference that one task scans.
+SEGMENT = 10_000_000
 
 
 @dataclass(frozen=True)
@@ -28,16 +30,19 @@ class Limits:
     window: int = 1000
     wobble: int = 30_000
     min_ratio: float = 0.70
+    segment: int = SEGMENT
 
 
-def adjacent_pairs(alignments: DataFrame) -> DataFrame:
+def adjacent_pairs(alignments: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """Each alignment (ref_id, qry_id, orientation, confidence, ref_start, ref_end, qry_start, qry_end) with the next on
-    its reference, in the order of ref_start, then qry_id; pair_no counts them from 1."""
-    along = Window.partitionBy("ref_id").orderBy("ref_start", "qry_id")
+    its reference, in the order of ref_start, then of ``entry`` if there is one, then qry_id; pair_no counts them from 1.
+    A task has a ``segment`` of a reference."""
     names = ["qry_id", "orientation", "confidence", "ref_start", "ref_end", "qry_start", "qry_end"]
-    nexts = [F.lead(c).over(along).alias(f"second_{c}") for c in names]
-    pairs = alignments.select("ref_id", F.row_number().over(along).alias("pair_no"), *[F.col(c).alias(f"first_{c}") for c in names], *nexts)
-    pairs = pairs.where("second_qry_id is not null").withColumnRenamed("first_qry_id", "first_id").withColumnRenamed("second_qry_id", "second_id")
+    order = ["ref_start", *(["entry"] if "entry" in alignments.columns else []), "qry_id"]
+    nexts = with_next(alignments.select("ref_id", *names, *order[1:-1]), "ref_id", order, {f"second_{c}": c for c in names}, segment)
+    placed = with_place(nexts, "ref_id", order, segment, "pair_no").withColumn("pair_no", F.col("pair_no").cast("int"))
+    pairs = placed.where("second_qry_id is not null").select("ref_id", "pair_no", *[F.col(c).alias(f"first_{c}") for c in names], *[f"second_{c}" for c in names])
+    pairs = pairs.withColumnRenamed("first_qry_id", "first_id").withColumnRenamed("second_qry_id", "second_id")
     return pairs.withColumn("distance", F.col("second_ref_start") - F.col("first_ref_end"))
 
 
@@ -81,7 +86,7 @@ def passes_labels(limits: Limits) -> Column:
 
 def candidate_pairs(alignments: DataFrame, map_labels: DataFrame, ref_labels: DataFrame, limits: Limits) -> DataFrame:
     """Pairs that pass all four filters, cheap ones first."""
-    near = adjacent_pairs(alignments).where(passes_overlap(limits) & passes_distance(limits))
+    near = adjacent_pairs(alignments, limits.segment).where(passes_overlap(limits) & passes_distance(limits))
     return with_reference_labels(terminal_filter(near, map_labels), ref_labels).where(passes_labels(limits))
 
 
@@ -184,11 +189,6 @@ def stitch_plan(alignments: DataFrame, map_labels: DataFrame, ref_labels: DataFr
     return disjoint_pairs(pairs.where("site_type is not null"))
 
 
-def merged_ratios(plan: DataFrame, ratios: DataFrame) -> DataFrame:
-    """map_id, start_ratio, end_ratio of the merged maps: the ratios of their outer ends."""
-    return facing_ratios(plan, ratios).select((F.col("first_id") + ID_OFFSET).alias("map_id"), F.col("outer_start").alias("start_ratio"), F.col("outer_end").alias("end_ratio"))
-
-
 def stitch_positions(plan: DataFrame, *more: Column) -> DataFrame:
     """ref_id, start_pos, end_pos, site_type: where maps are joined, with the attributes of the site, and ``more`` columns
     of the plan."""

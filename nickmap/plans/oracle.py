@@ -35,23 +35,24 @@ junctions as (
   select *, r2s - r1e + 1 as pad, case when ld <= -2 and r2s - r1e + 1 < 0 then abs(ld) else 0 end as cut,
          case when ld = 1 then abs(missed_label - r1e) + 1 end as offs from {plan}),
 members as (
-  select first_id as group_id, 1 as member, first_id as map_id, o1 as o, 0 as head, case when c1 >= c2 then cut else 0 end as tail, offs, pad from junctions
-  union all select first_id, 2, second_id, o2, case when c1 >= c2 then 0 else cut end, 0, null, pad from junctions),
+  select ref_id, first_id as group_id, 1 as member, first_id as map_id, o1 as o, 0 as head, case when c1 >= c2 then cut else 0 end as tail, offs, pad from junctions
+  union all select ref_id, first_id, 2, second_id, o2, case when c1 >= c2 then 0 else cut end, 0, null, pad from junctions),
 lengths as (select distinct map_id, map_length, num_sites from map_labels),
+ids as (select ref_id, group_id, (select max(map_id) from map_labels) + row_number() over (order by ref_id, group_id) as new_id from (select distinct ref_id, group_id from members)),
 sized as (
-  select m.*, l.map_length, l.num_sites, sum(l.map_length) over (partition by group_id) + pad as new_length,
-         case member when 1 then 0 else sum(l.map_length) over (partition by group_id) - l.map_length + pad end as shift
-  from members m join lengths l using (map_id)),
+  select m.*, new_id, l.map_length, l.num_sites, sum(l.map_length) over (partition by ref_id, group_id) + pad as new_length,
+         case member when 1 then 0 else sum(l.map_length) over (partition by ref_id, group_id) - l.map_length + pad end as shift
+  from members m join lengths l using (map_id) join ids using (ref_id, group_id)),
 turned as (
   select s.*, t.site_id as old_site, case o when '+' then t.site_id else s.num_sites - t.site_id + 1 end as site,
          shift + case o when '+' then t.pos else s.map_length - t.pos end as p
   from sized s join map_labels t using (map_id)),
 merged_rows as (
-  select group_id, new_length, member, 0 as late, site, p, map_id as old_id, old_site from turned where site > head and site <= num_sites - tail
-  union all select group_id, new_length, member, 1, 0, max(p) + any_value(offs) + 1, null, null from turned where offs is not null group by group_id, new_length, member),
+  select new_id, new_length, member, 0 as late, site, p, map_id as old_id, old_site from turned where site > head and site <= num_sites - tail
+  union all select new_id, new_length, member, 1, 0, max(p) + any_value(offs) + 1, null, null from turned where offs is not null group by new_id, new_length, member),
 merged as (
-  select cast(group_id + 100000 as bigint) as map_id, count(*) over (partition by group_id) as num_sites,
-         cast(row_number() over (partition by group_id order by member, late, site) as int) as site_id, cast(p as bigint) as pos, cast(new_length as bigint) as map_length, old_id, old_site
+  select cast(new_id as bigint) as map_id, count(*) over (partition by new_id) as num_sites,
+         cast(row_number() over (partition by new_id order by member, late, site) as int) as site_id, cast(p as bigint) as pos, cast(new_length as bigint) as map_length, old_id, old_site
   from merged_rows)
 """
 
@@ -65,24 +66,26 @@ junctions as (
          case when ld <= -2 and r2s - r1e + 1 < 0 then abs(ld) else 0 end as cut, case when ld = 1 then abs(missed_label - r1e) + 1 end as offs
   from inside window w as (partition by ref_id, run0, g order by pair_no)),
 members0 as (
-  select group_id, 1 as member, first_id as map_id, o1 as o, 0 as pad_before, 0 as head from junctions where junction = 1
-  union all select group_id, junction + 1, second_id, o2, pad, case when c1 >= c2 then 0 else cut end from junctions),
+  select ref_id, group_id, 1 as member, first_id as map_id, o1 as o, 0 as pad_before, 0 as head from junctions where junction = 1
+  union all select ref_id, group_id, junction + 1, second_id, o2, pad, case when c1 >= c2 then 0 else cut end from junctions),
 lengths as (select distinct map_id, map_length, num_sites from map_labels),
+ids as (select ref_id, group_id, (select max(map_id) from map_labels) + row_number() over (order by ref_id, group_id) as new_id from (select distinct ref_id, group_id from members0)),
 sized as (
   select m.*, coalesce(case when j.c1 >= j.c2 then j.cut else 0 end, 0) as tail, j.offs, l.map_length, l.num_sites,
-         sum(l.map_length + pad_before) over (partition by m.group_id) as new_length, count(*) over (partition by m.group_id) as n_members,
-         sum(l.map_length + pad_before) over (partition by m.group_id order by m.member) - l.map_length as shift
-  from members0 m join lengths l using (map_id) left join junctions j on j.group_id = m.group_id and j.junction = m.member),
+         sum(l.map_length + pad_before) over (partition by m.ref_id, m.group_id) as new_length, new_id,
+         sum(l.map_length + pad_before) over (partition by m.ref_id, m.group_id order by m.member) - l.map_length as shift
+  from members0 m join lengths l using (map_id) join ids i on i.ref_id = m.ref_id and i.group_id = m.group_id
+  left join junctions j on j.ref_id = m.ref_id and j.group_id = m.group_id and j.junction = m.member),
 turned as (
   select s.*, t.site_id as old_site, case o when '+' then t.site_id else s.num_sites - t.site_id + 1 end as site,
          shift + case o when '+' then t.pos else s.map_length - t.pos end as p
   from sized s join map_labels t using (map_id)),
 merged_rows as (
-  select group_id, n_members, new_length, member, 0 as late, site, p, map_id as old_id, old_site from turned where site > head and site <= num_sites - tail
-  union all select group_id, n_members, new_length, member, 1, 0, max(p) + any_value(offs) + 1, null, null from turned where offs is not null group by all),
+  select new_id, new_length, member, 0 as late, site, p, map_id as old_id, old_site from turned where site > head and site <= num_sites - tail
+  union all select new_id, new_length, member, 1, 0, max(p) + any_value(offs) + 1, null, null from turned where offs is not null group by all),
 merged as (
-  select cast(group_id + 100000 * ceil(log2(n_members)) as bigint) as map_id, count(*) over (partition by group_id) as num_sites,
-         cast(row_number() over (partition by group_id order by member, late, site) as int) as site_id, cast(p as bigint) as pos, cast(new_length as bigint) as map_length, old_id, old_site
+  select cast(new_id as bigint) as map_id, count(*) over (partition by new_id) as num_sites,
+         cast(row_number() over (partition by new_id order by member, late, site) as int) as site_id, cast(p as bigint) as pos, cast(new_length as bigint) as map_length, old_id, old_site
   from merged_rows)
 """
 
@@ -223,15 +226,27 @@ select {_PAIR} from (
   select *, row_number() over (partition by ref_id, run order by pair_no) as n from (
     select *, pair_no - row_number() over (partition by ref_id order by pair_no) as run from candidates)) where n % 2 = 1"""),
     "stitch_positions": _sql("select ref_id, case when r2s - r1e + 1 >= 0 then r1e - 1 else r2s - 1 end as start_pos, case when r2s - r1e + 1 >= 0 then r2s + 1 else r1e + 1 end as end_pos, site_type from plan"),
-    "ratio_propagation": _sql("select first_id + 100000 as map_id, outer_start as start_ratio, outer_end as end_ratio from plan"),
+    "ratio_propagation": _sql("select (select max(map_id) from map_labels) + row_number() over (order by ref_id, first_id) as map_id, outer_start as start_ratio, outer_end as end_ratio from plan"),
     "merged_labels": _sql("select * from merged", _MERGE.format(plan="plan")),
-    "merged_two_references": _sql("select * from merged union all select map_id + 700000, num_sites, site_id, pos, map_length, old_id, old_site from merged where map_id - 100000 in (select first_id from plan where second_id % 2 = 0)", _MERGE.format(plan="plan")),
+    "merged_two_references": _sql("select * from merged", "both_plans as (select * from plan union all select * replace (ref_id + 1000000 as ref_id) from plan where second_id % 2 = 0)", _MERGE.format(plan="both_plans")),
+    "map_lineage": _sql("""
+select ref_id, group_id, new_id, group_id + 100000 as name, member, map_id, o as orientation, head as trim_head, tail as trim_tail, offs as missed_offset, cast(shift as bigint) as shift, cast(new_length as bigint) as new_length
+from sized""", _MERGE.format(plan="plan")),
+    "map_identity": _sql("""
+select 2 * count(*) as maps, 2 * count(*) as ids, cast(0 as bigint) as shared, cast(0 as bigint) as taken from (select distinct ref_id, group_id from junctions)""", _CHAIN),
+    "lifted_pairs": _sql("""
+select p.ref_id, p.ref_site, m.map_id, m.site_id as map_site from map_pairs p join merged m on m.old_id = p.map_id and m.old_site = p.map_site
+union all select ref_id, ref_site, map_id, map_site from map_pairs where map_id not in (select map_id from sized)""", _MERGE.format(plan="plan")),
+    "joined_molecules": _sql("""
+select mol_id, map_id, cast(count(distinct site) as int) as n, array_to_string(list_sort(list(distinct site)), ',') as labels from (
+  select p.mol_id, m.map_id, m.site_id as site from mol_map_pairs p join merged m on m.old_id = p.map_id and m.old_site = p.map_site
+  union all select mol_id, map_id, map_site from mol_map_pairs where map_id not in (select map_id from sized)) group by mol_id, map_id""", _CHAIN, "mol_map_pairs as (select m.mol_id, p.map_id, p.map_site from mol_pairs m join map_pairs p on p.ref_id = m.map_id and p.ref_site = m.map_site)"),
     "merged_maps": _sql("select map_id, num_sites, site_id, pos, map_length from merged union all select * from map_labels where map_id not in (select first_id from plan union all select second_id from plan)", _MERGE.format(plan="plan")),
     "merged_groups": _sql("select * from merged", _CHAIN),
     "lifted_alignments": _sql("""
-select j.first_id + 100000 as qry_id, j.ref_id, '+' as orientation, c1 + c2 as confidence, r1s as ref_start, r2e as ref_end,
+select a.new_id as qry_id, j.ref_id, '+' as orientation, c1 + c2 as confidence, r1s as ref_start, r2e as ref_end,
        case o1 when '+' then q1s else a.map_length - q1s end as qry_start, cast(b.shift + case o2 when '+' then q2e else b.map_length - q2e end as bigint) as qry_end
-from junctions j join sized a on a.group_id = j.first_id and a.member = 1 join sized b on b.group_id = j.first_id and b.member = 2
+from junctions j join sized a on a.ref_id = j.ref_id and a.group_id = j.first_id and a.member = 1 join sized b on b.ref_id = j.ref_id and b.group_id = j.first_id and b.member = 2
 union all select qry_id, ref_id, orientation, confidence, ref_start, ref_end, qry_start, qry_end from alignments where qry_id not in (select first_id from plan union all select second_id from plan)""", _MERGE.format(plan="plan")),
     "molecule_end_ratios": _sql("""
 select l.ref_id as map_id, case when o1 >= 10 then starts / o1::double else 0 end as start_ratio, case when o2 >= 10 then ends / o2::double else 0 end as end_ratio from (
@@ -267,14 +282,17 @@ union all select 'reference_labels', count(*) from ref_labels union all select '
     "breakpoints": _sql("select map_id, breakpoint from points", _BREAKS),
     "breakpoints_per_map": _sql("select map_id, array_to_string(list_sort(list(distinct breakpoint)), ',') as breakpoints from points group by map_id", _BREAKS),
     "broken_maps": _sql("""
-select cast(map_id + 100000 * piece as bigint) as map_id, count(*) over w as num_sites, cast(row_number() over (partition by map_id, piece order by pos) as int) as site_id, pos - from_pos as pos, to_pos - from_pos as map_length
-from placed window w as (partition by map_id, piece) qualify count(*) over w >= 2 and to_pos - from_pos >= 10800000000""", _BREAKS, """
+select cast(case piece when 0 then map_id else (select max(map_id) from map_labels) + rank end as bigint) as map_id, num_sites, site_id, pos, map_length, map_id as of_map, cast(piece as int) as piece
+from kept left join (select map_id, piece, row_number() over (order by map_id, piece) as rank from (select distinct map_id, piece from kept where piece > 0)) using (map_id, piece)""", _BREAKS, """
 cuts as (select distinct map_id, breakpoint from points),
 placed as (
   select l.map_id, l.pos, (select count(*) from cuts c where c.map_id = l.map_id and c.breakpoint < l.pos) as piece,
          coalesce((select max(breakpoint) from cuts c where c.map_id = l.map_id and c.breakpoint < l.pos), 0) as from_pos,
          coalesce((select min(breakpoint) from cuts c where c.map_id = l.map_id and c.breakpoint >= l.pos), l.map_length) as to_pos
-  from map_labels l)
+  from map_labels l),
+kept as (
+  select map_id, piece, count(*) over w as num_sites, cast(row_number() over (partition by map_id, piece order by pos) as int) as site_id, pos - from_pos as pos, to_pos - from_pos as map_length
+  from placed window w as (partition by map_id, piece) qualify count(*) over w >= 2 and to_pos - from_pos >= 10800000000)
 """),
     "unaligned_maps": _sql("select map_id from maps where confidence < 50"),
     "merged_map_sets": _sql("select * from map_labels"),
@@ -290,7 +308,7 @@ select count(*) as maps, cast(sum(length) as bigint) as total_length, round(avg(
        (select max(length) from (select length, sum(length) over (order by length desc) as running, sum(length) over () as total from lens) where 2 * running >= total) as n50
 from lens""", "lens as (select map_id, any_value(map_length) as length, count(*) as labels from map_labels group by map_id)"),
     "alignment_summary": _sql("""
-select ref_id, count(distinct qry_id) as maps, cast(sum(ref_end - ref_start) as bigint) as aligned_length, round(avg(confidence), 2) as mean_confidence, cast(sum(fresh) as bigint) as covered from (
+select ref_id, count(distinct qry_id) as maps, cast(sum(ref_end - ref_start) as bigint) as aligned_length, round(cast(sum(cast(confidence as decimal(18,4))) as double) / count(confidence), 2) as mean_confidence, cast(sum(fresh) as bigint) as covered from (
   select *, greatest(0, ref_end - greatest(ref_start, coalesce(max(ref_end) over (partition by ref_id order by ref_start, ref_end rows between unbounded preceding and 1 preceding), ref_start))) as fresh from alignments)
 group by ref_id"""),
 }

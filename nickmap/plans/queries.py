@@ -14,7 +14,7 @@ from nickmap.plans.repair import digested, repair_sequences
 from nickmap.sources import readers, writers
 from nickmap.sources.shared import shared_dir, written
 
-LIMITS = stitch.Limits(max_fill=12 * HOUR, max_overlap=24 * HOUR, max_labels=1, max_overlap_labels=5, window=6 * HOUR, wobble=HOUR, min_ratio=0.7)
+LIMITS = stitch.Limits(max_fill=12 * HOUR, max_overlap=24 * HOUR, max_labels=1, max_overlap_labels=5, window=6 * HOUR, wobble=HOUR, min_ratio=0.7, segment=30 * 24 * HOUR)
 WIDTH = 12 * HOUR
 #: Complements in the texts' alphabet: r and e pair, i and a pair.
 ALPHABET, PARTNER = "reia", "eria"
@@ -112,7 +112,7 @@ def site_flank_sequence(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir):
-    return stitch.adjacent_pairs(inputs.alignments(spark, sf_dir))
+    return stitch.adjacent_pairs(inputs.alignments(spark, sf_dir), LIMITS.segment)
 
 
 def _near(spark, sf_dir):
@@ -178,9 +178,9 @@ def _refs(spark, sf_dir):
     return written(inputs.ref_labels(spark, sf_dir), "ref-labels")
 
 
-def _planned(spark, sf_dir):
+def _planned(spark, sf_dir, refs=None):
     """The plan, the map labels and the alignments, written, as merging reads them several times."""
-    refs = _refs(spark, sf_dir)
+    refs = refs or _refs(spark, sf_dir)
     labels, aligned = written(inputs.map_labels(spark, sf_dir, refs), "map-labels"), written(inputs.alignments(spark, sf_dir, refs), "alignments")
     return written(stitch.stitch_plan(aligned, labels, refs, LIMITS, written(_sites(spark, sf_dir), "sites"), inputs.end_ratios(spark, sf_dir, refs), WIDTH), "plan"), labels, aligned
 
@@ -206,42 +206,97 @@ def stitch_positions(spark, sf_dir):
 
 @query
 def ratio_propagation(spark, sf_dir):
-    return stitch.merged_ratios(_plan(spark, sf_dir), inputs.end_ratios(spark, sf_dir))
+    refs = _refs(spark, sf_dir)
+    plan, labels, _ = _planned(spark, sf_dir, refs)
+    return mapops.merged_ratios(mapops.lineage(mapops.pairwise_groups(plan), labels), inputs.end_ratios(spark, sf_dir, refs))
 
 
 @query
 def merged_labels(spark, sf_dir):
     plan, labels, _ = _planned(spark, sf_dir)
-    return mapops.merge_maps(mapops.pairwise_groups(plan), labels)
+    return mapops.merge_maps(mapops.lineage(mapops.pairwise_groups(plan), labels), labels)
+
+
+@query
+def map_lineage(spark, sf_dir):
+    """What each merged map is made of, with the name that the formats' offsets would give it."""
+    plan, labels, _ = _planned(spark, sf_dir)
+    return mapops.lineage(mapops.pairwise_groups(plan), labels).select("ref_id", "group_id", "new_id", "name", "member", "map_id", "orientation", "trim_head", "trim_tail", "missed_offset", "shift", "new_length")
+
+
+@query
+def map_identity(spark, sf_dir):
+    """Ids after merging all groups on two references at once: how many maps and ids there are, and ids of two maps or of
+    a map from before; the last two must be 0."""
+    refs = _refs(spark, sf_dir)
+    labels, _, members = _grouped(spark, sf_dir, refs, 2)
+    groups = members.select("ref_id", "group_id", "new_id").distinct()
+    shared = groups.groupBy("new_id").count().where("count > 1")
+    taken = groups.join(labels.select(F.col("map_id").alias("new_id")), "new_id", "left_semi")
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return count(groups, "maps").join(count(groups.select("new_id").distinct(), "ids")).join(count(shared, "shared")).join(count(taken, "taken"))  # one row each
+
+
+def _map_pairs(spark, sf_dir, refs):
+    return inputs.map_pairs(spark, sf_dir, refs).select("ref_id", "ref_site", "map_id", "map_site")
+
+
+@query
+def lifted_pairs(spark, sf_dir):
+    """Aligned labels of all maps with the maps and labels that one round of merging makes of them."""
+    refs = _refs(spark, sf_dir)
+    plan, labels, _ = _planned(spark, sf_dir, refs)
+    merged = written(mapops.merge_maps(mapops.lineage(mapops.pairwise_groups(plan), labels), labels), "merged")
+    return mapops.lift_pairs(_map_pairs(spark, sf_dir, refs), mapops.label_lift(merged, labels))
+
+
+@query
+def joined_molecules(spark, sf_dir):
+    """Molecules on the maps that repeated rounds make, where those that span several maps are joined."""
+    refs = _refs(spark, sf_dir)
+    labels, merged, _ = _grouped(spark, sf_dir, refs, 1)
+    spread = inputs.molecules(spark, sf_dir).withColumnRenamed("map_id", "ref_id").withColumn("ref_site", F.explode(F.sequence("lab0", "lab1"))).join(_map_pairs(spark, sf_dir, refs), ["ref_id", "ref_site"])
+    return mapops.joined_molecules(spread, mapops.label_lift(merged, labels)).select("mol_id", "map_id", F.size("labels").alias("n"), F.array_join("labels", ",").alias("labels"))
 
 
 @query
 def merged_two_references(spark, sf_dir):
     """Maps that align to two references, and are joined on both."""
     plan, labels, _ = _planned(spark, sf_dir)
-    junctions = written(mapops.pairwise_groups(plan), "junctions")
-    both = junctions.unionByName(junctions.where("second_id % 2 = 0").withColumn("ref_id", F.col("ref_id") + 1_000_000))
-    return mapops.merge_maps(both, labels)
+    return mapops.merge_maps(mapops.lineage(_on_two(written(mapops.pairwise_groups(plan), "junctions")), labels), labels)
 
 
 @query
 def merged_maps(spark, sf_dir):
     plan, labels, _ = _planned(spark, sf_dir)
-    return mapops.apply_merges(mapops.pairwise_groups(plan), labels)
+    return mapops.apply_merges(mapops.lineage(mapops.pairwise_groups(plan), labels), labels)
 
 
-@query
-def merged_groups(spark, sf_dir):
-    refs = _refs(spark, sf_dir)
+def _on_two(junctions):
+    """``junctions``, some of them on a second reference too."""
+    return junctions.unionByName(junctions.where("second_id % 2 = 0").withColumn("ref_id", F.col("ref_id") + 1_000_000))
+
+
+def _grouped(spark, sf_dir, refs, references=1):
+    """Map labels, and labels and lineage of the maps that repeated rounds make of them."""
     labels = written(inputs.map_labels(spark, sf_dir, refs), "map-labels")
     pairs = stitch.with_window(stitch.candidate_pairs(inputs.alignments(spark, sf_dir, refs), labels, refs, LIMITS), refs, LIMITS)
-    return mapops.merge_maps(written(mapops.chained_groups(pairs), "junctions"), labels)
+    junctions = written(mapops.chained_groups(pairs), "junctions")
+    if references == 2:
+        junctions = junctions.unionByName(junctions.withColumn("ref_id", F.col("ref_id") + 1_000_000))
+    members = mapops.lineage(junctions, labels)
+    return labels, written(mapops.merge_maps(members, labels), "merged"), members
+
+
+@query
+def merged_groups(spark, sf_dir):
+    return _grouped(spark, sf_dir, _refs(spark, sf_dir))[1]
 
 
 @query
 def lifted_alignments(spark, sf_dir):
     plan, labels, aligned = _planned(spark, sf_dir)
-    return mapops.lift_alignments(aligned, mapops.pairwise_groups(plan), labels)
+    return mapops.lift_alignments(aligned, mapops.lineage(mapops.pairwise_groups(plan), labels))
 
 
 def _molecule_pairs(spark, sf_dir, refs=None):
@@ -263,7 +318,7 @@ def molecule_end_ratios(spark, sf_dir):
 
 def _flanked(spark, sf_dir, refs=None):
     keyed = written(_keyed(spark, sf_dir), "sites")
-    return evidence.flanking_labels(keyed, refs or _refs(spark, sf_dir))
+    return evidence.flanking_labels(keyed, refs or _refs(spark, sf_dir), segment=LIMITS.segment)
 
 
 @query
@@ -468,7 +523,7 @@ def map_summary(spark, sf_dir):
 
 @query
 def alignment_summary(spark, sf_dir):
-    return mapops.alignment_summary(inputs.alignments(spark, sf_dir))
+    return mapops.alignment_summary(inputs.alignments(spark, sf_dir), LIMITS.segment)
 
 
 #: Distances in texts are letters.

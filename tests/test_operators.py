@@ -99,11 +99,11 @@ def test_merging_in_all_orientations(spark):
         end1, start2 = (5000, 5000 + rng.randint(1, 50)) if ld >= 0 else (5000, 5000 - rng.randint(2, 50))
         oa, ob, ca, cb, miss = rng.choice("+-"), rng.choice("+-"), rng.randint(1, 3), rng.randint(1, 3), end1 + 7
         plan.append((k, 1, 2 * k + 1, 2 * k + 2, oa, ob, float(ca), float(cb), end1, start2, ld, miss if ld == 1 else 0))
-        want[2 * k + 1 + 100_000] = _merged_plainly(*maps, start2 - end1 + 1, ld, oa, ob, ca, cb, 8)
+        want[160 + k + 1] = _merged_plainly(*maps, start2 - end1 + 1, ld, oa, ob, ca, cb, 8)
     pairs = spark.createDataFrame(plan, "ref_id int, pair_no int, first_id long, second_id long, first_orientation string, second_orientation string, first_confidence double, second_confidence double, first_ref_end long, second_ref_start long, label_distance int, missed_label long")
     table = spark.createDataFrame(labels, "map_id long, num_sites int, site_id int, pos long, map_length long")
     got: dict = {}
-    for r in mapops.merge_maps(mapops.pairwise_groups(pairs), table).orderBy("map_id", "site_id").collect():
+    for r in mapops.merge_maps(mapops.lineage(mapops.pairwise_groups(pairs), table), table).orderBy("map_id", "site_id").collect():
         got.setdefault(r.map_id, (r.map_length, []))[1].append(r.pos)
     assert got == want
 
@@ -112,8 +112,10 @@ def test_chains_are_cut_into_groups(spark):
     n = 130
     pairs = spark.createDataFrame([(1, k, k, k + 1, "+", "+", 1.0, 1.0, 10 * k, 10 * k + 5, 0, 0) for k in range(1, n)], "ref_id int, pair_no int, first_id long, second_id long, first_orientation string, second_orientation string, first_confidence double, second_confidence double, first_ref_end long, second_ref_start long, label_distance int, missed_label long")
     table = spark.createDataFrame([(k, 1, 1, 5, 10) for k in range(1, n + 1)], "map_id long, num_sites int, site_id int, pos long, map_length long")
-    found = mapops.merge_maps(mapops.chained_groups(pairs), table).groupBy("map_id").count().collect()
-    assert {r["map_id"]: r["count"] for r in found} == {600_001: 64, 600_065: 64, 100_129: 2}
+    members = mapops.lineage(mapops.chained_groups(pairs), table)
+    found = mapops.merge_maps(members, table).groupBy("map_id").count().collect()
+    assert {r["map_id"]: r["count"] for r in found} == {131: 64, 132: 64, 133: 2}
+    assert {(r.new_id, r.name) for r in members.select("new_id", "name").distinct().collect()} == {(131, 600_001), (132, 600_065), (133, 100_129)}
 
 
 _PAIR = "ref_id int, pair_no int, first_id long, second_id long, first_orientation string, second_orientation string, first_confidence double, second_confidence double, first_ref_end long, second_ref_start long, label_distance int, missed_label long"
@@ -125,12 +127,15 @@ def test_a_map_on_two_references(spark):
     table = spark.createDataFrame([(m, 2, i, 10 * i, 40) for m in (10, 11, 12) for i in (1, 2)], "map_id long, num_sites int, site_id int, pos long, map_length long")
     for junctions in (mapops.pairwise_groups(pairs), mapops.chained_groups(pairs)):
         got: dict = {}
-        for r in mapops.merge_maps(junctions, table).orderBy("map_id", "site_id").collect():
+        members = mapops.lineage(junctions, table)
+        for r in mapops.merge_maps(members, table).orderBy("map_id", "site_id").collect():
             got.setdefault(r.map_id, []).append((r.site_id, r.pos, r.old_id))
-        assert got == {100_010: [(1, 10, 10), (2, 20, 10), (3, 56, 11), (4, 66, 11)], 800_010: [(1, 10, 10), (2, 20, 10), (3, 70, 12), (4, 80, 12)]}
+        assert got == {13: [(1, 10, 10), (2, 20, 10), (3, 56, 11), (4, 66, 11)], 14: [(1, 10, 10), (2, 20, 10), (3, 70, 12), (4, 80, 12)]}
+    ratios = spark.createDataFrame([(10, 0.1, 0.2), (11, 0.3, 0.4), (12, 0.5, 0.6)], "map_id long, start_ratio double, end_ratio double")
+    assert sorted(map(tuple, mapops.merged_ratios(members, ratios).collect())) == [(13, 0.1, 0.4), (14, 0.1, 0.5)]
     aligned = spark.createDataFrame([(10, 1, "+", 1.0, 10, 100, 10, 20), (11, 1, "+", 1.0, 105, 120, 10, 20), (10, 2, "+", 1.0, 10, 100, 10, 20), (12, 2, "-", 1.0, 109, 120, 20, 10)], "qry_id long, ref_id int, orientation string, confidence double, ref_start long, ref_end long, qry_start long, qry_end long")
-    lifted = {r.qry_id: (r.ref_id, r.confidence) for r in mapops.lift_alignments(aligned, mapops.pairwise_groups(pairs), table).collect()}
-    assert lifted == {100_010: (1, 2.0), 800_010: (2, 2.0)}
+    lifted = {r.qry_id: (r.ref_id, r.confidence) for r in mapops.lift_alignments(aligned, members).collect()}
+    assert lifted == {13: (1, 2.0), 14: (2, 2.0)}
 
 
 def test_a_map_that_recurs_in_a_chain(spark):
@@ -138,8 +143,8 @@ def test_a_map_that_recurs_in_a_chain(spark):
     ids = [1, 2, 3, 1, 4]
     pairs = spark.createDataFrame([(1, k + 1, ids[k], ids[k + 1], "+", "+", 1.0, 1.0, 10 * k, 10 * k + 5, 0, 0) for k in range(4)], _PAIR)
     table = spark.createDataFrame([(k, 1, 1, 5, 10) for k in range(1, 5)], "map_id long, num_sites int, site_id int, pos long, map_length long")
-    got = mapops.merge_maps(mapops.chained_groups(pairs), table).collect()
-    assert sorted((r.map_id, r.old_id) for r in got) == [(200_001, 1), (200_001, 2), (200_001, 3)]
+    got = mapops.merge_maps(mapops.lineage(mapops.chained_groups(pairs), table), table).collect()
+    assert sorted((r.map_id, r.old_id) for r in got) == [(5, 1), (5, 2), (5, 3)]
 
 
 def test_stretches_over_chunk_ends(spark):
@@ -174,8 +179,11 @@ def test_breaking(spark):
     cuts = spark.createDataFrame([(1, 50), (1, 50), (1, 80)], "map_id long, breakpoint long")
     got = sorted(map(tuple, mapops.break_maps(table, cuts, 10).collect()))
     # The label at a break stays with the piece before it; a last piece of one label is dropped, as is map 2.
-    assert got == [(1, 3, 1, 10, 50), (1, 3, 2, 20, 50), (1, 3, 3, 50, 50)]
+    assert got == [(1, 3, 1, 10, 50, 1, 0), (1, 3, 2, 20, 50, 1, 0), (1, 3, 3, 50, 50, 1, 0)]
     assert mapops.break_maps(table, cuts, 10, min_labels=1).count() == 6
+    # A further piece's id is none that another map has.
+    pieces = mapops.break_maps(table, cuts.where("breakpoint = 50"), 10).select("map_id", "of_map", "piece").distinct().collect()
+    assert sorted(map(tuple, pieces)) == [(1, 1, 0), (3, 1, 1)]
 
 
 def test_breakpoints_of_known_labels(spark):
@@ -190,3 +198,100 @@ def test_empty_tables(spark):
     assert found.count() == 0
     assert sites.site_statistics(found.withColumn("score", F.lit(1.0))).count() == 0
     assert mapops.map_summary(spark.createDataFrame([], "map_id long, pos long, map_length long")).first().maps == 0
+
+
+def test_names_that_collide(spark):
+    """Groups whose names by offsets would be equal, and equal another map's, stay apart under ids of their own."""
+    pairs = spark.createDataFrame([(1, 1, 5, 6, "+", "+", 1.0, 1.0, 10, 15, 0, 0), (1, 2, 6, 7, "+", "+", 1.0, 1.0, 20, 25, 0, 0), (2, 1, 100_005, 100_006, "+", "+", 1.0, 1.0, 10, 15, 0, 0)], _PAIR)
+    ids = [5, 6, 7, 100_005, 100_006, 200_005]
+    table = spark.createDataFrame([(m, 1, 1, 5, 10) for m in ids], "map_id long, num_sites int, site_id int, pos long, map_length long")
+    members = mapops.lineage(mapops.chained_groups(pairs), table)
+    assert {(r.name, r.new_id) for r in members.collect()} == {(200_005, 200_006), (200_005, 200_007)}
+    merged = mapops.merge_maps(members, table)
+    assert sorted((r.map_id, r.old_id) for r in merged.collect()) == [(200_006, 5), (200_006, 6), (200_006, 7), (200_007, 100_005), (200_007, 100_006)]
+    assert mapops.apply_merges(members, table).groupBy("map_id").count().count() == 3
+
+
+def test_lifts_chain(spark):
+    """Labels lifted over two rounds one after the other, and by the chained lift; a turned map's labels run backwards."""
+    table = spark.createDataFrame([(m, 3, i, 10 * i, 40) for m in (1, 2, 3, 4) for i in (1, 2, 3)], "map_id long, num_sites int, site_id int, pos long, map_length long")
+    one = spark.createDataFrame([(1, 1, 1, 2, "+", "-", 1.0, 1.0, 100, 105, 0, 0)], _PAIR)
+    first = mapops.lineage(mapops.pairwise_groups(one), table)
+    merged = mapops.merge_maps(first, table)
+    maps = mapops.apply_merges(first, table, merged)
+    lift = mapops.label_lift(merged, table)
+    two = spark.createDataFrame([(1, 1, 5, 3, "+", "+", 2.0, 1.0, 200, 198, -3, 0)], _PAIR)
+    second = mapops.lineage(mapops.pairwise_groups(two), maps)
+    again = mapops.merge_maps(second, maps)
+    chained = mapops.chain_lifts(lift, mapops.label_lift(again, maps))
+    pairs = spark.createDataFrame([("m", m, i) for m in (1, 2, 3, 4) for i in (1, 2, 3)], "mol_id string, map_id long, map_site int")
+    got = sorted((r.old_id, r.old_site, r.new_id, r.new_site) for r in chained.collect())
+    # The second map's labels are the ones that the second round trims.
+    assert got == [(1, 1, 6, 1), (1, 2, 6, 2), (1, 3, 6, 3), (3, 1, 6, 4), (3, 2, 6, 5), (3, 3, 6, 6), (4, 1, 4, 1), (4, 2, 4, 2), (4, 3, 4, 3)]
+    steps = mapops.lift_pairs(mapops.lift_pairs(pairs, lift), mapops.label_lift(again, maps))
+    assert sorted(map(tuple, steps.collect())) == sorted(map(tuple, mapops.lift_pairs(pairs, chained).collect()))
+    assert sorted((r.old_id, r.old_site, r.new_site) for r in lift.where("new_id = 5").collect()) == [(1, 1, 1), (1, 2, 2), (1, 3, 3), (2, 1, 6), (2, 2, 5), (2, 3, 4)]
+    joined = {r.map_id: r.labels for r in mapops.joined_molecules(pairs, lift).collect()}
+    assert joined == {5: [1, 2, 3, 4, 5, 6], 3: [1, 2, 3], 4: [1, 2, 3]}
+
+
+def test_intervals_of_any_length(spark):
+    """Lengths from nothing to a thousand bins: copies stay few, pairs are those of all rows compared."""
+    rng = random.Random(2)
+    make = lambda n: [(rng.randint(0, 1), i, (s := rng.randint(-5_000, 60_000)), s + int(10 ** rng.uniform(-1, 4.7))) for i in range(n)]
+    a, b = make(120), make(150)
+    left, right = spark.createDataFrame(a, "g int, i int, a0 long, a1 long"), spark.createDataFrame(b, "g int, j int, b0 long, b1 long")
+    pairs = sorted((r.i, r.j) for r in intervals.overlap_join(left, right, ["g"], ("a0", "a1"), ("b0", "b1"), 50).collect())
+    assert pairs == sorted((x[1], y[1]) for x in a for y in b if x[0] == y[0] and x[2] <= y[3] and y[2] <= x[3])
+    want = sorted((x[1], y[1]) for x in a for y in b if x[0] == y[0] and x[2] < y[2] and x[3] > y[3])
+    for how, expected in (("inner", want), ("left_semi", sorted({j for _, j in want})), ("left_anti", sorted({y[1] for y in b} - {j for _, j in want}))):
+        found = intervals.containment_join(left, right, ["g"], ("a0", "a1"), ("b0", "b1"), 50, how).collect()
+        assert sorted((r.i, r.j) if how == "inner" else r.j for r in found) == expected
+    assert sorted(r.j for r in intervals.contained(left, right, ["g"], ("a0", "a1"), ("b0", "b1"), 50, "j").collect()) == sorted({j for _, j in want})
+
+
+def test_scans_by_segments(spark):
+    """Whatever the segments' width, scans give what one window over each reference gives; most segments are empty."""
+    from pyspark.sql import Window
+
+    from nickmap.operators import ranges
+
+    rng = random.Random(3)
+    rows = spark.createDataFrame([(r, p, k, rng.randint(-9, 9)) for r in (1, 2, 3) for k, p in enumerate(sorted(rng.choices(range(-200, 3_000), k=80)))], "ref long, pos long, site_id long, v long")
+    along = Window.partitionBy("ref").orderBy("pos", "site_id")
+    upto, before = along.rowsBetween(Window.unboundedPreceding, 0), along.rowsBetween(Window.unboundedPreceding, -1)
+    order = ["pos", "site_id"]
+    plain = lambda df: sorted(map(str, df.collect()))
+    for width in (1, 7, 100, 10_000):
+        assert plain(ranges.with_next(rows, "ref", order, {"p2": "pos", "v2": "v"}, width)) == plain(rows.select("*", F.lead("pos").over(along).alias("p2"), F.lead("v").over(along).alias("v2")))
+        assert plain(ranges.with_place(rows, "ref", order, width, "at", "n")) == plain(rows.select("*", F.row_number().over(along).cast("long").alias("at"), F.count(F.lit(1)).over(Window.partitionBy("ref")).alias("n")))
+        for kind, f in (("sum", F.sum), ("max", F.max), ("min", F.min)):
+            assert plain(ranges.with_running(rows, "ref", order, "v", width, "x", kind)) == plain(rows.withColumn("x", f("v").over(upto)))
+            assert plain(ranges.with_running(rows, "ref", order, "v", width, "x", kind, own=False)) == plain(rows.withColumn("x", f("v").over(before)))
+        probes = spark.createDataFrame([(r, p, i) for r in (1, 2, 4) for i, p in enumerate(range(-250, 3_100, 37))], "ref long, at long, key int")
+        labels = {r: [(x.pos, x.site_id) for x in rows.where(F.col("ref") == r).collect()] for r in (1, 2, 3)}
+        for r in ranges.around(probes, rows, "ref", "at", width, "b", "a").collect():
+            own = labels.get(r.ref, [])
+            assert r.b == max((s for p, s in own if p <= r.at), default=None) and r.a == min((s for p, s in own if p >= r.at), default=None)
+    got = [tuple(x) for x in ranges.numbered(rows.select("v", "ref", "site_id"), "v", "ref", "site_id").orderBy("number").collect()]
+    assert [g[3] for g in got] == list(range(1, len(got) + 1)) and [g[:3] for g in got] == sorted(g[:3] for g in got)
+
+
+def test_weighted_median(spark):
+    rng = random.Random(4)
+    for values in ([5], [1, 1, 1], [rng.randint(1, 10**9) for _ in range(400)], [3, 10**12, 4], list(range(1, 3000))):
+        running, want = 0, None
+        for v in sorted(values, reverse=True):
+            running += v
+            if want is None and 2 * running >= sum(values):
+                want = v
+        assert mapops.weighted_median(spark.createDataFrame([(v,) for v in values], "v long"), "v", 16).first().v == want
+    assert mapops.weighted_median(spark.createDataFrame([], "v long"), "v").first().v is None
+
+
+def test_pairs_by_entry(spark):
+    """Alignments that start at one place follow one another by their entries."""
+    rows = spark.createDataFrame([(1, q, "+", 1.0, s, s + 9, 1, 9, e) for q, s, e in ((7, 10, 1), (3, 10, 2), (5, 10, 0), (9, 4, 9))], "ref_id long, qry_id long, orientation string, confidence double, ref_start long, ref_end long, qry_start long, qry_end long, entry long")
+    follow = lambda df: [(r.pair_no, r.first_id, r.second_id) for r in stitch.adjacent_pairs(df, 5).orderBy("pair_no").collect()]
+    assert follow(rows) == [(1, 9, 5), (2, 5, 7), (3, 7, 3)]
+    assert follow(rows.drop("entry")) == [(1, 9, 3), (2, 3, 5), (3, 5, 7)]
