@@ -6,6 +6,7 @@ words beside it, and whether it has the form of a known token or of a host, path
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import random
@@ -28,16 +29,20 @@ MAX_PASSAGES, PASSAGE, PLANTS = 1_000, 2_000, 12
 DICTIONARY = 2_000
 #: Characters of context on either side of a candidate.
 CONTEXT = 48
-_BODY = r"[A-Za-z0-9+/_\-.@:]"
-_CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_\-.@])(?=[A-Za-z+/_\-.@:]*\d|gh[pousr]_|glpat-|[srp]k_(?:live|test)_|xox[abeoprs]-|npm_|hf_){_BODY}{{12,}}(?:={{1,2}}(?![A-Za-z0-9+/_\-.@:=\"'`]))?")
+#: Runs that can hold a candidate, each met once; what closes one; and prefixes by which it needs no digit.
+_RUN = re.compile(r"[A-Za-z0-9+/_\-.@:]{12,}")
+_PADDING = re.compile(r"={1,2}(?![A-Za-z0-9+/_\-.@:=\"'`])")
+_DIGIT = re.compile(r"[0-9]")
+_KNOWN = re.compile(r"(?:^|(?<=:))(?:gh[pousr]_|glpat-|[srp]k_(?:live|test)_|xox[abeoprs]-|npm_|hf_)")
 _NAME = r"(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credential|auth)\w{0,64}"
 _KEYWORD = re.compile(_NAME, re.I)
 _ASSIGNED = re.compile(_NAME + r"[\"']?\s*[:=]+>?\s*[\"'`]?$", re.I)
 #: Any value assigned to a credential's name: quoted, or up to white space or what parts fields.
 _VALUE = re.compile(_NAME + r"[\"']?(?P<by>[ \t]*[:=]+>?[ \t]*)(?:\"(?P<a>[^\"\n]+)\"|'(?P<b>[^'\n]+)'|`(?P<c>[^`\n]+)`|(?P<d>[^\s\"'`&,;<>]+))", re.I)
 #: A password within an address, and private keys over several lines.
-_USER = re.compile(r"://[^\s/:@\"']{0,64}:(?P<a>[^\s/@\"']{3,128})@")
-_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s:,\-]{0,20000}?-----END [A-Z ]{0,40}PRIVATE KEY-----")
+_USER = re.compile(r"://[^\s/:@\"']*:(?P<a>[^\s/@\"']{3,})@")
+_KEY_EDGE = re.compile(r"-----(?:(?P<begin>BEGIN)|END) [A-Z ]*PRIVATE KEY-----")
+_KEY_BODY = re.compile(r"[A-Za-z0-9+/=\s:,\-]*")
 _CONFIG = re.compile(r"(?:\.env|config|settings|deploy|secrets?|\.ya?ml|\.ini|\.toml|\.pem|\.properties)", re.I)
 _SAMPLE = re.compile(r"(?:example|sample|test|dummy|mock|fixture)", re.I)
 #: Forms of tokens that services give out.
@@ -70,26 +75,54 @@ def _assigned(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def _key_blocks(text: str) -> list[tuple[int, int]]:
+    """Places of private keys over several lines, of any length: from a beginning to the end that follows it, with nothing
+    but a key's characters between them."""
+    found, begun = [], None
+    for m in _KEY_EDGE.finditer(text):
+        if m["begin"]:
+            begun = m
+        elif begun and _KEY_BODY.fullmatch(text, begun.end(), m.start()):
+            found.append((begun.start(), m.end()))
+            begun = None
+    return found
+
+
+def _runs(text: str):
+    """Places of runs of at least 12 characters with a digit, or from a known prefix on, in one pass."""
+    for m in _RUN.finditer(text):
+        start, end = m.span()
+        if not _DIGIT.search(text, start, end):
+            known = next((x for x in _KNOWN.finditer(m[0]) if len(m[0]) - x.start() >= 12), None)
+            if known is None:
+                continue
+            start += known.start()
+        padded = _PADDING.match(text, end)
+        yield start, padded.end() if padded else end
+
+
 def candidates(text: str | None) -> list[tuple[int, int]]:
     """Places of the candidates: private keys over several lines, whatever is assigned to a credential's name or is the
     password of an address, and other runs of at least 12 characters of names, numbers and encodings with a digit."""
     if not text:
         return []
-    blocks = [m.span() for m in _KEY_BLOCK.finditer(text)] if "PRIVATE KEY" in text else []
+    blocks = _key_blocks(text) if "PRIVATE KEY" in text else []
     assigned, found, k = _assigned(text), [], 0
     if "://" in text:
         assigned = sorted(assigned + [(*m.span("a"), m.start()) for m in _USER.finditer(text)])
-    for m in _CANDIDATE.finditer(text):
-        while k < len(assigned) and assigned[k][1] <= m.start():
+    for start, end in _runs(text):
+        while k < len(assigned) and assigned[k][1] <= start:
             k += 1
         # A value and its name are one finding, the value.
-        if k == len(assigned) or m.start() < assigned[k][2] or m.end() <= assigned[k][0]:
-            found.append(m.span())
-        elif m.end() > assigned[k][1] and len(rest := text[assigned[k][1] : m.end()]) >= 12 and any(map(str.isdigit, rest)):
-            found.append((assigned[k][1], m.end()))
+        if k == len(assigned) or start < assigned[k][2] or end <= assigned[k][0]:
+            found.append((start, end))
+        elif end > assigned[k][1] and len(rest := text[assigned[k][1] : end]) >= 12 and any(map(str.isdigit, rest)):
+            found.append((assigned[k][1], end))
     found += [(i, j) for i, j, _ in assigned]
     if blocks:
-        found = [x for x in found if not any(i < x[1] and x[0] < j for i, j in blocks)] + blocks
+        begins = [i for i, _ in blocks]
+        last = lambda x: blocks[k - 1] if (k := bisect.bisect_left(begins, x[1])) else (0, 0)
+        found = [x for x in found if last(x)[1] <= x[0]] + blocks
     return sorted(set(found))
 
 
@@ -112,7 +145,7 @@ def finding_features(text: str, start: int, end: int, path: str | None, common:
         sum(a != b for a, b in pairs) / max(1, n - 1), sum((a == 0) != (b == 0) for a, b in pairs) / max(1, n - 1), sum(a != b for a, b in zip(vowel, vowel[1:], strict=False)) / max(1, n - 1),
         covered, float(bool(_KEYWORD.search(left))), float(bool(_ASSIGNED.search(left))), float(left[-1:] in "\"'`" and right[:1] in "\"'`" and bool(left)),
         float(bool(_SAMPLE.search(path or ""))), float(bool(_CONFIG.search(path or ""))), known(_WORDS.findall(left)), known(_WORDS.findall(right)),
-        float(bool(_PREFIXED.fullmatch(word) or _KEY_BLOCK.fullmatch(word))), float(bool(_ORDINARY.fullmatch(word))),
+        float(bool(_PREFIXED.fullmatch(word) or _key_blocks(word) == [(0, n)])), float(bool(_ORDINARY.fullmatch(word))),
     ]
 
 
@@ -281,8 +314,11 @@ def planted_findings(docs: DataFrame, common: frozenset[str], passages: int = MA
     """
     h = F.xxhash64("doc_id", "text", F.lit(seed))
     at = 1 + F.pmod(h, F.greatest(F.length("text") - PASSAGE, F.lit(1)))
-    some = docs.where(F.col("text").isNotNull()).select("doc_id", F.substring("text", at.cast("int"), F.lit(PASSAGE)).alias("text"), "path", h.alias("h"))
-    some = some.orderBy("h", "doc_id", "text").limit(passages)
+    known = docs.where(F.col("text").isNotNull()).withColumn("h", h)
+    # The hashes are chosen first, so that a task hands on no passage but those wanted; rows with one hash are equal texts of one id.
+    chosen = known.select("h").distinct().orderBy("h").limit(passages)
+    some = known.join(F.broadcast(chosen), "h").select("h", F.struct("doc_id", "path", F.substring("text", at.cast("int"), F.lit(PASSAGE)).alias("text")).alias("of"))
+    some = some.groupBy("h").agg(F.min("of").alias("of")).select("of.*", "h")
 
     def plant(batches):
         import pyarrow as pa
