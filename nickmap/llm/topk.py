@@ -20,6 +20,8 @@ from .common import table, written
 BLOCK, TILE = 4096, 8192
 #: Steps in which the lists are read, and queries that are read for at the same time.
 STEPS, ABREAST = 16, 256
+#: What 64 bits hold.
+HELD = (-(1 << 63), (1 << 63) - 1)
 
 
 def nra_block(queries: np.ndarray, vectors: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -27,8 +29,8 @@ def nra_block(queries: np.ndarray, vectors: np.ndarray, own: np.ndarray, ids: np
     smaller of ``ids``, and how many list entries have been read for all of them. ``own`` is the vector row that is the
     query itself and takes no part, or -1."""
     n, q = len(vectors), len(queries)
-    # Whole numbers below 2**24 are exact in single precision, and below 2**53 in double.
-    most = float(np.abs(queries).sum(1).max(initial=0)) * float(np.abs(vectors).max(initial=0))
+    # Whole numbers below 2**24 are exact in single precision, below 2**53 in double; larger ones are Python's, held to 64 bits.
+    most = float(np.abs(queries.astype(float)).sum(1).max(initial=0)) * float(np.abs(vectors.astype(float)).max(initial=0))
     kind = np.float32 if most < 1 << 23 else np.float64 if most < 1 << 52 else object
     queries, vectors = queries.astype(kind), vectors.astype(kind)
     order = np.argsort(vectors, axis=0, kind="stable")
@@ -66,6 +68,8 @@ def _read_lists(queries, vectors, own, ids, k, order, lists):
             lower, upper = partial + weights[open_] @ (unseen * worst).T, partial + weights[open_] @ (unseen * stands).T
         else:
             lower = upper = partial
+        if lower.dtype == object:  # scores that saturate are equal
+            lower, upper = np.clip(lower, *HELD), np.clip(upper, *HELD)
         mine = own[open_][:, None] == held[None, :]
         lower = np.where(mine, lower.min(initial=0) - 1, lower)
         kth = np.partition(lower, len(held) - k, axis=1)[:, len(held) - k] if len(held) > k else lower.min(1)
@@ -74,6 +78,7 @@ def _read_lists(queries, vectors, own, ids, k, order, lists):
         for r in np.flatnonzero(settled):
             left = held[may[r]]
             scores = vectors[left] @ queries[open_[r]]
+            scores = np.clip(scores, *HELD) if scores.dtype == object else scores
             best = np.lexsort((ids[left], -scores))[:k]
             out.append((int(open_[r]), left[best], np.array([int(x) for x in scores[best]], np.int64)))
         open_ = open_[~settled]
@@ -95,7 +100,7 @@ def _quantised(vectors: DataFrame, scale: int) -> DataFrame:
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best inner products of each query, which is a row of ``vectors`` (vec_id,
     embedding) with a vec_id divisible by ``every``, over all other rows; fewer if there are fewer. Components become
-    floor(scale * x). Ties go to the smaller vec_id. Rows that share a vec_id are queries and candidates of their own.
+    floor(scale * x); components and scores beyond 64 bits are the nearest number that these hold. Ties go to the smaller vec_id. Rows that share a vec_id are queries and candidates of their own.
     Shorter vectors count as ending in zeros. Null vectors, and those holding a null or non-finite component, take no
     part, nor do null ids; further columns are ignored; an empty table gives an empty result.
 
