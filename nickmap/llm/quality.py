@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import held_out, table
@@ -141,24 +141,31 @@ def fit_additive(x: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float =
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> AdditiveModel:
     """A model of ``labels.quality`` (0 or 1; others are left out) from the texts of ``docs``, without held-out rows.
 
-    At most ``max_rows`` labels are used. A document that has no label, or a label without a document, is left out; of
-    repeated rows each counts.
+    At most ``max_rows`` labels and rows are used. A document that has no label, or a label without a document, is left
+    out; of repeated rows each counts.
     """
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = usable.select(F.col("doc_id").alias("labelled"), "quality").orderBy(F.xxhash64("labelled"), "labelled", "quality").limit(max_rows)
-    # At most max_rows ids and labels are sent to the tasks, and as many rows of features to the driver.
+    # At most max_rows ids and labels are sent to the tasks. Rows of one id multiply them, so as many rows are chosen again, by
+    # a hash of id and text, before features are measured and sent to the driver.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "text", "quality"))
+    kept = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).orderBy("h").limit(max_rows)
+    upto = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, -1)  # of at most max_rows rows
+    kept = kept.withColumn("room", F.lit(max_rows) - F.coalesce(F.sum("n").over(upto), F.lit(0))).where("room > 0").select("h", F.least("n", "room").alias("times"))
+    rows = rows.join(F.broadcast(kept), "h").groupBy("h").agg(F.first("text").alias("text"), F.first("quality").alias("quality"), F.first("times").alias("times"))
 
     def measured(batches):
         import pyarrow as pa
 
         for batch in batches:
             found = [features(x.as_py()) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("quality").cast(pa.int32()), pa.array(found, pa.list_(pa.float64()))], ["y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("quality").cast(pa.int32()), batch.column("times").cast(pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["y", "times", "x"])
 
-    sample = rows.select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(measured, "y int, x array<double>").toArrow()
-    x = np.array(sample.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
-    y = sample.column("y").to_numpy().astype(float)
+    sample = rows.select("quality", "times", "text").mapInArrow(measured, "y int, times long, x array<double>").toArrow()
+    times = sample.column("times").to_numpy()
+    x = np.repeat(np.array(sample.column("x").to_pylist(), float).reshape(-1, len(FEATURES)), times, axis=0)
+    y = np.repeat(sample.column("y").to_numpy().astype(float), times)
     order = np.lexsort((*x.T, y))  # rows come in any order; sums of floats shall not
     return fit_additive(x[order], y[order])
 
