@@ -80,34 +80,55 @@ def _names(n: int) -> list[bytes]:
     return [b"%d%c" % (i, c) for i in range(n) for c in b",|;"]
 
 
-def _grouped(t: Tokens, cuts: np.ndarray, width: int) -> tuple[np.ndarray, bytes]:
-    """Codes of all links, and the text of the groups, of tokens that begin and end at cuts; ``cuts`` are the ends of groups.
-
-    Each stretch between neighbouring ends of either tokenizer is one link, that of the two tokens which it lies in."""
-    if not len(cuts):
-        return _NONE, b""
-    ends = np.union1d(t.a_end, t.b_end)
-    codes = t.a[np.searchsorted(t.a_end, ends)].astype(np.int64) * width + t.b[np.searchsorted(t.b_end, ends)]
-    a_of, b_of = np.searchsorted(cuts, t.a_end), np.searchsorted(cuts, t.b_end)
-    shown = np.empty(len(t.a) + len(t.b), np.int64)
-    last = lambda of: np.append(of[1:] != of[:-1], True)
-    shown[np.arange(len(t.a)) + np.searchsorted(b_of, a_of)] = t.a.astype(np.int64) * 3 + last(a_of)
-    shown[np.arange(len(t.b)) + np.searchsorted(a_of, b_of, "right")] = t.b.astype(np.int64) * 3 + 2 * last(b_of)
-    return codes, b"".join(map(_names(1 << max(17, int(shown.max()).bit_length() - 1)).__getitem__, shown.tolist()))[:-1]
-
-
-def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, at = np.unique(codes, return_inverse=True)
-    return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64)
+def _counted(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and how often each occurs, or the sums of their ``counts``."""
+    if not len(codes):
+        return _NONE, _NONE
+    order = np.argsort(codes, kind="stable") if counts is not None else None
+    codes = np.sort(codes) if order is None else codes[order]
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+    return codes[first], np.diff(np.append(first, len(codes))) if order is None else np.add.reduceat(counts[order], first)
+
+
+def _cuts(t: Tokens) -> np.ndarray:
+    """Offsets at which tokens of both end."""
+    ends = np.sort(np.concatenate([t.a_end, t.b_end]), kind="stable")
+    return ends[1:][ends[1:] == ends[:-1]]
+
+
+def _grouped(t: Tokens, width: int) -> tuple[np.ndarray, bytes, int]:
+    """Codes of all links, the text of the groups, and their number, of tokens that begin and end at cuts.
+
+    The ends of both are merged. Each stretch between neighbouring ends is one link, that of the two tokens in which it
+    lies; an end of both closes a group."""
+    n = len(t.a)
+    if not n:
+        return _NONE, b"", 0
+    ends = np.concatenate([t.a_end, t.b_end])
+    order = np.argsort(ends, kind="stable")  # of equal ends that of the first tokenizer comes first
+    ends, is_a = ends[order], order < n
+    both = np.append(False, ends[1:] == ends[:-1])
+    a_seen = np.cumsum(is_a)
+    b_seen = np.arange(1, len(ends) + 1) - a_seen
+    last = np.flatnonzero(np.append(~both[1:], True))
+    codes = t.a[a_seen[last] - (both | is_a)[last]].astype(np.int64) * width + t.b[b_seen[last] - (both | ~is_a)[last]]
+    cut, of = np.flatnonzero(both), np.cumsum(both) - both
+    place = np.where(is_a, a_seen - 1 + np.append(0, b_seen[cut])[of], b_seen - 1 + a_seen[cut][of])
+    # Ids with what stands behind them: a bar behind a group's last of the first tokenizer, a semicolon behind its last one.
+    ids = np.concatenate([t.a, t.b]).astype(np.int64)[order] * 3 + np.where(np.append(both[1:], False), 1, 0) + 2 * both
+    shown = np.empty(len(ids), np.int64)
+    shown[place] = ids
+    names = _names(1 << max(17, int(ids.max() // 3).bit_length()))
+    return codes, b"".join(map(names.__getitem__, shown.tolist()))[:-1], len(cut)
 
 
 def fragment_of(t: Tokens, width: int, same: bool = True) -> Fragment:
     """The fragment of a byte range from the tokens that end in it; ``width`` is above all ids of the second tokenizer."""
-    cuts = np.intersect1d(t.a_end, t.b_end)
+    cuts = _cuts(t)
     if not len(cuts):
         return Fragment(t, n_a=len(t.a), n_b=len(t.b), same=same)
-    codes, groups = _grouped(t.within(cuts[0], cuts[-1]), cuts[1:], width)
-    return Fragment(t.within(-1, cuts[0]), True, groups, len(cuts) - 1, *np.unique(codes, return_counts=True), t.within(cuts[-1], 1 << 62), len(t.a), len(t.b), same)
+    codes, groups, n = _grouped(t.within(cuts[0], cuts[-1]), width)
+    return Fragment(t.within(-1, cuts[0]), True, groups, n, *_counted(codes), t.within(cuts[-1], 1 << 62), len(t.a), len(t.b), same)
 
 
 def compose(f: Fragment, g: Fragment, width: int) -> Fragment:
@@ -118,9 +139,8 @@ def compose(f: Fragment, g: Fragment, width: int) -> Fragment:
     if not g.cut:
         return f._replace(suffix=f.suffix.then(g.prefix), **both)
     middle = f.suffix.then(g.prefix)
-    links, text = _grouped(middle, middle.a_end[-1:], width)
-    codes = np.concatenate([f.codes, links, g.codes])
-    codes, counts = _summed(codes, np.concatenate([f.counts, np.ones(len(links)), g.counts]))
+    links, text, _ = _grouped(middle, width)
+    codes, counts = _counted(np.concatenate([f.codes, links, g.codes]), np.concatenate([f.counts, np.ones(len(links), np.int64), g.counts]))
     return Fragment(f.prefix, True, b";".join(x for x in (f.groups, text, g.groups) if x), f.n_groups + 1 + g.n_groups, codes, counts, g.suffix, **both)
 
 
@@ -151,7 +171,10 @@ class Aligner:
         self.b_bytes = [bytes([int(m[1], 16)]) if self.b.is_byte(i) and (m := _HEX.fullmatch(x)) else x.replace("▁", " ").encode() for i, x in enumerate(map(self.b.id_to_piece, range(self.width)))]
         #: Pieces can be encoded by themselves if the first tokenizer parts words before their space and no token of the
         #: second has a space behind anything but spaces.
-        words = json.loads(self.a.to_str())["pre_tokenizer"] or {}
+        settings = json.loads(self.a.to_str())
+        words = settings["pre_tokenizer"] or {}
+        #: Byte-level tokens without a normaliser are the text's bytes.
+        self.exact = words.get("type") == "ByteLevel" and not words.get("add_prefix_space") and settings["normalizer"] is None
         self.parts = words.get("type") == "ByteLevel" and words.get("use_regex", True) and not any(re.search(rb"[^ ] ", x) for x in self.b_bytes)
         self.plain = encoder(a)
         self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
@@ -183,7 +206,7 @@ class Aligner:
         packed_a, packed_b = zip(*self.encoded(self.pieces(text)), strict=True)
         a, b = np.frombuffer(b"".join(packed_a), self.plain.dtype), np.frombuffer(b"".join(packed_b), np.int32)
         own = f" {text}".encode()
-        same = b"".join(map(self.a_bytes.__getitem__, a.tolist())) == own and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == own
+        same = (self.exact or b"".join(map(self.a_bytes.__getitem__, a.tolist())) == own) and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == own
         return Tokens(a, np.cumsum(self.a_size[a]), b, np.cumsum(self.b_size[b])), same
 
     def pieces(self, text: str) -> list[str]:
@@ -196,9 +219,8 @@ class Aligner:
         t, same = self.tokens(text)
         if not same:
             return Fragment(same=False)
-        cuts = np.intersect1d(t.a_end, t.b_end, assume_unique=True)
-        codes, groups = _grouped(t, cuts, self.width)
-        return Fragment(Tokens(), True, groups, len(cuts), *np.unique(codes, return_counts=True), n_a=len(t.a), n_b=len(t.b))
+        codes, groups, n = _grouped(t, self.width)
+        return Fragment(Tokens(), True, groups, n, *_counted(codes), n_a=len(t.a), n_b=len(t.b))
 
     def ranges(self, text: str, size: int = RANGE, near: int = NEAR):
         """Byte ranges of a space and ``text``: piece texts that hold the range whole, the offset of their first byte, and
