@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nickmap.functions.scalars import letter_count, percent
+from nickmap.functions.scalars import letter_count, percent, reverse_complement
 from nickmap.operators.ranges import with_place
 
 
@@ -110,6 +110,35 @@ def label_density(labels: DataFrame, maps: DataFrame) -> DataFrame:
     return joined.select("cmap_id", "channel", "labels", F.round(F.col("labels") * 100_000 / F.coalesce("contig_length", "all_length"), 3).alias("per_100kb"))
 
 
+def seeded_motifs(spark: SparkSession, n: int, length: int, seed: int = 0) -> DataFrame:
+    """motif_id from 0, motif: ``n`` random motifs of A, C, G and T (at most 32 long), told by digests of seed and number."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
+    return spark.range(n).select(F.col("id").alias("motif_id"), F.translate(F.substring(digest, 1, length), "0123456789abcdef", "ACGT" * 4).alias("motif"))
+
+
+def motif_null_model(chunks: DataFrame, motifs: DataFrame) -> DataFrame:
+    """motif_id, motif, observed, expected of many ``motifs`` (motif_id, motif) of A, C, G and T: how often each or its
+    reverse complement starts in the sequences of ``chunks``, and how often it would by the letters' frequencies alone.
+
+    All motifs are searched in one pass: the runs of bases of the motifs' lengths at each place are counted within tasks,
+    and their counts are joined to the motifs by equality. A motif that is its own reverse complement counts once a place.
+    """
+    turned = reverse_complement(F.col("motif"))
+    both = motifs.select("motif_id", "motif", F.explode(F.array_distinct(F.array(F.col("motif"), turned))).alias("run"))
+    sizes = motifs.agg(F.collect_set(F.length("motif")).alias("sizes"))  # one row, no more entries than a motif is long
+    own = F.col("chunk_end") - F.col("chunk_start")
+    places = lambda n: F.least(own, F.length("bases") - n + 1).cast("int")
+    runs = F.flatten(F.transform("sizes", lambda n: F.when(places(n) > 0, F.transform(F.sequence(F.lit(1), places(n)), lambda i: F.substring(F.col("bases"), i, n))).otherwise(F.array().cast("array<string>"))))
+    counts = chunks.join(F.broadcast(sizes)).select(F.explode(runs).alias("run")).join(both.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    observed = both.join(counts, "run", "left").groupBy("motif_id", "motif").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("observed"), F.collect_list("run").alias("runs"))
+    letters = composition(chunks).where("seq_id is null").select(*"acgtn")
+    lengths = chunks.where("chunk_start = 0").join(F.broadcast(sizes)).select(F.explode("sizes").alias("size"), "length").groupBy("size").agg(F.sum(F.greatest(F.col("length") - F.col("size") + 1, F.lit(0))).alias("places"))
+    total = F.col("a") + F.col("c") + F.col("g") + F.col("t")
+    chance = lambda run: F.aggregate(F.split(run, ""), F.lit(1.0), lambda p, x: p * F.when(x == "", 1.0).otherwise(F.element_at(F.create_map(F.lit("A"), F.col("a"), F.lit("C"), F.col("c"), F.lit("G"), F.col("g"), F.lit("T"), F.col("t")), x) / total))
+    joined = observed.join(F.broadcast(letters)).join(F.broadcast(lengths), F.length("motif") == F.col("size"))
+    return joined.select("motif_id", "motif", "observed", F.round(F.aggregate("runs", F.lit(0.0), lambda s, run: s + chance(run)) * F.col("places"), 3).alias("expected"))
+
+
 def composition(chunks: DataFrame) -> DataFrame:
     """seq_id, a, c, g, t, n, gc_percent, n_percent of each sequence and, with a null seq_id, of all."""
     own = F.expr("substring(bases, 1, cast(chunk_end - chunk_start as int))")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from nickmap.functions.scalars import SITE_COLOURS
+from nickmap.plans.format_sql import ORACLE_SQL as FORMATS
 from nickmap.plans.inputs import SQL as INPUTS
 
 _OCC = "list_filter(range(1, length(text) + 1), lambda i: substr(text, i, {k}) = '{m}')"
@@ -311,4 +312,4 @@ from lens""", "lens as (select map_id, any_value(map_length) as length, count(*)
 select ref_id, count(distinct qry_id) as maps, cast(sum(ref_end - ref_start) as bigint) as aligned_length, round(cast(sum(cast(confidence as decimal(18,4))) as double) / count(confidence), 2) as mean_confidence, cast(sum(fresh) as bigint) as covered from (
   select *, greatest(0, ref_end - greatest(ref_start, coalesce(max(ref_end) over (partition by ref_id order by ref_start, ref_end rows between unbounded preceding and 1 preceding), ref_start))) as fresh from alignments)
 group by ref_id"""),
-}
+} | FORMATS

@@ -547,3 +547,6 @@ def text_repair(spark, sf_dir):
 def repair_from_sequences(spark, sf_dir):
     """Scored and validated stitches of ``text_repair``; SQL can't follow its rounds."""
     return text_repair(spark, sf_dir).stitches.select("ref_id", "site_key", "map_id", "start_pos", "end_pos", "site_type", "score", "broken", "evidence")
+
+
+from nickmap.plans import formats  # noqa: E402, F401  registers its queries here

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import alignment_pairs
 from nickmap.sources.shared import written
+from nickmap.sources.writers import name_bucket
 
 POSITION = "decimal(18,1)"
 _MAP = {"cmap_id": "long", "contig_length": POSITION, "num_sites": "int", "site_id": "int", "channel": "int", "position": POSITION, "stddev": "double", "coverage": "double", "occurrence": "double"}
@@ -93,6 +94,21 @@ def read_alignment_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*[F.col(c).cast(kind).alias(c) for c, kind in _READ.items()])
 
 
+def fetch_reads(spark: SparkSession, path: str, regions: DataFrame, width: int = 1 << 20) -> DataFrame:
+    """``regions`` (seq_name, w0, w1 and others) with the reads of ``writers.write_reads`` that reach them, once each.
+
+    Reads are looked up by the folders' columns, so Spark prunes those that no region touches when it runs; ``width`` is
+    that of the write.
+    """
+    first, last = F.floor(F.col("w0") / width), F.floor(F.greatest("w0", "w1") / width)
+    asked = regions.withColumn("bucket", name_bucket(F.col("seq_name"))).withColumn("_first", first).withColumn("bin", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    asked = asked.where(F.col("bin") >= F.col("_first"))  # always so; a side with a condition is one that Spark prunes by
+    reads = spark.read.parquet(path)
+    found = reads.join(asked, ["bucket", "bin", "seq_name"]).where((F.col("read_start") <= F.greatest("w0", "w1")) & (F.col("read_end") >= F.col("w0")))
+    once = F.col("bin") == F.greatest(F.floor(F.col("read_start") / width), F.col("_first"))
+    return found.where(once).select(*regions.columns, "read_start", "read_end", "read_id", "mapq")
+
+
 def named_references(names: DataFrame, keys: DataFrame) -> DataFrame:
     """seq_name, ref_id for each sequence name that contains a key's name or lies in it, whatever the case; the longest
     such key counts, then the least id. Null and empty names match nothing.

@@ -9,6 +9,7 @@ from nickmap.functions.scalars import site_colour
 
 # The headers of the formats.
 MAP_HEADER = ["# CMAP File Version:\t0.1", "#h CMapId\tContigLength\tNumSites\tSiteID\tLabelChannel\tPosition\tStdDev\tCoverage\tOccurrence", "#f int\tfloat\tint\tint\tint\tfloat\tfloat\tint\tint"]
+ALIGNMENT_HEADER = ["# XMAP File Version:\t0.2", "#h XmapEntryID\tQryContigID\tRefContigID\tQryStartPos\tQryEndPos\tRefStartPos\tRefEndPos\tOrientation\tConfidence\tHitEnum\tQryLen\tRefLen\tLabelChannel\tAlignment"]
 KEY_HEADER = "CompntId\tCompntName\tCompntLength"
 SCORE_HEADER = "#BedLine,Type,FsiteSize,RefId,RefStart-End,RefLabelStart-End,MapId,MapStart-End,MapLabelStart-End,AvgMapCov,TotalHits,UniqueMolecules,TotalNGSHits,TotalConf,AvgConfPerHit,AvgConfPerMol,Score,AltScore,MoleculeMatches,NGSMatches"
 
@@ -65,10 +66,21 @@ def write_ratios(ratios: DataFrame, path: str) -> None:
     _lines(ratios, F.col("map_id"), F.col("start_ratio"), F.col("end_ratio")).write.mode("overwrite").text(path)
 
 
-def write_scores(scores: DataFrame, path: str) -> None:
-    """Any scores as CSV; arrays are written as lists divided by semicolons."""
-    plain = [F.array_join(F.transform(c, lambda x: x.cast("string")), ";").alias(c) if kind.startswith("array") else F.col(c) for c, kind in scores.dtypes]
-    scores.select(*plain).write.mode("overwrite").option("header", True).csv(path)
+def write_alignments(alignments: DataFrame, path: str) -> None:
+    """Alignments by entry, in fourteen columns, from entry_id, qry_id, ref_id, places, orientation, confidence, qry_len,
+    ref_len and pairs: array of aligned (ref, qry) labels."""
+    text = F.concat(F.lit(""), F.array_join(F.transform("pairs", lambda p: F.format_string("(%d,%d)", p["ref"], p["qry"])), ""))
+    columns = [F.col("entry_id"), F.col("qry_id"), F.col("ref_id"), *[_one(1, c) for c in ("qry_start", "qry_end", "ref_start", "ref_end")], F.col("orientation"), F.col("confidence"), F.lit(""), _one(1, "qry_len"), _one(1, "ref_len"), F.lit(1), text]
+    _with_header(alignments, ALIGNMENT_HEADER, ["entry_id"], *columns).write.mode("overwrite").text(path)
+
+
+def write_reads(reads: DataFrame, path: str, width: int = 1 << 20) -> None:
+    """Aligned reads (seq_name, read_start, read_end, read_id, mapq) as Parquet in a folder for each sequence and bin of
+    ``width`` positions that a read touches, for ``readers.fetch_reads``. Names are kept by their hash's buckets, so that
+    many short sequences share folders."""
+    first, last = F.floor(F.col("read_start") / width), F.floor(F.greatest("read_start", "read_end") / width)
+    binned = reads.select("seq_name", *[F.col(c).cast(kind) for c, kind in (("read_start", "long"), ("read_end", "long"), ("read_id", "string"), ("mapq", "int"))], F.explode(F.sequence(first, last)).alias("bin"))
+    write_by(binned.withColumn("bucket", name_bucket(F.col("seq_name"))), path, "bucket", "bin")
 
 
 def write_score_statistics(scores: DataFrame, path: str) -> None:
@@ -89,6 +101,10 @@ def write_site_sequences(sites: DataFrame, path: str) -> None:
     sites.where("sequence is not null").select(F.concat(F.lit(">"), name, F.lit("\n"), F.col("sequence")).alias("value")).write.mode("overwrite").text(path)
 
 
+def name_bucket(name: Column, buckets: int = 64) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int")
+
+
 def write_by(df: DataFrame, path: str, *columns: str) -> None:
     """Parquet in one folder for each value of ``columns``, such as a reference or a map; the rows of a value are
     gathered first, so it has few files."""

@@ -1,5 +1,6 @@
 """Operators on hand-made rows: each class of site, each orientation of a merge, each filter."""
 
+import math
 import random
 
 import pytest
@@ -295,3 +296,22 @@ def test_pairs_by_entry(spark):
     follow = lambda df: [(r.pair_no, r.first_id, r.second_id) for r in stitch.adjacent_pairs(df, 5).orderBy("pair_no").collect()]
     assert follow(rows) == [(1, 9, 5), (2, 5, 7), (3, 7, 3)]
     assert follow(rows.drop("entry")) == [(1, 9, 3), (2, 3, 5), (3, 5, 7)]
+
+
+def test_null_model(spark):
+    """Observed sites of both strands by a plain search, expected ones by the letters' frequencies."""
+    rng = random.Random(12)
+    texts = {1: "".join(rng.choices("ACGT", [4, 3, 2, 1], k=900)), 2: "ACG", 3: "", 4: "NNNN" + "ACGTTGCA" * 20}
+    chunks = sequence.chunked(spark.createDataFrame(list(texts.items()), "seq_id long, bases string"), 100, 16)
+    motifs = ["ACGT", "AAC", "GTT", "TGCA", "CCCCC", "A"]
+    got = {r.motif: r for r in sequence.motif_null_model(chunks, spark.createDataFrame(list(enumerate(motifs)), "motif_id long, motif string")).collect()}
+    whole = "".join(texts.values())
+    share = {x: whole.count(x) / sum(whole.count(y) for y in "ACGT") for x in "ACGT"}
+    for m in motifs:
+        both = {m, m.translate(str.maketrans("ACGT", "TGCA"))[::-1]}
+        chance = sum(math.prod(share[x] for x in b) for b in both)
+        assert got[m].observed == sum(t[i : i + len(m)] in both for t in texts.values() for i in range(len(t))), m
+        assert abs(got[m].expected - chance * sum(max(0, len(t) - len(m) + 1) for t in texts.values())) < 0.01
+    seeded = [r.motif for r in sequence.seeded_motifs(spark, 50, 7, 1).collect()]
+    assert len(set(seeded)) > 45 and {len(m) for m in seeded} == {7} and set("".join(seeded)) == set("ACGT")
+    assert seeded == [r.motif for r in sequence.seeded_motifs(spark, 50, 7, 1).orderBy("motif_id").collect()]

@@ -64,3 +64,43 @@ def test_from_sequences_query(spark, small):
     assert len(stitches) and stitches.site_key.is_unique
     assert not stitches[stitches.broken].evidence.notna().any()
     assert stitches.site_type.isin(["TypeI", "TypeII", "TypeV", "Observed"]).all()
+
+
+def test_scores_on_merged_maps(spark):
+    """Molecules that align to two maps, on either side of a site, say nothing of the reference but span the merged map."""
+    chunks, aligned, maps, molecules, reads = _planted(spark)
+    elsewhere = molecules.withColumn("labels", F.array(*[F.lit(x) for x in (1, 2, 3)]).cast("array<int>"))
+    pairs = [(f"m{i}", m, s, k, 8) for i in range(20) for k, (m, s) in enumerate([(11, s) for s in (2, 3, 4, 5)] + [(12, s) for s in (1, 2, 3, 4)], 1)]
+    pairs = spark.createDataFrame(pairs, "mol_id string, map_id long, map_site int, mol_site int, mol_sites int")
+    plain = repair_sequences(chunks, ["GCTCTTC"], ["GAAGAGC"], aligned, maps, elsewhere, reads.where("1 = 0"), stitch.Limits())
+    merged = repair_sequences(chunks, ["GCTCTTC"], ["GAAGAGC"], aligned, maps, elsewhere, reads.where("1 = 0"), stitch.Limits(), pairs)
+    by_place = lambda done: {r.start_pos // 10_000: (r.molecules, r.total, r.broken) for r in done.stitches.collect()}
+    assert by_place(plain) == {5: (0, 0, True), 10: (0, 0, True)}
+    # Labels 2 to 5 and 6 to 9 of the merged map: four on the lesser side.
+    assert by_place(merged) == {5: (20, 80, False), 10: (0, 0, True)}
+    assert sorted(r["count"] for r in merged.maps.groupBy("map_id").count().collect()) == [6, 11]
+    known = {r.map_id: (r.left_label, r.right_label) for r in merged.stitches.where("not broken").collect()}
+    assert list(known.values()) == [(5, 6)]
+    rounds = {(r.generation, r.map_id) for r in merged.lineage.collect()}
+    assert rounds == {(1, 11), (1, 12), (2, 13), (2, 14)} or len(rounds) == 4
+    ids = [r.map_id for r in merged.maps.select("map_id").distinct().collect()]
+    assert len(ids) == 2 and not set(ids) & {11, 12}
+
+
+def test_ids_stay_apart_over_rounds(spark):
+    """At sf0.01 the rounds' new ids are above all before them, and no id has labels of two maps."""
+    sf = "/root/testdata/sf0.01"
+    refs = queries._refs(spark, sf)
+    _, labels, aligned = queries._planned(spark, sf, refs)
+    from nickmap.plans.repair import stitch_rounds
+
+    done = stitch_rounds(aligned, labels, refs, queries.LIMITS, queries._sites(spark, sf), None, rounds=3, width=queries.WIDTH)
+    lineage = done.lineage.toPandas()
+    assert lineage.generation.max() > 1
+    assert lineage.groupby("new_id")[["generation", "ref_id"]].nunique().max().max() == 1
+    assert lineage.new_id.min() > labels.agg(F.max("map_id")).first()[0]
+    per_map = done.maps.groupBy("map_id").agg(F.countDistinct("num_sites", "map_length").alias("kinds"), F.count(F.lit(1)).alias("n"), F.max("num_sites").alias("num_sites"), F.countDistinct("site_id").alias("sites"))
+    assert per_map.where("kinds <> 1 or n <> num_sites or n <> sites").isEmpty()
+    assert done.lift.groupBy("new_id", "new_site").count().where("count > 1").isEmpty()
+    stitches = done.stitches.toPandas()
+    assert len(stitches) and (stitches.right_label > stitches.left_label).all()

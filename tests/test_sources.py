@@ -91,12 +91,10 @@ def test_write_by_reference(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "out").glob("ref_id=*")) == ["ref_id=0", "ref_id=1"]
 
 
-def test_keys_and_scores_written(spark, tmp_path):
+def test_keys_and_ratios_written(spark, tmp_path):
     keys = spark.createDataFrame([(2, "b", 5), (1, "a", 9)], "ref_id long, name string, length long")
     writers.write_keys(keys, str(tmp_path / "k"))
     assert sorted(map(tuple, readers.read_keys(spark, str(tmp_path / "k")).collect())) == [(1, "a", 9), (2, "b", 5)]
-    writers.write_scores(spark.createDataFrame([("s", [1, 2])], "site_key string, ids array<int>"), str(tmp_path / "s"))
-    assert "s,1;2" in "".join(p.read_text() for p in (tmp_path / "s").glob("part-*"))
     writers.write_ratios(spark.createDataFrame([(1, 0.5, 0.25)], "map_id long, start_ratio double, end_ratio double"), str(tmp_path / "r"))
     assert [tuple(r) for r in readers.read_ratios(spark, str(tmp_path / "r")).collect()] == [(1, 0.5, 0.25)]
 
@@ -110,3 +108,31 @@ def test_score_statistics_round_trip(spark, tmp_path):
     assert lines[0] == writers.SCORE_HEADER and [len(x.split(",")) for x in lines] == [20] * 3 and lines[1].startswith("1,TypeI,10,1,100-110,3-4,17,20-90,2-5,1.5,5,3,2,40,8.0,8.0,4.0,40,a b,")
     back = readers.read_scores(spark, str(tmp_path / "stats")).orderBy("line").collect()
     assert [tuple(r) for r in back] == [(k, "TypeI", 17, 20.0, 90.0, 3, 2, 4.0) for k in (1, 2)]
+
+
+def test_alignments_round_trip(spark, tmp_path):
+    row = (1, 10, 2, 20.0, 90.5, 100.0, 170.5, "-", 12.25, 110.0, 1000.0, [(3, 4), (4, 3), (6, 1)])
+    df = spark.createDataFrame([row, (2, *row[1:-1], [])], "entry_id long, qry_id long, ref_id long, qry_start double, qry_end double, ref_start double, ref_end double, orientation string, confidence double, qry_len double, ref_len double, pairs array<struct<ref:int,qry:int>>")
+    writers.write_alignments(df, str(tmp_path / "a"))
+    lines = [x for p in sorted((tmp_path / "a").glob("part-*")) for x in p.read_text().splitlines()]
+    assert lines[:2] == writers.ALIGNMENT_HEADER and all(len(x.split("\t")) == 14 for x in lines[1:])
+    back = readers.read_alignments(spark, str(tmp_path / "a")).orderBy("entry_id").collect()
+    assert [tuple(p) for p in back[0].pairs] == row[-1] and back[1].pairs is None
+    assert (back[0].entry_id, back[0].qry_id, float(back[0].qry_end), back[0].orientation, back[0].confidence, float(back[0].ref_len)) == (1, 10, 90.5, "-", 12.25, 1000.0)
+
+
+def test_reads_by_region(spark, tmp_path):
+    """A fetch gives each read that reaches a region once, and reads only the folders that regions touch."""
+    rng = random.Random(8)
+    rows = [(f"chr{rng.randint(1, 3)}", (a := rng.randint(0, 5_000)), a + rng.choice([5, 90, 900]), f"r{i}", rng.randint(0, 60)) for i in range(300)]
+    path = str(tmp_path / "reads")
+    writers.write_reads(spark.createDataFrame(rows, "seq_name string, read_start long, read_end long, read_id string, mapq int"), path, 100)
+    wanted = [("a", "chr1", 150, 420), ("b", "chr2", 3_000, 3_000), ("c", "chr9", 1, 9), ("d", "chr1", 400, 410)]
+    asked = spark.createDataFrame(wanted, "key string, seq_name string, w0 long, w1 long")
+    found = readers.fetch_reads(spark, path, asked, 100)
+    assert sorted((r.key, r.read_id) for r in found.collect()) == sorted((k, i) for k, n, w0, w1 in wanted for m, a, b, i, _ in rows if m == n and a <= w1 and b >= w0)
+    few = readers.fetch_reads(spark, path, spark.read.schema(asked.schema).json(spark.sparkContext.parallelize(['{"key":"a","seq_name":"chr1","w0":150,"w1":420}'])), 100)
+    assert "dynamicpruning" in few._jdf.queryExecution().toString()
+    flat = str(tmp_path / "flat")
+    spark.createDataFrame(rows, "seq_name string, read_start long, read_end long, read_id string, mapq int").withColumn("more", F.lit(1)).write.parquet(flat)
+    assert sorted(map(tuple, readers.read_alignment_table(spark, flat).collect())) == sorted(rows)
