@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import stitch_interval
 from nickmap.operators.intervals import overlap_join
-from nickmap.operators.ranges import with_next, with_place
+from nickmap.operators.ranges import with_next, with_place, with_running
+from nickmap.sources.shared import written
 
 #: Positions of a reference that one task scans.
 SEGMENT = 10_000_000
@@ -142,34 +143,57 @@ def is_observed(limits: Limits) -> Column:
     return (F.col("first_ratio") >= limits.min_ratio) & (F.col("second_ratio") >= limits.min_ratio) & (ld >= -1) & close
 
 
-def disjoint_pairs(pairs: DataFrame) -> DataFrame:
+def _linked_runs(links: DataFrame) -> DataFrame:
+    """ref_id, run, root for each run of ``links`` (ref_id, run, map_id): the least run that it reaches over maps that several
+    runs have. Roots are passed on over the maps and followed to where they point, until none moves."""
+    roots = written(links.select("ref_id", "run", F.col("run").alias("root")).distinct(), "roots")
+    while True:
+        least = links.join(roots, ["ref_id", "run"]).groupBy("ref_id", "map_id").agg(F.min("root").alias("next"))
+        near = links.join(least, ["ref_id", "map_id"]).groupBy("ref_id", "run").agg(F.min("next").alias("next"))
+        further = roots.select("ref_id", F.col("run").alias("next"), F.col("root").alias("far"))
+        moved = roots.join(near, ["ref_id", "run"]).join(further, ["ref_id", "next"], "left")
+        moved = written(moved.select("ref_id", "run", F.col("root").alias("was"), F.least("root", "next", "far").alias("root")), "roots")
+        if moved.where("root < was").isEmpty():
+            return roots
+        roots = moved.drop("was")
+
+
+def disjoint_pairs(pairs: DataFrame, segment: int = 100_000) -> DataFrame:
     """Of ``pairs`` (ref_id, pair_no, first_id, second_id), those taken by a scan in their order that leaves out each pair
     with a map already taken on its reference.
 
     Where every map occurs once on a reference, only a pair right after a taken one is left out, so of each run of
-    consecutive pairs the odd ones are taken. References where a map recurs are scanned in a task of their own.
+    consecutive pairs the odd ones are taken. Only runs that share a map with another place are scanned, those that are
+    linked by such maps in one task, whatever else their reference has. A task has ``segment`` pairs of a reference.
     """
+    pairs = written(pairs, "eligible")
+    before = with_running(pairs.select("ref_id", "pair_no"), "ref_id", ["pair_no"], "pair_no", segment, "_last", "max", own=False)
+    starts = before.select("ref_id", "pair_no", F.when(F.col("_last").isNull() | (F.col("_last") < F.col("pair_no") - 1), F.col("pair_no")).alias("_start"))
+    runs = with_running(starts, "ref_id", ["pair_no"], "_start", segment, "run", "max").select("ref_id", "pair_no", "run")
+    placed = written(pairs.join(runs, ["ref_id", "pair_no"]), "runs")
     # A map met by two consecutive pairs is the second of one and the first of the next; anything else is a recurrence.
-    uses = pairs.select("ref_id", "pair_no", F.posexplode(F.array("first_id", "second_id")).alias("side", "map_id"))
-    place = uses.groupBy("ref_id", "map_id").agg(F.countDistinct(F.col("pair_no") + F.col("side")).alias("places"))
-    again = place.groupBy("ref_id").agg(F.max("places").alias("places")).where("places > 1").select("ref_id")
-    along = Window.partitionBy("ref_id").orderBy("pair_no")
-    runs = pairs.join(again, "ref_id", "left_anti").withColumn("_run", F.col("pair_no") - F.row_number().over(along))
-    within = Window.partitionBy("ref_id", "_run").orderBy("pair_no")
-    simple = runs.withColumn("_n", F.row_number().over(within)).where("_n % 2 = 1").select(*pairs.columns)
+    uses = placed.select("ref_id", "run", "pair_no", F.posexplode(F.array("first_id", "second_id")).alias("side", "map_id"))
+    again = uses.groupBy("ref_id", "map_id").agg(F.countDistinct(F.col("pair_no") + F.col("side")).alias("places")).where("places > 1")
+    links = written(uses.join(again, ["ref_id", "map_id"]).select("ref_id", "run", "map_id").distinct(), "recurrences")
+    odd = placed.where((F.col("pair_no") - F.col("run")) % 2 == 0)
+    if links.isEmpty():
+        return odd.select(*pairs.columns)
+    roots = _linked_runs(links)
 
     def scan(pdf):
         taken: set = set()
         keep = []
-        for a, b in zip(pdf.sort_values("pair_no")["first_id"], pdf.sort_values("pair_no")["second_id"], strict=True):
+        pdf = pdf.sort_values("pair_no")
+        for a, b in zip(pdf["first_id"], pdf["second_id"], strict=True):
             free = a not in taken and b not in taken
             if free:
                 taken |= {a, b}
             keep.append(free)
-        return pdf.sort_values("pair_no")[keep]
+        return pdf[keep].drop(columns=["run", "root"])
 
-    rest = pairs.join(again, "ref_id", "left_semi").groupBy("ref_id").applyInPandas(scan, pairs.schema)
-    return simple.unionByName(rest)
+    simple = odd.join(roots, ["ref_id", "run"], "left_anti").select(*pairs.columns)
+    linked = placed.join(roots, ["ref_id", "run"]).select(*pairs.columns, "run", "root")
+    return simple.unionByName(linked.groupBy("ref_id", "root").applyInPandas(scan, pairs.schema))
 
 
 def stitch_plan(alignments: DataFrame, map_labels: DataFrame, ref_labels: DataFrame, limits: Limits, sites: DataFrame | None = None, ratios: DataFrame | None = None, width: int = 50_000) -> DataFrame:

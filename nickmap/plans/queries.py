@@ -326,8 +326,8 @@ def flanking_labels(spark, sf_dir):
     return _flanked(spark, sf_dir).select("site_key", "start_label", "end_label")
 
 
-def _covered(spark, sf_dir, flanked=None, refs=None):
-    pairs = inputs.map_pairs(spark, sf_dir, refs).select("ref_id", "ref_site", "map_id", "map_site", "entry")
+def _covered(spark, sf_dir, flanked=None, refs=None, pairs=None):
+    pairs = (pairs or inputs.map_pairs(spark, sf_dir, refs)).select("ref_id", "ref_site", "map_id", "map_site", "entry")
     return evidence.covering_maps(flanked or _flanked(spark, sf_dir), pairs)
 
 
@@ -469,29 +469,35 @@ def threshold_split(spark, sf_dir):
     return evidence.threshold_split(_scores(spark, sf_dir), 1.0, True).select("site_key", "score", "broken")
 
 
-def _breakpoints(spark, sf_dir, refs=None):
-    refs = refs or _refs(spark, sf_dir)
+def _labels_of(pairs):
+    """Map labels from all pairs of labels, as ``inputs.map_labels`` has them."""
+    return pairs.select("map_id", "num_sites", F.col("map_site").alias("site_id"), F.col("map_pos").alias("pos"), "map_length")
+
+
+def _breakpoints(spark, sf_dir):
+    """Breakpoints, and the labels of the maps; all pairs of labels are written once."""
+    refs = _refs(spark, sf_dir)
+    pairs = written(inputs.map_pairs(spark, sf_dir, refs), "map-pairs")
     flanked = written(_flanked(spark, sf_dir, refs), "flanked")
-    covered = written(_covered(spark, sf_dir, flanked, refs), "covered")
     broken = evidence.threshold_split(_scores(spark, sf_dir, flanked, refs), 1.0, True).where("broken").select("site_key")
-    placed = evidence.map_positions(covered, inputs.map_labels(spark, sf_dir, refs))
-    return written(evidence.breakpoints(placed.join(broken, "site_key")), "breakpoints")
+    placed = evidence.map_positions(_covered(spark, sf_dir, flanked, refs, pairs).join(broken, "site_key"), _labels_of(pairs))
+    return written(evidence.breakpoints(placed), "breakpoints"), _labels_of(pairs)
 
 
 @query
 def breakpoints(spark, sf_dir):
-    return _breakpoints(spark, sf_dir)
+    return _breakpoints(spark, sf_dir)[0]
 
 
 @query
 def breakpoints_per_map(spark, sf_dir):
-    return evidence.breakpoints_per_map(_breakpoints(spark, sf_dir)).select("map_id", F.array_join("breakpoints", ",").alias("breakpoints"))
+    return evidence.breakpoints_per_map(_breakpoints(spark, sf_dir)[0]).select("map_id", F.array_join("breakpoints", ",").alias("breakpoints"))
 
 
 @query
 def broken_maps(spark, sf_dir):
-    refs = _refs(spark, sf_dir)
-    return mapops.break_maps(inputs.map_labels(spark, sf_dir, refs), _breakpoints(spark, sf_dir, refs), 3 * HOUR)
+    points, labels = _breakpoints(spark, sf_dir)
+    return mapops.break_maps(labels, points, 3 * HOUR)
 
 
 @query

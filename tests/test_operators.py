@@ -315,3 +315,29 @@ def test_null_model(spark):
     seeded = [r.motif for r in sequence.seeded_motifs(spark, 50, 7, 1).collect()]
     assert len(set(seeded)) > 45 and {len(m) for m in seeded} == {7} and set("".join(seeded)) == set("ACGT")
     assert seeded == [r.motif for r in sequence.seeded_motifs(spark, 50, 7, 1).orderBy("motif_id").collect()]
+
+
+def test_disjoint_pairs_are_those_of_a_scan(spark):
+    """Runs with gaps, references where maps recur within a run, in another one, or not at all, and segments of any size."""
+    rng, rows = random.Random(13), []
+    for ref in range(12):
+        fresh, at = iter(range(1000)), 0
+        before = next(fresh)
+        for _ in range(rng.randint(1, 40)):
+            at += 1
+            after = rng.randint(0, 20) if ref % 3 and rng.random() < 0.2 * (ref % 3) else next(fresh)
+            if rng.random() < 0.8 and after != before:
+                rows.append((ref, at, before, after))
+            before = after
+    pairs = spark.createDataFrame(rows, "ref_id int, pair_no int, first_id long, second_id long")
+    want, taken = [], {}
+    for ref, at, a, b in sorted(rows):
+        own = taken.setdefault(ref, set())
+        if a not in own and b not in own:
+            own |= {a, b}
+            want.append((ref, at, a, b))
+    for segment in (1, 7, 100_000):
+        assert sorted(map(tuple, stitch.disjoint_pairs(pairs, segment).collect())) == want
+    once = pairs.where("ref_id % 3 = 0")
+    assert sorted(map(tuple, stitch.disjoint_pairs(once).collect())) == [w for w in want if w[0] % 3 == 0]
+    assert stitch.disjoint_pairs(pairs.where("ref_id < 0")).count() == 0
