@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .tokens import _AT_SPACE, _BYTE, LONGEST, encoder, tokenizer_path
+from .tokens import _AT_SPACE, _BYTE, LONGEST, Encoder, tokenizer_path
 
 #: Code points of a byte range of a long document; its bounds are moved to a cut where none lies within NEAR.
 RANGE, NEAR = 32_768, 4_096
 #: Characters of the documents that make a block, and fragments that are composed at once.
 BLOCK, FAN = 4_000_000, 16
 #: Pieces a worker remembers, in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 _BYTES_OF = {c: b for b, c in _BYTE.items()}
 _HEX = re.compile(r"<0x([0-9A-F]{2})>")
@@ -156,16 +156,11 @@ class Aligner:
     sentencepiece, which adds that space itself. Special tokens' strings inside a text are plain text."""
 
     def __init__(self, a: str, b: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_file(a), sentencepiece.SentencePieceProcessor(model_file=b)
+        self.plain, self.b = Encoder(a), sentencepiece.SentencePieceProcessor(model_file=b)
+        self.a = self.plain.tokenizer
         self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
         self.width = self.b.get_piece_size()
         self.a_bytes = [bytes(map(_BYTES_OF.get, x)) if x and set(x) <= set(_BYTES_OF) else (x or "").encode() for x in map(self.a.id_to_token, range(self.a.get_vocab_size()))]
         self.b_bytes = [bytes([int(m[1], 16)]) if self.b.is_byte(i) and (m := _HEX.fullmatch(x)) else x.replace("▁", " ").encode() for i, x in enumerate(map(self.b.id_to_piece, range(self.width)))]
@@ -176,7 +171,6 @@ class Aligner:
         #: Byte-level tokens without a normaliser are the text's bytes.
         self.exact = words.get("type") == "ByteLevel" and not words.get("add_prefix_space") and settings["normalizer"] is None
         self.parts = words.get("type") == "ByteLevel" and words.get("use_regex", True) and not any(re.search(rb"[^ ] ", x) for x in self.b_bytes)
-        self.plain = encoder(a)
         self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         self.known: tuple[dict, dict] = ({}, {})
 
