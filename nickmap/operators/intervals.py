@@ -87,9 +87,11 @@ def contained(outer: DataFrame, inner: DataFrame, on: list[str], a: tuple[str, s
 
 def spanning_reads(sites: DataFrame, reads: DataFrame, buffer: int = 500, min_quality: int = 30, width: int = 10_000) -> DataFrame:
     """site_key, read_id: distinct reads that span each site (site_key, ref_id, start_pos, end_pos) by more than ``buffer``
-    on both sides with at least ``min_quality``."""
+    on both sides with at least ``min_quality``. Reads that reach no site's stretch on any reference are left out first."""
     good = reads.where(F.col("mapq") >= min_quality).select("ref_id", "read_id", F.col("read_start").alias("r0"), F.col("read_end").alias("r1"))
     wide = sites.select("ref_id", "site_key", (F.col("start_pos") - buffer).alias("w0"), (F.col("end_pos") + buffer).alias("w1"))
+    ends = wide.agg(F.max("w0").alias("_last"), F.min("w1").alias("_first"))  # one row
+    good = good.join(F.broadcast(ends)).where((F.col("r0") < F.col("_last")) & (F.col("r1") > F.col("_first"))).drop("_last", "_first")
     return containment_join(good, wide, ["ref_id"], ("r0", "r1"), ("w0", "w1"), width).select("site_key", "read_id").distinct()
 
 

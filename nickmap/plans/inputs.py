@@ -81,13 +81,30 @@ def end_ratios(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None
     return blocks(spark, sf_dir, labels).select("map_id", (F.col("map_id") % 10 / 10.0).alias("start_ratio"), ((F.floor(F.col("map_id") / 10) + 7) % 10 / 10.0).alias("end_ratio"))
 
 
-def molecules(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Where a line item lies as a molecule: a reference and its first and last label. Molecules that agree in it are a run.
+RUN = {"map_id": "l_partkey % 150", "lab0": "1 + l_suppkey % 60", "lab1": "1 + l_suppkey % 60 + cast(l_quantity as bigint) % 12"}
+
+
+def _placed(items: DataFrame) -> DataFrame:
+    return items.withColumns({name: F.expr(sql) for name, sql in RUN.items()})
+
+
+def molecules(spark: SparkSession, sf_dir: str, by_run: bool = False) -> DataFrame:
     """mol_id, map_id (a reference), lab0, lab1: runs of consecutive labels. Line items have no key of their own, so a
-    molecule is told by all that it is made of; equal rows are one molecule."""
-    parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"]
-    items = _table(spark, sf_dir, "lineitem").select(*parts).distinct()
-    name = F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("long"), _day("l_shipdate"), F.col("l_quantity").cast("long"))
-    return items.select(name.alias("mol_id"), (F.col("l_partkey") % 150).alias("map_id"), (1 + F.col("l_suppkey") % 60).alias("lab0"), (1 + F.col("l_suppkey") % 60 + F.col("l_quantity").cast("long") % 12).alias("lab1"))
+    molecule is told by all that it is made of; equal rows are one molecule. With ``by_run`` they lie by their runs, as a
+    join on those needs them; the one shuffle for it also tells equal rows."""
+    parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"), _day("l_shipdate").alias("day"), F.col("l_quantity").cast("long").alias("l_quantity")]
+    items = _table(spark, sf_dir, "lineitem").select(*parts)
+    if by_run:
+        items = _placed(items).repartition(*RUN).distinct()
+    else:
+        items = _placed(items.distinct())
+    return items.select(F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents", "day", "l_quantity").alias("mol_id"), *RUN)
+
+
+def molecule_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct runs that molecules have."""
+    return _placed(_table(spark, sf_dir, "lineitem")).select(*RUN).distinct()
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,10 +132,7 @@ def digested(chunks: DataFrame, motifs: list[str], partners: list[str]) -> tuple
 def map_end_ratios(pairs: DataFrame, map_labels: DataFrame, min_occurrence: int = 10) -> DataFrame:
     """map_id, start_ratio, end_ratio of all maps by their molecules: ``pairs`` (mol_id, map_id, map_site, mol_site,
     mol_sites) are aligned labels. A label occurs as often as molecules are aligned to it; maps without any have ratio 0."""
-    seen = pairs.groupBy("map_id", F.col("map_site").alias("site_id")).agg(F.count(F.lit(1)).alias("occurrence"))
-    labels = map_labels.select("map_id", "site_id", "num_sites").join(seen, ["map_id", "site_id"], "left").na.fill(0, ["occurrence"])
-    sizes = pairs.groupBy("mol_id").agg(F.max("mol_sites").alias("mol_sites"))
-    return evidence.molecule_end_ratios(pairs.drop("mol_sites"), sizes, labels, min_occurrence)
+    return evidence.molecule_end_ratios(pairs, map_labels, min_occurrence)
 
 
 def repair_sequences(chunks: DataFrame, motifs: list[str], partners: list[str], alignments: DataFrame, map_labels: DataFrame, molecules: DataFrame, reads: DataFrame, limits: stitch.Limits, map_molecules: DataFrame | None = None, **options) -> Repaired:
