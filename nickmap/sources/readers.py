@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import alignment_pairs
 from nickmap.sources.shared import written
-from nickmap.sources.writers import name_bucket
+from nickmap.sources.writers import key_bucket, name_bucket
 
 POSITION = "decimal(18,1)"
 _MAP = {"cmap_id": "long", "contig_length": POSITION, "num_sites": "int", "site_id": "int", "channel": "int", "position": POSITION, "stddev": "double", "coverage": "double", "occurrence": "double"}
@@ -109,6 +109,16 @@ def fetch_reads(spark: SparkSession, path: str, regions: DataFrame, width: int =
     return found.where(once).select(*regions.columns, "read_start", "read_end", "read_id", "mapq")
 
 
+def fetch_by_key(spark: SparkSession, path: str, key: str, values: list) -> DataFrame:
+    """Rows of a table of ``writers.write_by_key`` with these ``values`` of ``key``; only their buckets' folders are read."""
+    table = spark.read.parquet(path)
+    kind = table.schema[key].dataType
+    held = F.lit(False)
+    for value in values:
+        held = held | ((F.col("bucket") == key_bucket(F.lit(value).cast(kind), F.col("buckets"))) & (F.col(key) == F.lit(value)))
+    return table.where(held).drop("buckets", "bucket")
+
+
 def named_references(names: DataFrame, keys: DataFrame) -> DataFrame:
     """seq_name, ref_id for each sequence name that contains a key's name or lies in it, whatever the case; the longest
     such key counts, then the least id. Null and empty names match nothing.

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import site_colour
+from nickmap.operators.ranges import with_running
+from nickmap.sources.shared import written
 
 # The headers of the formats.
 MAP_HEADER = ["# CMAP File Version:\t0.1", "#h CMapId\tContigLength\tNumSites\tSiteID\tLabelChannel\tPosition\tStdDev\tCoverage\tOccurrence", "#f int\tfloat\tint\tint\tint\tfloat\tfloat\tint\tint"]
@@ -83,16 +85,25 @@ def write_reads(reads: DataFrame, path: str, width: int = 1 << 20) -> None:
     write_by(binned.withColumn("bucket", name_bucket(F.col("seq_name"))), path, "bucket", "bin")
 
 
-def write_score_statistics(scores: DataFrame, path: str) -> None:
+def write_score_statistics(scores: DataFrame, path: str, part: int = 1_000_000, segment: int = 100_000) -> None:
     """Score statistics, as ``evidence.score_statistics`` gives them, in 20 columns divided by commas, by line; pairs are
-    joined by hyphens and lists by spaces."""
+    joined by hyphens and lists by spaces.
+
+    Parts are cut by what lines hold and not by their number, as some have many ids and most have none: a part ends once
+    it has ``part`` ids and lines.
+    """
+    scores = written(scores, "statistics")
     pair = lambda a, b: F.concat_ws("-", a, b)
     listed = lambda c: F.array_join(c, " ")
     columns = [F.col("line"), F.col("site_type"), F.col("size"), F.col("ref_id"), pair("start_pos", "end_pos"), pair("start_label", "end_label"), F.col("map_id"), pair("map_start_pos", "map_end_pos"), pair("map_start", "map_end"), F.col("mean_coverage"), F.col("hits")]
     columns += [F.col(c) for c in ("molecules", "reads", "total", "mean_per_hit", "mean_per_molecule", "score", "alt_score")] + [listed("molecule_ids"), listed("read_ids")]
     body = scores.select(F.col("line").cast("long").alias("line"), F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns]).alias("value"))
-    head = scores.sparkSession.createDataFrame([(0, SCORE_HEADER)], "line long, value string")
-    head.unionByName(body).orderBy("line").select("value").write.mode("overwrite").text(path)
+    sizes = scores.select(F.col("line").cast("long").alias("line"), (F.lit(1) + F.coalesce("molecules", F.lit(0)) + F.coalesce("reads", F.lit(0))).cast("long").alias("_size"))
+    parts = written(with_running(sizes, [], ["line"], "_size", segment, "_upto").select("line", F.floor(F.col("_upto") / part).cast("int").alias("_part")), "parts")
+    n = (parts.agg(F.max("_part")).first()[0] or 0) + 1
+    head = scores.sparkSession.createDataFrame([(0, SCORE_HEADER, 0)], "line long, value string, _part int")
+    both = head.unionByName(body.join(parts, "line"))
+    both.repartitionById(n, F.col("_part")).sortWithinPartitions("line").select("value").write.mode("overwrite").text(path)
 
 
 def write_site_sequences(sites: DataFrame, path: str) -> None:
@@ -105,6 +116,20 @@ def name_bucket(name: Column, buckets: int = 64) -> Column:
     return F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int")
 
 
+def key_bucket(key: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(key), buckets).cast("int")
+
+
+def write_by_key(df: DataFrame, path: str, key: str, rows: int = 1_000_000) -> None:
+    """Parquet by a ``key`` of many values, such as a map: in a folder for each bucket of the values' hash, sorted by key
+    within, for ``readers.fetch_by_key``. There are as many buckets as the table has times ``rows`` rows, so folders follow
+    the rows and not the values. Values of one key lie in one folder."""
+    table = written(df, "by-key")
+    n = -(-table.count() // rows) or 1
+    dealt = table.withColumns({"buckets": F.lit(n), "bucket": key_bucket(F.col(key), F.lit(n))}).repartitionById(n, F.col("bucket"))
+    dealt.sortWithinPartitions("buckets", "bucket", key).write.mode("overwrite").partitionBy("buckets", "bucket").parquet(path)
+
+
 def write_by(df: DataFrame, path: str, *columns: str) -> None:
     """Parquet in one folder for each value of ``columns``, such as a reference or a map; the rows of a value are
     gathered first, so it has few files."""

@@ -136,3 +136,26 @@ def test_reads_by_region(spark, tmp_path):
     flat = str(tmp_path / "flat")
     spark.createDataFrame(rows, "seq_name string, read_start long, read_end long, read_id string, mapq int").withColumn("more", F.lit(1)).write.parquet(flat)
     assert sorted(map(tuple, readers.read_alignment_table(spark, flat).collect())) == sorted(rows)
+
+
+def test_tables_by_key_have_few_folders(spark, tmp_path):
+    """Folders follow the rows and not the keys, and a fetch of some keys reads their folders alone."""
+    path = str(tmp_path / "keyed")
+    writers.write_by_key(spark.range(1000).select((F.col("id") % 500).alias("map_id"), "id"), path, "map_id", 100)
+    assert 5 <= len(list((tmp_path / "keyed").glob("buckets=10/bucket=*"))) <= 10
+    assert sorted(map(tuple, spark.read.parquet(path).select("map_id", "id").collect())) == sorted((i % 500, i) for i in range(1000))
+    some = readers.fetch_by_key(spark, path, "map_id", [3, 77])
+    assert sorted(map(tuple, some.collect())) == [(3, 3), (3, 503), (77, 77), (77, 577)]
+    assert len({f for f in some.inputFiles()}) and some.select(F.input_file_name()).distinct().count() <= 2
+    assert readers.fetch_by_key(spark, path, "map_id", []).count() == 0
+
+
+def test_score_statistics_are_cut_by_what_lines_hold(spark, tmp_path):
+    """Lines of many ids fall into parts of their own; all lines stay in order over the parts."""
+    base = ("TypeI", 10, 1, 100, 110, 3, 4, 17, 20, 90, 2, 5, 1.5)
+    rows = [(n, *base, hits, hits, 0, 0, 8.0, 8.0, 4.0, 40, [f"m{i}" for i in range(hits)], []) for n in range(1, 61) for hits in [50 if n <= 6 else 0]]
+    kinds = "line long, site_type string, size long, ref_id long, start_pos long, end_pos long, start_label int, end_label int, map_id long, map_start_pos long, map_end_pos long, map_start int, map_end int, mean_coverage double, hits long, molecules long, reads long, total long, mean_per_hit double, mean_per_molecule double, score double, alt_score long, molecule_ids array<string>, read_ids array<string>"
+    writers.write_score_statistics(spark.createDataFrame(rows, kinds).repartition(3), str(tmp_path / "s"), part=100, segment=7)
+    parts = [p.read_text().splitlines() for p in sorted((tmp_path / "s").glob("part-*"))]
+    assert [x.split(",")[0] for part in parts for x in part] == ["#BedLine", *map(str, range(1, 61))]
+    assert max(sum(x.startswith(tuple(f"{n}," for n in range(1, 7))) for x in part) for part in parts) <= 2
