@@ -80,14 +80,15 @@ def stitch_rounds(alignments: DataFrame, map_labels: DataFrame, ref_labels: Data
     return Stitched(map_labels, alignments, stitches, lift, lineages)
 
 
-def repair(alignments: DataFrame, map_labels: DataFrame, ref_labels: DataFrame, nicks: DataFrame, molecules: DataFrame, reads: DataFrame, limits: stitch.Limits, ratios: DataFrame | None = None, gaps: tuple[int, int] = (1000, 100), buffer: int = 500, threshold: float = 1.0, min_piece: int = 30_000, width: int = 50_000, map_molecules: DataFrame | None = None) -> Repaired:
+def repair(alignments: DataFrame, map_labels: DataFrame, ref_labels: DataFrame, nicks: DataFrame, molecules: DataFrame, reads: DataFrame, limits: stitch.Limits, ratios: DataFrame | None = None, gaps: tuple[int, int] = (1000, 100), buffer: int = 500, threshold: float = 1.0, min_piece: int = 30_000, width: int = 50_000, map_molecules: DataFrame | None = None, alike: DataFrame | None = None) -> Repaired:
     """Repairs ``map_labels`` with ``alignments`` to the reference ``ref_labels``.
 
     ``nicks`` (ref_id, pos, strand) give the sites; ``molecules`` (ref_id, mol_id, entry, labels) are alignments of single
     molecules to reference labels, ``reads`` (ref_id, read_id, read_start, read_end, mapq) aligned reads. With
     ``map_molecules`` (mol_id, map_id, map_site: labels of the maps that molecules align to) stitches are scored on the
     merged maps instead: the molecules' labels are lifted, and a molecule on two maps that are one now spans the stitch
-    between them.
+    between them. A mol_id can stand for molecules that cover the same labels; ``alike`` (mol_id, molecules) then tells how
+    many they are.
     """
     found = written(sites.classify_sites(nicks, *gaps, aggressive=True), "sites")
     done = stitch_rounds(alignments, map_labels, ref_labels, limits, found, ratios, width=width)
@@ -103,6 +104,7 @@ def repair(alignments: DataFrame, map_labels: DataFrame, ref_labels: DataFrame,
         placed = keyed.join(last, "map_id").select("site_key", "map_id", F.col("left_label").cast("int").alias("map_start"), F.col("right_label").cast("int").alias("map_end"), F.lit(1).alias("first_label"), "last_label")
         spans = written(mapops.joined_molecules(map_molecules, done.lift), "joined-molecules")
     support = evidence.molecule_support(placed, spans)
+    support = support if alike is None else support.join(alike, "mol_id")
     scored = evidence.site_scores(keyed, support, intervals.read_support(keyed, reads, buffer, width=width))
     split = written(evidence.threshold_split(scored, threshold).join(keyed, "site_key"), "scored")
     # Where a weak stitch lies on its merged map: the alignment is forwards, so by its distance from the map's start.

@@ -341,3 +341,23 @@ def test_disjoint_pairs_are_those_of_a_scan(spark):
     once = pairs.where("ref_id % 3 = 0")
     assert sorted(map(tuple, stitch.disjoint_pairs(once).collect())) == [w for w in want if w[0] % 3 == 0]
     assert stitch.disjoint_pairs(pairs.where("ref_id < 0")).count() == 0
+
+
+def test_alike_molecules_come_once(spark):
+    """Rows that stand for several molecules give what the molecules one by one give."""
+    rng = random.Random(12)
+    kinds = "map_id long, map_site int, mol_site int, mol_sites int, molecules long"
+    rows = [(rng.randint(1, 2), rng.randint(1, 4), (k := rng.randint(1, 3)), rng.randint(k, 3), rng.randint(1, 9)) for _ in range(40)]
+    table = spark.createDataFrame([(m, i, 4) for m in (1, 2, 3) for i in range(1, 5)], "map_id long, site_id int, num_sites int")
+    alike = spark.createDataFrame(rows, kinds)
+    each = alike.withColumn("x", F.explode(F.sequence(F.lit(1).cast("long"), "molecules"))).drop("molecules", "x")
+    got = sorted(map(tuple, evidence.molecule_end_ratios(alike, table, 5).collect()))
+    assert got == sorted(map(tuple, evidence.molecule_end_ratios(each, table, 5).collect())) and got[2] == (3, 0.0, 0.0)
+    for m, start, end in got[:2]:
+        for site, ratio in ((1, start), (4, end)):
+            held = [r for r in rows if r[:2] == (m, site)]
+            assert ratio == pytest.approx(sum(r[4] for r in held if r[2] in (1, r[3])) / sum(r[4] for r in held))
+    keys, reads = spark.createDataFrame([("a",), ("b",)], "site_key string"), spark.createDataFrame([("a", 2)], "site_key string, reads long")
+    support = spark.createDataFrame([("a", 3, 2), ("a", 10, 1)], "site_key string, confidence int, molecules long")
+    ones = spark.createDataFrame([("a", 3), ("a", 3), ("a", 10)], "site_key string, confidence int")
+    assert sorted(map(tuple, evidence.site_scores(keys, support, reads).collect())) == sorted(map(tuple, evidence.site_scores(keys, ones, reads).collect()))
