@@ -14,6 +14,8 @@ from nickmap.sources.shared import written
 from nickmap.sources.writers import key_bucket, name_bucket
 
 POSITION = "decimal(18,1)"
+#: Lines of FASTA that one task puts in order at once.
+LINES = 1 << 17
 _MAP = {"cmap_id": "long", "contig_length": POSITION, "num_sites": "int", "site_id": "int", "channel": "int", "position": POSITION, "stddev": "double", "coverage": "double", "occurrence": "double"}
 _ALIGNMENT = {"entry_id": "long", "qry_id": "long", "ref_id": "long", "qry_start": POSITION, "qry_end": POSITION, "ref_start": POSITION, "ref_end": POSITION, "orientation": "string", "confidence": "double", "hit_enum": "string", "qry_len": POSITION, "ref_len": POSITION, "channel": "int", "alignment": "string"}
 _SITE = {"ref_id": "long", "start_pos": "long", "end_pos": "long", "site_type": "string", "score": "double", "strand": "string", "thick_start": "long", "thick_end": "long", "item_rgba": "string", "sequence": "string"}
@@ -139,33 +141,47 @@ def named_references(names: DataFrame, keys: DataFrame) -> DataFrame:
     return inside.unionByName(around).groupBy("seq_name").agg(F.min_by("ref_id", F.struct(-F.length("key"), "ref_id")).alias("ref_id"))
 
 
-def read_sequences(spark: SparkSession, path: str | list[str], size: int = 65_536, overlap: int = 64) -> tuple[DataFrame, DataFrame]:
+def read_sequences(spark: SparkSession, path: str | list[str], size: int = 65_536, overlap: int = 64, names: bool = False) -> tuple[DataFrame, DataFrame]:
     """Sequences of FASTA text as (seq_id, name, length), numbered from 1 in the order of the files, and as chunks like
-    those of ``operators.sequence.chunked``, in upper case.
+    those of ``operators.sequence.chunked``, in upper case, with ``names`` those of their sequences too.
 
     A file is read by lines, so a chromosome is split over tasks and never is one value. Lines get their places by
-    running sums in two levels: within a block of a file, and over the blocks.
+    running sums in two levels: within a stretch of at most LINES lines of a file's block, and over the stretches; by the
+    same, where their sequence starts, ends and what it is called. So lines are shuffled once, and once more only where a
+    chunk has several.
     """
     lines = spark.read.text(path).select(F.regexp_replace("value", "\\s+$", "").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
     head = F.col("value").startswith(">")
-    lines = written(lines.select("*", head.cast("long").alias("head"), F.when(head, 0).otherwise(F.length("value")).cast("long").alias("bases")), "fasta")
+    lines = lines.select("file", "block", F.floor(F.col("n") / LINES).alias("stretch"), "n", head.cast("long").alias("head"), F.when(head, 0).otherwise(F.length("value")).cast("long").alias("bases"), F.when(head, F.substring("value", 2, 1 << 30)).alias("name"), F.when(~head, F.col("value")).alias("value"))
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    totals = lines.groupBy("file", "block").agg(F.sum("head").alias("heads"), F.sum("bases").alias("total"))
-    ahead = before(Window.orderBy("file", "block"))  # one row for each block of the files
-    totals = written(totals.select("file", "block", F.coalesce(F.sum("heads").over(ahead), F.lit(0)).alias("heads_ahead"), F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("bases_ahead")), "fasta-blocks")
-    within = Window.partitionBy("file", "block").orderBy("n")
+    stretch = ["file", "block", "stretch"]
+    within = Window.partitionBy(*stretch).orderBy("n")
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = lines.withColumn("h", F.sum("head").over(upto)).withColumn("b", F.coalesce(F.sum("bases").over(before(within)), F.lit(0))).join(totals, ["file", "block"])
-    placed = written(placed.select("value", "head", "bases", (F.col("h") + F.col("heads_ahead")).alias("seq_id"), (F.col("b") + F.col("bases_ahead")).alias("place")), "fasta-places").where("seq_id > 0")
-    lengths = placed.groupBy("seq_id").agg(F.sum("bases").alias("length"), F.min("place").alias("start"), F.max(F.when(F.col("head") == 1, F.substring("value", 2, 1 << 30))).alias("name"))
-    lengths = written(lengths, "fasta-lengths")
-    at = placed.where("head = 0 and bases > 0").join(lengths.select("seq_id", "length", "start"), "seq_id").withColumn("at", F.col("place") - F.col("start"))
+    behind = before(Window.partitionBy(*stretch).orderBy(F.desc("n")))
+    placed = lines.withColumn("h", F.sum("head").over(upto)).withColumn("b", F.coalesce(F.sum("bases").over(before(within)), F.lit(0)))
+    mark = F.when(F.col("head") == 1, F.col("b"))
+    placed = placed.withColumn("start", F.max(mark).over(upto)).withColumn("called", F.last("name", ignorenulls=True).over(upto)).withColumn("end", F.min(mark).over(behind)).drop("n")
+    placed = written(placed, "fasta-places")
+    # One row for each stretch, from here to the join.
+    totals = placed.groupBy(*stretch).agg(F.sum("head").alias("heads"), F.sum("bases").alias("total"), F.min(mark).alias("first"), F.max(mark).alias("last"), F.max_by("name", F.when(F.col("head") == 1, F.col("h"))).alias("name"))
+    ahead, later = before(Window.orderBy(*stretch)), before(Window.orderBy(*[F.desc(c) for c in stretch]))
+    totals = totals.withColumns({"heads_ahead": F.coalesce(F.sum("heads").over(ahead), F.lit(0)), "bases_ahead": F.coalesce(F.sum("total").over(ahead), F.lit(0)), "name_ahead": F.last("name", ignorenulls=True).over(ahead)})
+    all_bases = F.sum("total").over(Window.partitionBy())
+    totals = totals.withColumns({"opened": F.max(F.col("bases_ahead") + F.col("last")).over(ahead), "closed": F.coalesce(F.min(F.col("bases_ahead") + F.col("first")).over(later), all_bases)})
+    totals = written(totals.select(*stretch, "heads_ahead", "bases_ahead", "name_ahead", "opened", "closed"), "fasta-blocks")
+    start, end = F.coalesce(F.col("bases_ahead") + F.col("start"), F.col("opened")), F.coalesce(F.col("bases_ahead") + F.col("end"), F.col("closed"))
+    rows = placed.join(F.broadcast(totals), stretch).select("value", "head", "bases", (F.col("h") + F.col("heads_ahead")).alias("seq_id"), (end - start).alias("length"), (F.col("b") + F.col("bases_ahead") - start).alias("at"), F.coalesce("called", "name_ahead").alias("name")).where("seq_id > 0")
+    lengths = rows.where("head = 1").select("seq_id", "name", "length")
     # Chunk k holds [k * size, (k + 1) * size + overlap): a line goes to each chunk that it touches.
     first, last = F.greatest(F.floor((F.col("at") - overlap) / size), F.lit(0)), F.floor((F.col("at") + F.col("bases") - 1) / size)
-    touched = at.withColumn("k", F.explode(F.sequence(first, last))).withColumn("c0", F.col("k") * size).withColumn("c1", (F.col("k") + 1) * size + overlap)
+    touched = rows.where("head = 0 and bases > 0").withColumn("k", F.explode(F.sequence(first, last))).withColumn("c0", F.col("k") * size).withColumn("c1", F.least((F.col("k") + 1) * size + overlap, "length"))
     skip = F.greatest(F.col("c0") - F.col("at"), F.lit(0))
     part = F.substring(F.upper("value"), (skip + 1).cast("int"), (F.least(F.col("c1"), F.col("at") + F.col("bases")) - F.col("at") - skip).cast("int"))
-    parts = touched.withColumn("part", part).where(F.length("part") > 0)
-    chunks = parts.groupBy("seq_id", "length", "k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]), "").alias("bases"))
-    chunks = chunks.select("seq_id", "length", (F.col("k") * size).alias("chunk_start"), F.least((F.col("k") + 1) * size, F.col("length")).alias("chunk_end"), "bases").where("chunk_start < chunk_end")
-    return lengths.select("seq_id", "name", "length"), chunks
+    key = ["seq_id", "length", "k", *(["name"] if names else [])]
+    alone = (F.col("at") <= F.col("c0")) & (F.col("at") + F.col("bases") >= F.col("c1"))
+    single = touched.where(alone).select(*key, part.alias("bases"))
+    parts = touched.where(~alone).withColumn("part", part).where(F.length("part") > 0)
+    several = parts.groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]), "").alias("bases"))
+    chunks = single.unionByName(several)
+    chunks = chunks.select("seq_id", "length", (F.col("k") * size).alias("chunk_start"), F.least((F.col("k") + 1) * size, F.col("length")).alias("chunk_end"), "bases", *(["name"] if names else [])).where("chunk_start < chunk_end")
+    return lengths, chunks

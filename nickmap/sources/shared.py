@@ -28,5 +28,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and with no lineage behind it."""
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

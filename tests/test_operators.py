@@ -161,6 +161,18 @@ def test_stretches_over_chunk_ends(spark):
         assert r.sequence == text[r.flank_start - 1 : r.flank_end] and r.flank_start == max(1, r.start_pos - 50)
 
 
+def test_stretches_within_chunks(spark):
+    """With the chunks' overlap known, stretches that one chunk holds are cut from it, others are still put together."""
+    rng = random.Random(7)
+    text = "".join(rng.choices("ACGT", k=1000))
+    chunks = sequence.chunked(spark.createDataFrame([(1, text)], "seq_id long, bases string"), 100, 130)
+    data = [(1, a, min(a + n, 1000)) for a in range(1, 990, 7) for n in (3, 60, 79, 80, 400)] + [(1, 20, None), (1, 999, 1000)]
+    got = sites.site_sequences(spark.createDataFrame(data, "ref_id long, start_pos long, end_pos long"), chunks, 50, 100, overlap=130).collect()
+    assert len(got) == len(data)
+    for r in got:
+        assert r.sequence == ("" if r.flank_end is None else text[r.flank_start - 1 : r.flank_end])
+
+
 def test_interval_joins(spark):
     rng = random.Random(1)
     make = lambda n, most: [(rng.randint(0, 2), i, (s := rng.randint(-50, 500)), s + rng.randint(0, most)) for i in range(n)]

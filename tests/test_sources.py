@@ -85,6 +85,22 @@ def test_sequences_by_lines(spark, tmp_path):
     assert got == {(r.seq_id, r.chunk_start): r.bases for r in sequence.chunked(whole, 100, 10).collect()}
 
 
+def test_chunks_with_names(spark, tmp_path):
+    """Chunks know their sequences' names over blocks; a sequence of one line is not gathered, so lines are shuffled once."""
+    rng, want = random.Random(5), {}
+    with open(tmp_path / "b.fa", "w") as file:
+        for k in range(12):
+            bases, width = "".join(rng.choices("ACGT", k=rng.choice([0, 7, 90, 700]))), rng.choice([60, 1000])
+            want |= {(k + 1, f"n{k}", at): bases[at : at + 110] for at in range(0, len(bases), 100)}
+            file.write(f">n{k}\n" + "".join(f"{bases[i:i + width]}\n" for i in range(0, len(bases), width)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        chunks = readers.read_sequences(spark, str(tmp_path / "b.fa"), 100, 10, names=True)[1]
+        assert {(r.seq_id, r.name, r.chunk_start): r.bases for r in chunks.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_write_by_reference(spark, tmp_path):
     df = spark.range(6).select((F.col("id") % 2).alias("ref_id"), "id")
     writers.write_by(df, str(tmp_path / "out"), "ref_id")
