@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import letter_count, percent, reverse_complement
 from nickmap.operators.ranges import with_place
+from nickmap.sources.shared import written
 
 
 def chunked(sequences: DataFrame, size: int = 65_536, overlap: int = 64) -> DataFrame:
@@ -77,10 +78,13 @@ def nick_sites_four_way(chunks: DataFrame, motifs: list[tuple[str, str, str, str
 def digest(chunks: DataFrame, channels: list[list[str]], segment: int = 1_000_000) -> DataFrame:
     """cmap_id, contig_length, num_sites, site_id, channel, position: labels at the 1-based start of each motif of each
     channel (motif and reverse complement), one for a position and channel, numbered along the sequence; channels at one
-    position keep their order. A task numbers a ``segment`` of a sequence. Terminal rows: see ``with_terminal_rows``."""
+    position keep their order. A task numbers a ``segment`` of a sequence. Terminal rows: see ``with_terminal_rows``.
+
+    Hits are written, as numbering and what comes after it read them several times, and the bases are searched once.
+    """
     order = [(m, k, False) for k, motifs in enumerate(channels, 1) for m in motifs]
     hits = motif_hits(chunks, order).groupBy("seq_id", "length", (F.col("at") + 1).alias("position"), F.col("strand").alias("channel")).agg(F.min("step").alias("step"))
-    placed = with_place(hits, "seq_id", ["position", "step"], segment, "site_id", "num_sites")
+    placed = with_place(written(hits, "hits"), "seq_id", ["position", "step"], segment, "site_id", "num_sites")
     return placed.select(F.col("seq_id").alias("cmap_id"), F.col("length").alias("contig_length"), "num_sites", F.col("site_id").cast("int").alias("site_id"), "channel", "position")
 
 

@@ -173,6 +173,14 @@ def test_stretches_within_chunks(spark):
         assert r.sequence == ("" if r.flank_end is None else text[r.flank_start - 1 : r.flank_end])
 
 
+def test_digest_searches_once(spark):
+    """What follows a digest doesn't search the bases again."""
+    chunks = sequence.chunked(spark.createDataFrame([(1, "xxreixxarexx"), (2, "")], "seq_id long, bases string"), 100)
+    rows = sequence.with_terminal_rows(sequence.digest(chunks, [["rei"], ["are"]]), chunks.select(F.col("seq_id").alias("cmap_id"), F.col("length").alias("contig_length")))
+    assert "split(" not in rows._jdf.queryExecution().toString()
+    assert sorted((r.cmap_id, r.num_sites, r.site_id, r.channel, r.position) for r in rows.collect()) == [(1, 2, 1, 1, 3), (1, 2, 2, 2, 8), (1, 2, 3, 0, 12), (2, 0, 1, 0, 0)]
+
+
 def test_interval_joins(spark):
     rng = random.Random(1)
     make = lambda n, most: [(rng.randint(0, 2), i, (s := rng.randint(-50, 500)), s + rng.randint(0, most)) for i in range(n)]
