@@ -120,24 +120,39 @@ def seeded_motifs(spark: SparkSession, n: int, length: int, seed: int = 0) -> Da
     return spark.range(n).select(F.col("id").alias("motif_id"), F.translate(F.substring(digest, 1, length), "0123456789abcdef", "ACGT" * 4).alias("motif"))
 
 
+#: Runs of up to SHORT bases are counted by words of TOGETHER of them, of which there can be 4 ** (SHORT + TOGETHER - 1).
+SHORT, TOGETHER = 6, 4
+
+
 def motif_null_model(chunks: DataFrame, motifs: DataFrame, stretch: int = 256) -> DataFrame:
     """motif_id, motif, observed, expected of many ``motifs`` (motif_id, motif) of A, C, G and T: how often each or its
     reverse complement starts in the sequences of ``chunks``, and how often it would by the letters' frequencies alone.
 
     All motifs are searched in one pass: the runs of bases of the motifs' lengths at each place are counted within tasks,
     and their counts are joined to the motifs by equality. A motif that is its own reverse complement counts once a place.
-    Runs are taken from stretches of ``stretch`` bases, as reaching into a text takes the longer the further it is.
+    Runs are taken from stretches of ``stretch`` bases, cut in two steps, as reaching into a text takes the longer the
+    further it is; short ones by words that hold several places' runs, which are taken apart once they are counted. Longer
+    ones have a place each, and only those of motifs are counted.
     """
     turned = reverse_complement(F.col("motif"))
     both = motifs.select("motif_id", "motif", F.explode(F.array_distinct(F.array(F.col("motif"), turned))).alias("run"))
     sizes = motifs.agg(F.collect_set(F.length("motif")).alias("sizes"))  # one row, no more entries than a motif is long
-    size = F.col("chunk_end") - F.col("chunk_start")
-    skips = F.sequence(F.lit(0).cast("long"), F.greatest(size - 1, F.lit(0)), F.lit(stretch).cast("long"))
-    parts = chunks.join(F.broadcast(sizes)).select("sizes", "bases", size.alias("size"), F.explode(skips).alias("skip"))
-    parts = parts.select("sizes", F.least(F.col("size") - F.col("skip"), F.lit(stretch)).alias("own"), F.substring(F.col("bases"), (F.col("skip") + 1).cast("int"), (stretch + F.array_max("sizes") - 1).cast("int")).alias("bases"))
-    places = lambda n: F.least("own", F.length("bases") - n + 1).cast("int")
-    runs = F.flatten(F.transform("sizes", lambda n: F.when(places(n) > 0, F.transform(F.sequence(F.lit(1), places(n)), lambda i: F.substring(F.col("bases"), i, n))).otherwise(F.array().cast("array<string>"))))
-    counts = parts.select(F.explode(runs).alias("run")).join(both.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    parts = chunks.join(F.broadcast(sizes)).select("sizes", "bases", (F.col("chunk_end") - F.col("chunk_start")).alias("own"))
+    for width in (16 * stretch, stretch):
+        skips = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("own") - 1, F.lit(0)), F.lit(width).cast("long"))
+        piece = F.substring(F.col("bases"), (F.col("skip") + 1).cast("int"), (width + F.array_max("sizes") - 1).cast("int"))
+        parts = parts.withColumn("skip", F.explode(skips)).select("sizes", F.least(F.col("own") - F.col("skip"), F.lit(width)).alias("own"), piece.alias("bases"))
+    parts = parts.withColumn("held", F.length("bases"))  # once a stretch, not for each of its words
+    places = lambda n: F.least("own", F.col("held") - n + 1).cast("int")
+    step = lambda n: F.when(n <= SHORT, TOGETHER).otherwise(1)
+    word = lambda n, i: F.struct(n.alias("run_size"), F.substring(F.col("bases"), i, F.least(step(n), places(n) - i + 1) + n - 1).alias("word"))
+    none = F.array().cast("array<struct<run_size:int,word:string>>")
+    words = F.flatten(F.transform("sizes", lambda n: F.when(places(n) > 0, F.transform(F.sequence(F.lit(1), places(n), step(n)), lambda i: word(n, i))).otherwise(none)))
+    known = both.select("run").distinct()
+    words = parts.select(F.explode(words).alias("x")).select("x.*").join(known.select(F.col("run").alias("word"), F.lit(True).alias("is_run")), "word", "left")
+    counted = words.where(F.col("is_run") | (F.col("run_size") <= SHORT)).groupBy("run_size", "word").agg(F.count(F.lit(1)).alias("words"))
+    apart = F.transform(F.sequence(F.lit(1), F.length("word") - F.col("run_size") + 1), lambda i: F.substring(F.col("word"), i, F.col("run_size")))
+    counts = counted.select("words", F.explode(apart).alias("run")).join(known, "run", "left_semi").groupBy("run").agg(F.sum("words").alias("n"))
     observed = both.join(counts, "run", "left").groupBy("motif_id", "motif").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("observed"), F.collect_list("run").alias("runs"))
     letters = composition(chunks).where("seq_id is null").select(*"acgtn")
     lengths = chunks.where("chunk_start = 0").join(F.broadcast(sizes)).select(F.explode("sizes").alias("size"), "length").groupBy("size").agg(F.sum(F.greatest(F.col("length") - F.col("size") + 1, F.lit(0))).alias("places"))

@@ -181,6 +181,19 @@ def test_digest_searches_once(spark):
     assert sorted((r.cmap_id, r.num_sites, r.site_id, r.channel, r.position) for r in rows.collect()) == [(1, 2, 1, 1, 3), (1, 2, 2, 2, 8), (1, 2, 3, 0, 12), (2, 0, 1, 0, 0)]
 
 
+def test_null_model_takes_words(spark):
+    """Short runs are counted by words of several places, so a text has a quarter of its places in rows, long runs by place."""
+    text = "ACGTTGCAAC" * 30 + "N" + "CCGTA" * 9
+    chunks = sequence.chunked(spark.createDataFrame([(1, text), (2, "ACGTAC"), (3, "AC")], "seq_id long, bases string"), 70, 16)
+    motifs = ["ACGTAC", "TGC", "GTTGCAAC", "CGTACCGTACC", "TTTTTT", "AAAAAAAAA"]
+    model = sequence.motif_null_model(chunks, spark.createDataFrame(list(enumerate(motifs)), "motif_id long, motif string"))
+    got = {r.motif: r.observed for r in model.collect()}
+    for m in motifs:
+        both = {m, m.translate(str.maketrans("ACGT", "TGCA"))[::-1]}
+        assert got[m] == sum(t[i : i + len(m)] in both for t in (text, "ACGTAC", "AC") for i in range(len(t))), m
+    assert "AS word" in model._jdf.queryExecution().toString()
+
+
 def test_interval_joins(spark):
     rng = random.Random(1)
     make = lambda n, most: [(rng.randint(0, 2), i, (s := rng.randint(-50, 500)), s + rng.randint(0, most)) for i in range(n)]
