@@ -46,35 +46,63 @@ def blocks(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) ->
     )
 
 
+def aligned_labels(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
+    """The columns of ``map_pairs`` and, of each label's map, orientation, confidence, ends (struct of the reference positions
+    start, last and end of its alignment) and head (whether the label is its first on the reference).
+
+    A label is in its block's map, one of the last three of a block maybe in the next one's too, so labels are sent to their
+    maps once and are not joined.
+    """
+    b = F.floor((F.col("site_id") - 1) / 8).cast("long")
+    near = F.when(((b + 1) % 5 == 3) & ((F.col("site_id") - 1) % 8 >= 5), F.array(b, b + 1)).otherwise(F.array(b))
+    held = (labels or ref_labels(spark, sf_dir)).where("ref_id is not null").select("ref_id", "site_id", "pos", "coverage", b.alias("own"), F.explode(near).alias("blk"))
+    whole = Window.partitionBy("ref_id", "blk")
+    own = F.col("own") == F.col("blk")
+    site, hi = F.when(own, F.col("site_id")), F.max(F.when(own, F.col("site_id"))).over(whole)
+    maps = held.withColumns({
+        "s0": F.greatest(F.min(site).over(whole) - F.when(F.col("blk") % 5 == 3, 3).otherwise(0), F.lit(1)), "n": F.count(site).over(whole), "hi": hi,
+        "confidence": F.round(F.sum(F.when(own, F.col("coverage").cast("decimal(18,4)"))).over(whole), 2).cast("double"),
+    }).where("n > 0")
+    maps = maps.withColumn("s1", F.col("hi") - F.when(F.col("n") == 8, F.col("blk") % 3).otherwise(0)).where("site_id between s0 and s1")
+    end = F.col("s1") - F.when((F.col("blk") % 7 == 6) & (F.col("s1") > F.col("s0")), 1).otherwise(0)
+    maps = maps.withColumns({
+        "orientation": F.when((F.col("ref_id") + F.col("blk")) % 4 == 0, "-").otherwise("+"), "head": F.col("site_id") == F.min("site_id").over(whole),
+        "ends": F.struct(F.min("pos").over(whole).alias("start"), F.max("pos").over(whole).alias("last"), F.max(F.when(F.col("site_id") == end, F.col("pos"))).over(whole).alias("end")),
+    })
+    forward, first, last = F.col("orientation") == "+", F.col("ends.start"), F.col("ends.last")
+    return maps.select(
+        "ref_id", F.col("site_id").alias("ref_site"), F.col("pos").alias("ref_pos"), "coverage", (F.col("ref_id") * 1000 + F.col("blk")).alias("map_id"), F.when(forward, F.col("site_id") - F.col("s0") + 1).otherwise(F.col("s1") - F.col("site_id") + 1).alias("map_site"),
+        F.when(forward, F.col("pos") - first + 20).otherwise(last - F.col("pos") + 20).alias("map_pos"), (F.col("s1") - F.col("s0") + 1).alias("num_sites"), (last - first + 40).alias("map_length"), F.col("blk").alias("entry"), "orientation", "confidence", "ends", "head",
+    )
+
+
 def map_pairs(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
     """ref_id, ref_site, ref_pos, coverage, map_id, map_site, map_pos, num_sites, map_length, entry: all labels of all maps,
     with those of the reference that they align to."""
-    labels, maps = labels or ref_labels(spark, sf_dir), blocks(spark, sf_dir, labels)
-    spread = maps.withColumn("site_id", F.explode(F.sequence("s0", "s1"))).join(labels, ["ref_id", "site_id"])
-    whole = Window.partitionBy("map_id")
-    first, last = F.min("pos").over(whole), F.max("pos").over(whole)
-    forward = F.col("orientation") == "+"
-    return spread.select(
-        "ref_id", F.col("site_id").alias("ref_site"), F.col("pos").alias("ref_pos"), "coverage", "map_id", F.when(forward, F.col("site_id") - F.col("s0") + 1).otherwise(F.col("s1") - F.col("site_id") + 1).alias("map_site"),
-        F.when(forward, F.col("pos") - first + 20).otherwise(last - F.col("pos") + 20).alias("map_pos"), (F.col("s1") - F.col("s0") + 1).alias("num_sites"), (last - first + 40).alias("map_length"), F.col("blk").alias("entry"),
-    )
+    return aligned_labels(spark, sf_dir, labels).drop("orientation", "confidence", "ends", "head")
+
+
+def labels_of(pairs: DataFrame) -> DataFrame:
+    """Map labels from ``map_pairs`` or ``aligned_labels``, as ``map_labels`` has them."""
+    return pairs.select("map_id", "num_sites", F.col("map_site").alias("site_id"), F.col("map_pos").alias("pos"), "map_length")
 
 
 def map_labels(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
-    return map_pairs(spark, sf_dir, labels).select("map_id", "num_sites", F.col("map_site").alias("site_id"), F.col("map_pos").alias("pos"), "map_length")
+    return labels_of(map_pairs(spark, sf_dir, labels))
+
+
+def alignments_of(pairs: DataFrame) -> DataFrame:
+    """Alignments from ``aligned_labels``, as ``alignments`` has them."""
+    forward, a, z, e = F.col("orientation") == "+", F.col("ends.start"), F.col("ends.last"), F.col("ends.end")
+    return pairs.where("head").select(
+        F.col("map_id").alias("qry_id"), "ref_id", "orientation", "confidence", a.alias("ref_start"), e.alias("ref_end"),
+        F.when(forward, F.lit(20)).otherwise(z - a + 20).alias("qry_start"), F.when(forward, e - a + 20).otherwise(z - e + 20).alias("qry_end"),
+    )
 
 
 def alignments(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
     """One alignment a map, from its first label to its last, or to the one before in every seventh map."""
-    maps, labels = blocks(spark, sf_dir, labels), labels or ref_labels(spark, sf_dir)
-    end = F.col("s1") - F.when((F.col("blk") % 7 == 6) & (F.col("s1") > F.col("s0")), 1).otherwise(0)
-    spread = maps.withColumn("end", end).withColumn("site_id", F.explode(F.sequence("s0", "s1"))).join(labels, ["ref_id", "site_id"])
-    ends = spread.groupBy(F.col("map_id").alias("qry_id"), "ref_id", "orientation", "confidence").agg(F.min("pos").alias("a"), F.max("pos").alias("z"), F.max(F.when(F.col("site_id") == F.col("end"), F.col("pos"))).alias("e"))
-    forward = F.col("orientation") == "+"
-    return ends.select(
-        "qry_id", "ref_id", "orientation", "confidence", F.col("a").alias("ref_start"), F.col("e").alias("ref_end"),
-        F.when(forward, F.lit(20)).otherwise(F.col("z") - F.col("a") + 20).alias("qry_start"), F.when(forward, F.col("e") - F.col("a") + 20).otherwise(F.col("z") - F.col("e") + 20).alias("qry_end"),
-    )
+    return alignments_of(aligned_labels(spark, sf_dir, labels))
 
 
 def end_ratios(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
