@@ -144,6 +144,16 @@ def lift_pairs(pairs: DataFrame, lift: DataFrame) -> DataFrame:
     return moved.select(*own, F.col("_id").alias("map_id"), F.col("_site").alias("map_site"))
 
 
+def lift_merged(pairs: DataFrame, members: DataFrame, merged: DataFrame) -> DataFrame:
+    """``lift_pairs`` for one round of merging, from its ``lineage`` and the labels of ``merge_maps``: labels of maps that no
+    group has stay as they are and are not joined to a lift; those that were trimmed are left out."""
+    moved = merged.where("old_id is not null").select(F.col("old_id").alias("map_id"), F.col("old_site").alias("map_site"), F.col("map_id").alias("_id"), F.col("site_id").alias("_site"))
+    own = [c for c in pairs.columns if c not in ("map_id", "map_site")]
+    lifted = pairs.join(moved, ["map_id", "map_site"]).select(*own, F.col("_id").alias("map_id"), F.col("_site").alias("map_site"))
+    stay = pairs.join(members.select("map_id").distinct(), "map_id", "left_anti")
+    return lifted.unionByName(stay.select(*own, "map_id", "map_site"))
+
+
 def joined_molecules(pairs: DataFrame, lift: DataFrame) -> DataFrame:
     """map_id, mol_id, entry, labels of molecules on merged maps: ``pairs`` (mol_id, map_id, map_site) lifted. A molecule that
     spanned two maps which are one now has one alignment with the labels of both."""

@@ -106,7 +106,16 @@ def alignments(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None
 
 
 def end_ratios(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
-    return blocks(spark, sf_dir, labels).select("map_id", (F.col("map_id") % 10 / 10.0).alias("start_ratio"), ((F.floor(F.col("map_id") / 10) + 7) % 10 / 10.0).alias("end_ratio"))
+    return _ratios(blocks(spark, sf_dir, labels))
+
+
+def ratios_of(pairs: DataFrame) -> DataFrame:
+    """End ratios from ``aligned_labels``, as ``end_ratios`` has them."""
+    return _ratios(pairs.where("head"))
+
+
+def _ratios(maps: DataFrame) -> DataFrame:
+    return maps.select("map_id", (F.col("map_id") % 10 / 10.0).alias("start_ratio"), ((F.floor(F.col("map_id") / 10) + 7) % 10 / 10.0).alias("end_ratio"))
 
 
 #: Where a line item lies as a molecule: a reference and its first and last label. Molecules that agree in it are a run.
