@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nickmap.functions.scalars import site_colour
-from nickmap.operators.ranges import with_running
+from nickmap.operators.ranges import in_segments, with_running
 from nickmap.sources.shared import written
 
 # The headers of the formats.
@@ -90,7 +90,8 @@ def write_score_statistics(scores: DataFrame, path: str, part: int = 1_000_000,
     joined by hyphens and lists by spaces.
 
     Parts are cut by what lines hold and not by their number, as some have many ids and most have none: a part ends once
-    it has ``part`` ids and lines.
+    it has ``part`` ids and lines. A line's part is found by where parts begin within its ``segment`` of lines, so what is
+    sent to all tasks is one entry for each part and segment, not one for each line.
     """
     scores = written(scores, "statistics")
     pair = lambda a, b: F.concat_ws("-", a, b)
@@ -99,10 +100,13 @@ def write_score_statistics(scores: DataFrame, path: str, part: int = 1_000_000,
     columns += [F.col(c) for c in ("molecules", "reads", "total", "mean_per_hit", "mean_per_molecule", "score", "alt_score")] + [listed("molecule_ids"), listed("read_ids")]
     body = scores.select(F.col("line").cast("long").alias("line"), F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns]).alias("value"))
     sizes = scores.select(F.col("line").cast("long").alias("line"), (F.lit(1) + F.coalesce("molecules", F.lit(0)) + F.coalesce("reads", F.lit(0))).cast("long").alias("_size"))
-    parts = written(with_running(sizes, [], ["line"], "_size", segment, "_upto").select("line", F.floor(F.col("_upto") / part).cast("int").alias("_part")), "parts")
+    dealt = with_running(sizes, [], ["line"], "_size", segment, "_upto").withColumn("_part", F.floor(F.col("_upto") / part).cast("int"))
+    parts = written(in_segments(dealt, "line", segment).groupBy("_seg", "_part").agg(F.min("line").alias("first")), "parts")
     n = (parts.agg(F.max("_part")).first()[0] or 0) + 1
+    begun = F.broadcast(parts.groupBy("_seg").agg(F.collect_list(F.struct("first", "_part")).alias("_parts")))
+    own = F.array_max(F.transform(F.filter("_parts", lambda x: x["first"] <= F.col("line")), lambda x: x["_part"]))
     head = scores.sparkSession.createDataFrame([(0, SCORE_HEADER, 0)], "line long, value string, _part int")
-    both = head.unionByName(body.join(parts, "line"))
+    both = head.unionByName(in_segments(body, "line", segment).join(begun, "_seg").select("line", "value", own.alias("_part")))
     both.repartitionById(n, F.col("_part")).sortWithinPartitions("line").select("value").write.mode("overwrite").text(path)
 
 

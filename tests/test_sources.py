@@ -175,3 +175,18 @@ def test_score_statistics_are_cut_by_what_lines_hold(spark, tmp_path):
     parts = [p.read_text().splitlines() for p in sorted((tmp_path / "s").glob("part-*"))]
     assert [x.split(",")[0] for part in parts for x in part] == ["#BedLine", *map(str, range(1, 61))]
     assert max(sum(x.startswith(tuple(f"{n}," for n in range(1, 7))) for x in part) for part in parts) <= 2
+
+
+def test_parts_of_score_statistics_are_not_kept_by_line(spark, tmp_path, monkeypatch):
+    """What is kept beside the statistics, and sent to all tasks, has a row for each part and segment and none for each
+    line; a line that comes twice is written twice."""
+    kept, kinds = {}, "line long, site_type string, size long, ref_id long, start_pos long, end_pos long, start_label int, end_label int, map_id long, map_start_pos long, map_end_pos long, map_start int, map_end int, mean_coverage double, hits long, molecules long, reads long, total long, mean_per_hit double, mean_per_molecule double, score double, alt_score long, molecule_ids array<string>, read_ids array<string>"
+    keep = writers.written
+    monkeypatch.setattr(writers, "written", lambda df, purpose: kept.setdefault(purpose, keep(df, purpose)))
+    row = ("TypeI", 10, 1, 100, 110, 3, 4, 17, 20, 90, 2, 5, 1.5, 0, 0, 0, 0, 8.0, 8.0, 4.0, 40, [], [])
+    lines = [*range(1, 2001), 500]
+    writers.write_score_statistics(spark.createDataFrame([(n, *row) for n in lines], kinds).repartition(3), str(tmp_path / "s"), part=300, segment=100)
+    assert sum(df.count() for purpose, df in kept.items() if purpose != "statistics") <= 2001 // 300 + 1 + 2000 // 100 + 1
+    parts = [p.read_text().splitlines() for p in sorted((tmp_path / "s").glob("part-*"))]
+    assert [x.split(",")[0] for p in parts for x in p] == ["#BedLine", *map(str, sorted(lines))]
+    assert [len(p) for p in parts] == [300] * 6 + [202]
